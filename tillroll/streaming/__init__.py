@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analyses are batch jobs over a complete invoice history (global
+quartiles, first purchases, year-on-year growth), and nothing in the
+specified behaviour consumes an unbounded stream, so no Structured
+Streaming operator is provided.
+"""
