@@ -1,0 +1,145 @@
+"""Cleaning rules on hand-written lines, and the waterfall twins."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tests.conftest import raw_frame
+from tillroll.operators import clean as cl
+from tillroll.schema import CLEAN_COLUMNS, REQUIRED_COLUMNS
+
+
+def _line(inv="1", code="A", desc="Thing", qty=1, date="2010-12-01 08:26:00", price=1.5,
+          cust="17850", country="UK"):
+    return (inv, code, desc, qty, date, price, cust, country)
+
+
+def test_cancellations_trimmed_and_case_sensitive(spark):
+    df = raw_frame(spark, [_line("C1"), _line(" C2"), _line("c3"), _line(None), _line("4")])
+    kept = sorted(r.InvoiceNo for r in cl.drop_cancelled(df).collect())
+    assert kept == ["4", "c3"]
+
+
+def test_positive_quantity_and_price(spark):
+    df = raw_frame(spark, [_line(qty=0), _line(qty=-2), _line(price=0.0), _line(qty=None),
+                           _line(qty=3, price=2.0)])
+    rows = cl.keep_positive(df).collect()
+    assert [(r.Quantity, r.UnitPrice) for r in rows] == [(3, 2.0)]
+
+
+def test_exact_duplicates_nulls_equal(spark):
+    df = raw_frame(spark, [_line(desc=None), _line(desc=None), _line(desc="x"), _line(desc="x ")])
+    assert cl.drop_exact_duplicates(df).count() == 3
+
+
+def test_customer_required_and_description_filled(spark):
+    df = raw_frame(spark, [_line(cust=None), _line(desc=None, inv="2"), _line(desc="   ", inv="3"),
+                           _line(desc="", inv="4"), _line(desc=" keep me ", inv="5")])
+    got = {r.InvoiceNo: r.Description for r in cl.require_customer(df).collect()}
+    assert got == {"2": "Unknown Product", "3": "Unknown Product", "4": "Unknown Product",
+                   "5": " keep me "}
+
+
+def test_timestamp_layouts(spark):
+    texts = {
+        "a": "2010-12-01 08:26:00",
+        "b": "2010/12/01 08:26:00",
+        "c": "01/12/2010 08:26",
+        "d": "01/12/2010 8:26",
+        "e": " 2010-12-01 08:26:00 ",
+        "x1": "12/31/2010 8:26",
+        "x2": "12/1/2010 8:26",
+        "x3": "not a date",
+        "x4": None,
+    }
+    df = raw_frame(spark, [_line(inv=k, date=v) for k, v in texts.items()])
+    got = {r.InvoiceNo: r.InvoiceDateTime for r in cl.parse_invoice_time(df).collect()}
+    want = dt.datetime(2010, 12, 1, 8, 26)
+    assert got == {"a": want, "b": want, "c": want, "d": want, "e": want}
+
+
+def test_wall_clock_kept_in_dst_gap(spark):
+    # 01:30 on the UK spring-forward day does not exist in Europe/London; the
+    # cleaned table keeps the source wall-clock time (UTC session, NTZ value).
+    df = raw_frame(spark, [_line(date="2011-03-27 01:30:00")])
+    row = cl.clean(df).collect()[0]
+    assert row.InvoiceHour == "01"
+    assert row.InvoiceDateTime == dt.datetime(2011, 3, 27, 1, 30)
+
+
+def test_derived_columns(spark):
+    # 2010-12-04 is a Saturday, 2010-12-05 a Sunday, 2010-12-06 a Monday.
+    df = raw_frame(spark, [
+        _line(inv=" 10 ", date="2010-12-04 09:05:00", qty=3, price=1.25),
+        _line(inv="11", date="05/12/2010 17:45"),
+        _line(inv="12", date="2010/12/06 23:59:59"),
+    ])
+    out = cl.clean(df)
+    assert tuple(out.columns) == CLEAN_COLUMNS
+    rows = {r.InvoiceNo.strip(): r for r in out.collect()}
+    r = rows["10"]
+    assert (r.InvoiceDate, r.InvoiceHour, r.InvoiceYear, r.InvoiceMonth, r.InvoiceDay) == (
+        "2010-12-04", "09", 2010, 12, 4)
+    assert (r.InvoiceWeekday, r.IsWeekend) == (7, 1)
+    assert r.OrderKey == "10|17850"
+    assert r.TotalAmount == 3.75 and r.Quantity == 3
+    assert (rows["11"].InvoiceWeekday, rows["11"].IsWeekend) == (1, 1)
+    assert (rows["12"].InvoiceWeekday, rows["12"].IsWeekend) == (2, 0)
+
+
+def test_empty_input(spark):
+    df = raw_frame(spark, [])
+    assert cl.clean(df).count() == 0
+    counts = [r.rows for r in cl.quality_waterfall(df).orderBy("step").collect()]
+    assert counts == [0] * 7
+
+
+def test_all_cancelled(spark):
+    df = raw_frame(spark, [_line("C1"), _line("C2")])
+    counts = [r.rows for r in cl.quality_waterfall(df).orderBy("step").collect()]
+    assert counts == [2, 0, 0, 0, 0, 0, 0]
+
+
+def _stepwise(raw):
+    s1 = cl.drop_cancelled(raw)
+    s2 = cl.keep_positive(s1)
+    s3 = cl.drop_exact_duplicates(s2)
+    s4 = cl.require_customer(s3)
+    s5 = cl.parse_invoice_time(s4)
+    final = cl.clean(raw)
+    return [d.count() for d in (raw, s1, s2, s3, s4, s5, final)]
+
+
+def test_waterfall_matches_stepwise_counts(raw_small):
+    one_pass = [r.rows for r in cl.quality_waterfall(raw_small).orderBy("step").collect()]
+    assert one_pass == _stepwise(raw_small)
+    # FIXTURES.md: expected counts at sf0.001
+    assert one_pass == [6116, 5680, 5467, 5385, 5063, 4923, 4923]
+
+
+def test_waterfall_with_heavy_duplicates(spark):
+    rows = [_line()] * 500 + [_line("C9")] * 300 + [_line(inv="2", cust=None)] * 10
+    df = raw_frame(spark, rows)
+    one_pass = [r.rows for r in cl.quality_waterfall(df).orderBy("step").collect()]
+    assert one_pass == _stepwise(df) == [810, 510, 510, 2, 1, 1, 1]
+
+
+def test_clean_plan_has_one_shuffle(spark, raw_small, tmp_path):
+    path = str(tmp_path / "raw")
+    raw_small.write.parquet(path)
+    plan = cl.clean(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_repartition_changes_no_rows(clean_small):
+    again = cl.repartition_by_customer(clean_small, 5)
+    assert again.rdd.getNumPartitions() == 5
+    assert again.exceptAll(clean_small).count() == 0
+    assert clean_small.exceptAll(again).count() == 0
+
+
+def test_description_filled_count(clean_small):
+    # FIXTURES.md: 304 lines carry the filler at sf0.001
+    assert clean_small.filter(F.col("Description") == "Unknown Product").count() == 304
