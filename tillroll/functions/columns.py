@@ -57,6 +57,24 @@ def filled_description(description: Column | str = "Description") -> Column:
     return F.when(d.isNull() | (F.trim(d) == ""), F.lit(UNKNOWN_PRODUCT)).otherwise(d)
 
 
+def _layout_guards(text: Column) -> list[Column]:
+    """Per layout, a cheap test every text that layout accepts must pass.
+
+    A failed pattern parse raises and catches an exception inside the JVM,
+    which costs more than the parse itself; the guards skip attempts that
+    cannot succeed (separator present, number of ':' literals), so results
+    are the same as trying every layout in turn.
+    """
+    colons = F.length(text) - F.length(F.regexp_replace(text, ":", ""))
+    slashed = text.contains("/")
+    return [
+        text.contains("-"),  # yyyy-MM-dd HH:mm:ss
+        slashed & (colons == 2),  # yyyy/MM/dd HH:mm:ss
+        slashed & (colons == 1),  # dd/MM/yyyy HH:mm
+        slashed & (colons == 1),  # dd/MM/yyyy H:mm
+    ]
+
+
 def invoice_timestamp(invoice_date: Column | str = "InvoiceDate") -> Column:
     """Parse the invoice date text with the accepted layouts; NULL if none fits.
 
@@ -65,8 +83,11 @@ def invoice_timestamp(invoice_date: Column | str = "InvoiceDate") -> Column:
     zone and back; in a UTC session (``build_session``) that is the identity.
     """
     text = F.trim(_text(invoice_date))
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in INVOICE_TS_FORMATS])
-    return parsed.cast("timestamp_ntz")
+    attempts = [
+        F.when(guard, F.try_to_timestamp(text, F.lit(fmt)))
+        for guard, fmt in zip(_layout_guards(text), INVOICE_TS_FORMATS)
+    ]
+    return F.coalesce(*attempts).cast("timestamp_ntz")
 
 
 def is_weekend(ts: Column | str) -> Column:

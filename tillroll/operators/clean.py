@@ -105,9 +105,13 @@ def clean(df: DataFrame, partitions: int | None = None) -> DataFrame:
         df.select(*REQUIRED_COLUMNS)
         .transform(drop_cancelled)
         .transform(keep_positive)
+        # Parsed once, before the dedup shuffle: the value is a function of
+        # InvoiceDate, so carrying it does not change which rows are duplicates,
+        # and the date filter below is still applied after C3/C4 in rule order.
+        .withColumn("InvoiceDateTime", invoice_timestamp("InvoiceDate"))
         .transform(drop_exact_duplicates)
         .transform(require_customer)
-        .transform(parse_invoice_time)
+        .filter(F.col("InvoiceDateTime").isNotNull())
         .transform(add_time_dimensions)
         .transform(add_order_key)
         .transform(add_amounts)

@@ -6,8 +6,8 @@ Here the total order is cut into ranges instead:
 1. ``repartitionByRange`` on the sort keys plus a unique tie-breaker, so even
    a value shared by a third of all rows is spread over many partitions;
 2. sort inside each partition and tag each row with its partition id and
-   ``monotonically_increasing_id``; checkpoint (reliable, shared folder) so
-   the layout and ids are fixed even if executors are lost and tasks re-run;
+   ``monotonically_increasing_id``; write the tagged rows once to the shared
+   checkpoint folder so the ids are data, fixed even if executors are lost;
 3. count rows per partition (one small row per partition, a bounded table),
    prefix-sum the counts, and broadcast that table back to turn each local
    index into a global 1-based position.
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.session import materialize
 
 POS = "_pos"
 TOTAL = "_n"
@@ -39,14 +39,13 @@ def global_positions(
     defaults to ``spark.sql.shuffle.partitions``.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (
+    tagged = materialize(
         df.repartitionByRange(n_parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_rid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_rid", F.monotonically_increasing_id()),
+        "ranked",
     )
     # One row per non-empty partition: bounded by the partition count.
     sizes = tagged.groupBy("_pid").agg(

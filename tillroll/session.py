@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -61,3 +61,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tillroll-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint location and
+    read it back: cuts the lineage, survives executor loss, and unlike an
+    eager ``checkpoint()`` does not compute the plan a second time to save it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
