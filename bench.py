@@ -8,7 +8,8 @@ with the ``noop`` sink so every aggregate is executed:
 
 * clean_to_parquet   raw CSV -> cleaning plan -> cleaned Parquet
 * quality_waterfall  the seven stage counts over the raw CSV
-* the twelve analyses over the cleaned Parquet
+* the twelve analyses over the cleaned Parquet, one by one
+* run_all            all twelve written as Parquet via the shared invoice rollup
 * bench_sum_by_*     the simplified three-sum pipeline over the raw CSV
 
 Prints one JSON line; ``value`` is the sum of the per-query medians.
@@ -32,7 +33,7 @@ def main() -> None:
 
     from tillroll.operators.clean import clean, quality_waterfall
     from tillroll.plans.benchmark import bench_sum_by
-    from tillroll.plans.registry import ANALYSES
+    from tillroll.plans.registry import ANALYSES, run_all
     from tillroll.session import build_session, scratch_path
     from tillroll.sources.fixtures import raw_retail_lines
     from tillroll.sources.readers import read_raw
@@ -65,6 +66,15 @@ def main() -> None:
     jobs.append(("quality_waterfall", lambda: noop(quality_waterfall(read_raw(spark, raw_zone)))))
     for name, fn in ANALYSES:
         jobs.append((name, lambda fn=fn: noop(fn(spark.read.parquet(cleaned_zone)))))
+    jobs.append(
+        (
+            "run_all",
+            lambda: run_all(
+                spark, spark.read.parquet(cleaned_zone), scratch_path(spark, "bench-results"),
+                fmt="parquet",
+            ).collect(),
+        )
+    )
     for key, label in (("InvoiceDate", "date"), ("Country", "country"), ("CustomerID", "customer")):
         jobs.append(
             (f"bench_sum_by_{label}", lambda key=key: noop(bench_sum_by(read_raw(spark, raw_zone), key)))

@@ -217,3 +217,26 @@ def test_rules_metrics_consistent(spark, sf_small):
     for r in rules.limit(50).collect():
         assert r.confidence >= 0.1 and r.support >= 0.01 and r.lift > 0
         assert "," not in r.consequent_str
+
+
+@pytest.mark.parametrize("name", sorted(
+    __import__("tillroll.plans.registry", fromlist=["x"]).RESULT_NAMES))
+def test_invoice_rollup_gives_identical_results(clean_small, name):
+    from tillroll.operators.rollup import invoice_rollup
+    from tillroll.plans.registry import ANALYSES, LINE_GRAIN
+
+    if name in LINE_GRAIN:
+        pytest.skip("needs individual lines")
+    fn = dict(ANALYSES)[name]
+    direct = fn(clean_small)
+    rolled = fn(invoice_rollup(clean_small))
+    assert rolled.columns == direct.columns
+    assert direct.exceptAll(rolled).count() == 0 and rolled.exceptAll(direct).count() == 0
+
+
+def test_rollup_is_smaller_than_lines(clean_small):
+    from tillroll.operators.rollup import invoice_rollup
+
+    rolled = invoice_rollup(clean_small)
+    assert rolled.count() < clean_small.count()
+    assert rolled.agg(F.sum("Lines")).first()[0] == clean_small.count()

@@ -9,7 +9,8 @@ from tillroll.functions.columns import (
     invoice_timestamp,
     is_weekend,
     money,
-    money_avg,
+    line_count,
+    money_per_line,
     money_sum,
     not_cancelled,
     order_key,
@@ -25,7 +26,8 @@ __all__ = [
     "invoice_timestamp",
     "is_weekend",
     "money",
-    "money_avg",
+    "line_count",
+    "money_per_line",
     "money_sum",
     "not_cancelled",
     "order_key",

@@ -6,7 +6,7 @@ whole-stage codegen; nothing here runs Python per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.schema import MONEY
@@ -113,10 +113,22 @@ def money_sum(col: Column | str = "TotalAmount") -> Column:
     return F.sum(money(col)).cast("double")
 
 
-def money_avg(col: Column | str = "TotalAmount") -> Column:
-    """Mean amount per non-NULL value (exact sum divided by count)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return money_sum(c) / F.count(c).cast("double")
+# Column of an invoice rollup holding how many lines each row stands for.
+LINES = "Lines"
+
+
+def line_count(df: DataFrame) -> Column:
+    """Aggregate counting invoice lines.
+
+    On the cleaned table every row is a line; on an invoice rollup
+    (``operators.rollup``) each row carries its line count in ``Lines``.
+    """
+    return F.sum(LINES) if LINES in df.columns else F.count(F.lit(1))
+
+
+def money_per_line(df: DataFrame, col: Column | str = "TotalAmount") -> Column:
+    """Mean amount per invoice line (exact sum divided by the line count)."""
+    return money_sum(col) / line_count(df).cast("double")
 
 
 def growth_pct(current: Column | str, previous: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import money_avg, money_sum
+from tillroll.functions.columns import line_count, money_per_line, money_sum
 from tillroll.operators.ranking import exact_quantiles, with_ntile
 
 
@@ -19,7 +19,7 @@ def customer_frequency(df: DataFrame) -> DataFrame:
         .agg(
             F.countDistinct("InvoiceNo").alias("PurchaseFrequency"),
             money_sum("TotalAmount").alias("TotalSpending"),
-            money_avg("TotalAmount").alias("AvgOrderSpending"),
+            money_per_line(df, "TotalAmount").alias("AvgOrderSpending"),
         )
         .orderBy(F.desc("TotalSpending"), "CustomerID")
     )
@@ -174,7 +174,7 @@ def repurchase_gap_lines(df: DataFrame) -> DataFrame:
     aggregate, with no sort of the lines and no per-customer window.
     """
     per_c = df.groupBy("CustomerID").agg(
-        F.count(F.lit(1)).alias("_n"),
+        line_count(df).alias("_n"),
         F.datediff(F.max("InvoiceDateTime"), F.min("InvoiceDateTime")).alias("_span"),
     )
     return per_c.agg(
