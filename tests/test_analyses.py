@@ -240,3 +240,17 @@ def test_rollup_is_smaller_than_lines(clean_small):
     rolled = invoice_rollup(clean_small)
     assert rolled.count() < clean_small.count()
     assert rolled.agg(F.sum("Lines")).first()[0] == clean_small.count()
+
+
+def test_single_customer(spark):
+    df = _lines(spark, [
+        ("1", "A", "x", 1, "2011-01-05 10:00:00", 10.0, "a", "UK"),
+        ("2", "B", "y", 2, "2011-01-15 11:00:00", 5.0, "a", "UK"),
+    ])
+    r = cu.rfm_segments(df).first()
+    assert (r.RecencyDays, r.Frequency, r.Monetary, r.R_q, r.F_q, r.M_q, r.RFM_Segment) == (
+        0, 2, 20.0, 1, 1, 1, "HIGH_VALUE")
+    m = {x.metric: x.value for x in cu.user_behavior_summary(df).collect()}
+    assert m["customer_cnt"] == 1.0 and m["repurchase_rate"] == 1.0
+    assert m["order_value_p25"] == 10.0 and m["order_value_p75"] == 10.0
+    assert m["avg_repurchase_gap_days"] == 10.0

@@ -6,6 +6,8 @@ import random
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -81,3 +83,18 @@ def test_exact_quantiles_empty(spark):
     df = spark.createDataFrame([], "id long, v double")
     got = exact_quantiles(df, "v", [0.5], ["id"]).collect()
     assert [(r.metric, r.value) for r in got] == [("p50", None)]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    values=st.lists(st.integers(min_value=0, max_value=5), min_size=0, max_size=60),
+    parts=st.integers(min_value=1, max_value=9),
+    buckets=st.integers(min_value=1, max_value=7),
+)
+def test_ntile_property(spark, values, parts, buckets):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v long")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = with_ntile(df, "q", order, buckets, partitions=parts)
+    want = df.select("id", F.ntile(buckets).over(Window.orderBy(*order)).alias("w"))
+    assert got.join(want, "id").filter(F.col("q") != F.col("w")).count() == 0
+    assert got.count() == len(values)

@@ -1,6 +1,7 @@
 """Independent SQL formulations of every registered query (DuckDB dialect).
 
-These are the correctness oracle: each string rebuilds the raw fixture from
+These are the correctness oracle (brute force where that is simplest, e.g.
+item pairs and triples per basket for the rules): each string rebuilds the raw fixture from
 the driver tables, applies the cleaning rules step by step, and computes the
 result the way the rules are stated (lag windows, row_number, ntile,
 positional quantiles), not the way the Spark plans compute them (telescoped
@@ -251,8 +252,8 @@ cand AS (
 fa AS (SELECT item AS s, c FROM f1 UNION ALL SELECT a || ',' || b, c FROM f2),
 r AS (
   SELECT cand.ant, cand.con, cand.cu,
-         CAST(cand.cu AS DOUBLE) / CAST(fa.c AS DOUBLE) AS conf, f1.c AS cc, minc.n
-  FROM cand JOIN fa ON fa.s = cand.ant JOIN f1 ON f1.item = cand.con CROSS JOIN minc),
+         CAST(cand.cu AS DOUBLE) / CAST(fa.c AS DOUBLE) AS conf, f1.c AS cc, (SELECT n FROM nb) AS n
+  FROM cand JOIN fa ON fa.s = cand.ant JOIN f1 ON f1.item = cand.con),
 rules AS (
   SELECT ant AS antecedent_str, con AS consequent_str,
          CAST(cu AS DOUBLE) / CAST(n AS DOUBLE) AS support,
