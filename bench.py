@@ -42,7 +42,7 @@ def main() -> None:
     spark = build_session(
         "tillroll-bench",
         master=f"local[{cpus}]",
-        shuffle_partitions=max(8, 2 * cpus),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * cpus)))),
         extra_conf={
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
