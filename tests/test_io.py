@@ -125,3 +125,31 @@ def test_result_csv_keeps_trailing_spaces(spark, tmp_path):
     sk.write_result(df, out)
     back = spark.read.option("header", "true").schema(df.schema).csv(out).first()
     assert back.d == "PAPER CRAFT  LITTLE BIRDIE "
+
+
+def test_settings_from_conf(spark):
+    from tillroll.config import Settings
+
+    spark.conf.set("spark.tillroll.min_support", "0.05")
+    spark.conf.set("spark.tillroll.concurrent_jobs", "two")  # invalid: default kept
+    spark.conf.set("spark.tillroll.exact_quantiles", "false")
+    try:
+        s = Settings.from_conf(spark)
+        assert s.min_support == 0.05 and s.concurrent_jobs == 4 and s.exact_quantiles is False
+        assert s.min_confidence == 0.2 and s.result_format == "csv"
+    finally:
+        for k in ("min_support", "concurrent_jobs", "exact_quantiles"):
+            spark.conf.unset(f"spark.tillroll.{k}")
+
+
+def test_run_all_honours_settings(spark, clean_small, tmp_path):
+    from tillroll.config import Settings
+
+    root = str(tmp_path / "res")
+    settings = Settings(min_support=0.02, min_confidence=0.3, result_format="parquet",
+                        concurrent_jobs=1, exact_quantiles=False, rollup=False)
+    run_all(spark, clean_small, root, names=["association_rules", "user_behavior_summary"],
+            settings=settings)
+    rules = spark.read.parquet(f"{root}/association_rules")
+    assert rules.filter((F.col("support") < 0.02) | (F.col("confidence") < 0.3)).count() == 0
+    assert spark.read.parquet(f"{root}/user_behavior_summary").count() == 7

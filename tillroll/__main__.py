@@ -4,9 +4,11 @@
         [--raw-format csv|parquet] [--result-format csv|parquet] [--partitions N]
     python -m tillroll perf --raw RAW [--fractions 0.25,0.5,0.75,1] [--shuffle 2,4,8,16] --out OUT
     python -m tillroll waterfall --raw RAW --out OUT
+    python -m tillroll ingest --source CSV --target RAW [--mode overwrite|skip]
 
 Paths are any Hadoop-compatible URIs. Master, memory and cores come from
-``spark-submit``. Exit code 1 on failure.
+``spark-submit``; run settings from ``--conf spark.tillroll.<name>=...``
+(see ``tillroll.config.Settings``). Exit code 1 on failure.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ import argparse
 import logging
 import sys
 
+from tillroll.config import Settings
 from tillroll.operators.clean import quality_waterfall
 from tillroll.plans.benchmark import run_grid
 from tillroll.plans.registry import Paths, run_pipeline
 from tillroll.session import build_session
 from tillroll.sources.readers import read_raw
-from tillroll.sources.sinks import write_result
+from tillroll.sources.sinks import ingest_raw, write_result
 
 log = logging.getLogger("tillroll")
 
@@ -41,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--cleaned", required=True)
     run.add_argument("--results", required=True)
     run.add_argument("--raw-format", default="csv")
-    run.add_argument("--result-format", default="csv")
+    run.add_argument("--result-format", default=None, help="csv | parquet (default: settings)")
     run.add_argument("--partitions", type=int, default=None)
     perf = sub.add_parser("perf", help="timing grid of the simplified pipeline")
     perf.add_argument("--raw", required=True)
@@ -49,6 +52,10 @@ def main(argv: list[str] | None = None) -> int:
     perf.add_argument("--fractions", type=_floats, default=[0.25, 0.5, 0.75, 1.0])
     perf.add_argument("--shuffle", type=_ints, default=[2, 4, 8, 16])
     perf.add_argument("--out", required=True)
+    ing = sub.add_parser("ingest", help="land a raw CSV in the raw zone")
+    ing.add_argument("--source", required=True)
+    ing.add_argument("--target", required=True)
+    ing.add_argument("--mode", default=None, help="overwrite | skip (default: settings)")
     wf = sub.add_parser("waterfall", help="rows left after each cleaning rule")
     wf.add_argument("--raw", required=True)
     wf.add_argument("--raw-format", default="csv")
@@ -68,6 +75,10 @@ def main(argv: list[str] | None = None) -> int:
             for r in rows:
                 log.info("%-28s rows=%-10d ok=%s", r.name, r.row_count, r.ok)
             return 0 if all(r.ok for r in rows) else 1
+        if args.cmd == "ingest":
+            mode = args.mode or Settings.from_conf(spark).ingest_mode
+            ingest_raw(spark, args.source, args.target, mode=mode)
+            return 0
         if args.cmd == "perf":
             grid = run_grid(spark, read_raw(spark, args.raw, args.raw_format),
                             args.fractions, args.shuffle)

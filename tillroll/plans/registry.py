@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.config import Settings
 from tillroll.operators.baskets import association_rules
 from tillroll.operators.clean import clean
 from tillroll.operators.rollup import invoice_rollup
@@ -66,15 +68,27 @@ class Paths:
         return f"{self.results.rstrip('/')}/{name}"
 
 
+def configured(name: str, fn: Analysis, settings: Settings) -> Analysis:
+    """Bind the run settings that an analysis takes."""
+    if name == "association_rules":
+        return partial(
+            fn, min_support=settings.min_support, min_confidence=settings.min_confidence
+        )
+    if name == "user_behavior_summary":
+        return partial(fn, exact_quantile=settings.exact_quantiles)
+    return fn
+
+
 def run_all(
     spark: SparkSession,
     cleaned: DataFrame,
     results_root: str,
     *,
-    fmt: str = "csv",
+    fmt: str | None = None,
     names: Sequence[str] | None = None,
-    rollup: bool = True,
-    concurrent_jobs: int = 4,
+    rollup: bool | None = None,
+    concurrent_jobs: int | None = None,
+    settings: Settings | None = None,
 ) -> DataFrame:
     """Compute and write each result once; return the manifest.
 
@@ -88,7 +102,10 @@ def run_all(
     single small result would leave idle. ``concurrent_jobs=1`` runs them in
     the fixed order.
     """
-    fmt = _check_format(fmt)
+    settings = settings or Settings.from_conf(spark)
+    fmt = _check_format(fmt or settings.result_format)
+    rollup = settings.rollup if rollup is None else rollup
+    concurrent_jobs = concurrent_jobs or settings.concurrent_jobs
     wanted = set(names or RESULT_NAMES)
     root = results_root.rstrip("/")
     invoice_grain = cleaned
@@ -99,7 +116,7 @@ def run_all(
         source = cleaned if name in LINE_GRAIN else invoice_grain
         write_result(fn(source), f"{root}/{name}", fmt=fmt)
 
-    todo = [(name, fn) for name, fn in ANALYSES if name in wanted]
+    todo = [(name, configured(name, fn, settings)) for name, fn in ANALYSES if name in wanted]
     if concurrent_jobs <= 1:
         for name, fn in todo:
             write_one(name, fn)
@@ -159,14 +176,19 @@ def run_pipeline(
     paths: Paths,
     *,
     raw_fmt: str = "csv",
-    result_fmt: str = "csv",
+    result_fmt: str | None = None,
     partitions: int | None = None,
+    settings: Settings | None = None,
 ) -> DataFrame:
     """Raw zone -> clean -> cleaned Parquet -> twelve results -> manifest.
 
     The cleaned table is written once and re-read, which cuts the lineage
-    between the cleaning shuffle and the analyses.
+    between the cleaning shuffle and the analyses. Unset arguments come from
+    ``settings`` (default: ``spark.tillroll.*`` session configuration).
     """
+    settings = settings or Settings.from_conf(spark)
     raw = read_raw(spark, paths.raw, raw_fmt)
-    write_parquet(clean(raw, partitions), paths.cleaned)
-    return run_all(spark, spark.read.parquet(paths.cleaned), paths.results, fmt=result_fmt)
+    write_parquet(clean(raw, partitions or settings.repartition or None), paths.cleaned)
+    return run_all(
+        spark, spark.read.parquet(paths.cleaned), paths.results, fmt=result_fmt, settings=settings
+    )
