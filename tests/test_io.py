@@ -153,3 +153,17 @@ def test_run_all_honours_settings(spark, clean_small, tmp_path):
     rules = spark.read.parquet(f"{root}/association_rules")
     assert rules.filter((F.col("support") < 0.02) | (F.col("confidence") < 0.3)).count() == 0
     assert spark.read.parquet(f"{root}/user_behavior_summary").count() == 7
+
+
+def test_run_all_exports_bounded_results_once(spark, clean_small, tmp_path):
+    from tillroll.plans.registry import BOUNDED_RESULTS
+
+    root, export = str(tmp_path / "res"), str(tmp_path / "export")
+    run_all(spark, clean_small, root, export_root=export)
+    exported = sorted(os.listdir(export))
+    assert exported == sorted(BOUNDED_RESULTS)
+    for name in exported:
+        parts = [f for f in os.listdir(os.path.join(export, name)) if f.startswith("part-")]
+        assert len(parts) == 1
+    daily = spark.read.option("header", "true").csv(os.path.join(export, "daily_sales"))
+    assert daily.count() == 987

@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--raw-format", default="csv")
     run.add_argument("--result-format", default=None, help="csv | parquet (default: settings)")
     run.add_argument("--partitions", type=int, default=None)
+    run.add_argument("--export", default=None, help="folder for single-file CSVs of bounded results")
     perf = sub.add_parser("perf", help="timing grid of the simplified pipeline")
     perf.add_argument("--raw", required=True)
     perf.add_argument("--raw-format", default="csv")
@@ -69,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
             paths = Paths(args.raw, args.cleaned, args.results)
             manifest = run_pipeline(
                 spark, paths, raw_fmt=args.raw_format, result_fmt=args.result_format,
-                partitions=args.partitions,
+                partitions=args.partitions, export_root=args.export,
             )
             rows = manifest.collect()  # one row per result table (12)
             for r in rows:

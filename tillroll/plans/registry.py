@@ -31,7 +31,7 @@ from tillroll.operators.sales import (
 )
 from tillroll.session import materialize
 from tillroll.sources.readers import _check_format, read_raw, read_table
-from tillroll.sources.sinks import write_parquet, write_result
+from tillroll.sources.sinks import export_single_csv, write_parquet, write_result
 
 Analysis = Callable[[DataFrame], DataFrame]
 
@@ -54,6 +54,14 @@ RESULT_NAMES: tuple[str, ...] = tuple(n for n, _ in ANALYSES)
 # Results that need individual lines (item codes, descriptions, baskets);
 # every other result is computed equally from the invoice rollup.
 LINE_GRAIN: frozenset[str] = frozenset({"top20_products", "association_rules"})
+# Results whose size does not grow with the number of customers, lines or
+# rules (calendar days and months, countries, hours, top 20, seven metrics):
+# only these may be exported as one file.
+BOUNDED_RESULTS: frozenset[str] = frozenset(RESULT_NAMES) - {
+    "customer_frequency",
+    "rfm_segments",
+    "association_rules",
+}
 
 
 @dataclass(frozen=True)
@@ -89,9 +97,15 @@ def run_all(
     rollup: bool | None = None,
     concurrent_jobs: int | None = None,
     settings: Settings | None = None,
+    export_root: str | None = None,
+    export_max_rows: int = 1_000_000,
 ) -> DataFrame:
     """Compute and write each result once; return the manifest.
 
+    With ``export_root``, each bounded result (``BOUNDED_RESULTS``) is also
+    exported as a single CSV file, read back from the written result so that
+    the analysis itself runs once (S11).
+
     ``cleaned`` should be a scan of the cleaned zone. With ``rollup`` the
     lines are aggregated once to invoice grain, written below the checkpoint
     folder, and the ten invoice-grain results read that instead of scanning
@@ -113,8 +127,17 @@ def run_all(
         invoice_grain = materialize(invoice_rollup(cleaned), "invoice-rollup")
 
     def write_one(name: str, fn: Analysis) -> None:
-        source = cleaned if name in LINE_GRAIN else invoice_grain
-        write_result(fn(source), f"{root}/{name}", fmt=fmt)
+        result = fn(cleaned if name in LINE_GRAIN else invoice_grain)
+        path = f"{root}/{name}"
+        write_result(result, path, fmt=fmt)
+        if export_root and name in BOUNDED_RESULTS:
+            if fmt == "parquet":
+                written = spark.read.parquet(path)
+            else:  # typed read-back keeps the numbers exactly as written
+                written = spark.read.option("header", "true").schema(result.schema).csv(path)
+            export_single_csv(
+                written, f"{export_root.rstrip('/')}/{name}", max_rows=export_max_rows
+            )
 
     todo = [(name, configured(name, fn, settings)) for name, fn in ANALYSES if name in wanted]
     if concurrent_jobs <= 1:
@@ -179,6 +202,7 @@ def run_pipeline(
     result_fmt: str | None = None,
     partitions: int | None = None,
     settings: Settings | None = None,
+    export_root: str | None = None,
 ) -> DataFrame:
     """Raw zone -> clean -> cleaned Parquet -> twelve results -> manifest.
 
@@ -190,5 +214,10 @@ def run_pipeline(
     raw = read_raw(spark, paths.raw, raw_fmt)
     write_parquet(clean(raw, partitions or settings.repartition or None), paths.cleaned)
     return run_all(
-        spark, spark.read.parquet(paths.cleaned), paths.results, fmt=result_fmt, settings=settings
+        spark,
+        spark.read.parquet(paths.cleaned),
+        paths.results,
+        fmt=result_fmt,
+        settings=settings,
+        export_root=export_root,
     )
