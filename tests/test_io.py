@@ -167,3 +167,19 @@ def test_run_all_exports_bounded_results_once(spark, clean_small, tmp_path):
         assert len(parts) == 1
     daily = spark.read.option("header", "true").csv(os.path.join(export, "daily_sales"))
     assert daily.count() == 987
+
+
+def test_run_all_removes_its_intermediate_tables(spark, clean_small, tmp_path):
+    from tillroll.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tillroll-scratch"
+
+    def intermediates():
+        if not os.path.isdir(base):
+            return set()
+        return {d for d in os.listdir(base) if d.startswith(("invoice-rollup-", "ranked-"))}
+
+    before = intermediates()
+    manifest = run_all(spark, clean_small, str(tmp_path / "res"), fmt="parquet").collect()
+    assert all(r.ok for r in manifest)
+    assert intermediates() == before

@@ -29,7 +29,7 @@ from tillroll.operators.sales import (
     product_seasonality,
     top_products,
 )
-from tillroll.session import materialize
+from tillroll.session import materialize, scratch_scope
 from tillroll.sources.readers import _check_format, read_raw, read_table
 from tillroll.sources.sinks import export_single_csv, write_parquet, write_result
 
@@ -122,8 +122,18 @@ def run_all(
     concurrent_jobs = concurrent_jobs or settings.concurrent_jobs
     wanted = set(names or RESULT_NAMES)
     root = results_root.rstrip("/")
+    todo = [(name, configured(name, fn, settings)) for name, fn in ANALYSES if name in wanted]
+    # Intermediate tables (rollup, rankings) are removed once all results are written.
+    with scratch_scope(spark):
+        _write_results(spark, cleaned, root, todo, fmt, rollup, concurrent_jobs,
+                       export_root, export_max_rows)
+    return verify_outputs(spark, root, [n for n, _ in todo], fmt=fmt)
+
+
+def _write_results(spark, cleaned, root, todo, fmt, rollup, concurrent_jobs,
+                   export_root, export_max_rows) -> None:
     invoice_grain = cleaned
-    if rollup and wanted - LINE_GRAIN:
+    if rollup and {n for n, _ in todo} - LINE_GRAIN:
         invoice_grain = materialize(invoice_rollup(cleaned), "invoice-rollup")
 
     def write_one(name: str, fn: Analysis) -> None:
@@ -139,7 +149,6 @@ def run_all(
                 written, f"{export_root.rstrip('/')}/{name}", max_rows=export_max_rows
             )
 
-    todo = [(name, configured(name, fn, settings)) for name, fn in ANALYSES if name in wanted]
     if concurrent_jobs <= 1:
         for name, fn in todo:
             write_one(name, fn)
@@ -147,7 +156,6 @@ def run_all(
         with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
             for done in [pool.submit(write_one, name, fn) for name, fn in todo]:
                 done.result()  # re-raises the first failure
-    return verify_outputs(spark, root, [n for n, _ in todo], fmt=fmt)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -9,7 +9,9 @@ is only chosen when the setting is absent, which is the case in unit tests.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,11 +65,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tillroll-scratch/{name}-{uuid.uuid4().hex}"
 
 
+# Open scratch scopes; materialized tables are registered with the innermost.
+_scopes: list[list[str]] = []
+_scopes_lock = threading.Lock()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint location and
     read it back: cuts the lineage, survives executor loss, and unlike an
     eager ``checkpoint()`` does not compute the plan a second time to save it.
+    Inside ``scratch_scope`` the table is removed when the scope closes.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    with _scopes_lock:
+        if _scopes:
+            _scopes[-1].append(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables materialized inside the block when it ends.
+
+    Only for callers that have finished reading them (e.g. after all results
+    are written); DataFrames returned from inside the block must not be used
+    afterwards.
+    """
+    paths: list[str] = []
+    with _scopes_lock:
+        _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        with _scopes_lock:
+            _scopes.remove(paths)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
