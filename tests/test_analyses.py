@@ -254,3 +254,14 @@ def test_single_customer(spark):
     assert m["customer_cnt"] == 1.0 and m["repurchase_rate"] == 1.0
     assert m["order_value_p25"] == 10.0 and m["order_value_p75"] == 10.0
     assert m["avg_repurchase_gap_days"] == 10.0
+
+
+def test_frequent_itemsets_and_basket_table(spark, sf_small, clean_small):
+    lines = brand_order_lines(spark, sf_small)
+    sets = bk.frequent_itemsets(lines, 0.01, item_col="p_brand")
+    singles = sets.filter("size = 1").count()
+    assert singles > 0 and sets.filter("size = 2").count() > 0
+    table = bk.basket_table(clean_small)
+    assert table.filter("n_items < 2").count() == 0
+    row = table.first()
+    assert row.items_str.split(",") == sorted(row.items_str.split(","))

@@ -183,3 +183,13 @@ def test_run_all_removes_its_intermediate_tables(spark, clean_small, tmp_path):
     manifest = run_all(spark, clean_small, str(tmp_path / "res"), fmt="parquet").collect()
     assert all(r.ok for r in manifest)
     assert intermediates() == before
+
+
+def test_result_append_mode_and_parquet_table(spark, tmp_path):
+    out = str(tmp_path / "r")
+    df = spark.createDataFrame([("a", 1)], "k string, n int")
+    sk.write_result(df, out, fmt="parquet")
+    sk.write_result(df, out, mode="append", fmt="parquet")
+    assert rd.read_table(spark, out, "parquet").count() == 2
+    sk.write_result(df, out, mode="overwrite", fmt="parquet")
+    assert rd.read_table(spark, out, "parquet").count() == 1
