@@ -13,9 +13,10 @@ from __future__ import annotations
 # Raw fixture: same derivation as tillroll.sources.fixtures.raw_retail_lines.
 RAW_CTE = """
 lines AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag, l_discount FROM lineitem
-  UNION ALL
-  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag, l_discount FROM lineitem WHERE l_orderkey % 50 = 0
+  -- every line once; the lines of every 50th order twice (planted exact duplicates)
+  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag, l_discount,
+         unnest(CASE WHEN l_orderkey % 50 = 0 THEN [1, 2] ELSE [1] END) AS copy_no
+  FROM lineitem
 ),
 raw_retail AS (
 SELECT
