@@ -265,6 +265,11 @@ rules AS (
 
 RULES_SELECT = "SELECT * FROM rules ORDER BY lift DESC, antecedent_str, consequent_str"
 
+ITEMSETS_SELECT = """
+SELECT item AS items_str, CAST(1 AS INTEGER) AS size, CAST(c AS BIGINT) AS freq FROM f1
+UNION ALL SELECT a || ',' || b, CAST(2 AS INTEGER), CAST(c AS BIGINT) FROM f2
+UNION ALL SELECT a || ',' || b || ',' || c3, CAST(3 AS INTEGER), CAST(c AS BIGINT) FROM f3"""
+
 BRAND_LINES_CTE = """
 brand_lines AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS InvoiceNo, p_brand, p_type
@@ -382,6 +387,15 @@ def oracle_queries() -> dict[str, str]:
         + "\n"
         + RULES_SELECT
     )
+    q["frequent_itemsets_brand"] = (
+        _with(
+            BRAND_LINES_CTE,
+            _baskets_cte("brand_lines", "InvoiceNo", "p_brand"),
+            _rules_cte(0.01, 0.1),
+        )
+        + "\n"
+        + ITEMSETS_SELECT
+    )
     q["run_all"] = _on_clean(
         _manifest(set(RESULT_SQL)),
         _baskets_cte("clean", "InvoiceNo", "StockCode"),

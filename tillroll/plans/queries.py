@@ -193,6 +193,12 @@ def association_rules_brand(spark, sf):
     )
 
 
+def frequent_itemsets_brand(spark, sf):
+    return bk.frequent_itemsets(
+        brand_order_lines(spark, sf), 0.01, basket_col="InvoiceNo", item_col="p_brand"
+    )
+
+
 def association_rules_type(spark, sf):
     return bk.association_rules(
         brand_order_lines(spark, sf), 0.01, 0.2, basket_col="InvoiceNo", item_col="p_type"
@@ -243,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "baskets": _on_clean(bk.basket_table),
     "association_rules": _on_clean(bk.association_rules),
     "association_rules_brand": association_rules_brand,
+    "frequent_itemsets_brand": frequent_itemsets_brand,
     "association_rules_type": association_rules_type,
     "repurchase_summary": _on_clean(cu.repurchase_summary),
     "order_value_quantiles": _on_clean(cu.order_value_quantiles),
