@@ -88,10 +88,15 @@ def test_raw_csv_roundtrip_keeps_blanks(spark, raw_small, tmp_path):
 def test_export_single_csv_bound(spark, clean_small, tmp_path):
     from tillroll.operators.sales import country_sales
 
-    out = str(tmp_path / "one")
+    out = str(tmp_path / "country_sales.csv")
     assert sk.export_single_csv(country_sales(clean_small), out, max_rows=100) == 25
-    parts = [f for f in os.listdir(out) if f.startswith("part-")]
-    assert len(parts) == 1
+    assert os.path.isfile(out)
+    visible = sorted(f for f in os.listdir(tmp_path) if not f.startswith("."))  # local .crc files
+    assert visible == ["country_sales.csv"]  # staging folder removed
+    with open(out, encoding="utf-8") as f:
+        lines = f.read().splitlines()
+    assert lines[0] == "Country,OrderCount,SalesAmount,CustomerCount" and len(lines) == 26
+    assert sk.export_single_csv(country_sales(clean_small), out, max_rows=100) == 25  # overwrite
     with pytest.raises(sk.ExportTooLargeError):
         sk.export_single_csv(clean_small, str(tmp_path / "big"), max_rows=100)
 
@@ -160,12 +165,10 @@ def test_run_all_exports_bounded_results_once(spark, clean_small, tmp_path):
 
     root, export = str(tmp_path / "res"), str(tmp_path / "export")
     run_all(spark, clean_small, root, export_root=export)
-    exported = sorted(os.listdir(export))
-    assert exported == sorted(BOUNDED_RESULTS)
-    for name in exported:
-        parts = [f for f in os.listdir(os.path.join(export, name)) if f.startswith("part-")]
-        assert len(parts) == 1
-    daily = spark.read.option("header", "true").csv(os.path.join(export, "daily_sales"))
+    exported = sorted(f for f in os.listdir(export) if not f.startswith("."))
+    assert exported == sorted(f"{n}.csv" for n in BOUNDED_RESULTS)
+    assert all(os.path.isfile(os.path.join(export, f)) for f in exported)
+    daily = spark.read.option("header", "true").csv(os.path.join(export, "daily_sales.csv"))
     assert daily.count() == 987
 
 

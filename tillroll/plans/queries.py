@@ -93,7 +93,7 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def export_single_csv(spark: SparkSession, sf: str) -> DataFrame:
     multi = scratch_path(spark, "country-result")
-    single = scratch_path(spark, "country-export")
+    single = scratch_path(spark, "country-export") + ".csv"
     result = sa.country_sales(_clean(spark, sf))
     sk.write_result(result, multi, fmt="parquet")
     # The export reads the written result back, so the analysis runs once.

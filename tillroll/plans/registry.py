@@ -146,7 +146,7 @@ def _write_results(spark, cleaned, root, todo, fmt, rollup, concurrent_jobs,
             else:  # typed read-back keeps the numbers exactly as written
                 written = spark.read.option("header", "true").schema(result.schema).csv(path)
             export_single_csv(
-                written, f"{export_root.rstrip('/')}/{name}", max_rows=export_max_rows
+                written, f"{export_root.rstrip('/')}/{name}.csv", max_rows=export_max_rows
             )
 
     if concurrent_jobs <= 1:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.sources.readers import RAW_CSV_OPTIONS, _check_format, read_raw
@@ -64,16 +66,32 @@ def write_result(
 
 
 def export_single_csv(df: DataFrame, path: str, *, max_rows: int = 1_000_000) -> int:
-    """One CSV file for a result whose size is bounded.
+    """One CSV file (UTF-8, header) at ``path`` for a bounded result.
 
     The bound is checked before the data is funnelled into one task: at most
     ``max_rows + 1`` rows are counted, and a larger result raises instead of
-    overloading a single writer. Returns the row count.
+    overloading a single writer. The one part file Spark writes is then
+    renamed to ``path`` and its temporary folder removed. Returns the row count.
     """
     n = df.limit(max_rows + 1).count()
     if n > max_rows:
         raise ExportTooLargeError(f"result has more than {max_rows} rows; write it multi-part")
+    staging = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex}"
     df.coalesce(1).write.mode("overwrite").options(**_CSV_WRITE_OPTIONS).option(
         "encoding", "UTF-8"
-    ).csv(path)
+    ).csv(staging)
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_dir = jvm.org.apache.hadoop.fs.Path(staging)
+    fs = src_dir.getFileSystem(conf)
+    parts = [s.getPath() for s in fs.listStatus(src_dir) if s.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise RuntimeError(f"expected one part file in {staging}, found {len(parts)}")
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(parts[0], target):
+        raise RuntimeError(f"could not move the export to {path}")
+    fs.delete(src_dir, True)
     return n
