@@ -196,3 +196,14 @@ def test_result_append_mode_and_parquet_table(spark, tmp_path):
     assert rd.read_table(spark, out, "parquet").count() == 2
     sk.write_result(df, out, mode="overwrite", fmt="parquet")
     assert rd.read_table(spark, out, "parquet").count() == 1
+
+
+def test_run_pipeline_ingests_source_and_writes_waterfall(spark, raw_small, tmp_path):
+    src = str(tmp_path / "landing")
+    sk.write_raw_csv(raw_small, src)
+    paths = Paths(raw=str(tmp_path / "raw"), cleaned=str(tmp_path / "clean"), results=str(tmp_path / "res"))
+    manifest = run_pipeline(spark, paths, result_fmt="parquet", source=src, waterfall=True).collect()
+    assert all(r.ok for r in manifest)
+    assert rd.read_raw(spark, paths.raw).count() == 6116
+    wf = spark.read.parquet(paths.result("quality_waterfall")).orderBy("step").collect()
+    assert [r.rows for r in wf] == [6116, 5680, 5467, 5385, 5063, 4923, 4923]

@@ -1,6 +1,7 @@
 """Command line: the full batch pipeline, or the benchmark grid.
 
     python -m tillroll run --raw RAW --cleaned CLEANED --results RESULTS \
+        [--source CSV] [--waterfall] [--export FOLDER] \
         [--raw-format csv|parquet] [--result-format csv|parquet] [--partitions N]
     python -m tillroll perf --raw RAW [--fractions 0.25,0.5,0.75,1] [--shuffle 2,4,8,16] --out OUT
     python -m tillroll waterfall --raw RAW --out OUT
@@ -47,6 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--result-format", default=None, help="csv | parquet (default: settings)")
     run.add_argument("--partitions", type=int, default=None)
     run.add_argument("--export", default=None, help="folder for single-file CSVs of bounded results")
+    run.add_argument("--source", default=None, help="raw CSV to land in the raw zone first")
+    run.add_argument("--waterfall", action="store_true", help="also write the cleaning waterfall")
     perf = sub.add_parser("perf", help="timing grid of the simplified pipeline")
     perf.add_argument("--raw", required=True)
     perf.add_argument("--raw-format", default="csv")
@@ -71,6 +74,7 @@ def main(argv: list[str] | None = None) -> int:
             manifest = run_pipeline(
                 spark, paths, raw_fmt=args.raw_format, result_fmt=args.result_format,
                 partitions=args.partitions, export_root=args.export,
+                source=args.source, waterfall=args.waterfall,
             )
             rows = manifest.collect()  # one row per result table (12)
             for r in rows:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillroll.config import Settings
 from tillroll.operators.baskets import association_rules
-from tillroll.operators.clean import clean
+from tillroll.operators.clean import clean, quality_waterfall
 from tillroll.operators.customers import (
     customer_frequency,
     first_purchase_distribution,
@@ -30,8 +30,8 @@ from tillroll.operators.sales import (
 )
 from tillroll.operators.rollup import invoice_rollup
 from tillroll.session import materialize, scratch_scope
-from tillroll.sources.readers import _check_format, read_raw, read_table
-from tillroll.sources.sinks import export_single_csv, write_parquet, write_result
+from tillroll.sources.readers import _check_format, load_retail, read_table
+from tillroll.sources.sinks import export_single_csv, ingest_raw, write_parquet, write_result
 
 Analysis = Callable[[DataFrame], DataFrame]
 
@@ -211,15 +211,29 @@ def run_pipeline(
     partitions: int | None = None,
     settings: Settings | None = None,
     export_root: str | None = None,
+    source: str | None = None,
+    waterfall: bool = False,
 ) -> DataFrame:
-    """Raw zone -> clean -> cleaned Parquet -> twelve results -> manifest.
+    """[source ->] raw zone -> clean -> cleaned Parquet -> twelve results -> manifest.
 
+    ``source`` is first landed in the raw zone (``settings.ingest_mode``:
+    overwrite, or skip if present). The raw zone is loaded with the column
+    check (``load_retail``). With ``waterfall`` the rows left after each
+    cleaning rule are written as ``quality_waterfall`` next to the results.
     The cleaned table is written once and re-read, which cuts the lineage
     between the cleaning shuffle and the analyses. Unset arguments come from
     ``settings`` (default: ``spark.tillroll.*`` session configuration).
     """
     settings = settings or Settings.from_conf(spark)
-    raw = read_raw(spark, paths.raw, raw_fmt)
+    if source:
+        ingest_raw(spark, source, paths.raw, mode=settings.ingest_mode)
+    raw = load_retail(spark, paths.raw, raw_fmt)
+    if waterfall:
+        write_result(
+            quality_waterfall(raw),
+            paths.result("quality_waterfall"),
+            fmt=result_fmt or settings.result_format,
+        )
     write_parquet(clean(raw, partitions or settings.repartition or None), paths.cleaned)
     return run_all(
         spark,
