@@ -263,6 +263,38 @@ rules AS (
   FROM r WHERE conf >= CAST({min_conf} AS DOUBLE))"""
 
 
+def _rules_by_masks_cte(min_support: float, min_conf: float) -> str:
+    """CTE ``rules`` over baskets ``bb`` by full subset enumeration.
+
+    Each basket becomes a bit mask over the distinct items and every
+    non-empty item subset (2^k - 1 masks) is counted, so itemsets of any size
+    are covered. Only for item sets of a handful of values (p_type has 6).
+    """
+    return f"""
+items AS (SELECT item, CAST(row_number() OVER (ORDER BY item) - 1 AS INTEGER) AS bit
+          FROM (SELECT DISTINCT item FROM bb) t),
+masks AS (SELECT basket, bit_or(CAST(1 AS BIGINT) << bit) AS m FROM bb JOIN items USING (item) GROUP BY basket),
+nb AS (SELECT COUNT(*) AS n FROM masks),
+subsets AS (SELECT unnest(range(1, CAST((SELECT CAST(1 AS BIGINT) << COUNT(*) FROM items) AS BIGINT))) AS s),
+freq AS (SELECT s, COUNT(*) AS c FROM masks JOIN subsets ON (masks.m & subsets.s) = subsets.s
+         GROUP BY s HAVING COUNT(*) >= ceil(CAST({min_support} AS DOUBLE) * (SELECT n FROM nb))),
+names AS (SELECT s, string_agg(item, ',' ORDER BY item) AS s_str
+          FROM freq JOIN items ON (freq.s >> items.bit) & 1 = 1 GROUP BY s),
+cand AS (SELECT f.s AS full_m, f.s & ~(CAST(1 AS BIGINT) << i.bit) AS ant_m, i.item AS con,
+                CAST(1 AS BIGINT) << i.bit AS con_m, f.c AS cu
+         FROM freq f JOIN items i ON (f.s >> i.bit) & 1 = 1 WHERE bit_count(f.s) >= 2),
+r AS (SELECT na.s_str AS ant, cand.con, cand.cu,
+             CAST(cand.cu AS DOUBLE) / CAST(fa.c AS DOUBLE) AS conf, fc.c AS cc, (SELECT n FROM nb) AS n
+      FROM cand JOIN freq fa ON fa.s = cand.ant_m JOIN freq fc ON fc.s = cand.con_m
+                JOIN names na ON na.s = cand.ant_m),
+rules AS (
+  SELECT ant AS antecedent_str, con AS consequent_str,
+         CAST(cu AS DOUBLE) / CAST(n AS DOUBLE) AS support,
+         conf AS confidence,
+         conf / (CAST(cc AS DOUBLE) / CAST(n AS DOUBLE)) AS lift
+  FROM r WHERE conf >= CAST({min_conf} AS DOUBLE))"""
+
+
 RULES_SELECT = "SELECT * FROM rules ORDER BY lift DESC, antecedent_str, consequent_str"
 
 ITEMSETS_SELECT = """
@@ -387,6 +419,15 @@ def oracle_queries() -> dict[str, str]:
         + "\n"
         + RULES_SELECT
     )
+    q["association_rules_type"] = (
+        _with(
+            BRAND_LINES_CTE,
+            _baskets_cte("brand_lines", "InvoiceNo", "p_type"),
+            _rules_by_masks_cte(0.01, 0.2),
+        )
+        + "\n"
+        + RULES_SELECT
+    )
     q["frequent_itemsets_brand"] = (
         _with(
             BRAND_LINES_CTE,
