@@ -98,3 +98,12 @@ def test_ntile_property(spark, values, parts, buckets):
     want = df.select("id", F.ntile(buckets).over(Window.orderBy(*order)).alias("w"))
     assert got.join(want, "id").filter(F.col("q") != F.col("w")).count() == 0
     assert got.count() == len(values)
+
+
+def test_positions_with_adaptive_range_partitions(spark):
+    df = _skewed(spark, 5000, seed=11)
+    order = [F.col("k").asc(), F.col("id").asc()]
+    got = global_positions(df, order).select("id", POS)
+    want = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn"))
+    assert got.join(want, "id").filter(F.col(POS) != F.col("rn")).count() == 0
+    assert got.count() == 5000

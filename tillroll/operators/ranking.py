@@ -35,14 +35,16 @@ def global_positions(
 ) -> DataFrame:
     """Add ``_pos`` (1-based rank under ``order``) and ``_n`` (row count).
 
-    ``order`` must be a total order (end it with a unique key). ``partitions``
-    defaults to ``spark.sql.shuffle.partitions``.
+    ``order`` must be a total order (end it with a unique key). Without
+    ``partitions`` the range exchange is left to adaptive execution, which
+    merges adjacent ranges into partitions of its advisory size; merged
+    ranges stay contiguous and are sorted afterwards, so positions are exact.
     """
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    )
     tagged = materialize(
-        df.repartitionByRange(n_parts, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_rid", F.monotonically_increasing_id()),
         "ranked",
