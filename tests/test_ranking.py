@@ -107,3 +107,17 @@ def test_positions_with_adaptive_range_partitions(spark):
     want = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn"))
     assert got.join(want, "id").filter(F.col(POS) != F.col("rn")).count() == 0
     assert got.count() == 5000
+
+
+def test_quantile_selection_matches_sort_with_ties_and_fallback(spark):
+    from tillroll.operators.ranking import exact_quantiles_by_sort
+
+    rnd = random.Random(5)
+    rows = [(i, 7.5 if i % 3 == 0 else round(rnd.uniform(0, 100), 2)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    want = {r.metric: r.value for r in exact_quantiles_by_sort(df, "v", probs, ["id"]).collect()}
+    # default selection path, a coarse sketch, and a forced fallback to the sort
+    for kwargs in ({}, {"accuracy": 50}, {"max_bracket_values": 1}):
+        got = {r.metric: r.value for r in exact_quantiles(df, "v", probs, ["id"], **kwargs).collect()}
+        assert got == want, kwargs

@@ -17,6 +17,7 @@ Positions feed ``ntile`` buckets and exact quantiles.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -94,6 +95,13 @@ def with_ntile(
     )
 
 
+def _interpolated(wide_cols: list[tuple[Column, Column, Column]], names: Sequence[str]):
+    return [
+        (lo + (hi - lo) * fr).cast("double").alias(name)
+        for (lo, hi, fr), name in zip(wide_cols, names)
+    ]
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -101,14 +109,102 @@ def exact_quantiles(
     tiebreak: Sequence[str],
     names: Sequence[str] | None = None,
     partitions: int | None = None,
+    *,
+    accuracy: int = 100_000,
+    max_bracket_values: int = 2_000_000,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles (``quantile_cont``) of ``value``.
 
-    Distributed: a range-partitioned rank, then one global aggregate with a
-    constant-size buffer. Returns long form ``(metric, value)`` in ``probs``
-    order; NULL values are ignored, an empty input gives NULL values.
+    Selection instead of a sort: a ``percentile_approx`` sketch brackets each
+    target rank with a value range, one counting pass verifies that the
+    brackets hold the target ranks, and the exact values are picked from a
+    histogram of the bracketed values only (about 8/accuracy of all rows).
+    Nothing larger than that histogram is ordered. If a bracket misses or its
+    histogram exceeds ``max_bracket_values``, the distributed sort
+    (``exact_quantiles_by_sort``) answers instead. Returns long form
+    ``(metric, value)`` in ``probs`` order; NULL values are ignored and an
+    empty input gives NULL values.
     """
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
+    spark = df.sparkSession
+    v = F.col(value)
+    base = materialize(df.select(value, *tiebreak).filter(v.isNotNull()), "quantile-input")
+    eps = 1.0 / accuracy
+    outer = []
+    for p in probs:
+        outer += [max(0.0, p - 3 * eps), min(1.0, p + 3 * eps)]
+    head = base.agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx(value, outer, accuracy).alias("q")
+    ).first()  # one count and 2 values per probability
+    n = head["n"]
+    if n == 0:
+        empty = spark.range(1).select(*[F.lit(None).cast("double").alias(c) for c in names])
+        return empty.unpivot([], names, "metric", "value")
+    targets, brackets = [], []
+    for k, p in enumerate(probs):
+        rn = float(n - 1) * float(p)
+        targets.append((math.floor(rn), math.ceil(rn)))
+        brackets.append((head["q"][2 * k], head["q"][2 * k + 1]))
+    # Exact counts below and up to each bracket (one pass, constant buffer).
+    bounds = base.agg(
+        *[F.count_if(v < F.lit(lo)).alias(f"below{k}") for k, (lo, _) in enumerate(brackets)],
+        *[F.count_if(v <= F.lit(hi)).alias(f"upto{k}") for k, (_, hi) in enumerate(brackets)],
+    ).first()
+    held = all(
+        bounds[f"below{k}"] <= t_lo and t_hi < bounds[f"upto{k}"]
+        for k, (t_lo, t_hi) in enumerate(targets)
+    )
+    in_brackets = sum(bounds[f"upto{k}"] - bounds[f"below{k}"] for k in range(len(probs)))
+    if not held or in_brackets > max_bracket_values:
+        return exact_quantiles_by_sort(base, value, probs, tiebreak, names, partitions)
+
+    # Histogram of each bracket (bounded by the check above), cumulative
+    # counts per bracket, and the first value whose count passes the target.
+    parts = []
+    for k, (lo, hi) in enumerate(brackets):
+        parts.append(
+            base.filter((v >= F.lit(lo)) & (v <= F.lit(hi)))
+            .groupBy(value)
+            .agg(F.count(F.lit(1)).alias("_cnt"))
+            .withColumn("_k", F.lit(k))
+        )
+    hist = parts[0]
+    for part in parts[1:]:
+        hist = hist.unionByName(part)
+    upto = Window.partitionBy("_k").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumn("_cum", F.sum("_cnt").over(upto))
+    picks = []
+    for k, (t_lo, t_hi) in enumerate(targets):
+        below = bounds[f"below{k}"]
+        in_k = F.col("_k") == k
+        rn = F.lit(float(n - 1)) * F.lit(float(probs[k]))
+        picks.append(
+            (
+                F.min(F.when(in_k & (F.col("_cum") > t_lo - below), v)),
+                F.min(F.when(in_k & (F.col("_cum") > t_hi - below), v)),
+                F.first(rn - F.floor(rn)),
+            )
+        )
+    flat = [c for triple in picks for c in triple]
+    row = hist.agg(*[c.alias(f"_c{i}") for i, c in enumerate(flat)])
+    cols = [
+        (F.col(f"_c{3 * k}"), F.col(f"_c{3 * k + 1}"), F.col(f"_c{3 * k + 2}"))
+        for k in range(len(probs))
+    ]
+    return row.select(*_interpolated(cols, names)).unpivot([], names, "metric", "value")
+
+
+def exact_quantiles_by_sort(
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    tiebreak: Sequence[str],
+    names: Sequence[str] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Exact quantiles from a distributed global rank (range sort of all rows),
+    then one global aggregate with a constant-size buffer."""
+    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     base = df.select(value, *tiebreak).filter(F.col(value).isNotNull())
     ranked = global_positions(
         base, [F.col(value).asc(), *[F.col(c).asc() for c in tiebreak]], partitions
