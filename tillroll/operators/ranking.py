@@ -12,7 +12,8 @@ Here the total order is cut into ranges instead:
    prefix-sum the counts, and broadcast that table back to turn each local
    index into a global 1-based position.
 
-Positions feed ``ntile`` buckets and exact quantiles.
+Positions feed ``ntile`` buckets. Exact quantiles need only a few ranks and
+select them from sketch-bracketed value ranges, with this rank as fallback.
 """
 
 from __future__ import annotations
