@@ -152,7 +152,8 @@ def test_run_all_honours_settings(spark, clean_small, tmp_path):
 
     root = str(tmp_path / "res")
     settings = Settings(min_support=0.02, min_confidence=0.3, result_format="parquet",
-                        concurrent_jobs=1, exact_quantiles=False, rollup=False)
+                        concurrent_jobs=1, exact_quantiles=False, rollup=False,
+                        fpgrowth_partitions=3)
     run_all(spark, clean_small, root, names=["association_rules", "user_behavior_summary"],
             settings=settings)
     rules = spark.read.parquet(f"{root}/association_rules")

@@ -22,6 +22,7 @@ log = logging.getLogger(__name__)
 class Settings:
     min_support: float = 0.01  # association rules: itemset support threshold
     min_confidence: float = 0.2  # association rules: rule confidence threshold
+    fpgrowth_partitions: int = 0  # FP-Growth item groups / partitions; 0 = input partitions
     repartition: int = 0  # C12 hash repartition by CustomerID; 0 = off
     result_format: str = "csv"  # csv | parquet
     ingest_mode: str = "overwrite"  # overwrite | skip

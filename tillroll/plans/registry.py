@@ -80,7 +80,10 @@ def configured(name: str, fn: Analysis, settings: Settings) -> Analysis:
     """Bind the run settings that an analysis takes."""
     if name == "association_rules":
         return partial(
-            fn, min_support=settings.min_support, min_confidence=settings.min_confidence
+            fn,
+            min_support=settings.min_support,
+            min_confidence=settings.min_confidence,
+            num_partitions=settings.fpgrowth_partitions or None,
         )
     if name == "user_behavior_summary":
         return partial(fn, exact_quantile=settings.exact_quantiles)
