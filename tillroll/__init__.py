@@ -7,6 +7,7 @@ frequency, RFM segments, first purchases, repurchase behaviour and
 association rules). Every step is a ``DataFrame -> DataFrame`` function.
 """
 
+from tillroll.config import Settings
 from tillroll.operators.clean import clean, quality_waterfall
 from tillroll.plans.registry import ANALYSES, Paths, run_all, run_pipeline, verify_outputs
 from tillroll.session import build_session
@@ -15,6 +16,7 @@ from tillroll.sources.readers import load_retail, read_raw
 __all__ = [
     "ANALYSES",
     "Paths",
+    "Settings",
     "build_session",
     "clean",
     "load_retail",
