@@ -18,4 +18,13 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_substrings(read_table(spark, sf, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup,)}
+def op10_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from tillroll.llm.minhash import near_duplicates
+
+    return near_duplicates(read_table(spark, sf, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op10_minhash_dedup)}
+
+#: DuckDB SQL for the same rows, where SQL can express them.
+ORACLES: dict[str, str] = {}
