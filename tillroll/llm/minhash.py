@@ -170,14 +170,14 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def cell_links(sets: list[np.ndarray], labels: list, percent: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Links that join the labels of a cell, and the hub (the member with most
-    links) and size of each part that they leave."""
+def cell_parts(sets: list[np.ndarray], labels: list[int], percent: int) -> tuple[list[int], np.ndarray]:
+    """For each member of a cell: the least label of the part that links and
+    labels join it to; the number of links it has in the cell."""
     c = common_counts(sets)
     n = np.diag(c)
     link = 100 * c >= percent * (n[:, None] + n[None, :] - c)
     link &= (n > 0)[:, None] & (n > 0)[None, :]
-    parent = list(range(len(sets)))
+    parent = {lab: lab for lab in labels}
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -185,34 +185,30 @@ def cell_links(sets: list[np.ndarray], labels: list, percent: int) -> tuple[list
             x = parent[x]
         return x
 
-    first: dict = {}
-    for i, lab in enumerate(labels):
-        parent[i] = first.setdefault(lab, i)
-    found = []
     for i, j in np.argwhere(np.triu(link, 1)).tolist():
-        a, b = find(i), find(j)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            found.append((i, j))
-    degree = link.sum(axis=1)
-    hub: dict[int, tuple[int, int]] = {}
-    for i in range(len(sets)):
-        r = find(i)
-        best, size = hub.get(r, (i, 0))
-        hub[r] = (i if degree[i] > degree[best] else best, size + 1)
-    return found, list(hub.values())
+        a, b = find(labels[i]), find(labels[j])
+        parent[max(a, b)] = min(a, b)
+    return [find(x) for x in labels], link.sum(axis=1)
 
 
-_LINKS = "grp long, a long, b long, part long"
+#: A label of a cell, the least label it is joined to, and the member with most
+#: links of the part that has the label as its least.
+_PARTS = "grp long, label long, root long, hub long, size long"
 
 
 def _cell(size: int, percent: int):
     def run(table: pa.Table) -> pa.Table:
         ids, labels = table.column("rep").to_pylist(), table.column("label").to_pylist()
-        found, hubs = cell_links(shingle_sets([t or b"" for t in table.column("_text").to_pylist()], size), labels, percent)
-        rows = [(ids[i], ids[j], 0) for i, j in found] + [(ids[i], ids[i], n) for i, n in hubs]
+        roots, degree = cell_parts(shingle_sets([t or b"" for t in table.column("_text").to_pylist()], size), labels, percent)
+        hub: dict[int, tuple] = {}
+        joined = dict(zip(labels, roots, strict=True))
+        count: dict[int, int] = {}
+        for i, r in enumerate(roots):
+            hub[r] = max(hub.get(r, (-1, 0)), (int(degree[i]), ids[i]))
+            count[r] = count.get(r, 0) + 1
         g = table.column("grp")[0].as_py()
-        return pa.table({"grp": pa.array([g] * len(rows), pa.int64()), **{k: pa.array([r[i] for r in rows], pa.int64()) for i, k in enumerate(("a", "b", "part"))}})
+        rows = [(g, lab, r, hub[r][1], count[r]) for lab, r in joined.items()]
+        return pa.table({k: pa.array([r[i] for r in rows], pa.int64()) for i, k in enumerate(("grp", "label", "root", "hub", "size"))})
 
     return run
 
@@ -245,22 +241,24 @@ def near_duplicates(
     classes = materialize(sketch.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
     keyed = classes.where("rep IS NOT NULL").select("rep", F.posexplode("bands").alias("band", "h"))
     star = keyed.groupBy("band", "h").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    near = connected_components(keyed.join(star, ["band", "h"]).where("rep <> lead"), "rep", "lead")
+    near = connected_components(keyed.hint("merge").join(star, ["band", "h"]).where("rep <> lead"), "rep", "lead")
     near = near.select(F.col("node").alias("rep"), F.col("root").alias("grp"))
     near = near.union(near.select(F.col("grp").alias("rep"), "grp").distinct())
     sizes = near.groupBy("grp").agg(F.ceil(F.count("*") / tile).alias("tiles"))
     near = near.join(sizes, "grp").withColumn("label", F.col("rep"))
-    members = near.join(texts.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("_text")), "rep")
+    # The texts are dealt out by id at every size, so that the plan is the same.
+    members = texts.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("_text")).hint("merge").join(near, "rep")
     members = materialize(members, "members")
     cell = _cell(size, percent)
 
     tiles = members.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
-    first = materialize(tiles.groupBy("grp", "tile").applyInArrow(cell, _LINKS), "links")
-    links = first.where("part = 0")
+    parts = materialize(tiles.groupBy("grp", "tile", "tiles").applyInArrow(cell, _PARTS), "parts")
+    joined = parts.select(F.col("label").alias("node"), "root")
     large = members.where("tiles > 1")
     if not large.isEmpty():
-        links = links.union(_across_tiles(large, first.join(sizes.where("tiles > 1"), "grp", "left_semi"), cell, tile))
-    joined = connected_components(links)
+        wide = large.select("grp").distinct()
+        across = _across_tiles(large, parts.join(wide, "grp", "left_semi"), cell, tile)
+        joined = parts.join(wide, "grp", "left_anti").select(F.col("label").alias("node"), "root").union(across)
     return (
         sketch.drop("bands")
         .join(classes.drop("bands"), key, "left")
@@ -274,16 +272,16 @@ def near_duplicates(
     )
 
 
-def _across_tiles(large: DataFrame, first: DataFrame, cell, tile: int) -> DataFrame:
-    """Links between the tiles of groups of more than one tile."""
-    inside = first.where("part = 0")
-    hubs = first.where("part > 1").select("grp", F.col("a").alias("rep"))
+def _across_tiles(large: DataFrame, parts: DataFrame, cell, tile: int) -> DataFrame:
+    """(node, root) of the classes in groups of more than one tile, from the
+    parts that each tile has by itself."""
+    hubs = parts.where("size > 1 AND label = root").select("grp", F.col("hub").alias("rep"), "label")
     split = hubs.groupBy("grp").agg(F.ceil(F.count("*") / tile).alias("n"))
-    hubs = hubs.join(split, "grp").select("rep", F.pmod(F.xxhash64("rep"), F.col("n")).alias("tile"))
-    linked = large.join(hubs, "rep").groupBy("grp", "tile").applyInArrow(cell, _LINKS)
-    links = materialize(inside.union(linked.where("part = 0")), "links")
+    hubs = hubs.join(split, "grp").select("rep", "label", F.pmod(F.xxhash64("rep"), F.col("n")).alias("tile"))
+    linked = large.drop("label").join(hubs, "rep").groupBy("grp", "tile").applyInArrow(cell, _PARTS)
+    links = materialize(parts.union(linked).select("label", "root").where("label <> root"), "links")
 
-    known = connected_components(links)
+    known = connected_components(links, "label", "root")
     part = large.select("grp", "rep").distinct().join(known, F.col("rep") == F.col("node"), "left")
     part = part.select("grp", "rep", F.coalesce("root", "rep").alias("label"))
     main = part.groupBy("grp", "label").count().groupBy("grp").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
@@ -291,11 +289,15 @@ def _across_tiles(large: DataFrame, first: DataFrame, cell, tile: int) -> DataFr
     count = part.groupBy("grp").agg(
         F.ceil(F.count_if("out") / tile).alias("outs"), F.ceil(F.count_if(~F.col("out")) / tile).alias("mains")
     )
-    part = part.join(count.where("outs > 0"), "grp").withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("mains"))))
-    other = "transform(sequence(0L, {0} - 1), x -> struct({1} AS kind, {2} AS i, {3} AS j))"
+    part = part.join(count, "grp").withColumn(
+        "own", F.when(F.col("out"), F.pmod(F.xxhash64("rep"), F.col("outs"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("mains")))
+    )
+    # Cells: tiles of stragglers among themselves (oo) and with tiles of the largest part (om).
+    other = "if({0} > 0, transform(sequence(0L, {0} - 1), x -> struct({1} AS kind, {2} AS i, {3} AS j)), array())"
     among = other.format("outs", "'oo'", "least(x, own)", "greatest(x, own)")
     across = other.format("mains", "'om'", "own", "x")
     back = other.format("outs", "'om'", "x", "own")
     dealt = part.select("grp", "rep", "label", F.explode(F.expr(f"if(out, concat({among}, {across}), {back})")).alias("c"))
-    cells = large.select("rep", "_text").join(dealt, "rep").groupBy("grp", "c").applyInArrow(cell, _LINKS)
-    return materialize(links.union(cells.where("part = 0")), "links")
+    found = large.select("rep", "_text").join(dealt, "rep").groupBy("grp", "c").applyInArrow(cell, _PARTS).where("label <> root")
+    merged = connected_components(found, "label", "root").select(F.col("node").alias("label"), F.col("root").alias("top"))
+    return part.join(merged, "label", "left").select(F.col("rep").alias("node"), F.coalesce("top", "label").alias("root"))

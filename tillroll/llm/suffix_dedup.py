@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import _ODD, MAX_ID, blocks_for, mix64, words64
 
 WINDOW = 50
-KGRAM = 16
+KGRAM = 10
 #: Windows in a phrase at most; with it the first and the last window of a
 #: phrase hold all of its bytes.
 RUN = WINDOW
@@ -86,7 +86,7 @@ def phrases(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: in
     if n <= 0:
         return none, none, none.astype(np.uint64), none.astype(np.uint64)
     x8 = words64(buffer)
-    h = rolled(x8)
+    h = rolled(x8)[: n + window - KGRAM]
     span, width = window - KGRAM + 1, 1
     while 2 * width <= span:
         h = np.minimum(h[:-width], h[width:])
@@ -154,11 +154,12 @@ def _ordered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
 def _dictionary(ids: np.ndarray, parsed: list[np.ndarray], buckets: int):
     """Distinct phrases of a block by bucket and hash: index of the first place
-    of each, its bucket, and for each place its phrase."""
+    of each, its bucket, and for each place its phrase. Within a bucket phrases
+    stand as in the texts, which makes them shorter once compressed."""
     doc, _, _, key, ident, _ = parsed
     _, at, back = np.unique(ident, return_index=True, return_inverse=True)
     bucket = (key[at] % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((at, bucket))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     return at[order], bucket[order], rank[back]
@@ -189,28 +190,27 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = B
         block = table.column("block")[0].as_py()
         parsed, buffer = block_phrases(ids, texts, window)
         at, bucket, _ = _dictionary(ids, parsed, buckets)
-        doc, _, count, key, _, place = parsed
+        doc, _, count, _, _, place = parsed
         cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(at))
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=6)
         out = []
         for a, z in zip(cuts[:-1], cuts[1:], strict=True):
             own = at[a:z]
-            data = b"".join((count[own].astype(np.uint8).tobytes(), (key[own] >> np.uint64(32)).astype(np.uint32).tobytes(), ids[doc[own]].tobytes(), gather(buffer, place[own], count[own] + window - 1).tobytes()))
+            data = b"".join((count[own].astype(np.uint8).tobytes(), np.diff(ids[doc[own]], prepend=0).tobytes(), gather(buffer, place[own], count[own] + window - 1).tobytes()))
             out.append((int(bucket[a]), block, z - a, press.compress(data)))
         return pa.table({k: pa.array([r[i] for r in out], t) for i, (k, t) in enumerate((("bucket", pa.int32()), ("block", pa.int32()), ("n", pa.int64()), ("data", pa.binary())))})
 
     def order(table: pa.Table) -> pa.Table:
         sizes = table.column("n").to_pylist()
-        counts, triggers, least, texts = [], [], [], []
+        counts, least, texts = [], [], []
         unpress = zstandard.ZstdDecompressor()
         for n, z in zip(sizes, table.column("data").to_pylist(), strict=True):
             data = unpress.decompress(z)
             counts.append(np.frombuffer(data, np.uint8, n))
-            triggers.append(np.frombuffer(data, np.uint32, n, n))
-            least.append(np.frombuffer(data, np.int64, n, 5 * n))
-            texts.append(np.frombuffer(data, np.uint8, offset=13 * n))
+            least.append(np.cumsum(np.frombuffer(data, np.int64, n, n)))
+            texts.append(np.frombuffer(data, np.uint8, offset=9 * n))
         count = np.concatenate(counts).astype(np.int64)
-        covered = verdicts(count, np.concatenate(least), np.concatenate(triggers), np.concatenate(texts), window)
+        covered = verdicts(count, np.concatenate(least), np.concatenate(texts), window)
         out, lo = [], 0
         press = zstandard.ZstdCompressor(level=1)
         for n, size in zip(sizes, np.add.reduceat(count, np.cumsum([0, *sizes[:-1]])), strict=True):
@@ -259,7 +259,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = B
     return rows.groupBy("block").cogroup(judged.groupBy("block")).applyInArrow(cut, RESULT)
 
 
-def verdicts(count: np.ndarray, least: np.ndarray, trigger: np.ndarray, buffer: np.ndarray, window: int) -> np.ndarray:
+def verdicts(count: np.ndarray, least: np.ndarray, buffer: np.ndarray, window: int) -> np.ndarray:
     """For each window of the phrases (``count`` windows each, bytes side by
     side in ``buffer``): whether a smaller document than the phrase's ``least``
     has it. Windows of one content stand together once their hashes are in
@@ -267,11 +267,13 @@ def verdicts(count: np.ndarray, least: np.ndarray, trigger: np.ndarray, buffer:
     length = count + window - 1
     start = np.cumsum(length) - length
     total = int(count.sum())
-    ident = np.empty(len(count), np.uint64)
+    ident, trigger = np.empty((2, len(count)), np.uint64)
     for a in range(0, len(count), SLICE):
         own = slice(a, a + SLICE)
         lo = start[a]
         x8 = words64(buffer[lo : lo + int(length[own].sum())])
+        bounds = np.stack((start[own], start[own] + length[own] - KGRAM + 1), axis=1).ravel() - lo
+        trigger[own] = np.minimum.reduceat(np.append(rolled(x8), np.uint64(0)), bounds)[::2]
         ident[own] = phrase_hash(x8, start[own] - lo, count[own], window)
     # Equal phrases first: all but those of the least document are covered whole.
     by = np.lexsort((least, ident))
