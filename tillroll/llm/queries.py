@@ -18,13 +18,29 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_substrings(read_table(spark, sf, "documents")).drop("kept")
 
 
+def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from tillroll.llm.sentencepiece_codec import encode_pieces
+
+    return encode_pieces(read_table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from tillroll.llm.token_files import token_files
+
+    return token_files(read_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from tillroll.llm.minhash import near_duplicates
 
     return near_duplicates(read_table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op10_minhash_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op5_sentencepiece, op9_token_files, op10_minhash_dedup)}
 
 #: DuckDB SQL for the same rows, where SQL can express them.
 ORACLES: dict[str, str] = {}
