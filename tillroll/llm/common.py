@@ -52,6 +52,36 @@ def words64(b: np.ndarray) -> np.ndarray:
     return x
 
 
+#: A value for each byte in hashes of words.
+BYTE_VALUES = np.random.default_rng(7).integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_powers: list[np.ndarray] = []
+
+
+def gap_table(gaps: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(gaps)] = True
+    return out
+
+
+def hashed_words(texts: list[bytes], gap: np.ndarray, values: np.ndarray):
+    """Words of texts: what stands between bytes of ``gap`` (a table that has
+    the space). Returns the joined text, first byte and end of each word, its
+    hash (of the ``values`` of its bytes), and the words of each text."""
+    buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    if not _powers or len(_powers[0]) <= len(buffer):
+        size = max(len(buffer) + 1, 1 << 20)
+        _powers[:] = [np.cumprod(np.full(size, b, np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    edge = np.diff(np.append(True, gap[buffer]).astype(np.int8))
+    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(buffer) + 1, np.uint64)
+        np.cumsum(values[buffer] * _powers[0][: len(buffer)], out=total[1:])
+        h = (total[end] - total[start]) * _powers[1][start] + (end - start).astype(np.uint64) * _ODD[60]
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return buffer, start, end, mix64(h), np.diff(np.searchsorted(start, np.append(0, ends)))
+
+
 def text_rows(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20) -> Iterator[tuple[list, list[bytes]]]:
     """Rows of (id, text) batches as lists of ids and of UTF-8 bytes, cut to
     about ``max_bytes`` of text each (one longer text stands alone).

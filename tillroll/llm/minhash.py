@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import _ODD, mix64, text_rows
+from tillroll.llm.common import _ODD, BYTE_VALUES, gap_table, hashed_words, mix64, text_rows
 from tillroll.llm.components import connected_components
 from tillroll.session import materialize
 
@@ -40,37 +40,16 @@ TILE = 384
 COLUMNS = 4096
 STEP = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15
-_BYTE = np.random.default_rng(7).integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE = BYTE_VALUES.copy()
 #: Upper case as lower case, so that they hash alike.
 _BYTE[65:91] = _BYTE[97:123]
-_GAP = np.zeros(256, bool)
-_GAP[[0x20, *range(0x09, 0x0E)]] = True
+_GAP = gap_table(b" \t\n\x0b\x0c\r")
 _HASHES = np.random.default_rng(11).integers(0, 2**63, size=(2, 1024), dtype=np.uint64)
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, 2 * STEP)
-        _powers[:] = [np.cumprod(np.full(size, b, np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
-    return _powers[0], _powers[1]
-
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of the texts, in order, and the words of each text."""
-    lengths = np.array([len(t) + 1 for t in texts])
-    buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    gap = _GAP[buffer]
-    edge = np.diff(np.append(True, gap).astype(np.int8))
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    power, inverse = _power_tables(len(buffer) + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum(_BYTE[buffer] * power[: len(buffer)], out=total[1:])
-        h = (total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * _ODD[60]
-    ends = np.cumsum(lengths)
-    return mix64(h), np.diff(np.searchsorted(start, np.append(0, ends)))
+    *_, h, words = hashed_words(texts, _GAP, _BYTE)
+    return h, words
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:

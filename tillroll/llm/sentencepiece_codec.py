@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import text_rows
+from tillroll.llm.common import BYTE_VALUES, gap_table, text_rows
 from tillroll.llm.units import UnitEncoder, encode_joined, threads
 
 MARK = "▁"
@@ -35,6 +35,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 _UNIT = re.compile(" +[^ ]*")
+_GAP = gap_table(b" ")
 
 
 @dataclass
@@ -150,15 +151,18 @@ class Codec:
         if marked or self.model.collapse_spaces or self.model.charsmap or not (self.model.dummy_prefix and self.model.escape_spaces):
             # Units don't stand for themselves: whole texts go to the library.
             raise ValueError("this model normalises across words; only models with identity normalisation and a dummy prefix are read unit by unit")
-        self.units = UnitEncoder(self._encode)
+        self.units = UnitEncoder(lambda new: self._encode([" " + u.decode() for u in new]))
         pieces = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces]
         self.pieces = np.array(pieces, object)
 
     def _encode(self, new: list[str]) -> list[bytes]:
-        new.sort(key=lambda u: not u.strip(" "))  # runs of spaces alone come last
-        n = next((k for k, u in enumerate(new) if not u.strip(" ")), len(new))
-        ours = encode_joined(self.tokenizer, new[:n], "")
-        ours += [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(new[n:], add_special_tokens=False)]
+        runs = [k for k, u in enumerate(new) if not u.strip(" ")]  # these would join the next unit
+        rest = [k for k, u in enumerate(new) if u.strip(" ")]
+        ours: list[bytes] = [b""] * len(new)
+        for k, x in zip(runs, self.tokenizer.encode_batch([new[k] for k in runs], add_special_tokens=False), strict=True):
+            ours[k] = np.array(x.ids, "<u4").tobytes()
+        for k, x in zip(rest, encode_joined(self.tokenizer, [new[k] for k in rest], ""), strict=True):
+            ours[k] = x
         # The library puts the dummy prefix, a space, before what it is given.
         theirs = [np.array(x, "<u4").tobytes() for x in self.reference.encode([u[1:] for u in new], num_threads=1)]
         self.compared += len(new)
@@ -168,25 +172,32 @@ class Codec:
                 ours[k] = b
         return ours
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as bytes of little-endian 32-bit integers."""
-        rows = []
-        for t in texts:
-            if not t:
-                rows.append([])
-            elif t[0] == " " or "  " in t:
-                rows.append(_UNIT.findall(" " + t))
-            else:
-                rows.append([" " + u for u in t.split(" ")])
-        return self.units.batch(rows)
-
-    def decode(self, ids: list[bytes]) -> list[str]:
-        """Texts of ids; the dummy prefix goes, and bytes that aren't UTF-8
-        become replacement characters."""
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the UTF-8 texts side by side, and the number of each text's."""
+        plain = [not (t[:1] == b" " or t[-1:] == b" " or b"  " in t) for t in texts]
+        ids, n = self.units.batch([t for t, p in zip(texts, plain, strict=True) if p], _GAP, BYTE_VALUES)
+        if all(plain):
+            return ids, n
+        # Runs of spaces are part of the unit that they begin.
+        parts = iter(np.split(ids, np.cumsum(n)[:-1]))
         out = []
-        for x in ids:
-            data = b"".join(self.pieces[np.frombuffer(x, "<u4")].tolist())
-            out.append(data[1 if data[:1] == b" " else 0 :].decode(errors="replace"))
+        for t, p in zip(texts, plain, strict=True):
+            if p:
+                out.append(next(parts))
+            else:
+                found = _UNIT.findall(" " + t.decode())
+                known = dict(zip(distinct := list(set(found)), self._encode(list(distinct)), strict=True))
+                out.append(np.frombuffer(b"".join(known[u] for u in found), "<u4"))
+        return np.concatenate(out), np.array([len(x) for x in out])
+
+    def decode(self, ids: np.ndarray, n: np.ndarray) -> list[bytes]:
+        """UTF-8 texts of ids side by side; the dummy prefix goes, and bytes
+        that aren't UTF-8 become replacement characters."""
+        out, cuts = [], np.cumsum(np.append(0, n)).tolist()
+        pieces = self.pieces[ids].tolist()
+        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+            data = b"".join(pieces[a:z]).removeprefix(b" ")
+            out.append(data.decode(errors="replace").encode())
         return out
 
 
@@ -214,15 +225,15 @@ def encode_pieces(docs: DataFrame, model_path: str, keep_ids: bool = True, paral
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path, parallel)
         for ids, data in text_rows(batches):
-            texts = [t.decode() for t in data]
-            coded = c.encode(texts)
-            same = [a == b for a, b in zip(c.decode(coded), texts, strict=True)]
-            n = [len(x) // 4 for x in coded]
-            columns = [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array([zlib.crc32(x) for x in coded], pa.int64()), pa.array(same)]
+            flat, n = c.encode(data)
+            same = [a == b for a, b in zip(c.decode(flat, n), data, strict=True)]
+            cuts = np.cumsum(np.append(0, n))
+            raw = memoryview(flat.astype("<u4").tobytes())
+            crc = [zlib.crc32(raw[4 * a : 4 * z]) for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            columns = [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same)]
             names = ["doc_id", "n_tokens", "ids_crc32", "round_trip"]
             if keep_ids:
-                flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(flat)))
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat.astype(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 

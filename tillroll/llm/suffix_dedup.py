@@ -178,9 +178,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = B
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
     kept_sha256 and ``kept``, the remaining bytes.
     """
-    buckets = blocks_for(docs, "text", block_bytes)
+    blocks = blocks_for(docs, "text", block_bytes)
+    buckets = blocks + blocks // 2
     rows = docs.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("block"),
+        F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").cast("binary").alias("_text"),
     )
@@ -264,9 +265,9 @@ def verdicts(count: np.ndarray, least: np.ndarray, buffer: np.ndarray, window: i
     side in ``buffer``): whether a smaller document than the phrase's ``least``
     has it. Windows of one content stand together once their hashes are in
     order; the least document of each run decides."""
+    least = np.unique(least, return_inverse=True)[1].astype(np.int32)
     length = count + window - 1
     start = np.cumsum(length) - length
-    total = int(count.sum())
     ident, trigger = np.empty((2, len(count)), np.uint64)
     for a in range(0, len(count), SLICE):
         own = slice(a, a + SLICE)
@@ -300,10 +301,19 @@ def verdicts(count: np.ndarray, least: np.ndarray, buffer: np.ndarray, window: i
         h[inner[a] : inner[a] + len(at)] = window_hashes(x8, at, window)
     if len(h):
         by = np.argsort(h)
-        at = (np.repeat(before[some] - inner, c) + np.arange(len(h)))[by]
+        at = np.repeat((before[some] - inner).astype(np.int32), c)
+        at += np.arange(len(h), dtype=np.int32)
+        at = at[by]
         h = h[by]
+        del by
         run = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         low = np.minimum.reduceat(lowest[at], run)
         lowest[at] = np.repeat(low, np.diff(np.append(run, len(h))))
-    idx = np.repeat(before[rank] - (np.cumsum(count) - count), count) + np.arange(total)
-    return lowest[idx] < np.repeat(least, count)
+    del h
+    out = []
+    for a in range(0, len(count), SLICE):
+        own = slice(a, a + SLICE)
+        c = count[own]
+        idx = np.repeat(before[rank[own]] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))
+        out.append(lowest[idx] < np.repeat(least[own], c))
+    return np.concatenate(out)

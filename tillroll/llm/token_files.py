@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import shuffle_partitions, text_rows
-from tillroll.llm.units import UnitEncoder, encode_joined, threads
+from tillroll.llm.common import BYTE_VALUES, gap_table, shuffle_partitions, text_rows
+from tillroll.llm.units import UnitEncoder, encode_joined, encode_letters, threads
 from tillroll.session import ensure_checkpoint_dir, materialize, scratch_path
 
 MAGIC = b"TID1"
@@ -85,19 +85,42 @@ def read_block(block: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 # ------------------------------------------------------------------ encoding
 
 _encoders: dict = {}
+_GAP = gap_table(b" \t\n\x0b\x0c\r")
+_LOWER = BYTE_VALUES.copy()
+_LOWER[65:91] = _LOWER[97:123]
+_STOPS = (".", ",")
 
 
-def _encoder(path: str, parallel: int) -> tuple[UnitEncoder, object]:
+def _body(unit: str) -> str | None:
+    """The unit without a comma or full stop that ends it, where that is a word
+    of its own: after a letter, which stays one in lower case."""
+    if unit.endswith(_STOPS) and unit[-2:-1].isalpha() and unit[-2].lower().isalpha():
+        return unit[:-1]
+    return None
+
+
+def _encoder(path: str, parallel: int) -> tuple[tuple[UnitEncoder, UnitEncoder], object]:
     if path not in _encoders:
         from tokenizers import Tokenizer
 
         threads(parallel)
         tokenizer = Tokenizer.from_file(path)
+        ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        stop = {s: np.array(tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes() for s in _STOPS}
 
         def encode(new: list[bytes]) -> list[bytes]:
-            return encode_joined(tokenizer, [u.decode() for u in new], " ")
-
-        _encoders[path] = (UnitEncoder(encode), tokenizer)
+            texts = [u.decode() for u in new]
+            bodies = [_body(t) for t in texts]
+            apart = {b or t for t, b in zip(texts, bodies, strict=True)}
+            letters = [t for t in apart if t.isalpha()]
+            others = [t for t in apart if not t.isalpha()]
+            coded = dict(zip(letters, encode_letters(tokenizer, ends, letters), strict=True))
+            coded.update(zip(others, encode_joined(tokenizer, others, " "), strict=True))
+            return [coded[b] + stop[t[-1]] if b else coded[t] for t, b in zip(texts, bodies, strict=True)]
+
+        # Without and with regard to case.
+        _encoders[path] = ((UnitEncoder(encode), UnitEncoder(encode)), tokenizer)
     return _encoders[path]
 
 
@@ -114,9 +137,17 @@ def encode_words(tokenizer_path: str, parallel: int = 1, end: int = END):
         units, tokenizer = _encoder(tokenizer_path, parallel)
         wide = "<u4" if tokenizer.get_vocab_size() > 1 << 16 else "<u2"
         stop = np.array([end], wide).tobytes()
-        for ids, texts in text_rows(batches):
-            rows = [(t if b"<|" in t else t.lower()).replace(b"\n", b" ").replace(b"\t", b" ").replace(b"\r", b" ").split(b" ") for t in texts]
-            coded = [np.frombuffer(x, "<u4").astype(wide).tobytes() + stop for x in units.batch(rows)]
+        for ids, texts in text_rows(batches, 8 << 20):
+            coded: list[bytes] = [b""] * len(texts)
+            # Where a special token may stand, letters keep their case.
+            special = [b"<|" in t for t in texts]
+            for case, values in ((False, _LOWER), (True, BYTE_VALUES)):
+                own = [k for k, s in enumerate(special) if s is case]
+                if own:
+                    flat, n = units[case].batch([texts[k] for k in own], _GAP, values)
+                    flat, cuts = flat.astype(wide), np.cumsum(np.append(0, n)).tolist()
+                    for k, a, z in zip(own, cuts[:-1], cuts[1:], strict=True):
+                        coded[k] = flat[a:z].tobytes() + stop
             n = [len(x) // len(stop) for x in coded]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(coded, pa.binary())], names=["doc_id", "n", "ids"])
 
