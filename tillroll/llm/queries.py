@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm import decontaminate, quality
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,14 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_substrings(read_table(spark, sf, "documents")).drop("kept")
 
 
+def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_report(read_table(spark, sf, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -40,7 +49,7 @@ def op10_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op5_sentencepiece, op9_token_files, op10_minhash_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op4_decontaminate, op5_sentencepiece, op9_token_files, op10_minhash_dedup)}
 
 #: DuckDB SQL for the same rows, where SQL can express them.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_quality_rules": quality.ORACLE, "op4_decontaminate": decontaminate.ORACLE}
