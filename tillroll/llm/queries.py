@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, quality
+from tillroll.llm import decontaminate, quality, token_counts
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,13 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = token_counts.redactions(read_table(spark, sf, "documents"))
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
@@ -35,6 +42,24 @@ def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return encode_pieces(read_table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from tillroll.llm.line_dedup import line_report
+
+    return line_report(read_table(spark, sf, "documents"))
+
+
+def op7_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    from tillroll.llm.html_extract import main_text
+
+    return main_text(read_table(spark, sf, "pages"))
+
+
+def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    from tillroll.llm.language_id import language_report
+
+    return language_report(read_table(spark, sf, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,7 +74,13 @@ def op10_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op4_decontaminate, op5_sentencepiece, op9_token_files, op10_minhash_dedup)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_quality_rules, op3_token_counts, op4_decontaminate, op5_sentencepiece,
+        op6_line_dedup, op7_html_extract, op8_language_id, op9_token_files, op10_minhash_dedup,
+    )
+}
 
 #: DuckDB SQL for the same rows, where SQL can express them.
 ORACLES: dict[str, str] = {"op2_quality_rules": quality.ORACLE, "op4_decontaminate": decontaminate.ORACLE}

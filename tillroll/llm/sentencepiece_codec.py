@@ -240,3 +240,24 @@ def encode_pieces(docs: DataFrame, model_path: str, keep_ids: bool = True, paral
     schema = "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if keep_ids else "")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, schema)
+
+
+#: Rows and text that are encoded at a time, about.
+_ROWS = 512
+
+
+def append_pieces(docs: DataFrame, model_path: str, parallel: int = 2) -> DataFrame:
+    """All columns of the documents with n_tokens and ids, an array. The table
+    must not have columns of these names. A null or empty text has no ids."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(model_path, parallel)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, _ROWS):
+                b = whole.slice(lo, _ROWS)
+                flat, n = c.encode([t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()])
+                ids = pa.ListArray.from_arrays(pa.array(np.cumsum(np.append(0, n)), pa.int32()), pa.array(flat.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), ids], names=[*b.schema.names, "n_tokens", "ids"])
+
+    return docs.mapInArrow(run, docs.schema.add("n_tokens", "long").add("ids", "array<int>"))
