@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm.common import MAX_ID, text_rows
 
@@ -113,8 +114,8 @@ def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
     gone = gone.agg(F.collect_set("line").alias("gone"))
     keyed = docs.withColumn("_doc", own).withColumn("_digest", _digest(text))
     joined = keyed.hint("merge").join(gone, ["_doc", "_digest"], "left").drop("_doc", "_digest")
-    schema = joined.drop("gone").schema.add("_lines", "long").add("_dropped", "long")
-    return joined.mapInArrow(_drop, schema)
+    more = [T.StructField("_lines", T.LongType()), T.StructField("_dropped", T.LongType())]
+    return joined.mapInArrow(_drop, T.StructType([*docs.schema.fields, *more]))
 
 
 def _digest(text):

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm.common import BYTE_VALUES, gap_table, text_rows
 from tillroll.llm.units import UnitEncoder, encode_joined, threads
@@ -260,4 +261,5 @@ def append_pieces(docs: DataFrame, model_path: str, parallel: int = 2) -> DataFr
                 ids = pa.ListArray.from_arrays(pa.array(np.cumsum(np.append(0, n)), pa.int32()), pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), ids], names=[*b.schema.names, "n_tokens", "ids"])
 
-    return docs.mapInArrow(run, docs.schema.add("n_tokens", "long").add("ids", "array<int>"))
+    more = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
