@@ -35,6 +35,9 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
+#: Units that a worker keeps beside the two libraries' models.
+KEEP = 250_000
+
 _UNIT = re.compile(" +[^ ]*")
 _GAP = gap_table(b" ")
 
@@ -152,7 +155,7 @@ class Codec:
         if marked or self.model.collapse_spaces or self.model.charsmap or not (self.model.dummy_prefix and self.model.escape_spaces):
             # Units don't stand for themselves: whole texts go to the library.
             raise ValueError("this model normalises across words; only models with identity normalisation and a dummy prefix are read unit by unit")
-        self.units = UnitEncoder(lambda new: self._encode([" " + u.decode() for u in new]))
+        self.units = UnitEncoder(lambda new: self._encode([" " + u.decode() for u in new]), KEEP)
         pieces = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces]
         self.pieces = np.array(pieces, object)
 
