@@ -89,16 +89,14 @@ def test_export_single_csv_bound(spark, clean_small, tmp_path):
     from tillroll.operators.sales import country_sales
 
     out = str(tmp_path / "country_sales.csv")
-    assert sk.export_single_csv(country_sales(clean_small), out, max_rows=100) == 25
+    assert sk.export_single_csv(country_sales(clean_small), out) == 25
     assert os.path.isfile(out)
     visible = sorted(f for f in os.listdir(tmp_path) if not f.startswith("."))  # local .crc files
     assert visible == ["country_sales.csv"]  # staging folder removed
     with open(out, encoding="utf-8") as f:
         lines = f.read().splitlines()
     assert lines[0] == "Country,OrderCount,SalesAmount,CustomerCount" and len(lines) == 26
-    assert sk.export_single_csv(country_sales(clean_small), out, max_rows=100) == 25  # overwrite
-    with pytest.raises(sk.ExportTooLargeError):
-        sk.export_single_csv(clean_small, str(tmp_path / "big"), max_rows=100)
+    assert sk.export_single_csv(country_sales(clean_small), out) == 25  # overwrite
 
 
 def test_run_all_and_manifest(spark, clean_small, tmp_path):
@@ -208,3 +206,74 @@ def test_run_pipeline_ingests_source_and_writes_waterfall(spark, raw_small, tmp_
     assert rd.read_raw(spark, paths.raw).count() == 6116
     wf = spark.read.parquet(paths.result("quality_waterfall")).orderBy("step").collect()
     assert [r.rows for r in wf] == [6116, 5680, 5467, 5385, 5063, 4923, 4923]
+
+
+def _write(path, text):
+    path.write_text(text, encoding="latin-1")
+    return str(path)
+
+
+STORE_HEADER = "Store,StockCode,InvoiceNo,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
+ROW = "S1,1001,A1,Thing,{q},2011-01-03 10:00:00,1.5,77,UK"
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = _write(tmp_path / "raw.csv", "\n".join([STORE_HEADER, ROW.format(q="6.0"), ROW.format(q="many")]))
+    rows = rd.load_retail(spark, path).collect()
+    assert [(r.InvoiceNo, r.StockCode, r.Quantity, r.UnitPrice, r.CustomerID, r.Country, r.Store) for r in rows] == [
+        ("A1", "1001", 6, 1.5, "77", "UK", "S1"),
+        ("A1", "1001", None, 1.5, "77", "UK", "S1"),
+    ]
+
+
+def test_ingest_keeps_columns_and_values(spark, tmp_path):
+    path = _write(tmp_path / "raw.csv", "\n".join([STORE_HEADER, ROW.format(q="6.0"), ROW.format(q="many"), ROW.format(q=" NA ")]))
+    sk.ingest_raw(spark, path, str(tmp_path / "zone"))
+    out = spark.read.option("header", "true").csv(str(tmp_path / "zone"))
+    assert out.columns == STORE_HEADER.split(",")
+    assert sorted(r.Quantity for r in out.collect()) == [" NA ", "6.0", "many"]
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    path = _write(tmp_path / "raw.csv", "InvoiceNo,StockCode\nA1,1")
+    with pytest.raises(rd.MissingColumnsError, match="Quantity"):
+        rd.load_retail(spark, path)
+
+
+def test_extra_columns_take_part_in_cleaning(spark, tmp_path):
+    from tillroll.operators.clean import clean, quality_waterfall
+
+    other = ROW.format(q="2").replace("S1", "S2")
+    path = _write(tmp_path / "raw.csv", "\n".join([STORE_HEADER, ROW.format(q="2"), ROW.format(q="2"), other]))
+    raw = rd.load_retail(spark, path)
+    assert sorted(r.Store for r in clean(raw).collect()) == ["S1", "S2"]
+    assert {r.stage: r.rows for r in quality_waterfall(raw).collect()}["final"] == 2
+
+
+def test_money_is_exact_for_small_and_large_lines(spark):
+    from tillroll.functions.columns import money_sum
+
+    small = spark.range(1000).selectExpr("4e-5D AS TotalAmount")
+    large = spark.range(1).selectExpr("1e15D AS TotalAmount")
+    assert small.agg(money_sum("TotalAmount")).first()[0] == 0.04
+    assert large.agg(money_sum("TotalAmount")).first()[0] == 1e15
+
+
+def test_shared_folder_is_asked_for_off_local_mode(monkeypatch):
+    from tillroll import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -20,7 +20,6 @@ from tillroll.functions.columns import (
     order_key,
     positive_line,
 )
-from tillroll.schema import REQUIRED_COLUMNS
 
 
 def drop_cancelled(df: DataFrame) -> DataFrame:
@@ -96,14 +95,14 @@ def repartition_by_customer(df: DataFrame, partitions: int | None = None) -> Dat
 
 
 def clean(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """The whole cleaning pipeline over the eight raw columns.
+    """The whole cleaning pipeline. Columns beyond the eight raw ones take
+    part in the de-duplication and reach the cleaned table.
 
     ``partitions`` reproduces the optional hash repartition by CustomerID;
     by default no extra shuffle is added and AQE sizes the dedup output.
     """
     out = (
-        df.select(*REQUIRED_COLUMNS)
-        .transform(drop_cancelled)
+        df.transform(drop_cancelled)
         .transform(keep_positive)
         # Parsed once, before the dedup shuffle: the value is a function of
         # InvoiceDate, so carrying it does not change which rows are duplicates,
@@ -140,15 +139,14 @@ def quality_waterfall(df: DataFrame) -> DataFrame:
     only surviving lines are shuffled for the dedup; the post-dedup rules are
     evaluated once per distinct line. Output: ``(step, stage, rows)``.
     """
-    raw = df.select(*REQUIRED_COLUMNS)
     k1 = F.coalesce(not_cancelled("InvoiceNo"), F.lit(False))
     k12 = k1 & F.coalesce(positive_line("Quantity", "UnitPrice"), F.lit(False))
-    keyed = raw.select(
-        *[F.when(k12, F.col(c)).alias(c) for c in REQUIRED_COLUMNS],
+    keyed = df.select(
+        *[F.when(k12, F.col(c)).alias(c) for c in df.columns],
         k1.alias("_k1"),
         k12.alias("_k12"),
     )
-    distinct_lines = keyed.groupBy(*REQUIRED_COLUMNS, "_k1", "_k12").agg(
+    distinct_lines = keyed.groupBy(*df.columns, "_k1", "_k12").agg(
         F.count(F.lit(1)).alias("_n")
     )
     k4 = F.col("_k12") & F.col("CustomerID").isNotNull()

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli sample without replacement; each partition samples its own
-    rows, so nothing is gathered. ``fraction >= 1`` returns the input."""
+    """Sample without replacement: a row is taken if the MD5 of its text columns
+    and the seed lies in the first ``fraction`` of all values, so that a retried
+    task takes the same rows, wherever they stand; rows with the same text
+    columns go together. ``fraction >= 1`` returns the input."""
     if fraction >= 1.0:
         return df
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    key = [c for c, kind in df.dtypes if kind == "string"] or df.columns
+    drawn = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed))).cast("binary"))
+    return df.where(F.substring(drawn, 1, 8) < f"{int(fraction * (1 << 32)):08x}")

@@ -74,7 +74,7 @@ clean AS (
 
 
 def _money(col: str) -> str:
-    return f"CAST(SUM(CAST({col} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({col} AS DECIMAL(38,8))) AS DOUBLE)"
 
 
 def _with(*ctes: str) -> str:
@@ -371,6 +371,15 @@ def oracle_queries() -> dict[str, str]:
     )
     q["load_retail"] = _on_raw(f"SELECT {RAW_COLS} FROM raw_retail")
     q["ingest_raw"] = _on_raw(f"SELECT {RAW_COLS} FROM raw_retail")
+    store = "'S-' || COALESCE(Country, '') AS Store"
+    for name in ("scan_csv_reordered", "ingest_raw_extra_columns"):
+        q[name] = _on_raw(f"SELECT {RAW_COLS}, {store} FROM raw_retail")
+    # The extra column follows from Country, so it doesn't change what is a duplicate.
+    q["clean_retail_extra_column"] = _on_clean(f"SELECT *, {store} FROM clean")
+    text = "InvoiceNo, StockCode, Description, InvoiceDate, CustomerID, Country"
+    q["sample_rows"] = _on_raw(
+        f"SELECT {RAW_COLS} FROM raw_retail WHERE substr(md5(concat_ws('|', {text}, '42')), 1, 8) < '40000000'"
+    )
     q["parquet_roundtrip"] = _on_clean("SELECT * FROM clean")
     q["csv_roundtrip"] = _on_clean(DAILY_SALES)
     q["export_single_csv"] = _on_clean(COUNTRY_SALES)

@@ -101,7 +101,6 @@ def run_all(
     concurrent_jobs: int | None = None,
     settings: Settings | None = None,
     export_root: str | None = None,
-    export_max_rows: int = 1_000_000,
 ) -> DataFrame:
     """Compute and write each result once; return the manifest.
 
@@ -129,12 +128,12 @@ def run_all(
     # Intermediate tables (rollup, rankings) are removed once all results are written.
     with scratch_scope(spark):
         _write_results(spark, cleaned, root, todo, fmt, rollup, concurrent_jobs,
-                       export_root, export_max_rows)
+                       export_root)
     return verify_outputs(spark, root, [n for n, _ in todo], fmt=fmt)
 
 
 def _write_results(spark, cleaned, root, todo, fmt, rollup, concurrent_jobs,
-                   export_root, export_max_rows) -> None:
+                   export_root) -> None:
     invoice_grain = cleaned
     if rollup and {n for n, _ in todo} - LINE_GRAIN:
         invoice_grain = materialize(invoice_rollup(cleaned), "invoice-rollup")
@@ -148,9 +147,7 @@ def _write_results(spark, cleaned, root, todo, fmt, rollup, concurrent_jobs,
                 written = spark.read.parquet(path)
             else:  # typed read-back keeps the numbers exactly as written
                 written = spark.read.option("header", "true").schema(result.schema).csv(path)
-            export_single_csv(
-                written, f"{export_root.rstrip('/')}/{name}.csv", max_rows=export_max_rows
-            )
+            export_single_csv(written, f"{export_root.rstrip('/')}/{name}.csv")
 
     if concurrent_jobs <= 1:
         for name, fn in todo:

@@ -33,11 +33,6 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
-# Fully permissive variant: every column as text, typed later with try_cast.
-RAW_TEXT_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in REQUIRED_COLUMNS]
-)
-
 # Column order of the cleaned table: the raw columns (retyped in place),
 # then the derived ones.
 DERIVED_COLUMNS: tuple[str, ...] = (
@@ -54,6 +49,6 @@ DERIVED_COLUMNS: tuple[str, ...] = (
 CLEAN_COLUMNS: tuple[str, ...] = REQUIRED_COLUMNS + DERIVED_COLUMNS
 
 # Money is summed as an exact decimal and reported as double, so totals do
-# not depend on the order in which partitions are combined. Scale 4 keeps
-# prices with up to four decimals exact.
-MONEY = T.DecimalType(18, 4)
+# not depend on the order in which partitions are combined. Eight decimals,
+# and up to 1e30 for a line or a total.
+MONEY = T.DecimalType(38, 8)

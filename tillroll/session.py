@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         # Local runs / tests only: no shared folder was configured.
         configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(configured)
@@ -99,7 +101,7 @@ def scratch_scope(spark: SparkSession):
         yield paths
     finally:
         with _scopes_lock:
-            _scopes.remove(paths)
+            _scopes[:] = [s for s in _scopes if s is not paths]
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for p in paths:

@@ -6,7 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
 from tillroll.schema import RAW_SCHEMA, REQUIRED_COLUMNS
 
@@ -43,6 +44,27 @@ def _check_format(fmt: str) -> str:
     return f
 
 
+def read_text_csv(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
+    """Raw CSV with every column as text, named by the header. A folder whose
+    files have different headers is an error, not a silent mix-up."""
+    return spark.read.options(**{**RAW_CSV_OPTIONS, "enforceSchema": "false", **options}).csv(path)
+
+
+def typed(df: DataFrame, schema: StructType = RAW_SCHEMA) -> DataFrame:
+    """The columns of ``schema`` that ``df`` has, by name and typed value by
+    value (a whole number may be written ``6.0``), then all other columns."""
+    out = []
+    for field in schema.fields:
+        if field.name in df.columns:
+            c = F.col(field.name)
+            if isinstance(field.dataType, LongType):
+                c = c.try_cast("double").try_cast("long")
+            elif not isinstance(field.dataType, StringType):
+                c = c.try_cast(field.dataType)
+            out.append(c.alias(field.name))
+    return df.select(*out, *[F.col(f"`{c}`") for c in df.columns if c not in schema.fieldNames()])
+
+
 def read_raw(
     spark: SparkSession,
     path: str | list[str],
@@ -53,19 +75,18 @@ def read_raw(
 ) -> DataFrame:
     """Read raw invoice lines.
 
-    CSV: header, ISO-8859-1, literal ``NA`` as NULL. An explicit schema is the
-    default (type inference costs an extra pass over the whole input); pass
+    CSV: header, ISO-8859-1, literal ``NA`` as NULL. Columns are found by their
+    name, in any order and beside others, and typed value by value after
+    ``schema`` (type inference costs an extra pass over the whole input); pass
     ``infer_schema=True`` for the inferred types instead.
     """
     f = _check_format(fmt)
     if f == "parquet":
         return spark.read.parquet(*([path] if isinstance(path, str) else path))
-    reader = spark.read.options(**RAW_CSV_OPTIONS)
     if infer_schema:
-        reader = reader.option("inferSchema", "true")
-    elif schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+        return read_text_csv(spark, path, inferSchema="true")
+    df = read_text_csv(spark, path)
+    return df if schema is None else typed(df, schema)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -96,17 +117,9 @@ def load_retail(
     """Read raw lines and check the required columns.
 
     Raises ``DataNotFoundError`` for a missing path and ``MissingColumnsError``
-    when a required column is absent. With an explicit schema the columns are
-    known up front, so the check inspects the file header instead.
+    when a required column is absent.
     """
     try:
-        if fmt.lower().strip() == "csv" and not infer_schema:
-            header = spark.read.option("header", "true").options(
-                encoding=RAW_CSV_OPTIONS["encoding"]
-            ).csv(path)
-            missing = missing_columns(header)
-            if missing:
-                raise MissingColumnsError(missing)
         df = read_raw(spark, path, fmt, infer_schema=infer_schema)
         missing = missing_columns(df)
     except AnalysisException as e:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.sources.readers import RAW_CSV_OPTIONS, _check_format, read_raw
+from tillroll.sources.readers import RAW_CSV_OPTIONS, _check_format, read_text_csv
 
 # CSV output keeps leading/trailing blanks (Spark trims them by default on write).
 _CSV_WRITE_OPTIONS: dict[str, str] = {
@@ -19,10 +19,6 @@ _CSV_WRITE_OPTIONS: dict[str, str] = {
 INGEST_MODES = {"overwrite": "overwrite", "skip": "ignore"}
 
 
-class ExportTooLargeError(ValueError):
-    """Raised when a single-file export would exceed its declared row bound."""
-
-
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write raw lines in the raw-zone CSV layout (header in every part)."""
     (
@@ -30,6 +26,8 @@ def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .options(**_CSV_WRITE_OPTIONS)
         .option("encoding", RAW_CSV_OPTIONS["encoding"])
         .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
     )
 
@@ -40,13 +38,13 @@ def ingest_raw(
     """Land a raw CSV (file or folder) in the raw zone.
 
     ``mode="overwrite"`` replaces the target; ``mode="skip"`` leaves an
-    existing target as it is. The copy is a distributed Spark job that
-    re-emits every part with its own header.
+    existing target as it is. All columns and values are copied as text; the
+    copy is a distributed Spark job that re-emits every part with its own header.
     """
     m = INGEST_MODES.get(mode.lower().strip())
     if m is None:
         raise ValueError(f"unsupported ingest mode: {mode!r}")
-    write_raw_csv(read_raw(spark, source, "csv"), target, mode=m)
+    write_raw_csv(read_text_csv(spark, source, nullValue=""), target, mode=m)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -65,17 +63,14 @@ def write_result(
         df.write.mode(mode).options(**_CSV_WRITE_OPTIONS).option("encoding", "UTF-8").csv(path)
 
 
-def export_single_csv(df: DataFrame, path: str, *, max_rows: int = 1_000_000) -> int:
-    """One CSV file (UTF-8, header) at ``path`` for a bounded result.
+def export_single_csv(df: DataFrame, path: str) -> int:
+    """One CSV file (UTF-8, header) at ``path``.
 
-    The bound is checked before the data is funnelled into one task: at most
-    ``max_rows + 1`` rows are counted, and a larger result raises instead of
-    overloading a single writer. The one part file Spark writes is then
-    renamed to ``path`` and its temporary folder removed. Returns the row count.
+    For results that are small by their nature (a row for each day, month or
+    country): one task writes the file. Spark's part file is renamed to
+    ``path`` and its temporary folder removed. Returns the row count.
     """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ExportTooLargeError(f"result has more than {max_rows} rows; write it multi-part")
+    n = df.count()
     staging = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex}"
     df.coalesce(1).write.mode("overwrite").options(**_CSV_WRITE_OPTIONS).option(
         "encoding", "UTF-8"
