@@ -13,6 +13,7 @@ from tillroll.operators import baskets as bk
 from tillroll.operators import customers as cu
 from tillroll.operators import sales as sa
 from tillroll.operators.clean import clean
+from tillroll.plans.registry import ANALYSES, LINE_GRAIN, RESULT_NAMES
 from tillroll.sources.fixtures import brand_order_lines
 
 
@@ -74,7 +75,7 @@ def test_telescoped_gap_matches_lag_twin(clean_small):
 
 
 def test_rfm_quartiles_match_window_ntile_twin(clean_small):
-    got = cu.rfm_segments(clean_small, partitions=3)
+    got = cu.rfm_segments(clean_small)
     scores = cu.rfm_scores(clean_small)
     twin = (
         scores.withColumn("R", F.ntile(4).over(Window.orderBy(F.col("RecencyDays").asc(), "CustomerID")))
@@ -219,14 +220,10 @@ def test_rules_metrics_consistent(spark, sf_small):
         assert "," not in r.consequent_str
 
 
-@pytest.mark.parametrize("name", sorted(
-    __import__("tillroll.plans.registry", fromlist=["x"]).RESULT_NAMES))
+@pytest.mark.parametrize("name", sorted(set(RESULT_NAMES) - LINE_GRAIN))
 def test_invoice_rollup_gives_identical_results(clean_small, name):
     from tillroll.operators.rollup import invoice_rollup
-    from tillroll.plans.registry import ANALYSES, LINE_GRAIN
 
-    if name in LINE_GRAIN:
-        pytest.skip("needs individual lines")
     fn = dict(ANALYSES)[name]
     direct = fn(clean_small)
     rolled = fn(invoice_rollup(clean_small))
@@ -265,3 +262,23 @@ def test_frequent_itemsets_and_basket_table(spark, sf_small, clean_small):
     assert table.filter("n_items < 2").count() == 0
     row = table.first()
     assert row.items_str.split(",") == sorted(row.items_str.split(","))
+
+
+def test_country_counts_with_null_country_and_invoice(spark):
+    rows = [("1", None, "a", 1.0), ("1", None, "b", 2.0), (None, "UK", "a", 3.0), ("2", "UK", None, 4.0)]
+    df = spark.createDataFrame(
+        [(i, co, cu_, v, 1) for i, co, cu_, v in rows],
+        "InvoiceNo string, Country string, CustomerID string, TotalAmount double, Quantity long",
+    )
+    got = {r.Country: tuple(r)[1:] for r in sa.country_sales(df).collect()}
+    assert got == {None: (1, 3.0, 2), "UK": (1, 7.0, 1)}
+
+
+def test_mining_keeps_every_basket_and_only_frequent_items(spark):
+    rows = [(f"b{i}", x) for i in range(10) for x in ("p", "q")] + [("b0", "rare"), ("z", "p")]
+    rows += [("r", "r1"), ("r", "r2"), ("r", None)]
+    df = spark.createDataFrame(rows + rows, "InvoiceNo string, StockCode string")
+    got = [r.items for r in bk.mining_baskets(df, 0.5, "InvoiceNo", "StockCode").collect()]
+    assert sorted(got) == [[]] + [["p", "q"]] * 10  # the one-item basket z is gone
+    rules = {r.antecedent_str: r.support for r in bk.association_rules(df, 0.5, 0.2).collect()}
+    assert rules == {"p": 10 / 11, "q": 10 / 11}

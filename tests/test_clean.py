@@ -143,3 +143,14 @@ def test_repartition_changes_no_rows(clean_small):
 def test_description_filled_count(clean_small):
     # FIXTURES.md: 304 lines carry the filler at sf0.001
     assert clean_small.filter(F.col("Description") == "Unknown Product").count() == 304
+
+
+def test_clean_with_waterfall_equals_both(spark, raw_small):
+    from tillroll.session import scratch_scope
+
+    with scratch_scope(spark):
+        cleaned, stages = cl.clean_with_waterfall(raw_small)
+        want = cl.clean(raw_small)
+        assert cleaned.columns == want.columns
+        assert cleaned.exceptAll(want).count() == 0 and want.exceptAll(cleaned).count() == 0
+        assert stages.collect() == cl.quality_waterfall(raw_small).collect()

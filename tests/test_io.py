@@ -175,11 +175,12 @@ def test_run_all_removes_its_intermediate_tables(spark, clean_small, tmp_path):
     from tillroll.session import ensure_checkpoint_dir
 
     base = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tillroll-scratch"
+    base = os.path.join(base, spark.sparkContext.applicationId)
 
     def intermediates():
         if not os.path.isdir(base):
             return set()
-        return {d for d in os.listdir(base) if d.startswith(("invoice-rollup-", "ranked-"))}
+        return set(os.listdir(base))
 
     before = intermediates()
     manifest = run_all(spark, clean_small, str(tmp_path / "res"), fmt="parquet").collect()

@@ -1,4 +1,4 @@
-"""Distributed ranks, ntile and exact quantiles against their single-task twins."""
+"""Rank selection against its single-task twins."""
 
 from __future__ import annotations
 
@@ -11,61 +11,56 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.ranking import (
-    POS,
-    TOTAL,
-    exact_quantiles,
-    global_positions,
-    ntile_bucket,
-    with_ntile,
-)
-
+from tillroll.operators import ranking
+from tillroll.operators.ranking import quantiles, with_ntiles
 
-def _skewed(spark, n=3000, seed=7):
-    rnd = random.Random(seed)
-    # a third of all rows share one value: the hot key must not land in one task
-    rows = [(i, 5 if i % 3 == 0 else rnd.randint(0, 400), rnd.random()) for i in range(n)]
-    return spark.createDataFrame(rows, "id long, k int, v double")
 
+def _check_ntiles(df, tiles, buckets=4):
+    got = with_ntiles(df, tiles, "id", buckets)
+    want = df.select(
+        "id",
+        *[
+            F.ntile(buckets).over(
+                Window.orderBy(F.desc(c) if desc else F.asc(c), F.asc("id"))
+            ).alias(f"w_{name}")
+            for name, (c, desc) in tiles.items()
+        ],
+    )
+    joined = got.join(want, "id").cache()
+    for name in tiles:
+        assert joined.filter(F.col(name) != F.col(f"w_{name}")).count() == 0, name
+    assert joined.count() == df.count()
 
-def test_positions_equal_row_number(spark):
-    df = _skewed(spark)
-    order = [F.col("k").desc(), F.col("id").asc()]
-    got = global_positions(df, order, partitions=7).select("id", POS, TOTAL)
-    want = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn"))
-    joined = got.join(want, "id")
-    assert joined.filter(F.col(POS) != F.col("rn")).count() == 0
-    assert joined.count() == 3000
-    assert {r[TOTAL] for r in got.select(TOTAL).distinct().collect()} == {3000}
 
+def test_ntiles_with_a_third_of_rows_at_a_cut(spark):
+    rnd = random.Random(7)
+    # every third row has one value, which covers the first quartile cut
+    rows = [(f"c{i:05d}", 5 if i % 3 == 0 else rnd.randint(0, 20), rnd.random()) for i in range(3001)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "id string, k int, v double")
+    _check_ntiles(df, {"kq": ("k", False), "kd": ("k", True), "vq": ("v", True)})
 
-def test_hot_value_is_spread_over_partitions(spark):
-    df = _skewed(spark)
-    ranged = df.repartitionByRange(8, F.col("k"), F.col("id"))
-    sizes = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert max(r["count"] for r in sizes) < 1000  # the 1000-row hot value is split
 
+def test_ntiles_with_texts_of_shared_prefixes(spark):
+    ids = ["", "a", "aa", "aaa", "aab", "ab", "a" * 300, "a" * 300 + "b", "é", "\U0001f600", "\uffee", "z"]
+    df = spark.createDataFrame([(x, 1) for x in ids], "id string, k int")
+    _check_ntiles(df, {"q": ("k", False), "d": ("k", True)}, 5)
 
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 7, 8, 10, 13, 101])
-def test_ntile_bucket_formula(spark, n):
-    df = spark.range(n).withColumnRenamed("id", "x")
-    got = with_ntile(df, "q", [F.col("x").asc()], 4, partitions=3)
-    want = df.select("x", F.ntile(4).over(Window.orderBy("x")).alias("w"))
-    assert got.join(want, "x").filter(F.col("q") != F.col("w")).count() == 0
-    assert got.count() == n
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 7, 8, 101])
+def test_ntile_sizes(spark, n):
+    df = spark.range(n).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("id"), F.lit(1).alias("k"))
+    _check_ntiles(df, {"q": ("k", False)})
 
-def test_ntile_bucket_sizes_differ_by_at_most_one(spark):
-    df = _skewed(spark, 1001)
-    got = with_ntile(df, "q", [F.col("v").asc(), F.col("id").asc()], 4, partitions=5)
-    sizes = [r["count"] for r in got.groupBy("q").count().collect()]
-    assert sorted(sizes) == [250, 250, 250, 251]
 
-
-def test_ntile_bucket_column_algebra(spark):
-    df = spark.createDataFrame([(p, 10) for p in range(1, 11)], "p long, n long")
-    got = [r.b for r in df.select(ntile_bucket(F.col("p"), F.col("n"), 4).alias("b")).collect()]
-    assert got == [1, 1, 1, 2, 2, 2, 3, 3, 4, 4]
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    values=st.lists(st.integers(min_value=0, max_value=5), min_size=0, max_size=60),
+    buckets=st.integers(min_value=1, max_value=7),
+)
+def test_ntile_property(spark, values, buckets):
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, v long")
+    _check_ntiles(df, {"q": ("v", True)}, buckets)
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 1000])
@@ -73,51 +68,44 @@ def test_exact_quantiles_linear(spark, n):
     rnd = random.Random(n)
     vals = [round(rnd.uniform(-50, 500), 2) for _ in range(n)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
-    got = {r.metric: r.value for r in exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["id"]).collect()}
+    got = {r.metric: r.value for r in quantiles(df, "v", [0.25, 0.5, 0.75]).collect()}
     want = np.quantile(np.array(vals), [0.25, 0.5, 0.75], method="linear")
     for name, w in zip(["p25", "p50", "p75"], want):
         assert got[name] == pytest.approx(w, rel=1e-12, abs=1e-9)
 
 
-def test_exact_quantiles_empty(spark):
-    df = spark.createDataFrame([], "id long, v double")
-    got = exact_quantiles(df, "v", [0.5], ["id"]).collect()
-    assert [(r.metric, r.value) for r in got] == [("p50", None)]
+def test_quantiles_of_empty_and_null_values(spark):
+    for rows in ([], [(1, None), (2, None)]):
+        df = spark.createDataFrame(rows, "id long, v double")
+        assert [tuple(r) for r in quantiles(df, "v", [0.5]).collect()] == [("p50", None)]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(
-    values=st.lists(st.integers(min_value=0, max_value=5), min_size=0, max_size=60),
-    parts=st.integers(min_value=1, max_value=9),
-    buckets=st.integers(min_value=1, max_value=7),
-)
-def test_ntile_property(spark, values, parts, buckets):
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v long")
-    order = [F.col("v").desc(), F.col("id").asc()]
-    got = with_ntile(df, "q", order, buckets, partitions=parts)
-    want = df.select("id", F.ntile(buckets).over(Window.orderBy(*order)).alias("w"))
-    assert got.join(want, "id").filter(F.col("q") != F.col("w")).count() == 0
-    assert got.count() == len(values)
+def test_quantiles_with_ties_and_values_of_all_magnitudes(spark):
+    rnd = random.Random(5)
+    vals = [7.5 if i % 3 == 0 else 10.0 ** rnd.uniform(-12, 12) for i in range(4000)] + [1e300, 1e-300]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = [r.value for r in quantiles(df, "v", probs).collect()]
+    assert got == pytest.approx(list(np.quantile(vals, probs, method="linear")), rel=1e-12)
 
 
-def test_positions_with_adaptive_range_partitions(spark):
-    df = _skewed(spark, 5000, seed=11)
-    order = [F.col("k").asc(), F.col("id").asc()]
-    got = global_positions(df, order).select("id", POS)
-    want = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn"))
-    assert got.join(want, "id").filter(F.col(POS) != F.col("rn")).count() == 0
-    assert got.count() == 5000
+def test_approximate_quantiles_keep_their_rank_bound(spark):
+    rnd = random.Random(9)
+    vals = sorted(rnd.expovariate(0.01) for _ in range(5000))
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for row, p in zip(quantiles(df, "v", [0.25, 0.5, 0.75], rank_error=0.02).collect(), [0.25, 0.5, 0.75]):
+        assert abs(vals.index(row.value) + 1 - p * 5000) <= 100
 
 
-def test_quantile_selection_matches_sort_with_ties_and_fallback(spark):
-    from tillroll.operators.ranking import exact_quantiles_by_sort
+def test_rows_that_reach_the_driver_are_bounded(spark, monkeypatch):
+    sizes = []
 
-    rnd = random.Random(5)
-    rows = [(i, 7.5 if i % 3 == 0 else round(rnd.uniform(0, 100), 2)) for i in range(4000)]
-    df = spark.createDataFrame(rows, "id long, v double")
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    want = {r.metric: r.value for r in exact_quantiles_by_sort(df, "v", probs, ["id"]).collect()}
-    # default selection path, a coarse sketch, and a forced fallback to the sort
-    for kwargs in ({}, {"accuracy": 50}, {"max_bracket_values": 1}):
-        got = {r.metric: r.value for r in exact_quantiles(df, "v", probs, ["id"], **kwargs).collect()}
-        assert got == want, kwargs
+    def counted(df):
+        rows = df.collect()
+        sizes.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(ranking, "bounded_rows", counted)
+    df = spark.range(50_000).select((F.col("id") * 7919 % 50_021).cast("double").alias("v"))
+    assert quantiles(df, "v", [0.5]).first().value is not None
+    assert max(sizes) <= 2 * ranking.BINS

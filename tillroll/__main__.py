@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
             )
             rows = manifest.collect()  # one row per result table (12)
             for r in rows:
-                log.info("%-28s rows=%-10d ok=%s", r.name, r.row_count, r.ok)
+                log.info("%-28s rows=%-10d ok=%s non_empty=%s", r.name, r.row_count, r.ok, r.non_empty)
             return 0 if all(r.ok for r in rows) else 1
         if args.cmd == "ingest":
             mode = args.mode or Settings.from_conf(spark).ingest_mode

@@ -31,12 +31,14 @@ def _text(col: Column | str) -> Column:
     return c.cast("string")
 
 
-def not_cancelled(invoice: Column | str = "InvoiceNo") -> Column:
-    """False for invoice numbers that start with ``C`` after trimming.
+def not_cancelled(invoice: Column | str = "InvoiceNo", trimmed: bool = True) -> Column:
+    """False for invoice numbers that start with ``C``, after trimming unless
+    ``trimmed`` is off.
 
     NULL invoice numbers give NULL, so a filter drops them.
     """
-    return ~F.trim(_text(invoice)).startswith(CANCELLATION_PREFIX)
+    text = F.trim(_text(invoice)) if trimmed else _text(invoice)
+    return ~text.startswith(CANCELLATION_PREFIX)
 
 
 def positive_line(
@@ -65,7 +67,7 @@ def _layout_guards(text: Column) -> list[Column]:
     cannot succeed (separator present, number of ':' literals), so results
     are the same as trying every layout in turn.
     """
-    colons = F.length(text) - F.length(F.regexp_replace(text, ":", ""))
+    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
     slashed = text.contains("/")
     return [
         text.contains("-"),  # yyyy-MM-dd HH:mm:ss

@@ -20,6 +20,7 @@ from tillroll.functions.columns import (
     order_key,
     positive_line,
 )
+from tillroll.session import materialize
 
 
 def drop_cancelled(df: DataFrame) -> DataFrame:
@@ -101,15 +102,23 @@ def clean(df: DataFrame, partitions: int | None = None) -> DataFrame:
     ``partitions`` reproduces the optional hash repartition by CustomerID;
     by default no extra shuffle is added and AQE sizes the dedup output.
     """
-    out = (
+    lines = (
         df.transform(drop_cancelled)
         .transform(keep_positive)
         # Parsed once, before the dedup shuffle: the value is a function of
         # InvoiceDate, so carrying it does not change which rows are duplicates,
-        # and the date filter below is still applied after C3/C4 in rule order.
+        # and the date filter is still applied after C3/C4 in rule order.
         .withColumn("InvoiceDateTime", invoice_timestamp("InvoiceDate"))
         .transform(drop_exact_duplicates)
-        .transform(require_customer)
+    )
+    return _finish(lines, partitions)
+
+
+def _finish(lines: DataFrame, partitions: int | None) -> DataFrame:
+    """The rules after the de-duplication, on distinct lines with their
+    ``InvoiceDateTime``."""
+    out = (
+        lines.transform(require_customer)
         .filter(F.col("InvoiceDateTime").isNotNull())
         .transform(add_time_dimensions)
         .transform(add_order_key)
@@ -120,6 +129,18 @@ def clean(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return out
 
 
+def clean_with_waterfall(
+    df: DataFrame, partitions: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``clean(df)`` and ``quality_waterfall(df)`` from one read and one
+    de-duplication of ``df``, whose counted distinct lines are written once."""
+    lines = materialize(_counted_lines(df), "distinct-lines")
+    kept = lines.filter("_k12").select(
+        *df.columns, invoice_timestamp("InvoiceDate").alias("InvoiceDateTime")
+    )
+    return _finish(kept, partitions), _waterfall(lines)
+
+
 # Stage labels of the data-quality waterfall, in order.
 WATERFALL_STAGES: tuple[str, ...] = (
     "raw",
@@ -139,6 +160,12 @@ def quality_waterfall(df: DataFrame) -> DataFrame:
     only surviving lines are shuffled for the dedup; the post-dedup rules are
     evaluated once per distinct line. Output: ``(step, stage, rows)``.
     """
+    return _waterfall(_counted_lines(df))
+
+
+def _counted_lines(df: DataFrame) -> DataFrame:
+    """Distinct lines with their number ``_n`` and the verdicts of the first
+    rule ``_k1`` and of both ``_k12``; the columns of failed lines are NULL."""
     k1 = F.coalesce(not_cancelled("InvoiceNo"), F.lit(False))
     k12 = k1 & F.coalesce(positive_line("Quantity", "UnitPrice"), F.lit(False))
     keyed = df.select(
@@ -146,9 +173,12 @@ def quality_waterfall(df: DataFrame) -> DataFrame:
         k1.alias("_k1"),
         k12.alias("_k12"),
     )
-    distinct_lines = keyed.groupBy(*df.columns, "_k1", "_k12").agg(
+    return keyed.groupBy(*df.columns, "_k1", "_k12").agg(
         F.count(F.lit(1)).alias("_n")
     )
+
+
+def _waterfall(distinct_lines: DataFrame) -> DataFrame:
     k4 = F.col("_k12") & F.col("CustomerID").isNotNull()
     k6 = k4 & invoice_timestamp("InvoiceDate").isNotNull()
     totals = distinct_lines.agg(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import line_count, money_per_line, money_sum
-from tillroll.operators.ranking import exact_quantiles, with_ntile
+from tillroll.operators.ranking import quantiles, with_ntiles
 
 
 def customer_frequency(df: DataFrame) -> DataFrame:
@@ -95,18 +95,18 @@ def rfm_segments(
     df: DataFrame,
     labels: Mapping[str, str] = SEGMENT_LABELS_EN,
     buckets: int = 4,
-    partitions: int | None = None,
 ) -> DataFrame:
     """RFM quartiles over all customers and a segment per customer.
 
-    R ascending, F and M descending, CustomerID breaking ties; each quartile
-    is a distributed global ``ntile`` (see ``operators.ranking``).
+    R ascending, F and M descending, CustomerID breaking ties. The cut points
+    of all three are selected together (see ``operators.ranking``).
     """
-    scores = rfm_scores(df)
-    cid = F.col("CustomerID").asc()
-    scored = with_ntile(scores, "R_q", [F.col("RecencyDays").asc(), cid], buckets, partitions)
-    scored = with_ntile(scored, "F_q", [F.col("Frequency").desc(), cid], buckets, partitions)
-    scored = with_ntile(scored, "M_q", [F.col("Monetary").desc(), cid], buckets, partitions)
+    scored = with_ntiles(
+        rfm_scores(df),
+        {"R_q": ("RecencyDays", False), "F_q": ("Frequency", True), "M_q": ("Monetary", True)},
+        "CustomerID",
+        buckets,
+    )
     return scored.select(
         "CustomerID",
         "RecencyDays",
@@ -125,18 +125,37 @@ QUANTILE_PROBS: tuple[float, ...] = (0.25, 0.5, 0.75)
 QUANTILE_METRICS: tuple[str, ...] = ("order_value_p25", "order_value_p50", "order_value_p75")
 
 
-def repurchase_summary(df: DataFrame) -> DataFrame:
-    """Customers, customers with two or more invoices, and their ratio."""
-    per_c = df.groupBy("CustomerID").agg(F.countDistinct("InvoiceNo").alias("_orders"))
-    wide = per_c.agg(
+SUMMARY_METRICS: tuple[str, ...] = ("customer_cnt", "repeat_customers", "repurchase_rate")
+GAP_METRIC = "avg_repurchase_gap_days"
+
+
+def _repurchase_metrics(df: DataFrame) -> DataFrame:
+    """One row: customers, those with two or more invoices, their ratio, and the
+    mean days between consecutive purchase lines of a customer.
+
+    Both come from one aggregate per customer. Consecutive day differences
+    telescope: for a customer with n lines they sum to datediff(last, first)
+    over n - 1 gaps, so no lines are sorted.
+    """
+    per_c = df.groupBy("CustomerID").agg(
+        F.countDistinct("InvoiceNo").alias("_orders"),
+        line_count(df).alias("_n"),
+        F.datediff(F.max("InvoiceDateTime"), F.min("InvoiceDateTime")).alias("_span"),
+    )
+    return per_c.agg(
         F.count(F.lit(1)).cast("double").alias("customer_cnt"),
         F.count_if(F.col("_orders") >= 2).cast("double").alias("repeat_customers"),
+        F.try_divide(
+            F.sum("_span").cast("double"), F.sum(F.col("_n") - 1).cast("double")
+        ).alias(GAP_METRIC),
     ).withColumn(
         "repurchase_rate", F.try_divide(F.col("repeat_customers"), F.col("customer_cnt"))
     )
-    return wide.unpivot(
-        [], ["customer_cnt", "repeat_customers", "repurchase_rate"], "metric", "value"
-    )
+
+
+def repurchase_summary(df: DataFrame) -> DataFrame:
+    """Customers, customers with two or more invoices, and their ratio."""
+    return _repurchase_metrics(df).unpivot([], list(SUMMARY_METRICS), "metric", "value")
 
 
 def order_values(df: DataFrame) -> DataFrame:
@@ -145,43 +164,25 @@ def order_values(df: DataFrame) -> DataFrame:
 
 
 def order_value_quantiles(
-    df: DataFrame, probs: Sequence[float] = QUANTILE_PROBS, partitions: int | None = None
+    df: DataFrame, probs: Sequence[float] = QUANTILE_PROBS, rank_error: float = 0.0
 ) -> DataFrame:
-    """Exact quartiles of the per-invoice amount (linear interpolation)."""
+    """Quartiles of the per-invoice amount: exact with linear interpolation, or
+    with ``rank_error`` values whose rank is off by at most that share of the invoices."""
     names = QUANTILE_METRICS if tuple(probs) == QUANTILE_PROBS else None
-    return exact_quantiles(
-        order_values(df), "order_value", probs, ["InvoiceNo"], names, partitions
-    )
+    return quantiles(order_values(df), "order_value", probs, names, rank_error)
 
 
 def order_value_quantiles_approx(
     df: DataFrame, probs: Sequence[float] = QUANTILE_PROBS, accuracy: int = 10000
 ) -> DataFrame:
-    """Sketch-based quartiles (rank error about 1/accuracy); one pass, bounded memory."""
-    names = list(QUANTILE_METRICS if tuple(probs) == QUANTILE_PROBS else [f"p{p}" for p in probs])
-    q = order_values(df).agg(
-        F.percentile_approx("order_value", list(probs), accuracy).alias("_q")
-    )
-    wide = q.select(*[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])
-    return wide.unpivot([], names, "metric", "value")
+    """Quartiles with a rank error of at most 1/accuracy of the invoices: the
+    selection stops as soon as its ranges are that small."""
+    return order_value_quantiles(df, probs, 1.0 / accuracy)
 
 
 def repurchase_gap_lines(df: DataFrame) -> DataFrame:
-    """Mean days between consecutive purchase *lines* of the same customer.
-
-    Consecutive day differences telescope: for a customer with n lines they
-    sum to datediff(last, first) over n - 1 gaps. So the mean is one plain
-    aggregate, with no sort of the lines and no per-customer window.
-    """
-    per_c = df.groupBy("CustomerID").agg(
-        line_count(df).alias("_n"),
-        F.datediff(F.max("InvoiceDateTime"), F.min("InvoiceDateTime")).alias("_span"),
-    )
-    return per_c.agg(
-        F.try_divide(
-            F.sum("_span").cast("double"), F.sum(F.col("_n") - 1).cast("double")
-        ).alias("value")
-    ).select(F.lit("avg_repurchase_gap_days").alias("metric"), "value")
+    """Mean days between consecutive purchase *lines* of the same customer."""
+    return _repurchase_metrics(df).unpivot([], [GAP_METRIC], "metric", "value")
 
 
 def repurchase_gap_orders(df: DataFrame) -> DataFrame:
@@ -201,18 +202,12 @@ def repurchase_gap_orders(df: DataFrame) -> DataFrame:
     ).select(F.lit("avg_repurchase_gap_days_orders").alias("metric"), "value")
 
 
-def user_behavior_summary(
-    df: DataFrame, *, exact_quantile: bool = True, partitions: int | None = None
-) -> DataFrame:
+def user_behavior_summary(df: DataFrame, *, exact_quantile: bool = True) -> DataFrame:
     """Seven (metric, value) rows: repurchase counts and rate, order-value
     quartiles, mean line-level repurchase gap."""
-    quartiles = (
-        order_value_quantiles(df, partitions=partitions)
-        if exact_quantile
-        else order_value_quantiles_approx(df)
-    )
-    return (
-        repurchase_summary(df)
-        .unionByName(quartiles)
-        .unionByName(repurchase_gap_lines(df))
+    quartiles = order_value_quantiles(df) if exact_quantile else order_value_quantiles_approx(df)
+    layout = F.array(*[F.lit(m) for m in (*SUMMARY_METRICS, *QUANTILE_METRICS, GAP_METRIC)])
+    metrics = _repurchase_metrics(df).unpivot(
+        [], [*SUMMARY_METRICS, GAP_METRIC], "metric", "value"
     )
+    return metrics.unionByName(quartiles).orderBy(F.array_position(layout, F.col("metric")))

@@ -1,230 +1,240 @@
-"""Global ranks without a single-partition window.
-
-``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.
-Here the total order is cut into ranges instead:
-
-1. ``repartitionByRange`` on the sort keys plus a unique tie-breaker, so even
-   a value shared by a third of all rows is spread over many partitions;
-2. sort inside each partition and tag each row with its partition id and
-   ``monotonically_increasing_id``; write the tagged rows once to the shared
-   checkpoint folder so the ids are data, fixed even if executors are lost;
-3. count rows per partition (one small row per partition, a bounded table),
-   prefix-sum the counts, and broadcast that table back to turn each local
-   index into a global 1-based position.
-
-Positions feed ``ntile`` buckets. Exact quantiles need only a few ranks and
-select them from sketch-bracketed value ranges, with this rank as fallback.
+"""Rank selection: quantiles and ``ntile`` buckets without a sort.
+
+A quartile needs a handful of cut points, not a total order. Each wanted rank
+starts with the whole range of its column. One grouped count splits every open
+range into ``BINS`` equal parts; the part that holds the rank, cut down to the
+smallest and largest value found in it, is the next range. A range is done when
+it holds a single value. Rows that share a cut value are told apart in the same
+way by a unique text key, split by the two characters after the prefix common
+to the range.
+
+Every round is one aggregate with map-side combine over a table written once.
+Its result has at most ``BINS`` rows (for texts, the square of the alphabet)
+for each wanted rank, however large the input or its ties; only these counts
+reach the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Hashable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+from os.path import commonprefix
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tillroll.session import materialize
+from tillroll.session import materialize, scratch_scope
 
-POS = "_pos"
-TOTAL = "_n"
+BINS = 1024
 
 
-def global_positions(
-    df: DataFrame,
-    order: Sequence[Column],
-    partitions: int | None = None,
-) -> DataFrame:
-    """Add ``_pos`` (1-based rank under ``order``) and ``_n`` (row count).
-
-    ``order`` must be a total order (end it with a unique key). Without
-    ``partitions`` the range exchange is left to adaptive execution, which
-    merges adjacent ranges into partitions of its advisory size; merged
-    ranges stay contiguous and are sorted afterwards, so positions are exact.
-    """
-    ranged = (
-        df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    )
-    tagged = materialize(
-        ranged.sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_rid", F.monotonically_increasing_id()),
-        "ranked",
-    )
-    # One row per non-empty partition: bounded by the partition count.
-    sizes = tagged.groupBy("_pid").agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_rid").alias("_rid0")
-    )
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_pid",
-        "_rid0",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias(TOTAL),
-    )
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(POS, F.col("_off") + (F.col("_rid") - F.col("_rid0")) + F.lit(1))
-        .drop("_pid", "_rid", "_rid0", "_off")
-    )
+@dataclass(frozen=True)
+class Span:
+    """Rows whose ``column`` lies in ``[low, high]``, after ``below`` smaller
+    ones; with ``tied`` only rows where that column has that value."""
 
+    column: str
+    low: float | str
+    high: float | str
+    below: int
+    rows: int
+    tied: tuple[str, float] | None = None
 
-def ntile_bucket(pos: Column, total: Column, buckets: int) -> Column:
-    """Spark/SQL ``ntile`` bucket of a 1-based position among ``total`` rows.
+    def holds(self) -> Column:
+        inside = F.col(self.column).between(self.low, self.high)
+        return inside & (F.col(self.tied[0]) == self.tied[1]) if self.tied else inside
 
-    The first ``total % buckets`` buckets hold one row more than the rest.
-    """
-    base = F.floor(total / F.lit(buckets))
-    rem = total - base * F.lit(buckets)
-    big = rem * (base + 1)
-    in_big = F.floor((pos - 1) / (base + 1)) + 1
-    in_small = rem + F.floor((pos - 1 - big) / F.greatest(base, F.lit(1))) + 1
-    return F.when(pos <= big, in_big).otherwise(in_small).cast("int")
+    def part(self) -> Column:
+        """Key of the part a value lies in; grows with the value, and differs
+        between ``low`` and ``high``."""
+        value = F.col(self.column)
+        if isinstance(self.low, str):
+            return F.substring(value, 1, len(commonprefix([self.low, self.high])) + 2)
+        share = (value - self.low) / (self.high - self.low)
+        return F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("string")
 
 
-def with_ntile(
-    df: DataFrame,
-    name: str,
-    order: Sequence[Column],
-    buckets: int = 4,
-    partitions: int | None = None,
-) -> DataFrame:
-    """Add column ``name`` = ``ntile(buckets)`` over the global ``order``."""
-    ranked = global_positions(df, order, partitions)
-    return ranked.withColumn(name, ntile_bucket(F.col(POS), F.col(TOTAL), buckets)).drop(
-        POS, TOTAL
-    )
+def bounded_rows(df: DataFrame) -> list[Row]:
+    """Rows of an aggregate whose size is bounded as the module describes."""
+    return df.collect()
 
 
-def _interpolated(wide_cols: list[tuple[Column, Column, Column]], names: Sequence[str]):
-    return [
-        (lo + (hi - lo) * fr).cast("double").alias(name)
-        for (lo, hi, fr), name in zip(wide_cols, names)
+def _parts(df: DataFrame, spans: Sequence[Span]) -> dict[int, list[Row]]:
+    """For each span its parts that hold rows, in ascending order."""
+    members = [
+        F.when(
+            s.holds(),
+            F.struct(F.lit(k).alias("span"), s.part().alias("part"), F.col(s.column).alias("v")),
+        )
+        for k, s in enumerate(spans)
     ]
+    hits = df.where(reduce(or_, [s.holds() for s in spans])).select(
+        F.inline(F.array_compact(F.array(*members)))
+    )
+    counted = hits.groupBy("span", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
+    found: dict[int, list[Row]] = {k: [] for k in range(len(spans))}
+    for row in sorted(bounded_rows(counted), key=lambda r: r.low):
+        found[row.span].append(row)
+    return found
+
+
+def _narrow(
+    df: DataFrame, wanted: Mapping[Hashable, tuple[int, Span]], rank_error: int = 0
+) -> dict[Hashable, Span]:
+    """The span of one value (or of at most ``rank_error`` rows) at each wanted
+    1-based rank of its starting span."""
+    ranks = {target: rank for target, (rank, _) in wanted.items()}
+    spans = {target: span for target, (_, span) in wanted.items()}
+    while True:
+        open_ = list({s for s in spans.values() if s.low < s.high and s.rows > rank_error})
+        if not open_:
+            return spans
+        found = _parts(df, open_)
+        for target, span in spans.items():
+            if span not in open_:
+                continue
+            below = span.below
+            for part in found[open_.index(span)]:
+                if ranks[target] <= below + part.n:
+                    spans[target] = Span(
+                        span.column, part.low, part.high, below, part.n, span.tied
+                    )
+                    break
+                below += part.n
+
+
+def select_ranks(
+    df: DataFrame,
+    columns: Sequence[str],
+    ranks: Callable[[int], Sequence[int]],
+    rank_error: float = 0.0,
+) -> tuple[int, dict[tuple[str, int], Span]]:
+    """Row count n of ``df`` and, for every column and each of ``ranks(n)``, the
+    span of the value at that 1-based ascending rank.
+
+    The columns are doubles, finite and not null. ``df`` is read once a round,
+    so it should be a written table. With ``rank_error`` a span may hold
+    several values, but at most that share of the rows.
+    """
+    head = bounded_rows(
+        df.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)],
+        )
+    )[0]
+    n = head["n"]
+    wanted = {}
+    for c in columns if n else ():
+        low, high = head[f"min_{c}"], head[f"max_{c}"]
+        if not (math.isfinite(low) and math.isfinite(high)):
+            raise ValueError(f"{c} holds values that are not finite")
+        wanted |= {(c, r): (r, Span(c, low, high, 0, n)) for r in ranks(n)}
+    return n, _narrow(df, wanted, math.floor(rank_error * n))
 
 
-def exact_quantiles(
+def with_ntiles(
     df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    tiebreak: Sequence[str],
-    names: Sequence[str] | None = None,
-    partitions: int | None = None,
-    *,
-    accuracy: int = 100_000,
-    max_bracket_values: int = 2_000_000,
+    tiles: Mapping[str, tuple[str, bool]],
+    tiebreak: str,
+    buckets: int = 4,
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles (``quantile_cont``) of ``value``.
-
-    Selection instead of a sort: a ``percentile_approx`` sketch brackets each
-    target rank with a value range, one counting pass verifies that the
-    brackets hold the target ranks, and the exact values are picked from a
-    histogram of the bracketed values only (about 8/accuracy of all rows).
-    Nothing larger than that histogram is ordered. If a bracket misses or its
-    histogram exceeds ``max_bracket_values``, the distributed sort
-    (``exact_quantiles_by_sort``) answers instead. Returns long form
-    ``(metric, value)`` in ``probs`` order; NULL values are ignored and an
-    empty input gives NULL values.
+    """Add, for each ``name: (column, descending)``, column ``name`` =
+    ``ntile(buckets)`` over that order of the column and then ``tiebreak``
+    ascending, a unique text. The first ``n % buckets`` buckets hold one row more.
+
+    One written table, the selection rounds, and one map over the table against
+    the cut points; ties at a cut, of any number, are counted and never sorted.
     """
-    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
-    spark = df.sparkSession
-    v = F.col(value)
-    base = materialize(df.select(value, *tiebreak).filter(v.isNotNull()), "quantile-input")
-    eps = 1.0 / accuracy
-    outer = []
-    for p in probs:
-        outer += [max(0.0, p - 3 * eps), min(1.0, p + 3 * eps)]
-    head = base.agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx(value, outer, accuracy).alias("q")
-    ).first()  # one count and 2 values per probability
-    n = head["n"]
-    if n == 0:
-        empty = spark.range(1).select(*[F.lit(None).cast("double").alias(c) for c in names])
-        return empty.unpivot([], names, "metric", "value")
-    targets, brackets = [], []
-    for k, p in enumerate(probs):
-        rn = float(n - 1) * float(p)
-        targets.append((math.floor(rn), math.ceil(rn)))
-        brackets.append((head["q"][2 * k], head["q"][2 * k + 1]))
-    # Exact counts below and up to each bracket (one pass, constant buffer).
-    bounds = base.agg(
-        *[F.count_if(v < F.lit(lo)).alias(f"below{k}") for k, (lo, _) in enumerate(brackets)],
-        *[F.count_if(v <= F.lit(hi)).alias(f"upto{k}") for k, (_, hi) in enumerate(brackets)],
-    ).first()
-    held = all(
-        bounds[f"below{k}"] <= t_lo and t_hi < bounds[f"upto{k}"]
-        for k, (t_lo, t_hi) in enumerate(targets)
+    if not tiles:
+        return df
+    keys = {name: f"_key{i}" for i, name in enumerate(tiles)}
+    table = materialize(
+        df.withColumns(
+            {
+                keys[name]: F.col(c).cast("double") * (-1.0 if descending else 1.0)
+                for name, (c, descending) in tiles.items()
+            }
+        ),
+        "ntile-input",
     )
-    in_brackets = sum(bounds[f"upto{k}"] - bounds[f"below{k}"] for k in range(len(probs)))
-    if not held or in_brackets > max_bracket_values:
-        return exact_quantiles_by_sort(base, value, probs, tiebreak, names, partitions)
-
-    # Histogram of each bracket (bounded by the check above), cumulative
-    # counts per bracket, and the first value whose count passes the target.
-    parts = []
-    for k, (lo, hi) in enumerate(brackets):
-        parts.append(
-            base.filter((v >= F.lit(lo)) & (v <= F.lit(hi)))
-            .groupBy(value)
-            .agg(F.count(F.lit(1)).alias("_cnt"))
-            .withColumn("_k", F.lit(k))
-        )
-    hist = parts[0]
-    for part in parts[1:]:
-        hist = hist.unionByName(part)
-    upto = Window.partitionBy("_k").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("_cum", F.sum("_cnt").over(upto))
-    picks = []
-    for k, (t_lo, t_hi) in enumerate(targets):
-        below = bounds[f"below{k}"]
-        in_k = F.col("_k") == k
-        rn = F.lit(float(n - 1)) * F.lit(float(probs[k]))
-        picks.append(
-            (
-                F.min(F.when(in_k & (F.col("_cum") > t_lo - below), v)),
-                F.min(F.when(in_k & (F.col("_cum") > t_hi - below), v)),
-                F.first(rn - F.floor(rn)),
-            )
-        )
-    flat = [c for triple in picks for c in triple]
-    row = hist.agg(*[c.alias(f"_c{i}") for i, c in enumerate(flat)])
-    cols = [
-        (F.col(f"_c{3 * k}"), F.col(f"_c{3 * k + 1}"), F.col(f"_c{3 * k + 2}"))
-        for k in range(len(probs))
-    ]
-    return row.select(*_interpolated(cols, names)).unpivot([], names, "metric", "value")
-
 
-def exact_quantiles_by_sort(
+    def last_of_buckets(n: int) -> list[int]:
+        ends = [k * (n // buckets) + min(k, n % buckets) for k in range(1, buckets)]
+        return sorted({e for e in ends if e < n})
+
+    _, cuts = select_ranks(table, list(keys.values()), last_of_buckets)
+    texts = _tied_texts(table, tiebreak, cuts)
+    added = {}
+    for name, key in keys.items():
+        after = F.lit(1)
+        for (column, rank), span in cuts.items():
+            if column == key:
+                beyond = F.col(key) > span.low
+                if (column, rank) in texts:
+                    same = F.col(key) == span.low
+                    beyond = beyond | (same & (F.col(tiebreak) > texts[column, rank]))
+                after = after + F.when(beyond, 1).otherwise(0)
+        added[name] = after.cast("int")
+    return table.withColumns(added).drop(*keys.values())
+
+
+def _tied_texts(
+    table: DataFrame, tiebreak: str, cuts: Mapping[tuple[str, int], Span]
+) -> dict[tuple[str, int], str]:
+    """For each cut that falls inside a run of equal values, the last text before it."""
+    inside = {t: s for t, s in cuts.items() if t[1] < s.below + s.rows}
+    if not inside:
+        return {}
+    ends = bounded_rows(table.agg(F.min(tiebreak).alias("low"), F.max(tiebreak).alias("high")))[0]
+    wanted = {
+        t: (t[1] - s.below, Span(tiebreak, ends.low, ends.high, 0, s.rows, (s.column, s.low)))
+        for t, s in inside.items()
+    }
+    return {t: s.high for t, s in _narrow(table, wanted).items()}
+
+
+def quantiles(
     df: DataFrame,
     value: str,
     probs: Sequence[float],
-    tiebreak: Sequence[str],
     names: Sequence[str] | None = None,
-    partitions: int | None = None,
+    rank_error: float = 0.0,
 ) -> DataFrame:
-    """Exact quantiles from a distributed global rank (range sort of all rows),
-    then one global aggregate with a constant-size buffer."""
+    """Quantiles of ``value`` as rows ``(metric, value)`` in ``probs`` order.
+
+    With ``rank_error`` 0 they are exact, interpolated between the two nearest
+    rows (``quantile_cont``). Otherwise each is a value whose rank is off from
+    ``ceil(p * n)`` by at most ``rank_error * n``. NULL values are ignored; an
+    empty input gives NULL values. The written table is deleted on return.
+    """
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
-    base = df.select(value, *tiebreak).filter(F.col(value).isNotNull())
-    ranked = global_positions(
-        base, [F.col(value).asc(), *[F.col(c).asc() for c in tiebreak]], partitions
-    )
-    idx = F.col(POS) - 1
-    aggs = []
-    for i, p in enumerate(probs):
-        rn = (F.col(TOTAL) - 1).cast("double") * F.lit(float(p))
-        aggs += [
-            F.max(F.when(idx == F.floor(rn), F.col(value))).alias(f"_lo{i}"),
-            F.max(F.when(idx == F.ceil(rn), F.col(value))).alias(f"_hi{i}"),
-            F.max(rn - F.floor(rn)).alias(f"_fr{i}"),
-        ]
-    wide = ranked.agg(*aggs).select(
-        *[
-            (
-                F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")
-            ).cast("double").alias(name)
-            for i, name in enumerate(names)
-        ]
+
+    def positions(n: int, p: float) -> tuple[int, int]:
+        if rank_error:
+            return (max(1, math.ceil(p * n)),) * 2
+        at = float(n - 1) * float(p)
+        return math.floor(at) + 1, math.ceil(at) + 1
+
+    with scratch_scope(df.sparkSession):
+        table = materialize(
+            df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL"),
+            "quantile-input",
+        )
+        n, spans = select_ranks(
+            table, ["v"], lambda n: sorted({r for p in probs for r in positions(n, p)}), rank_error
+        )
+    found = []
+    for p in probs if n else ():
+        low, high = (spans["v", r].low for r in positions(n, p))
+        at = float(n - 1) * float(p)
+        found.append(low + (high - low) * (at - math.floor(at)))
+    found = found or [None] * len(names)
+    row = df.sparkSession.range(1).select(
+        *[F.lit(v).cast("double").alias(name) for name, v in zip(names, found)]
     )
-    return wide.unpivot([], names, "metric", "value")
+    return row.unpivot([], names, "metric", "value")

