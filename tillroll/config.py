@@ -27,7 +27,7 @@ class Settings:
     result_format: str = "csv"  # csv | parquet
     ingest_mode: str = "overwrite"  # overwrite | skip
     concurrent_jobs: int = 4  # result tables computed at once by run_all
-    exact_quantiles: bool = True  # order-value quartiles: exact or sketch
+    exact_quantiles: bool = True  # order-value quartiles: exact, or within a rank error
     rollup: bool = True  # share one invoice rollup among the results
 
     @classmethod
