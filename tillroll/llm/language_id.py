@@ -116,7 +116,8 @@ def _slot_masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
     """Filters from rows (text, lang) with both not null; of each language about
-    ``sample`` documents, chosen by a hash of the text."""
+    ``sample`` documents, chosen by a hash of the text. Copies of a text count
+    as one, so that a group of them can't swell the sample."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.col("text").cast("binary").alias("text"))
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
@@ -125,7 +126,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Filters:
         return Filters([], [], np.zeros((1 << SLOT_BITS, 1), np.uint64))
     info = spark.createDataFrame([(x, i, min(1.0, sample / counts[x])) for i, x in enumerate(languages)], "lang string, place int, part double")
     some = rows.join(F.broadcast(info), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("part") * (1 << 30))
-    some = some.select("lang", "text").persist()
+    some = some.dropDuplicates(["lang", "text"]).select("lang", "text").persist()
     try:
         held = {r.lang: r.n for r in some.groupBy("lang").agg(F.count("*").alias("n")).collect()}
         size = spark.createDataFrame([(x, i, held.get(x, 0)) for i, x in enumerate(languages)], "lang string, place int, n long")
