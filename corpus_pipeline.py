@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import read_table
+from tillroll.llm.common import free_name, own_columns, read_table
 from tillroll.llm.decontaminate import find_benchmark
 from tillroll.llm.line_dedup import dedup_lines
 from tillroll.llm.minhash import near_duplicates
@@ -25,24 +25,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go; a document that loses all of its lines goes too."""
-    out = dedup_lines(docs).where("_dropped = 0 OR _dropped < _lines")
-    changed = F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", changed).select(*docs.columns)
+    lines, dropped = (F.col(free_name(docs, n)) for n in ("_lines", "_dropped"))
+    out = dedup_lines(docs).where((dropped == 0) | (dropped < lines))
+    changed = F.when(dropped > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", changed).select(*own_columns(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the least doc_id.
     Rows with one doc_id are one document; those with a null doc_id stay."""
     kept = near_duplicates(docs, PERCENT, SHINGLE, BANDS).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    known = docs.hint("merge").join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*docs.columns)
+    known = docs.hint("merge").join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*own_columns(docs))
     return known.union(docs.where("doc_id IS NULL"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage. Rows of one doc_id, or of none, are
+    told apart by their text."""
     found = find_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
-    hit = found.where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+    hit = found.where("n_hit > 0").select("doc_id", "text_hash").distinct()
+    same = docs["doc_id"].eqNullSafe(hit["doc_id"]) & (F.xxhash64(docs["text"]) == hit["text_hash"])
+    return docs.join(hit, same, "left_anti")
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,7 +46,7 @@ def corpus(seed):
 
 def test_against_brute_force(spark):
     rows = corpus(1)
-    docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, gone int, line string").drop("gone").repartition(3)
+    docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, gone int, line string").repartition(3)
     got = dedup_lines(docs)
     assert got.columns == [*docs.columns, "_lines", "_dropped"]
     want = brute(rows)
@@ -66,3 +66,14 @@ def test_query_against_brute_force(spark, sf_small):
 def test_variable_fields():
     a, b = (templates(masked(f"Posted by {who} on day {n} in the weekly letters page of ours")) for who, n in (("Ann", 3), ("Bob", 17)))
     assert len(set(a) & set(b)) == 1 and templates(["too", "short", "line"]) == []
+
+
+def test_clashing_columns(spark):
+    rows = corpus(3)
+    schema = "_lines string, doc_id long, _gone int, `a.b` string, text string, _doc long, _digest string, _dropped int"
+    docs = spark.createDataFrame([("l", d, 7, "x", t, 8, "y", 9) for d, t in rows], schema).repartition(3)
+    got = dedup_lines(docs)
+    assert got.columns == [*docs.columns, "__lines", "__dropped"]
+    want = sorted(((d, n, g, t) for d, n, g, t in brute(rows)), key=str)
+    assert sorted(((r.doc_id, r["__lines"], r["__dropped"], r.text) for r in got.collect()), key=str) == want
+    assert {tuple(r[c] for c in ("_lines", "_gone", "a.b", "_doc", "_digest", "_dropped")) for r in got.collect()} == {("l", 7, "x", 8, "y", 9)}

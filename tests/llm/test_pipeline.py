@@ -45,13 +45,26 @@ def test_stages_against_brute_force(spark, sf_small):
 
 
 def test_odd_rows_in_each_stage(spark, sf_small):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, gone int"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, gone int, `a.b` int, _dropped int, n_hit int, text_hash int"
     text = " ".join(f"word{i}" for i in range(40))
     rows = [(1, text), (1, text), (2, text), (None, text), (3, None), (4, ""), (None, None)]
-    docs = spark.createDataFrame([(d, t, None, None, None, None, None) for d, t in rows], schema).drop("gone")
+    docs = spark.createDataFrame([(d, t, *[None] * 9) for d, t in rows], schema)
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, sf_small)
         assert out.columns[: len(docs.columns)] == docs.columns and out.count() > 0
         assert stage(spark, docs.limit(0), sf_small).count() == 0
         if k == 2:
             assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "3", "4", "None", "None"]
+
+
+def test_documents_without_an_id_go_by_their_text(spark, sf_small):
+    item = next(r.text for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect() if r.text and len(r.text.split()) > 12)
+    docs = spark.createDataFrame([(None, f"a {item} b"), (None, "clean one"), (None, None), (7, f"x {item}"), (7, "clean two")], "doc_id long, text string")
+    out = corpus_pipeline.decontaminate(spark, docs, sf_small)
+    assert sorted(str(r.text) for r in out.collect()) == ["None", "clean one", "clean two"]
+
+
+def test_columns_of_the_codec_give_way(spark):
+    docs = spark.createDataFrame([(1, "a b", "old", 5)], "doc_id long, text string, ids string, n_tokens int")
+    out = corpus_pipeline.sentencepiece(spark, docs, "")
+    assert out.columns == ["doc_id", "text", "n_tokens", "ids"] and len(out.first().ids) == out.first().n_tokens

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.session import ensure_checkpoint_dir
@@ -22,6 +22,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of a table, whatever their names are."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it the table's only
+    column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The table with plain names for its columns, which Python functions over
+    batches need: they take columns by place."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,32 +1,33 @@
 """Benchmark passages in training text, by a distributed positional index.
 
 The index is dealt out by document: a shard holds some megabytes of text as
-postings, for each term of the test set the places where it stands among the
-shard's words, in order. A phrase is looked up from its rarest terms: the
-postings of the rarest, less the term's offset in the phrase, are the
-candidate places, and each further term, rarer ones first, keeps those for
-which its own postings hold the place plus its offset. Shards need no exchange
-with one another, so a term that a third of the corpus has costs no more than
-its share in each shard.
-
-The test set goes to the tasks in blocks of at most ``BLOCK_WORDS`` words; each
-block makes one pass over the documents, and what the passes find is put
-together by document.
+postings, for each term (known by a 64-bit hash) the places where it stands
+among the shard's words, in order. It holds all terms, is written once, and
+serves any test set. A phrase is looked up from its rarest terms: the postings
+of the rarest, less the term's offset in the phrase, are the candidate places,
+and each further term, rarer ones first, keeps those for which its own postings
+hold the place plus its offset. Shards need no exchange with one another, so a
+term that a third of the corpus has costs no more than its share in each shard.
+
+The test set goes to the tasks in blocks of about ``BLOCK_WORDS`` words; each
+block makes one pass over the index, and what the passes find is put together
+by document.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import text_rows
+from tillroll.llm.common import BYTE_VALUES, gap_table, hashed_words, text_rows
 from tillroll.session import materialize
 
 SIZE = 10
@@ -34,8 +35,15 @@ SIZE = 10
 BLOCK_WORDS = 1_000_000
 #: Text of a shard.
 SHARD_BYTES = 4 << 20
+#: Words between documents, in the numbering of places: more than any phrase
+#: with its slack.
+GAP = 1 << 32
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_GAPS = gap_table(bytes(c for c in range(128) if not chr(c).isalnum()))
+_LOWER = BYTE_VALUES.copy()
+#: Upper case as lower case, so that they hash alike.
+_LOWER[65:91] = _LOWER[97:123]
 
 
 def words(text: bytes) -> list[bytes]:
@@ -55,26 +63,48 @@ def phrases(items: list[tuple[str, bytes]], size: int) -> dict[tuple[bytes, ...]
     return out
 
 
+def posting_lists(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct terms of the texts, in order; the number of postings
+    of each; the postings, as numbers of words from the first text on; the
+    words of each text."""
+    *_, h, words_of = hashed_words(texts, _GAPS, _LOWER)
+    order = np.argsort(h, kind="stable")
+    terms, counts = np.unique(h, return_counts=True)
+    return terms, counts, order, words_of
+
+
+def term_hashes(terms: list[bytes]) -> np.ndarray:
+    """Hashes of terms as postings have them."""
+    return hashed_words(terms, _GAPS, _LOWER)[3] if terms else np.zeros(0, np.uint64)
+
+
 class Shard:
     """Postings of the terms of the test set in some documents."""
 
     def __init__(self, texts: list[bytes], vocabulary: dict[bytes, int]):
-        get = vocabulary.get
-        counts, ids = [], []
-        for t in texts:
-            w = words(t)
-            counts.append(len(w))
-            ids += [get(x, -1) for x in w]
-        self.words = np.array(counts, np.int64)
-        # A gap between documents, longer than any phrase or slack.
-        self.gap = 1 << 20
-        self.first = np.cumsum(np.append(0, self.words[:-1] + self.gap))
-        terms = np.array(ids, np.int64)
-        place = np.arange(len(terms)) + np.repeat(np.arange(len(counts)) * self.gap, self.words)
-        known = np.flatnonzero(terms >= 0)
-        known = known[np.argsort(terms[known], kind="stable")]
-        self.postings = place[known]
-        self.cuts = np.searchsorted(terms[known], np.arange(len(vocabulary) + 1)).tolist()
+        self._load(*posting_lists(texts), term_hashes(sorted(vocabulary, key=vocabulary.get)))
+
+    @classmethod
+    def stored(cls, terms: bytes, counts: bytes, places: bytes, words_of: bytes, wanted: np.ndarray) -> Shard:
+        """A shard of the index, with the postings of the ``wanted`` hashes."""
+        press, shard = zstandard.ZstdDecompressor(), cls.__new__(cls)
+        n, order, own = (np.frombuffer(press.decompress(x), "<u4").astype(np.int64) for x in (counts, places, words_of))
+        shard._load(np.frombuffer(terms, "<u8"), n, order, own, wanted)
+        return shard
+
+    def _load(self, terms: np.ndarray, counts: np.ndarray, order: np.ndarray, words_of: np.ndarray, wanted: np.ndarray) -> None:
+        self.words = words_of.astype(np.int64)
+        before = np.cumsum(self.words) - self.words
+        gaps = np.arange(len(self.words)) * GAP
+        self.first = before + gaps
+        at = np.minimum(np.searchsorted(terms, wanted), max(0, len(terms) - 1))
+        held = terms[at] == wanted if len(terms) else np.zeros(len(wanted), bool)
+        self.counts = np.where(held, counts[at], 0) if len(terms) else np.zeros(len(wanted), np.int64)
+        self.cuts = np.append(0, np.cumsum(self.counts)).tolist()
+        start = (np.cumsum(counts) - counts)[at] if len(terms) else self.counts
+        own = np.repeat(start - np.array(self.cuts[:-1], np.int64), self.counts) + np.arange(self.cuts[-1])
+        place = order[own]
+        self.postings = place + gaps[np.searchsorted(before, place, "right") - 1] if len(place) else place
 
     def places(self, term: int) -> np.ndarray:
         return self.postings[self.cuts[term] : self.cuts[term + 1]]
@@ -111,15 +141,24 @@ def _search(items: list[tuple[str, bytes]], size: int, slack: int):
     by_phrase = phrases(items, size)
     vocabulary = {t: i for i, t in enumerate(sorted({t for p in by_phrase for t in p}))}
     coded = [([vocabulary[t] for t in p], sorted(ids)) for p, ids in sorted(by_phrase.items())]
+    wanted = term_hashes(list(vocabulary))
+    flat = np.array([t for p, _ in coded for t in p], np.int64)
+    begin = np.cumsum([0, *(len(p) for p, _ in coded)])[:-1]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(batch.column(n).to_pylist() for n in _INDEX), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_rows(batches, SHARD_BYTES):
-            shard = Shard(texts, vocabulary)
-            starts: list[list[int]] = [[] for _ in texts]
-            ends: list[list[int]] = [[] for _ in texts]
-            hits: list[set[str]] = [set() for _ in texts]
-            close: list[set[str]] = [set() for _ in texts]
-            for phrase, owners in coded:
+        for ids, sums, *lists in rows(batches):
+            shard = Shard.stored(*lists, wanted)
+            starts: list[list[int]] = [[] for _ in ids]
+            ends: list[list[int]] = [[] for _ in ids]
+            hits: list[set[str]] = [set() for _ in ids]
+            close: list[set[str]] = [set() for _ in ids]
+            # A phrase can only stand where all of its terms do.
+            here = np.flatnonzero(np.minimum.reduceat(shard.counts[flat], begin)) if coded else ()
+            for phrase, owners in (coded[k] for k in here):
                 found = shard.find(phrase)
                 docs = shard.document(found)
                 for d, p in zip(docs.tolist(), (found - shard.first[docs]).tolist(), strict=True):
@@ -141,24 +180,52 @@ def _search(items: list[tuple[str, bytes]], size: int, slack: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
-                    pa.array([text_sum(t) for t in texts], pa.int64()),
+                    pa.array(sums, pa.int64()),
                     pa.array(shard.words),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                     pa.array([sorted(h) for h in hits], pa.list_(pa.string())),
                     pa.array([sorted(c) for c in close], pa.list_(pa.string())),
                 ],
-                names=["doc_id", "sum", "n_words", "spans", "items", "near_items"],
+                names=["doc_id", "text_hash", "n_words", "spans", "items", "near_items"],
             )
 
     return run
 
 
-def text_sum(text: bytes) -> int:
-    """Tells rows of one doc_id and different texts apart between passes."""
-    return zlib.crc32(text) << 31 | zlib.adler32(text) >> 1
+def text_hash(text: bytes) -> int:
+    """The value of Spark's ``xxhash64`` of a text, which tells rows of one doc_id
+    and different texts apart."""
+    x = xxhash.xxh64_intdigest(text, 42)
+    return x - (1 << 64) if x >> 63 else x
+
+
+#: Columns of the index: of the documents of a shard, and its postings.
+_INDEX = ("ids", "hashes", "terms", "counts", "places", "words")
 
 
-_FOUND = "doc_id long, sum long, n_words long, spans array<struct<start:long,end:long>>, items array<string>, near_items array<string>"
+def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=1)
+    for ids, texts in text_rows(batches, SHARD_BYTES):
+        terms, *lists = posting_lists(texts)
+        packed = [press.compress(x.astype("<u4").tobytes()) for x in lists]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([ids], pa.list_(pa.int64())),
+                pa.array([[text_hash(t) for t in texts]], pa.list_(pa.int64())),
+                *(pa.array([x], pa.binary()) for x in (terms.astype("<u8").tobytes(), *packed)),
+            ],
+            names=list(_INDEX),
+        )
+
+
+def positional_index(docs: DataFrame) -> DataFrame:
+    """The positional index of the documents' whole texts: a row for each shard.
+    Null texts are empty, and repeated rows are indexed like others."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+    return texts.mapInArrow(_indexed, "ids array<long>, hashes array<long>, terms binary, counts binary, places binary, words binary")
+
+
+_FOUND = "doc_id long, text_hash long, n_words long, spans array<struct<start:long,end:long>>, items array<string>, near_items array<string>"
 
 
 def _merged(spans):
@@ -179,12 +246,12 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slac
     none, and an item without an id is found under the empty id. With ``slack``, items also count as near where a
     window's words stand in any order within the window's length plus ``slack``.
 
-    Returns doc_id, n_words, n_hit (words inside any occurrence), spans (word
+    Returns doc_id, text_hash (``xxhash64`` of the text; null: of the empty one), n_words, n_hit (words inside any occurrence), spans (word
     positions from start to before end, maximal), items (ids as strings, sorted),
     near_items. A null or empty text has no words and hits. Repeated rows come
     back as often; extra columns are ignored; an empty benchmark finds nothing.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+    index = materialize(positional_index(docs), "postings")
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").cast("binary").alias("text")
     ).where("text IS NOT NULL")
@@ -193,25 +260,25 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slac
     found: DataFrame | None = None
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
-        part = texts.mapInArrow(_search([(r.item, bytes(r.text)) for r in own], size, slack), _FOUND)
+        part = index.mapInArrow(_search([(r.item, bytes(r.text)) for r in own], size, slack), _FOUND)
         if blocks > 1:
             part = materialize(part.withColumn("row", F.row_number().over(_same_rows())), "found")
         found = part if found is None else found.union(part)
     if blocks > 1:
-        found = found.groupBy("doc_id", "sum", "row").agg(
+        found = found.groupBy("doc_id", "text_hash", "row").agg(
             F.max("n_words").alias("n_words"),
             F.flatten(F.collect_list("spans")).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near_items"),
         ).withColumn("spans", _merged("spans"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", "n_words", hit.alias("n_hit"), "spans", "items", "near_items")
+    return found.select("doc_id", "text_hash", "n_words", hit.alias("n_hit"), "spans", "items", "near_items")
 
 
 def _same_rows():
     from pyspark.sql import Window
 
-    return Window.partitionBy("doc_id", "sum").orderBy("n_words")
+    return Window.partitionBy("doc_id", "text_hash").orderBy("n_words")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import MAX_ID, text_rows
+from tillroll.llm.common import MAX_ID, free_name, numbered, own_columns, text_rows
 
 #: Lines of fewer tokens are kept; shorter ones recur by chance.
 MIN_TOKENS = 4
@@ -77,31 +77,37 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["hi", "lo", "around", "doc", "digest", "line"])
 
 
-def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        gone = batch.column("gone").to_pylist()
-        lines, dropped, texts = [], [], []
-        for t, g in zip(batch.column("text").to_pylist(), gone, strict=True):
-            own, g = (t or "").split("\n"), set(g or ())
-            lines.append(len(own) if t else 0)
-            dropped.append(len(g))
-            texts.append("\n".join(x for k, x in enumerate(own) if k not in g) if g else t)
-        out = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "gone"]
-        names = [n for n in batch.schema.names if n != "gone"]
-        out[names.index("text")] = pa.array(texts, pa.string())
-        yield pa.RecordBatch.from_arrays([*out, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*names, "_lines", "_dropped"])
+def _drop(text: int, names: list[str]):
+    """For mapInArrow over the documents' columns, the text at place ``text``,
+    and the lines to be cut: the columns ``names``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *out, gone = batch.columns
+            lines, dropped, texts = [], [], []
+            for t, g in zip(out[text].to_pylist(), gone.to_pylist(), strict=True):
+                own, g = (t or "").split("\n"), set(g or ())
+                lines.append(len(own) if t else 0)
+                dropped.append(len(g))
+                texts.append("\n".join(x for k, x in enumerate(own) if k not in g) if g else t)
+            out[text] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*out, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=names)
+
+    return run
 
 
 def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
     """The documents, all columns, with recurring lines cut from ``text``, and two
-    columns more: _lines and _dropped, the numbers of lines before and of those cut.
+    columns more: _lines and _dropped, the numbers of lines before and of those cut
+    (where the table has a column of such a name, that of ``free_name``).
 
     Lines stand between \\n, tokens between white space. A null or empty text has
     no lines and stays as it is; a text that loses all lines is empty. Rows of one
     doc_id count as one document, and a null doc_id as the last; the document of
     the least doc_id keeps a template's lines, repeated ones included. An empty
-    table stays empty. The table must not have columns of the names _lines, _dropped, _doc, _digest.
+    table stays empty; further columns pass unread.
     """
+    by_doc, by_digest, cut = (free_name(docs, n) for n in ("_doc", "_digest", "_gone"))
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID))
     text = F.col("text").cast("string").cast("binary")
     paths = docs.select(own.alias("doc"), text.alias("text")).mapInArrow(_paths, "hi long, lo long, around long, doc long, digest long, line int")
@@ -110,12 +116,13 @@ def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
         .groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("first").alias("first"))
         .where(F.col("n") >= min_contexts).drop("n")
     )
-    gone = paths.hint("merge").join(recurring, ["hi", "lo"]).where("doc > first").groupBy(F.col("doc").alias("_doc"), F.col("digest").alias("_digest"))
-    gone = gone.agg(F.collect_set("line").alias("gone"))
-    keyed = docs.withColumn("_doc", own).withColumn("_digest", _digest(text))
-    joined = keyed.hint("merge").join(gone, ["_doc", "_digest"], "left").drop("_doc", "_digest")
-    more = [T.StructField("_lines", T.LongType()), T.StructField("_dropped", T.LongType())]
-    return joined.mapInArrow(_drop, T.StructType([*docs.schema.fields, *more]))
+    gone = paths.hint("merge").join(recurring, ["hi", "lo"]).where("doc > first").groupBy(F.col("doc").alias(by_doc), F.col("digest").alias(by_digest))
+    gone = gone.agg(F.collect_set("line").alias(cut))
+    keyed = docs.withColumn(by_doc, own).withColumn(by_digest, _digest(text))
+    joined = keyed.hint("merge").join(gone, [by_doc, by_digest], "left").select(*own_columns(docs), cut)
+    more = [T.StructField(free_name(docs, n), T.LongType()) for n in ("_lines", "_dropped")]
+    out = T.StructType([*docs.schema.fields, *more])
+    return numbered(joined).mapInArrow(_drop(docs.columns.index("text"), out.names), out)
 
 
 def _digest(text):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import BYTE_VALUES, gap_table, text_rows
+from tillroll.llm.common import BYTE_VALUES, gap_table, numbered, text_rows
 from tillroll.llm.units import UnitEncoder, encode_joined, threads
 
 MARK = "▁"
@@ -251,9 +251,12 @@ _ROWS = 512
 
 
 def append_pieces(docs: DataFrame, model_path: str, parallel: int = 2) -> DataFrame:
-    """All columns of the documents with n_tokens and ids, an array. The table
-    must not have columns of these names. A null or empty text has no ids."""
+    """All columns of the documents with n_tokens and ids, an array. Columns
+    that had these names give way. A null or empty text has no ids."""
+    docs = docs.drop("n_tokens", "ids")
     at = docs.columns.index("text")
+    more = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([*docs.schema.fields, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path, parallel)
@@ -262,7 +265,6 @@ def append_pieces(docs: DataFrame, model_path: str, parallel: int = 2) -> DataFr
                 b = whole.slice(lo, _ROWS)
                 flat, n = c.encode([t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()])
                 ids = pa.ListArray.from_arrays(pa.array(np.cumsum(np.append(0, n)), pa.int32()), pa.array(flat.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), ids], names=[*b.schema.names, "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), ids], names=schema.names)
 
-    more = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
+    return numbered(docs).mapInArrow(run, schema)
