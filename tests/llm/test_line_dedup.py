@@ -77,3 +77,15 @@ def test_clashing_columns(spark):
     want = sorted(((d, n, g, t) for d, n, g, t in brute(rows)), key=str)
     assert sorted(((r.doc_id, r["__lines"], r["__dropped"], r.text) for r in got.collect()), key=str) == want
     assert {tuple(r[c] for c in ("_lines", "_gone", "a.b", "_doc", "_digest", "_dropped")) for r in got.collect()} == {("l", 7, "x", 8, "y", 9)}
+
+
+def test_blocks_of_lines_go_whole(spark):
+    notice = ["This notice is shared by all", "its middle has two fixed neighbours", "and here the notice ends today"]
+    head, foot = ["Welcome to the weekly letters", "sent out by our own editors"], ["You can write to us", "at the address given below"]
+    own = lambda d, k: f"line {'abcdefgh'[k]} of {chr(97 + d)}{chr(98 + d)} alone"
+    texts = ["\n".join([*head, own(d, 0), *notice, own(d, 1), *foot]) for d in range(6)]
+    copied = [(20 + i, f"one whole text of two lines\nof which there are {i} copies in all") for i in range(8)]
+    got = {r.doc_id: r for r in dedup_lines(spark.createDataFrame([*enumerate(texts), *copied], "doc_id long, text string").repartition(3)).collect()}
+    assert got[0].text == texts[0] and all(got[d].text == f"{own(d, 0)}\n{own(d, 1)}" for d in range(1, 6))
+    # Copies, digits aside, are one text.
+    assert all(got[d].text == t for d, t in copied)

@@ -5,9 +5,10 @@ which fields with a digit count as variable; at the leaf, templates keep half of
 the remaining fields (those at even or at odd places) and let the other half
 vary, so that two lines of one leaf share a template if they agree in one of
 the halves. A template recurs if it stands in ``min_contexts`` or more
-different surroundings (the lines before and after it, as templates), so that
-a group of copies, however large, counts once. The first document that has a
-recurring template keeps its lines; all later ones lose them.
+different texts, compared as the templates of all their lines, so that a group
+of copies, however large, counts once, and a block of lines counts in each text
+that has it. The first document that has a recurring template keeps its lines;
+all later ones lose them.
 
 The tree is never gathered: its paths are hashed, and templates are counted in
 a grouping by path.
@@ -32,6 +33,7 @@ MIN_TOKENS = 4
 FREE_TOKENS = 10
 #: Leading tokens that stand in the tree.
 LEADING = 2
+#: Different texts in which a template stands.
 MIN_CONTEXTS = 3
 
 _DIGIT = re.compile(r"[0-9]")
@@ -66,15 +68,14 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for d, t in zip(ids, texts, strict=True):
             digest = _long(xxhash.xxh3_64_intdigest(t))
             lines = [masked(x) for x in t.decode().split("\n")]
-            marks = [" ".join(x) for x in lines]
+            whole = _long(xxhash.xxh3_64_intdigest("\n".join(" ".join(x) for x in lines).encode()))
             for k, tokens in enumerate(lines):
-                around = "\n".join((marks[k - 1] if k else "\r", marks[k + 1] if k + 1 < len(marks) else "\r"))
                 for path in templates(tokens):
                     h = xxhash.xxh3_128_intdigest(path.encode())
-                    for cell, v in zip(rows, (_long(h >> 64), _long(h & (1 << 64) - 1), _long(xxhash.xxh3_64_intdigest(around.encode())), d, digest, k), strict=True):
+                    for cell, v in zip(rows, (_long(h >> 64), _long(h & (1 << 64) - 1), whole, d, digest, k), strict=True):
                         cell.append(v)
         kinds = [pa.int64()] * 5 + [pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["hi", "lo", "around", "doc", "digest", "line"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["hi", "lo", "whole", "doc", "digest", "line"])
 
 
 def _drop(text: int, names: list[str]):
@@ -110,9 +111,9 @@ def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
     by_doc, by_digest, cut = (free_name(docs, n) for n in ("_doc", "_digest", "_gone"))
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID))
     text = F.col("text").cast("string").cast("binary")
-    paths = docs.select(own.alias("doc"), text.alias("text")).mapInArrow(_paths, "hi long, lo long, around long, doc long, digest long, line int")
+    paths = docs.select(own.alias("doc"), text.alias("text")).mapInArrow(_paths, "hi long, lo long, whole long, doc long, digest long, line int")
     recurring = (
-        paths.groupBy("hi", "lo", "around").agg(F.min("doc").alias("first"))
+        paths.groupBy("hi", "lo", "whole").agg(F.min("doc").alias("first"))
         .groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("first").alias("first"))
         .where(F.col("n") >= min_contexts).drop("n")
     )
