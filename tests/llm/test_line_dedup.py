@@ -89,3 +89,14 @@ def test_blocks_of_lines_go_whole(spark):
     assert got[0].text == texts[0] and all(got[d].text == f"{own(d, 0)}\n{own(d, 1)}" for d in range(1, 6))
     # Copies, digits aside, are one text.
     assert all(got[d].text == t for d, t in copied)
+
+
+def test_short_lines_go_too(spark):
+    own = lambda d: f"line of {chr(97 + d)}{chr(98 + d)} alone here"
+    texts = [f"{own(d)}\nAll rights reserved.\n\n{d}\n{d} of 12\n{'Rare.' if d < 9 else 'Other.'}" for d in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
+    assert got[0] == texts[0]
+    assert all(got[d] == f"{own(d)}\n\n{d}\n{'Rare.' if d < 9 else 'Other.'}" for d in range(1, 12))
+    # In fewer texts they stay.
+    assert {r.doc_id: r.text for r in dedup_lines(docs.where("doc_id < 9")).collect()} == dict(enumerate(texts[:9]))

@@ -7,8 +7,10 @@ vary, so that two lines of one leaf share a template if they agree in one of
 the halves. A template recurs if it stands in ``min_contexts`` or more
 different texts, compared as the templates of all their lines, so that a group
 of copies, however large, counts once, and a block of lines counts in each text
-that has it. The first document that has a recurring template keeps its lines;
-all later ones lose them.
+that has it. Lines of fewer than ``MIN_TOKENS`` tokens recur by chance more
+often; their one template is the whole line, and it has to stand in
+``min_short`` texts. The first document that has a recurring template keeps its
+lines; all later ones lose them.
 
 The tree is never gathered: its paths are hashed, and templates are counted in
 a grouping by path.
@@ -27,7 +29,7 @@ from pyspark.sql import types as T
 
 from tillroll.llm.common import MAX_ID, free_name, numbered, own_columns, text_rows
 
-#: Lines of fewer tokens are kept; shorter ones recur by chance.
+#: Lines of fewer tokens recur by chance; a stricter test holds for them.
 MIN_TOKENS = 4
 #: From here on, half of the fields may vary.
 FREE_TOKENS = 10
@@ -35,6 +37,8 @@ FREE_TOKENS = 10
 LEADING = 2
 #: Different texts in which a template stands.
 MIN_CONTEXTS = 3
+#: The same for short lines.
+MIN_SHORT = 10
 
 _DIGIT = re.compile(r"[0-9]")
 _FIELD = re.compile(r"\S*[0-9]\S*")
@@ -58,6 +62,12 @@ def templates(tokens: list[str]) -> list[str]:
     return [f"{head} even " + " ".join(tokens[LEADING::2]), f"{head} odd " + " ".join(tokens[LEADING + 1 :: 2])]
 
 
+def short_template(tokens: list[str]) -> list[str]:
+    """Path of a short line's template; none for one of variable fields alone."""
+    n = len(tokens)
+    return [f"{n} " + " ".join(tokens)] if n < MIN_TOKENS and any(x != "<*>" for x in tokens) else []
+
+
 def _long(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -70,8 +80,10 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = [masked(x) for x in t.decode().split("\n")]
             whole = _long(xxhash.xxh3_64_intdigest("\n".join(" ".join(x) for x in lines).encode()))
             for k, tokens in enumerate(lines):
-                for path in templates(tokens):
-                    h = xxhash.xxh3_128_intdigest(path.encode())
+                short = len(tokens) < MIN_TOKENS
+                for path in short_template(tokens) if short else templates(tokens):
+                    # The last bit tells short lines from others.
+                    h = xxhash.xxh3_128_intdigest(path.encode()) & ~1 | short
                     for cell, v in zip(rows, (_long(h >> 64), _long(h & (1 << 64) - 1), whole, d, digest, k), strict=True):
                         cell.append(v)
         kinds = [pa.int64()] * 5 + [pa.int32()]
@@ -97,12 +109,13 @@ def _drop(text: int, names: list[str]):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, min_short: int = MIN_SHORT) -> DataFrame:
     """The documents, all columns, with recurring lines cut from ``text``, and two
     columns more: _lines and _dropped, the numbers of lines before and of those cut
     (where the table has a column of such a name, that of ``free_name``).
 
-    Lines stand between \\n, tokens between white space. A null or empty text has
+    Lines stand between \n, tokens between white space. A blank line and one of
+    variable fields alone stay. A null or empty text has
     no lines and stays as it is; a text that loses all lines is empty. Rows of one
     doc_id count as one document, and a null doc_id as the last; the document of
     the least doc_id keeps a template's lines, repeated ones included. An empty
@@ -115,7 +128,7 @@ def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
     recurring = (
         paths.groupBy("hi", "lo", "whole").agg(F.min("doc").alias("first"))
         .groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("first").alias("first"))
-        .where(F.col("n") >= min_contexts).drop("n")
+        .where(F.col("n") >= F.when(F.col("lo").bitwiseAND(1) == 1, min_short).otherwise(min_contexts)).drop("n")
     )
     gone = paths.hint("merge").join(recurring, ["hi", "lo"]).where("doc > first").groupBy(F.col("doc").alias(by_doc), F.col("digest").alias(by_digest))
     gone = gone.agg(F.collect_set("line").alias(cut))
