@@ -68,3 +68,16 @@ def test_long_text_is_whole(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert result(docs) == []
+
+
+def test_rows_of_one_id_are_spread(spark):
+    rows = [(None if i % 2 else 7, f"{i} " + " ".join(f"w{(i * k) % 101}" for k in range(60))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(docs, block_bytes=2000) == brute(rows, 50)
+    # Each block is one group of the last step: no task has most of the rows.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [len(x) for x in dedup_substrings(docs, block_bytes=2000).rdd.glom().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < len(rows) // 2

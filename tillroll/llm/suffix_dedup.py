@@ -181,7 +181,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, block_bytes: int = B
     blocks = blocks_for(docs, "text", block_bytes)
     buckets = blocks + blocks // 2
     rows = docs.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"),
+        # By text too, so that rows without an id, or with one id, don't share a block.
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").cast("binary").alias("_text"),
     )
