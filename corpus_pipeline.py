@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import free_name, own_columns, read_table
+from tillroll.llm.common import MAX_ID, free_name, own_columns, read_table
 from tillroll.llm.decontaminate import find_benchmark
 from tillroll.llm.line_dedup import dedup_lines
 from tillroll.llm.minhash import near_duplicates
@@ -32,11 +32,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the least doc_id.
-    Rows with one doc_id are one document; those with a null doc_id stay."""
-    kept = near_duplicates(docs, PERCENT, SHINGLE, BANDS).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    known = docs.hint("merge").join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*own_columns(docs))
-    return known.union(docs.where("doc_id IS NULL"))
+    """One document of each group of near duplicates: that of the least doc_id,
+    then the least hash of the text. Rows of one doc_id are told apart by their
+    text; of rows of one doc_id and text, that of the least hash stays. Of the
+    rows without a doc_id in a group one stays too. Blank texts are linked with
+    nothing."""
+    own, none, key, row, left = (free_name(docs, n) for n in ("_own", "_none", "_key", "_row", "_left"))
+    ident = [F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID)).alias(own), F.col("doc_id").isNull().alias(none), F.xxhash64("text").alias(key)]
+    said = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+    texts = docs.where(said).select(F.xxhash64("text").alias("doc_id"), "text").groupBy("doc_id").agg(F.first("text").alias("text"))
+    found = near_duplicates(materialize(texts, "texts"), PERCENT, SHINGLE, BANDS).select(F.col("doc_id").alias(key), "component_id")
+    # The least of each text goes before the join, so that copies don't meet in it.
+    least = docs.where(said).select(*ident).groupBy(key, none).agg(F.min(own).alias(own))
+    kept = least.join(found, key).groupBy("component_id", none).agg(F.min(F.struct(own, key)).alias(row))
+    kept = kept.select(F.col(row)[own].alias(own), none, F.col(row)[key].alias(key), F.lit(True).alias(left))
+
+    # Maps have no hash of their own.
+    values = [F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c for c, f in zip(own_columns(docs), docs.schema.fields, strict=True)]
+    rows = docs.select(*ident, F.struct(*own_columns(docs)).alias(row), F.xxhash64(*values).alias(left))
+    rows = rows.groupBy(own, none, key).agg(F.min_by(row, left).alias(row))
+    joined = rows.hint("merge").join(kept, [own, none, key], "left").select(f"{row}.*", left)
+    return joined.where(F.col(left) | ~said).select(*own_columns(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,14 @@ def test_columns_of_the_codec_give_way(spark):
     docs = spark.createDataFrame([(1, "a b", "old", 5)], "doc_id long, text string, ids string, n_tokens int")
     out = corpus_pipeline.sentencepiece(spark, docs, "")
     assert out.columns == ["doc_id", "text", "n_tokens", "ids"] and len(out.first().ids) == out.first().n_tokens
+
+
+def test_near_dedup_tells_rows_of_one_id_apart(spark):
+    text = lambda k, n=40: " ".join(f"{k}word{i}" for i in range(n))
+    rows = [(1, text("a"), "x"), (1, text("b"), "x"), (2, text("b"), "x"), (3, text("c"), "y"), (3, text("c"), "x"), (4, text("c", 42), "x")]
+    rows += [(None, text("d"), "x")] * 5 + [(None, text("d", 41), "x"), (None, text("e"), "x"), (5, " ", "x"), (6, " ", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [corpus_pipeline.near_dedup(spark, docs.repartition(k), "").collect() for k in (1, 3)]
+    assert sorted(map(str, got[0])) == sorted(map(str, got[1]))
+    left = sorted((str(r.doc_id), r.text[:1]) for r in got[0])
+    assert left == [("1", "a"), ("1", "b"), ("3", "c"), ("5", " "), ("6", " "), ("None", "d"), ("None", "e")]
