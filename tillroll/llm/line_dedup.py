@@ -5,7 +5,8 @@ which fields with a digit count as variable; at the leaf, templates keep half of
 the remaining fields (those at even or at odd places) and let the other half
 vary, so that two lines of one leaf share a template if they agree in one of
 the halves. A template recurs if it stands in ``min_contexts`` or more
-different texts, compared as the templates of all their lines, so that a group
+different texts, compared as the templates of all their lines, or in as many
+different surroundings (the lines before and after it, as templates). So a group
 of copies, however large, counts once, and a block of lines counts in each text
 that has it. Lines of fewer than ``MIN_TOKENS`` tokens recur by chance more
 often; their one template is the whole line, and it has to stand in
@@ -35,9 +36,9 @@ MIN_TOKENS = 4
 FREE_TOKENS = 10
 #: Leading tokens that stand in the tree.
 LEADING = 2
-#: Different texts in which a template stands.
+#: Different texts or surroundings in which a template stands.
 MIN_CONTEXTS = 3
-#: The same for short lines.
+#: Different texts for short lines.
 MIN_SHORT = 10
 
 _DIGIT = re.compile(r"[0-9]")
@@ -74,20 +75,22 @@ def _long(x: int) -> int:
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts in text_rows(batches):
-        rows: list[list] = [[], [], [], [], [], []]
+        rows: list[list] = [[], [], [], [], [], [], []]
         for d, t in zip(ids, texts, strict=True):
             digest = _long(xxhash.xxh3_64_intdigest(t))
             lines = [masked(x) for x in t.decode().split("\n")]
-            whole = _long(xxhash.xxh3_64_intdigest("\n".join(" ".join(x) for x in lines).encode()))
+            marks = [" ".join(x) for x in lines]
+            whole = _long(xxhash.xxh3_64_intdigest("\n".join(marks).encode()))
             for k, tokens in enumerate(lines):
                 short = len(tokens) < MIN_TOKENS
+                around = _long(xxhash.xxh3_64_intdigest("\n".join((marks[k - 1] if k else "\r", marks[k + 1] if k + 1 < len(marks) else "\r")).encode()))
                 for path in short_template(tokens) if short else templates(tokens):
                     # The last bit tells short lines from others.
                     h = xxhash.xxh3_128_intdigest(path.encode()) & ~1 | short
-                    for cell, v in zip(rows, (_long(h >> 64), _long(h & (1 << 64) - 1), whole, d, digest, k), strict=True):
+                    for cell, v in zip(rows, (_long(h >> 64), _long(h & (1 << 64) - 1), whole, around, d, digest, k), strict=True):
                         cell.append(v)
-        kinds = [pa.int64()] * 5 + [pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["hi", "lo", "whole", "doc", "digest", "line"])
+        kinds = [pa.int64()] * 6 + [pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["hi", "lo", "whole", "around", "doc", "digest", "line"])
 
 
 def _drop(text: int, names: list[str]):
@@ -124,11 +127,13 @@ def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, min_short: in
     by_doc, by_digest, cut = (free_name(docs, n) for n in ("_doc", "_digest", "_gone"))
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID))
     text = F.col("text").cast("string").cast("binary")
-    paths = docs.select(own.alias("doc"), text.alias("text")).mapInArrow(_paths, "hi long, lo long, whole long, doc long, digest long, line int")
+    paths = docs.select(own.alias("doc"), text.alias("text")).mapInArrow(_paths, "hi long, lo long, whole long, around long, doc long, digest long, line int")
+    short = F.col("lo").bitwiseAND(1) == 1
     recurring = (
-        paths.groupBy("hi", "lo", "whole").agg(F.min("doc").alias("first"))
-        .groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("first").alias("first"))
-        .where(F.col("n") >= F.when(F.col("lo").bitwiseAND(1) == 1, min_short).otherwise(min_contexts)).drop("n")
+        paths.select("hi", "lo", "doc", F.inline(F.array(F.struct(F.lit(True).alias("text"), F.col("whole").alias("mark")), F.struct(F.lit(False).alias("text"), F.col("around").alias("mark")))))
+        .groupBy("hi", "lo", "text", "mark").agg(F.min("doc").alias("first"))
+        .groupBy("hi", "lo").agg(F.count_if("text").alias("texts"), F.count_if(~F.col("text")).alias("places"), F.min("first").alias("first"))
+        .where(F.when(short, F.col("texts") >= min_short).otherwise(F.greatest("texts", "places") >= min_contexts)).select("hi", "lo", "first")
     )
     gone = paths.hint("merge").join(recurring, ["hi", "lo"]).where("doc > first").groupBy(F.col("doc").alias(by_doc), F.col("digest").alias(by_digest))
     gone = gone.agg(F.collect_set("line").alias(cut))
