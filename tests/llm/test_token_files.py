@@ -26,7 +26,7 @@ def check(got, rows):
     got = sorted(got, key=lambda r: r.start)
     assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=str) == expect(rows)
     assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
-    ids = [-(2**63) if r.doc_id is None else r.doc_id for r in got]
+    ids = [-(2**63) - 1 if r.doc_id is None else r.doc_id for r in got]
     assert ids == sorted(ids)
 
 
@@ -41,19 +41,26 @@ def test_pack_round_trip(values):
 def test_block_round_trip():
     table = np.arange(1000, dtype="<u4")[::-1]
     ranks = np.array([0, 1, 999, 300, 255, 256, 7], np.uint32)
-    docs, counts, ids = tf.read_block(tf.write_block([5, 9], np.array([3, 4]), ranks), table)
-    assert (docs.tolist(), counts.tolist(), ids.tolist()) == ([5, 9], [3, 4], (999 - ranks.astype(int)).tolist())
+    docs, nulls, counts, ids = tf.read_block(tf.write_block([None, 9], np.array([3, 4]), ranks), table)
+    assert (docs.tolist(), nulls, counts.tolist(), ids.tolist()) == ([0, 9], 1, [3, 4], (999 - ranks.astype(int)).tolist())
     with pytest.raises(ValueError):
-        tf.read_block(b"TID0" + bytes(16), table)
+        tf.read_block(b"TID0" + bytes(24), table)
 
 
 def test_against_whole_text_encoding(spark, monkeypatch):
     monkeypatch.setattr(tf, "BLOCK_IDS", 200)
-    rows = [(7 * i % 101, t) for i, t in enumerate(ODD)] + [(3, "tie one"), (3, "tie one"), (3, "tie two"), (None, "no id")]
+    monkeypatch.setattr(tf, "FILE_GROUP", 2)
+    rows = [(7 * i % 101, t) for i, t in enumerate(ODD)] + [(3, "tie one"), (3, "tie one"), (3, "tie two"), (None, "no id"), (-(2**63), "least id"), (None, "")]
     docs = spark.createDataFrame([(d, t, 1, "z") for d, t in rows], "doc_id long, text string, n long, ids string").repartition(4)
     check(tf.token_files(docs, PATH).collect(), rows)
 
 
+def test_long_text_and_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(tf, "BATCH_BYTES", 1000)
+    rows = [(1, "Some words, and more. " * 250_000), (2, "x" * 30_000), *((k, f"short {k}") for k in range(3, 40))]
+    check(tf.token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), PATH).collect(), rows)
+
+
 def test_whole_table(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     check(tf.token_files(docs, PATH).collect(), [(r.doc_id, r.text) for r in docs.collect()])

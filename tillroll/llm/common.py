@@ -75,6 +75,8 @@ def words64(b: np.ndarray) -> np.ndarray:
 #: A value for each byte in hashes of words.
 BYTE_VALUES = np.random.default_rng(7).integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+#: Bytes of text for which powers are kept.
+_POWERS = (4 << 20) + (1 << 16)
 _powers: list[np.ndarray] = []
 
 
@@ -89,15 +91,19 @@ def hashed_words(texts: list[bytes], gap: np.ndarray, values: np.ndarray):
     the space). Returns the joined text, first byte and end of each word, its
     hash (of the ``values`` of its bytes), and the words of each text."""
     buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    if not _powers or len(_powers[0]) <= len(buffer):
-        size = max(len(buffer) + 1, 1 << 20)
-        _powers[:] = [np.cumprod(np.full(size, b, np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    powers = _powers
+    if not powers or len(powers[0]) <= len(buffer):
+        # Doubled up to the size of a batch; a longer text has powers of its own.
+        size = max(len(buffer) + 1, min(2 * len(buffer), _POWERS), 1 << 20)
+        powers = [np.cumprod(np.full(size, b, np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+        if size <= _POWERS:
+            _powers[:] = powers
     edge = np.diff(np.append(True, gap[buffer]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum(values[buffer] * _powers[0][: len(buffer)], out=total[1:])
-        h = (total[end] - total[start]) * _powers[1][start] + (end - start).astype(np.uint64) * _ODD[60]
+        np.cumsum(values[buffer] * powers[0][: len(buffer)], out=total[1:])
+        h = (total[end] - total[start]) * powers[1][start] + (end - start).astype(np.uint64) * _ODD[60]
     ends = np.cumsum([len(t) + 1 for t in texts])
     return buffer, start, end, mix64(h), np.diff(np.searchsorted(start, np.append(0, ends)))
 

@@ -7,8 +7,9 @@ a control byte, and the data bytes follow by themselves. A reader needs no
 branches: tables give the lengths and the sum of lengths of all 256 control
 bytes, and numpy gathers the bytes.
 
-Format of a block (little-endian): magic ``TID1``; number of documents n and of
-ids m (two unsigned 64-bit integers); n signed 64-bit doc_ids; n numbers of ids
+Format of a block (little-endian): magic ``TID2``; number of documents n, of
+ids m and of documents without a doc_id, which come first (three unsigned 64-bit
+integers); n signed 64-bit doc_ids (0 where there is none); n numbers of ids
 (unsigned 32-bit); the control bytes, (m + 3) // 4; the data bytes. The table of
 the ids in rank order stands in a file of its own.
 
@@ -21,23 +22,27 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import BYTE_VALUES, gap_table, shuffle_partitions, text_rows
 from tillroll.llm.units import UnitEncoder, encode_joined, encode_letters, threads
 from tillroll.session import ensure_checkpoint_dir, materialize, scratch_path
 
-MAGIC = b"TID1"
+MAGIC = b"TID2"
 #: Id that ends each document.
 END = 1
 #: Ids in a block, about.
 BLOCK_IDS = 1 << 20
 #: Bytes of coded documents that one file is made for.
 FILE_BYTES = 16 << 20
+#: Text that a worker encodes at a time, and files whose sizes are added up together.
+BATCH_BYTES = 2 << 20
+FILE_GROUP = 4096
 
 #: Lengths of the four numbers of each control byte, and their sums.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -63,23 +68,25 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
-def write_block(ids: list[int], counts: np.ndarray, ranks: np.ndarray) -> bytes:
+def write_block(ids: list[int | None], counts: np.ndarray, ranks: np.ndarray) -> bytes:
+    """A block of documents, those without an id first."""
     control, data = pack(ranks)
-    head = MAGIC + struct.pack("<QQ", len(ids), len(ranks))
-    return b"".join((head, np.array(ids, "<i8").tobytes(), counts.astype("<u4").tobytes(), control, data))
+    head = MAGIC + struct.pack("<QQQ", len(ids), len(ranks), ids.count(None))
+    docs = np.array([0 if i is None else i for i in ids], "<i8")
+    return b"".join((head, docs.tobytes(), counts.astype("<u4").tobytes(), control, data))
 
 
-def read_block(block: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_ids, numbers of ids, and ids of a block."""
+def read_block(block: bytes, table: np.ndarray) -> tuple[np.ndarray, int, np.ndarray, np.ndarray]:
+    """doc_ids, how many of the first are null, numbers of ids, and ids of a block."""
     if block[:4] != MAGIC:
         raise ValueError("not a block of token ids")
-    n, m = struct.unpack_from("<QQ", block, 4)
-    docs = np.frombuffer(block, "<i8", n, 20)
-    counts = np.frombuffer(block, "<u4", n, 20 + 8 * n)
-    at = 20 + 12 * n
+    n, m, nulls = struct.unpack_from("<QQQ", block, 4)
+    docs = np.frombuffer(block, "<i8", n, 28)
+    counts = np.frombuffer(block, "<u4", n, 28 + 8 * n)
+    at = 28 + 12 * n
     control = np.frombuffer(block, np.uint8, (m + 3) // 4, at)
     data = np.frombuffer(block, np.uint8, int(SUMS[control].sum()) - int(-m % 4), at + len(control))
-    return docs, counts, table[unpack(control, data, m)]
+    return docs, nulls, counts, table[unpack(control, data, m)]
 
 
 # ------------------------------------------------------------------ encoding
@@ -99,7 +106,9 @@ def _body(unit: str) -> str | None:
     return None
 
 
-def _encoder(path: str, parallel: int) -> tuple[tuple[UnitEncoder, UnitEncoder], object]:
+def _encoder(path: str, parallel: int):
+    """A function that gives the unit encoder without or with regard to case, each
+    made when it is first needed, and the tokenizer."""
     if path not in _encoders:
         from tokenizers import Tokenizer
 
@@ -119,8 +128,7 @@ def _encoder(path: str, parallel: int) -> tuple[tuple[UnitEncoder, UnitEncoder],
             coded.update(zip(others, encode_joined(tokenizer, others, " "), strict=True))
             return [coded[b] + stop[t[-1]] if b else coded[t] for t, b in zip(texts, bodies, strict=True)]
 
-        # Without and with regard to case.
-        _encoders[path] = ((UnitEncoder(encode), UnitEncoder(encode)), tokenizer)
+        _encoders[path] = (cache(lambda case: UnitEncoder(encode)), tokenizer)
     return _encoders[path]
 
 
@@ -137,14 +145,14 @@ def encode_words(tokenizer_path: str, parallel: int = 1, end: int = END):
         units, tokenizer = _encoder(tokenizer_path, parallel)
         wide = "<u4" if tokenizer.get_vocab_size() > 1 << 16 else "<u2"
         stop = np.array([end], wide).tobytes()
-        for ids, texts in text_rows(batches, 8 << 20):
+        for ids, texts in text_rows(batches, BATCH_BYTES):
             coded: list[bytes] = [b""] * len(texts)
             # Where a special token may stand, letters keep their case.
             special = [b"<|" in t for t in texts]
             for case, values in ((False, _LOWER), (True, BYTE_VALUES)):
                 own = [k for k, s in enumerate(special) if s is case]
                 if own:
-                    flat, n = units[case].batch([texts[k] for k in own], _GAP, values)
+                    flat, n = units(case).batch([texts[k] for k in own], _GAP, values)
                     flat, cuts = flat.astype(wide), np.cumsum(np.append(0, n)).tolist()
                     for k, a, z in zip(own, cuts[:-1], cuts[1:], strict=True):
                         coded[k] = flat[a:z].tobytes() + stop
@@ -168,9 +176,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, parallel: int = 1, end: int = END) -> None:
     """Encode each whole text, append ``end``, and write the ids below ``path``
     in ascending order of doc_id: ``ranks`` holds the ids by rank, ``ids`` the
-    blocks. A null or empty text has the end id alone. Rows with one doc_id stand
-    side by side in a fixed order; a row with a null doc_id comes first
-    and is kept as the least 64-bit integer. Extra columns are ignored."""
+    blocks. A null or empty text has the end id alone; a long one is encoded whole.
+    Rows with one doc_id stand side by side in a fixed order; rows with a null
+    doc_id come first. An empty table gives no blocks. Extra columns are ignored."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     coded = materialize(rows.mapInArrow(encode_words(tokenizer_path, parallel, end), "doc_id long, n long, ids binary"), "token-ids")
     spark = docs.sparkSession
@@ -183,7 +191,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, parallel:
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, number = None, 0
-        ids: list[int] = []
+        ids: list[int | None] = []
         parts: list[np.ndarray] = []
         size = 0
 
@@ -200,7 +208,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, parallel:
                     from pyspark import TaskContext
 
                     file = TaskContext.get().partitionId()
-                ids.append(np.iinfo(np.int64).min if d is None else d)
+                ids.append(d)
                 parts.append(rank[np.frombuffer(x, f"<u{len(x) // n}")])
                 size += n
                 if size >= BLOCK_IDS:
@@ -222,19 +230,28 @@ def read_token_files(spark, path: str, keep_ids: bool = False) -> DataFrame:
     integers) and, if ``keep_ids``, ``ids``."""
     table = np.frombuffer(spark.read.parquet(f"{path}/ranks").first()[0], "<u4")
     blocks = spark.read.parquet(f"{path}/ids")
-    # One small row for each block of a million ids.
-    order = Window.orderBy("file", "block")
-    before = blocks.select("file", "block", "n").withColumn("before", F.sum("n").over(order) - F.col("n")).drop("n")
+    # Sizes are added up within files, within groups of files, and over the groups.
+    sizes = blocks.select("file", "block", "n", F.expr(f"file div {FILE_GROUP}").alias("group"))
+    by_file = sizes.groupBy("group", "file").agg(F.sum("n").alias("n"))
+    by_group = by_file.groupBy("group").agg(F.sum("n").alias("n"))
+
+    def upto(key: str, *within: str) -> Column:
+        return F.sum("n").over(Window.partitionBy(*within).orderBy(key)) - F.col("n")
+
+    groups = by_group.select("group", upto("group").alias("before_group"))
+    files = by_file.select("group", "file", upto("file", "group").alias("before_file"))
+    before = sizes.select("group", "file", "block", upto("block", "group", "file").alias("before_block")).join(files, ["group", "file"]).join(groups, "group")
+    before = before.select("file", "block", (F.col("before_group") + F.col("before_file") + F.col("before_block")).alias("before"))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for f, b, data in zip(*(batch.column(k).to_pylist() for k in ("file", "block", "data")), strict=True):
-                docs, counts, ids = read_block(data, table)
+                docs, nulls, counts, ids = read_block(data, table)
                 cuts = np.cumsum(np.append(0, counts.astype(np.int64)))
                 raw = memoryview(ids.astype("<u4").tobytes())
                 n = len(docs)
                 columns = [
-                    pa.array(np.full(n, f)), pa.array(np.full(n, b)), pa.array(docs, mask=docs == np.iinfo(np.int64).min), pa.array(cuts[:-1]), pa.array(counts.astype(np.int64)),
+                    pa.array(np.full(n, f)), pa.array(np.full(n, b)), pa.array(docs, mask=np.arange(n) < nulls), pa.array(cuts[:-1]), pa.array(counts.astype(np.int64)),
                     pa.array([zlib.crc32(raw[4 * a : 4 * z]) for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], pa.int64()),
                 ]
                 names = ["file", "block", "doc_id", "at", "n_tokens", "ids_crc32"]
