@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, quality, token_counts
+from tillroll.llm import decontaminate, quality, secret_scan, source_audit, token_counts
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,13 +74,35 @@ def op10_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from tillroll.llm.alignment import alignment_report
+
+    return alignment_report(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.secret_report(read_table(spark, sf, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return source_audit.source_divergence(read_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_quality_rules, op3_token_counts, op4_decontaminate, op5_sentencepiece,
         op6_line_dedup, op7_html_extract, op8_language_id, op9_token_files, op10_minhash_dedup,
+        op11_token_alignment, op12_secret_scan, op13_source_divergence,
     )
 }
 
 #: DuckDB SQL for the same rows, where SQL can express them.
-ORACLES: dict[str, str] = {"op2_quality_rules": quality.ORACLE, "op4_decontaminate": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": quality.ORACLE,
+    "op4_decontaminate": decontaminate.ORACLE,
+    "op12_secret_scan": secret_scan.ORACLE,
+    "op13_source_divergence": source_audit.ORACLE,
+}
