@@ -278,7 +278,9 @@ def test_mining_keeps_every_basket_and_only_frequent_items(spark):
     rows = [(f"b{i}", x) for i in range(10) for x in ("p", "q")] + [("b0", "rare"), ("z", "p")]
     rows += [("r", "r1"), ("r", "r2"), ("r", None)]
     df = spark.createDataFrame(rows + rows, "InvoiceNo string, StockCode string")
-    got = [r.items for r in bk.mining_baskets(df, 0.5, "InvoiceNo", "StockCode").collect()]
-    assert sorted(got) == [[]] + [["p", "q"]] * 10  # the one-item basket z is gone
+    blocks, total, least = bk.mining_blocks(df, 0.5, "InvoiceNo", "StockCode")
+    row = blocks.first()
+    assert (total, least) == (11, 6)  # the one-item basket z is gone
+    assert (row.baskets, row.items, row.sizes) == (11, ["p", "q"], [10, 10])
     rules = {r.antecedent_str: r.support for r in bk.association_rules(df, 0.5, 0.2).collect()}
     assert rules == {"p": 10 / 11, "q": 10 / 11}

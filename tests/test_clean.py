@@ -154,3 +154,95 @@ def test_clean_with_waterfall_equals_both(spark, raw_small):
         assert cleaned.columns == want.columns
         assert cleaned.exceptAll(want).count() == 0 and want.exceptAll(cleaned).count() == 0
         assert stages.collect() == cl.quality_waterfall(raw_small).collect()
+
+
+# ------------------------------------------------ extra columns and odd numbers
+
+
+def _wide(spark, *extra):
+    """Two orders of one customer, of two lines and of one, with more columns."""
+    lines = [_line("1", "A"), _line("1", "B"), _line("2", "A", date="2010-12-05 10:00:00")]
+    df = raw_frame(spark, lines)
+    for name, value in extra:
+        df = df.withColumn(name, value)
+    return df
+
+
+def test_extra_column_named_like_the_line_count(spark):
+    from tillroll.operators import customers as cu
+    from tillroll.operators.rollup import invoice_rollup
+
+    for value in (F.lit(7), F.lit("many")):
+        cleaned = cl.clean(_wide(spark, ("Lines", value)))
+        for df in (cleaned, invoice_rollup(cleaned)):
+            row = cu.customer_frequency(df).first()
+            assert (row.PurchaseFrequency, row.TotalSpending, row.AvgOrderSpending) == (2, 4.5, 1.5)
+            assert cu.repurchase_gap_lines(df).first().value == 2.0
+        assert len({r.Lines for r in cleaned.collect()} & {7, "many"}) == 1
+
+
+def test_rollup_is_known_after_a_round_trip(spark, tmp_path):
+    from tillroll.functions.columns import line_count
+    from tillroll.operators.rollup import invoice_rollup
+
+    path = str(tmp_path / "rollup")
+    invoice_rollup(cl.clean(_wide(spark))).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert df.count() == 2 and df.agg(line_count(df)).first()[0] == 3
+
+
+def test_extra_columns_named_like_derived_ones_tell_lines_apart(spark):
+    df = raw_frame(spark, [_line()] * 3).withColumn("InvoiceDateTime", F.lit("x"))
+    two = df.union(raw_frame(spark, [_line()]).withColumn("InvoiceDateTime", F.lit("y")))
+    for name in ("InvoiceDateTime", "invoicehour", "TotalAmount", "OrderKey"):
+        wide = two.withColumnRenamed("InvoiceDateTime", name)
+        out = cl.clean(wide)
+        assert out.count() == 2 == [r.rows for r in cl.quality_waterfall(wide).orderBy("step").collect()][-1]
+        assert tuple(out.columns) == CLEAN_COLUMNS
+        assert {(r.InvoiceDateTime, r.InvoiceHour, r.TotalAmount, r.OrderKey) for r in out.collect()} == {(dt.datetime(2010, 12, 1, 8, 26), "08", 1.5, "1|17850")}
+
+
+def test_odd_column_names(spark):
+    from tillroll.session import scratch_scope
+
+    odd = ["Unit.Cost", "_n", "_k12", "n", "k1", "c0", "_parsed", "a`b", "two words"]
+    df = _wide(spark, *((n, F.lit(str(k))) for k, n in enumerate(odd)))
+    out = cl.clean(df)
+    assert out.columns == [*CLEAN_COLUMNS[:8], *odd, *CLEAN_COLUMNS[8:]]
+    assert [r.rows for r in cl.quality_waterfall(df).orderBy("step").collect()] == [3] * 7
+    with scratch_scope(spark):
+        cleaned, stages = cl.clean_with_waterfall(df)
+        assert sorted(map(tuple, cleaned.collect())) == sorted(map(tuple, out.collect()))
+        assert cleaned.columns == out.columns and [r.rows for r in stages.collect()] == [3] * 7
+
+
+def test_names_that_differ_in_case_are_refused(spark):
+    import pytest
+
+    from tillroll.functions.columns import ClashingColumnsError
+
+    df = _wide(spark).select("*", F.lit(1).alias("quantity"))
+    for run in (cl.clean, cl.quality_waterfall, cl.clean_with_waterfall):
+        with pytest.raises(ClashingColumnsError, match="quantity"):
+            run(df)
+
+
+def test_numbers_that_are_not_finite_are_not_positive(spark):
+    prices = [float("nan"), float("inf"), float("-inf"), 1.5]
+    df = raw_frame(spark, [_line(inv=str(k), price=p) for k, p in enumerate(prices)])
+    assert [r.InvoiceNo for r in cl.keep_positive(df).collect()] == ["3"]
+    assert [r.rows for r in cl.quality_waterfall(df).orderBy("step").collect()] == [4, 4, 1, 1, 1, 1, 1]
+    texts = [("NaN",), ("Infinity",), ("1e30",), ("9223372036854775808",), ("2",)]
+    quantities = raw_frame(spark, [_line()]).drop("Quantity").crossJoin(spark.createDataFrame(texts, "Quantity string"))
+    assert [r.Quantity for r in cl.clean(quantities).collect()] == [2]
+
+
+def test_money_beyond_its_range_is_an_error(spark):
+    import pytest
+    from pyspark.errors import ArithmeticException
+
+    from tillroll.operators import customers as cu
+
+    df = cl.clean(raw_frame(spark, [_line(price=1e31)]))
+    with pytest.raises(ArithmeticException):
+        cu.customer_frequency(df).collect()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.operators import baskets, customers, ranking
+from tillroll.operators import baskets, customers, itemsets, ranking
 from tillroll.plans.registry import ANALYSES
 from tillroll.schema import CLEAN_COLUMNS
 
@@ -49,7 +49,7 @@ def eager_plans(monkeypatch):
 
         return wrapped
 
-    for module in (ranking, baskets):
+    for module in (ranking, baskets, itemsets):
         monkeypatch.setattr(module, "materialize", recording(module.materialize))
     monkeypatch.setattr(ranking, "bounded_rows", recording(ranking.bounded_rows))
     return plans

@@ -6,6 +6,9 @@ whole-stage codegen; nothing here runs Python per row.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +23,42 @@ INVOICE_TS_FORMATS: tuple[str, ...] = (
     "dd/MM/yyyy H:mm",
 )
 
+# Quantities are longs: the least double that none holds.
+QUANTITY_BOUND = 2.0**63
+
 # Cancellation marker, blank-description filler, order-key separator.
 CANCELLATION_PREFIX = "C"
 UNKNOWN_PRODUCT = "Unknown Product"
 ORDER_KEY_SEPARATOR = "|"
 
 
+class ClashingColumnsError(ValueError):
+    """Raised for columns whose names differ in case alone: Spark can't tell
+    them apart."""
+
+
+def check_names(df: DataFrame) -> None:
+    """Raise ``ClashingColumnsError`` unless all column names differ."""
+    names = Counter(c.lower() for c in df.columns)
+    clashing = [c for c in df.columns if names[c.lower()] > 1]
+    if clashing:
+        raise ClashingColumnsError(f"columns of one name: {clashing}")
+
+
+def quoted(name: str) -> Column:
+    """The column of a name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, or with as many underscores before it as none of ``taken`` is
+    called so, in any case."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def _text(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return c.cast("string")
@@ -44,10 +77,15 @@ def not_cancelled(invoice: Column | str = "InvoiceNo", trimmed: bool = True) ->
 def positive_line(
     quantity: Column | str = "Quantity", price: Column | str = "UnitPrice"
 ) -> Column:
-    """Quantity and unit price both strictly positive, compared as doubles."""
+    """Quantity and unit price both strictly positive, compared as doubles.
+
+    A quantity that no long holds and a price that isn't finite are no numbers
+    to sum, and fail as well. NaN is greater than any number in Spark, so the
+    upper bounds reject it too.
+    """
     q = (F.col(quantity) if isinstance(quantity, str) else quantity).try_cast("double")
     p = (F.col(price) if isinstance(price, str) else price).try_cast("double")
-    return (q > 0) & (p > 0)
+    return (q > 0) & (p > 0) & (q < QUANTITY_BOUND) & (p < float("inf"))
 
 
 def filled_description(description: Column | str = "Description") -> Column:
@@ -115,8 +153,11 @@ def money_sum(col: Column | str = "TotalAmount") -> Column:
     return F.sum(money(col)).cast("double")
 
 
-# Column of an invoice rollup holding how many lines each row stands for.
+# Column of an invoice rollup holding how many lines each row stands for. A
+# rollup is known by a mark in the column's metadata, which Parquet keeps, and
+# not by its name, which a user's table may have.
 LINES = "Lines"
+LINES_MARK = {"tillroll.lines": True}
 
 
 def line_count(df: DataFrame) -> Column:
@@ -125,7 +166,8 @@ def line_count(df: DataFrame) -> Column:
     On the cleaned table every row is a line; on an invoice rollup
     (``operators.rollup``) each row carries its line count in ``Lines``.
     """
-    return F.sum(LINES) if LINES in df.columns else F.count(F.lit(1))
+    marked = [f.name for f in df.schema.fields if f.name == LINES and f.metadata == LINES_MARK]
+    return F.sum(LINES) if marked else F.count(F.lit(1))
 
 
 def money_per_line(df: DataFrame, col: Column | str = "TotalAmount") -> Column:

@@ -9,17 +9,23 @@ Catalyst fuses the row filters below the single de-duplication shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import (
+    check_names,
     filled_description,
+    free_name,
     invoice_timestamp,
     is_weekend,
     not_cancelled,
     order_key,
     positive_line,
+    quoted,
 )
+from tillroll.schema import DERIVED_COLUMNS
 from tillroll.session import materialize
 
 
@@ -88,44 +94,84 @@ def add_amounts(df: DataFrame) -> DataFrame:
     )
 
 
-def repartition_by_customer(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Hash-partition by CustomerID (optional; changes no row)."""
-    if partitions:
-        return df.repartition(partitions, "CustomerID")
-    return df.repartition("CustomerID")
+# Pieces of a heavy customer for each partition that its rows would fill.
+PIECES = 8
+
+
+def heavy_customers(df: DataFrame, partitions: int) -> DataFrame:
+    """(CustomerID, pieces) of customers with more rows than one of ``partitions``
+    should get, and in how many pieces they are cut, each ``PIECES`` times smaller than
+    that, as some fall together by chance. At most a row for each partition. One
+    pass over the column, by a frequent-items sketch that tasks merge; it tracks
+    several times as many customers as can be heavy."""
+    tracked = max(10_000, 8 * partitions)
+    row = df.agg(
+        F.count("CustomerID").alias("n"),
+        F.expr(f"approx_top_k(CAST(CustomerID AS STRING), {partitions}, {tracked})").alias("top"),
+    ).first()
+    share = max(1.0, row["n"] / partitions)
+    heavy = [(t["item"], math.ceil(PIECES * t["count"] / share)) for t in row["top"] if t["item"] is not None and t["count"] > share]
+    return df.sparkSession.createDataFrame(heavy, "CustomerID string, pieces int")
+
+
+def repartition_by_customer(
+    df: DataFrame, partitions: int | None = None, counted: DataFrame | None = None
+) -> DataFrame:
+    """Hash-partition by CustomerID (optional; changes no row).
+
+    Customers that would overfill their partition are cut in pieces by a hash of
+    the row, the others stay whole. They are looked for in ``counted``, lines whose
+    customers are about those of ``df``, and by default in ``df`` itself.
+    """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_customers(df if counted is None else counted, partitions)
+    key, pieces = (free_name(df.columns, n) for n in ("_customer", "_pieces"))
+    # A row for each partition at most.
+    heavy = F.broadcast(heavy.toDF(key, pieces))
+    joined = df.join(heavy, F.col("CustomerID") == F.col(key), "left")
+    piece = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.coalesce(F.col(pieces), F.lit(1)))
+    return joined.repartition(partitions, "CustomerID", piece).drop(key, pieces)
 
 
 def clean(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """The whole cleaning pipeline. Columns beyond the eight raw ones take
-    part in the de-duplication and reach the cleaned table.
+    part in the de-duplication and reach the cleaned table; a derived column
+    takes the place of one of its name, after the de-duplication. Names that
+    differ in case alone raise ``ClashingColumnsError``.
 
-    ``partitions`` reproduces the optional hash repartition by CustomerID;
-    by default no extra shuffle is added and AQE sizes the dedup output.
+    ``partitions`` reproduces the optional repartition by CustomerID; by default
+    no extra shuffle is added and AQE sizes the dedup output.
     """
+    check_names(df)
+    parsed = free_name(df.columns, "_parsed")
     lines = (
         df.transform(drop_cancelled)
         .transform(keep_positive)
         # Parsed once, before the dedup shuffle: the value is a function of
         # InvoiceDate, so carrying it does not change which rows are duplicates,
         # and the date filter is still applied after C3/C4 in rule order.
-        .withColumn("InvoiceDateTime", invoice_timestamp("InvoiceDate"))
+        .withColumn(parsed, invoice_timestamp("InvoiceDate"))
         .transform(drop_exact_duplicates)
     )
-    return _finish(lines, partitions)
+    return _finish(lines, parsed, partitions, df)
 
 
-def _finish(lines: DataFrame, partitions: int | None) -> DataFrame:
-    """The rules after the de-duplication, on distinct lines with their
-    ``InvoiceDateTime``."""
+def _finish(lines: DataFrame, parsed: str, partitions: int | None, raw: DataFrame) -> DataFrame:
+    """The rules after the de-duplication, on distinct lines with their time in
+    the column ``parsed``."""
+    derived = {c.lower() for c in DERIVED_COLUMNS}
     out = (
         lines.transform(require_customer)
-        .filter(F.col("InvoiceDateTime").isNotNull())
+        .filter(F.col(parsed).isNotNull())
+        .drop(*[c for c in lines.columns if c.lower() in derived])
+        .withColumnRenamed(parsed, "InvoiceDateTime")
         .transform(add_time_dimensions)
         .transform(add_order_key)
         .transform(add_amounts)
     )
     if partitions:
-        out = repartition_by_customer(out, partitions)
+        # Counted before the de-duplication, which would run a second time.
+        out = repartition_by_customer(out, partitions, raw.transform(drop_cancelled).transform(keep_positive))
     return out
 
 
@@ -134,11 +180,14 @@ def clean_with_waterfall(
 ) -> tuple[DataFrame, DataFrame]:
     """``clean(df)`` and ``quality_waterfall(df)`` from one read and one
     de-duplication of ``df``, whose counted distinct lines are written once."""
+    names = _numbered(df)
     lines = materialize(_counted_lines(df), "distinct-lines")
-    kept = lines.filter("_k12").select(
-        *df.columns, invoice_timestamp("InvoiceDate").alias("InvoiceDateTime")
+    parsed = free_name(df.columns, "_parsed")
+    kept = lines.filter("k12").select(
+        *[F.col(n).alias(c) for c, n in names.items()],
+        invoice_timestamp(names["InvoiceDate"]).alias(parsed),
     )
-    return _finish(kept, partitions), _waterfall(lines)
+    return _finish(kept, parsed, partitions, df), _waterfall(lines, names)
 
 
 # Stage labels of the data-quality waterfall, in order.
@@ -160,32 +209,36 @@ def quality_waterfall(df: DataFrame) -> DataFrame:
     only surviving lines are shuffled for the dedup; the post-dedup rules are
     evaluated once per distinct line. Output: ``(step, stage, rows)``.
     """
-    return _waterfall(_counted_lines(df))
+    return _waterfall(_counted_lines(df), _numbered(df))
+
+
+def _numbered(df: DataFrame) -> dict[str, str]:
+    """Working names of the columns, which no column's own name can clash with."""
+    check_names(df)
+    return {c: f"c{k}" for k, c in enumerate(df.columns)}
 
 
 def _counted_lines(df: DataFrame) -> DataFrame:
-    """Distinct lines with their number ``_n`` and the verdicts of the first
-    rule ``_k1`` and of both ``_k12``; the columns of failed lines are NULL."""
+    """Distinct lines under their working names, with their number ``n`` and the
+    verdicts of the first rule ``k1`` and of both ``k12``; the columns of failed
+    lines are NULL."""
+    names = _numbered(df)
     k1 = F.coalesce(not_cancelled("InvoiceNo"), F.lit(False))
     k12 = k1 & F.coalesce(positive_line("Quantity", "UnitPrice"), F.lit(False))
     keyed = df.select(
-        *[F.when(k12, F.col(c)).alias(c) for c in df.columns],
-        k1.alias("_k1"),
-        k12.alias("_k12"),
-    )
-    return keyed.groupBy(*df.columns, "_k1", "_k12").agg(
-        F.count(F.lit(1)).alias("_n")
+        *[F.when(k12, quoted(c)).alias(n) for c, n in names.items()], k1.alias("k1"), k12.alias("k12")
     )
+    return keyed.groupBy(*names.values(), "k1", "k12").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _waterfall(distinct_lines: DataFrame) -> DataFrame:
-    k4 = F.col("_k12") & F.col("CustomerID").isNotNull()
-    k6 = k4 & invoice_timestamp("InvoiceDate").isNotNull()
+def _waterfall(distinct_lines: DataFrame, names: dict[str, str]) -> DataFrame:
+    k4 = F.col("k12") & F.col(names["CustomerID"]).isNotNull()
+    k6 = k4 & invoice_timestamp(names["InvoiceDate"]).isNotNull()
     totals = distinct_lines.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("raw"),
-        F.coalesce(F.sum(F.when(F.col("_k1"), F.col("_n"))), F.lit(0)).alias("not_cancelled"),
-        F.coalesce(F.sum(F.when(F.col("_k12"), F.col("_n"))), F.lit(0)).alias("positive"),
-        F.count_if(F.col("_k12")).alias("deduplicated"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("raw"),
+        F.coalesce(F.sum(F.when(F.col("k1"), F.col("n"))), F.lit(0)).alias("not_cancelled"),
+        F.coalesce(F.sum(F.when(F.col("k12"), F.col("n"))), F.lit(0)).alias("positive"),
+        F.count_if(F.col("k12")).alias("deduplicated"),
         F.count_if(k4).alias("customer_present"),
         F.count_if(k6).alias("date_parsed"),
     ).withColumn("final", F.col("date_parsed"))

@@ -16,7 +16,8 @@ either input unchanged:
   group shares the date and hour, and the analyses read only those parts
   (months, years, day differences) or the minimum;
 * ``Lines`` carries the line count for the per-line averages
-  (``functions.columns.line_count``).
+  (``functions.columns.line_count``), under a mark that no column of a user's
+  table has.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import LINES, line_count, money
+from tillroll.functions.columns import LINES, LINES_MARK, line_count, money
 
 ROLLUP_KEYS: tuple[str, ...] = ("InvoiceNo", "CustomerID", "Country", "InvoiceDate", "InvoiceHour")
 
@@ -35,5 +36,5 @@ def invoice_rollup(df: DataFrame) -> DataFrame:
         F.min("InvoiceDateTime").alias("InvoiceDateTime"),
         F.sum(money("TotalAmount")).alias("TotalAmount"),
         F.sum("Quantity").alias("Quantity"),
-        line_count(df).alias(LINES),
+        line_count(df).alias(LINES, metadata=LINES_MARK),
     )

@@ -387,10 +387,35 @@ def oracle_queries() -> dict[str, str]:
         q[name] = _on_raw(f"SELECT {RAW_COLS}, {store} FROM raw_retail")
     # The extra column follows from Country, so it doesn't change what is a duplicate.
     q["clean_retail_extra_column"] = _on_clean(f"SELECT *, {store} FROM clean")
+    # A derived column takes the place of an extra one of its name.
+    clashing = '7 AS Lines, CAST(length(StockCode) AS INTEGER) AS _n, UnitPrice / 2 AS "Unit.Cost"'
+    q["clean_retail_clashing_columns"] = _on_clean(f"SELECT *, {clashing} FROM clean")
+    q["customer_frequency_clashing_columns"] = _on_clean(CUSTOMER_FREQUENCY)
+    q["quality_waterfall_clashing_columns"] = _on_clean(WATERFALL)
+    late = "COALESCE(InvoiceNo >= '3', TRUE)"
+    q["scan_csv_mixed_headers"] = _on_raw(
+        f"SELECT {RAW_COLS}, CASE WHEN {late} THEN 'S-' || COALESCE(Country, '') END AS Store FROM raw_retail"
+    )
+    q["ingest_checksums"] = _on_raw(
+        "SELECT COUNT(*) AS lines, TRUE AS same_bytes, TRUE AS same_manifest FROM raw_retail"
+    )
     text = "InvoiceNo, StockCode, Description, InvoiceDate, CustomerID, Country"
     q["sample_rows"] = _on_raw(
         f"SELECT {RAW_COLS} FROM raw_retail WHERE substr(md5(concat_ws('|', {text}, '42')), 1, 8) < '40000000'"
     )
+    q["sample_rows_by_identity"] = _on_raw(
+        "SELECT COUNT(*) AS lines, TRUE AS within_bounds, TRUE AS subset_and_repeatable, "
+        "TRUE AS equal_rows_apart FROM raw_retail"
+    )
+    one = "CASE WHEN CAST(StockCode AS BIGINT) % 3 = 0 THEN '1' ELSE CustomerID END"
+    q["repartition_heavy_customer"] = (
+        _with(
+            RAW_CTE.replace("raw_retail AS (", "raw_lines AS ("),
+            f"raw_retail AS (SELECT * REPLACE ({one} AS CustomerID) FROM raw_lines)",
+            CLEAN_CTE,
+        )
+        + "\nSELECT COUNT(*) AS lines, TRUE AS spread, TRUE AS same_lines FROM clean"
+    )
     q["parquet_roundtrip"] = _on_clean("SELECT * FROM clean")
     q["csv_roundtrip"] = _on_clean(DAILY_SALES)
     q["export_single_csv"] = _on_clean(COUNTRY_SALES)
@@ -430,6 +455,9 @@ def oracle_queries() -> dict[str, str]:
     q["association_rules"] = _on_clean(
         RULES_SELECT, _baskets_cte("clean", "InvoiceNo", "StockCode"), _rules_cte(0.01, 0.2)
     )
+    q["association_rules_items"] = _on_clean(
+        RULES_SELECT, _baskets_cte("clean", "InvoiceNo", "StockCode"), _rules_cte(0.0003, 0.05)
+    )
     q["association_rules_brand"] = (
         _with(
             BRAND_LINES_CTE,

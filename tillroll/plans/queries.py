@@ -17,11 +17,12 @@ from tillroll.operators import baskets as bk
 from tillroll.operators import clean as cl
 from tillroll.operators import customers as cu
 from tillroll.operators import sales as sa
-from tillroll.operators.sampling import sample_rows
+from tillroll.operators.sampling import sample_by_text, sample_rows
 from tillroll.plans import benchmark as bm
 from tillroll.plans.registry import run_all, verify_outputs
 from tillroll.schema import CLEAN_COLUMNS
 from tillroll.session import ensure_checkpoint_dir, scratch_path
+from tillroll.sources import files as fl
 from tillroll.sources import readers as rd
 from tillroll.sources import sinks as sk
 from tillroll.sources.fixtures import brand_order_lines, raw_retail_lines
@@ -78,6 +79,58 @@ def clean_retail_extra_column(spark: SparkSession, sf: str) -> DataFrame:
     return cl.clean(_with_store(_raw(spark, sf)))
 
 
+def _with_clashing(df: DataFrame) -> DataFrame:
+    """More columns, named like derived and working ones; none tells lines apart
+    that the raw columns don't."""
+    return df.select(
+        "*",
+        F.lit(7).alias("Lines"),
+        F.concat(F.lit("at "), "InvoiceDate").alias("InvoiceDateTime"),
+        F.length("StockCode").alias("_n"),
+        (F.col("UnitPrice") / 2).alias("Unit.Cost"),
+    )
+
+
+def clean_retail_clashing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return cl.clean(_with_clashing(_raw(spark, sf)))
+
+
+def customer_frequency_clashing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return cu.customer_frequency(clean_retail_clashing_columns(spark, sf))
+
+
+def quality_waterfall_clashing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return cl.quality_waterfall(_with_clashing(_raw(spark, sf)))
+
+
+def scan_csv_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder whose files have two headers: the raw columns, and one more column
+    before the others in reverse order."""
+    path = scratch_path(spark, "raw-csv")
+    raw = _raw(spark, sf)
+    late = F.coalesce(F.col("InvoiceNo") >= "3", F.lit(True))
+    sk.write_raw_csv(raw.where(~late), path)
+    sk.write_raw_csv(_with_store(raw.where(late)), path, mode="append")
+    return rd.load_retail(spark, path, "csv")
+
+
+def ingest_checksums(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines landed, and whether all files of the raw zone have the bytes of their
+    sources, as read anew and as the manifest says, also after a landing of other files
+    in skip mode."""
+    source, other, target = (scratch_path(spark, n) for n in ("raw-csv", "raw-csv", "raw-zone"))
+    sk.write_raw_csv(_raw(spark, sf), source)
+    sk.write_raw_csv(_with_store(_raw(spark, sf)), other)
+    sk.ingest_raw(spark, source, target, mode="overwrite")
+    sk.ingest_raw(spark, other, target, mode="skip")
+    want, got, said = fl.file_digests(spark, source), fl.file_digests(spark, target), fl.read_manifest(spark, target)
+    same = [
+        want.exceptAll(x).count() == 0 and x.exceptAll(want).count() == 0 for x in (got, said)
+    ]  # a row for each file
+    lines = rd.read_raw(spark, target, "csv").agg(F.count(F.lit(1)).alias("lines"))
+    return lines.select("lines", F.lit(same[0]).alias("same_bytes"), F.lit(same[1]).alias("same_manifest"))
+
+
 def scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "raw-parquet")
     sk.write_parquet(_raw(spark, sf), path)
@@ -216,6 +269,12 @@ def association_rules_brand(spark, sf):
     )
 
 
+def association_rules_items(spark, sf):
+    """Rules between the stock codes of the cleaned lines, with a support low enough
+    for pairs of them."""
+    return bk.association_rules(_clean(spark, sf), 0.0003, 0.05)
+
+
 def frequent_itemsets_brand(spark, sf):
     return bk.frequent_itemsets(
         brand_order_lines(spark, sf), 0.01, basket_col="InvoiceNo", item_col="p_brand"
@@ -264,7 +323,49 @@ def _bench(key: str) -> Query:
 
 
 def sample_rows_query(spark, sf):
-    return sample_rows(_raw(spark, sf), 0.25, seed=42)
+    return sample_by_text(_raw(spark, sf), 0.25, seed=42)
+
+
+def sample_rows_by_identity(spark, sf):
+    """Rows in all, and whether a sample of a quarter is within five standard
+    deviations, a part of the rows (as often as they stand there at most), the same
+    when it is drawn again, and not all or none of each group of equal rows."""
+    path = scratch_path(spark, "raw-parquet")
+    sk.write_parquet(_raw(spark, sf), path)
+    raw = spark.read.parquet(path)
+    drawn = sample_rows(raw, 0.25, seed=42)
+    of = F.struct(*raw.columns)
+    both = raw.select(of.alias("r"), F.lit(1).alias("all"), F.lit(0).alias("a"), F.lit(0).alias("b"))
+    for k in (0, 1):
+        again = sample_rows(spark.read.parquet(path), 0.25, seed=42) if k else drawn
+        both = both.union(again.select(F.struct(*raw.columns), F.lit(0), F.lit(1 - k), F.lit(k)))
+    rows = both.groupBy("r").agg(F.sum("all").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    n, a = F.sum("n"), F.sum("a")
+    return rows.agg(
+        n.alias("lines"),
+        (F.abs(a - n / 4) <= 5 * F.sqrt(n * 3 / 16)).alias("within_bounds"),
+        F.bool_and((F.col("a") <= F.col("n")) & (F.col("a") == F.col("b"))).alias("subset_and_repeatable"),
+        F.bool_or((F.col("a") > 0) & (F.col("a") < F.col("n"))).alias("equal_rows_apart"),
+    )
+
+
+def repartition_heavy_customer(spark, sf):
+    """Lines, and whether none of 16 partitions has more than twice its share when one
+    customer has a third of the lines, and all lines are there."""
+    one = F.when(F.col("StockCode").cast("long") % 3 == 0, F.lit("1")).otherwise(F.col("CustomerID"))
+    raw = _raw(spark, sf).withColumn("CustomerID", one)
+    path = scratch_path(spark, "cleaned")
+    sk.write_parquet(cl.clean(raw), path)
+    lines = spark.read.parquet(path)
+    dealt = cl.repartition_by_customer(lines, 16)
+    hashes = F.sum(F.xxhash64(*lines.columns).cast("decimal(38,0)"))
+    whole = lines.agg(hashes.alias("h")).scalar()
+    parts = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), hashes.alias("h"))
+    return parts.agg(
+        F.sum("n").alias("lines"),
+        (F.max("n") * 16 <= 2 * F.sum("n")).alias("spread"),
+        (F.sum("h") == whole).alias("same_lines"),
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -280,6 +381,11 @@ QUERIES: dict[str, Query] = {
     "scan_csv_reordered": scan_csv_reordered,
     "ingest_raw_extra_columns": ingest_raw_extra_columns,
     "clean_retail_extra_column": clean_retail_extra_column,
+    "clean_retail_clashing_columns": clean_retail_clashing_columns,
+    "customer_frequency_clashing_columns": customer_frequency_clashing_columns,
+    "quality_waterfall_clashing_columns": quality_waterfall_clashing_columns,
+    "scan_csv_mixed_headers": scan_csv_mixed_headers,
+    "ingest_checksums": ingest_checksums,
     "run_all": run_all_query,
     "verify_outputs": verify_outputs_query,
     # cleaning
@@ -294,6 +400,7 @@ QUERIES: dict[str, Query] = {
     "total_amount": total_amount,
     "clean_retail": lambda spark, sf: _clean(spark, sf),
     "repartition_by_key": repartition_by_key,
+    "repartition_heavy_customer": repartition_heavy_customer,
     "quality_waterfall": quality_waterfall,
     # analyses
     "daily_sales": _on_clean(sa.daily_sales),
@@ -305,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "rfm_segments": _on_clean(cu.rfm_segments),
     "baskets": _on_clean(bk.basket_table),
     "association_rules": _on_clean(bk.association_rules),
+    "association_rules_items": association_rules_items,
     "association_rules_brand": association_rules_brand,
     "frequent_itemsets_brand": frequent_itemsets_brand,
     "association_rules_type": association_rules_type,
@@ -324,4 +432,5 @@ QUERIES: dict[str, Query] = {
     "bench_sum_by_country": _bench("Country"),
     "bench_sum_by_customer": _bench("CustomerID"),
     "sample_rows": sample_rows_query,
+    "sample_rows_by_identity": sample_rows_by_identity,
 }

@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.sources.readers import RAW_CSV_OPTIONS, _check_format, read_text_csv
+from tillroll.sources.files import copy_files
+from tillroll.sources.readers import RAW_CSV_OPTIONS, DataNotFoundError, _check_format
 
 # CSV output keeps leading/trailing blanks (Spark trims them by default on write).
 _CSV_WRITE_OPTIONS: dict[str, str] = {
@@ -16,7 +17,7 @@ _CSV_WRITE_OPTIONS: dict[str, str] = {
 }
 
 # Ingest modes: overwrite the target, or leave an existing target untouched.
-INGEST_MODES = {"overwrite": "overwrite", "skip": "ignore"}
+INGEST_MODES = ("overwrite", "skip")
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -35,16 +36,20 @@ def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def ingest_raw(
     spark: SparkSession, source: str, target: str, *, mode: str = "overwrite"
 ) -> None:
-    """Land a raw CSV (file or folder) in the raw zone.
+    """Land raw files (a file or a folder) in the raw zone, byte by byte.
 
     ``mode="overwrite"`` replaces the target; ``mode="skip"`` leaves an
-    existing target as it is. All columns and values are copied as text; the
-    copy is a distributed Spark job that re-emits every part with its own header.
+    existing target as it is. The bytes are copied by a distributed job
+    (``sources.files.copy_files``) that leaves a manifest with the size and a
+    digest of each file.
     """
-    m = INGEST_MODES.get(mode.lower().strip())
-    if m is None:
+    m = mode.lower().strip()
+    if m not in INGEST_MODES:
         raise ValueError(f"unsupported ingest mode: {mode!r}")
-    write_raw_csv(read_text_csv(spark, source, nullValue=""), target, mode=m)
+    try:
+        copy_files(spark, source, target, replace=m == "overwrite")
+    except FileNotFoundError as e:
+        raise DataNotFoundError(source) from e
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
