@@ -7,19 +7,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import line_count, money_per_line, money_sum
+from tillroll.functions.columns import money_sum
+from tillroll.operators.profiles import customer_profile, is_profile
 from tillroll.operators.ranking import quantiles, with_ntiles
+from tillroll.operators.sketches import sketched_quantiles
 
 
 def customer_frequency(df: DataFrame) -> DataFrame:
     """A4: per customer, distinct invoices, total amount and mean amount per
     *line* (reported under the name AvgOrderSpending)."""
+    spent = F.col("Amount").cast("double")
     return (
-        df.groupBy("CustomerID")
-        .agg(
-            F.countDistinct("InvoiceNo").alias("PurchaseFrequency"),
-            money_sum("TotalAmount").alias("TotalSpending"),
-            money_per_line(df, "TotalAmount").alias("AvgOrderSpending"),
+        customer_profile(df)
+        .select(
+            "CustomerID",
+            F.col("Invoices").alias("PurchaseFrequency"),
+            spent.alias("TotalSpending"),
+            (spent / F.col("Lines").cast("double")).alias("AvgOrderSpending"),
         )
         .orderBy(F.desc("TotalSpending"), "CustomerID")
     )
@@ -31,9 +35,9 @@ def first_purchase_distribution(df: DataFrame) -> DataFrame:
     The earliest purchase is a per-customer ``min`` (partial aggregation, no
     sort); only its month is read, so ties do not matter.
     """
-    first = df.groupBy("CustomerID").agg(F.min("InvoiceDateTime").alias("_first"))
     return (
-        first.groupBy(F.date_format("_first", "yyyy-MM").alias("first_month"))
+        customer_profile(df)
+        .groupBy(F.date_format("FirstTime", "yyyy-MM").alias("first_month"))
         .agg(F.count(F.lit(1)).alias("NewCustomers"))
         .orderBy("first_month")
     )
@@ -66,17 +70,15 @@ def rfm_scores(df: DataFrame) -> DataFrame:
 
     The reference date is a scalar subquery, not a driver round trip.
     """
-    ref = df.select(F.max("InvoiceDateTime")).scalar()
-    per_c = df.groupBy("CustomerID").agg(
-        F.max("InvoiceDateTime").alias("_last"),
-        F.countDistinct("InvoiceNo").alias("Frequency"),
-        money_sum("TotalAmount").alias("Monetary"),
-    )
-    return per_c.select(
+    customers = customer_profile(df)
+    # The latest purchase of all is that of some customer; of lines, it is read without
+    # the aggregation.
+    ref = customers.select(F.max("LastTime")) if is_profile(df) else df.select(F.max("InvoiceDateTime"))
+    return customers.select(
         "CustomerID",
-        F.datediff(ref, F.col("_last")).alias("RecencyDays"),
-        "Frequency",
-        "Monetary",
+        F.datediff(ref.scalar(), F.col("LastTime")).alias("RecencyDays"),
+        F.col("Invoices").alias("Frequency"),
+        F.col("Amount").cast("double").alias("Monetary"),
     )
 
 
@@ -137,16 +139,12 @@ def _repurchase_metrics(df: DataFrame) -> DataFrame:
     telescope: for a customer with n lines they sum to datediff(last, first)
     over n - 1 gaps, so no lines are sorted.
     """
-    per_c = df.groupBy("CustomerID").agg(
-        F.countDistinct("InvoiceNo").alias("_orders"),
-        line_count(df).alias("_n"),
-        F.datediff(F.max("InvoiceDateTime"), F.min("InvoiceDateTime")).alias("_span"),
-    )
-    return per_c.agg(
+    span = F.datediff("LastTime", "FirstTime")
+    return customer_profile(df).agg(
         F.count(F.lit(1)).cast("double").alias("customer_cnt"),
-        F.count_if(F.col("_orders") >= 2).cast("double").alias("repeat_customers"),
+        F.count_if(F.col("Invoices") >= 2).cast("double").alias("repeat_customers"),
         F.try_divide(
-            F.sum("_span").cast("double"), F.sum(F.col("_n") - 1).cast("double")
+            F.sum(span).cast("double"), F.sum(F.col("Lines") - 1).cast("double")
         ).alias(GAP_METRIC),
     ).withColumn(
         "repurchase_rate", F.try_divide(F.col("repeat_customers"), F.col("customer_cnt"))
@@ -202,12 +200,20 @@ def repurchase_gap_orders(df: DataFrame) -> DataFrame:
     ).select(F.lit("avg_repurchase_gap_days_orders").alias("metric"), "value")
 
 
-def user_behavior_summary(df: DataFrame, *, exact_quantile: bool = True) -> DataFrame:
+def order_value_quantiles_sketched(sketches: DataFrame) -> DataFrame:
+    """Quartiles from sketches kept by day (``operators.sketches.day_sketches``)."""
+    return sketched_quantiles(sketches, QUANTILE_PROBS, QUANTILE_METRICS)
+
+
+def user_behavior_summary(
+    df: DataFrame, *, exact_quantile: bool = True, customers: DataFrame | None = None
+) -> DataFrame:
     """Seven (metric, value) rows: repurchase counts and rate, order-value
-    quartiles, mean line-level repurchase gap."""
+    quartiles, mean line-level repurchase gap. ``customers`` may give the customer
+    profile of ``df``, if there is one."""
     quartiles = order_value_quantiles(df) if exact_quantile else order_value_quantiles_approx(df)
     layout = F.array(*[F.lit(m) for m in (*SUMMARY_METRICS, *QUANTILE_METRICS, GAP_METRIC)])
-    metrics = _repurchase_metrics(df).unpivot(
+    metrics = _repurchase_metrics(df if customers is None else customers).unpivot(
         [], [*SUMMARY_METRICS, GAP_METRIC], "metric", "value"
     )
     return metrics.unionByName(quartiles).orderBy(F.array_position(layout, F.col("metric")))

@@ -455,8 +455,8 @@ def oracle_queries() -> dict[str, str]:
     q["association_rules"] = _on_clean(
         RULES_SELECT, _baskets_cte("clean", "InvoiceNo", "StockCode"), _rules_cte(0.01, 0.2)
     )
-    q["association_rules_items"] = _on_clean(
-        RULES_SELECT, _baskets_cte("clean", "InvoiceNo", "StockCode"), _rules_cte(0.0003, 0.05)
+    q["association_rules_description"] = _on_clean(
+        RULES_SELECT, _baskets_cte("clean", "InvoiceNo", "Description"), _rules_cte(0.005, 0.05)
     )
     q["association_rules_brand"] = (
         _with(
@@ -504,6 +504,7 @@ def oracle_queries() -> dict[str, str]:
     q["repurchase_summary"] = _on_clean(REPURCHASE_SUMMARY, REPURCHASE_CTE)
     q["order_value_quantiles"] = _on_clean(ORDER_VALUE_QUANTILES, QUANTILE_CTE)
     q["order_value_quantiles_approx"] = _on_clean(ORDER_VALUE_QUANTILES_APPROX, QUANTILE_CTE)
+    q["order_value_rank_error_by_day"] = _on_clean(ORDER_VALUE_RANK_ERROR, QUANTILE_CTE)
     q["order_value_rank_error"] = _on_clean(ORDER_VALUE_RANK_ERROR, QUANTILE_CTE)
     q["repurchase_gap_lines"] = _on_clean(GAP_LINES)
     q["repurchase_gap_orders"] = _on_clean(GAP_ORDERS)

@@ -17,6 +17,7 @@ from tillroll.operators import baskets as bk
 from tillroll.operators import clean as cl
 from tillroll.operators import customers as cu
 from tillroll.operators import sales as sa
+from tillroll.operators import sketches
 from tillroll.operators.sampling import sample_by_text, sample_rows
 from tillroll.plans import benchmark as bm
 from tillroll.plans.registry import run_all, verify_outputs
@@ -269,10 +270,10 @@ def association_rules_brand(spark, sf):
     )
 
 
-def association_rules_items(spark, sf):
-    """Rules between the stock codes of the cleaned lines, with a support low enough
-    for pairs of them."""
-    return bk.association_rules(_clean(spark, sf), 0.0003, 0.05)
+def association_rules_description(spark, sf):
+    """Rules between the descriptions of the cleaned lines, of which fewer are told
+    apart than of stock codes."""
+    return bk.association_rules(_clean(spark, sf), 0.005, 0.05, item_col="Description")
 
 
 def frequent_itemsets_brand(spark, sf):
@@ -290,8 +291,19 @@ def association_rules_type(spark, sf):
 def order_value_rank_error(spark, sf, accuracy: int = 20):
     """Per approximate quartile: is its rank off by at most 1/accuracy of the
     invoices. The bound is coarse, so that ranges do stay open at small sizes."""
-    values = cu.order_values(_clean(spark, sf))
     approx = cu.order_value_quantiles_approx(_clean(spark, sf), accuracy=accuracy)
+    return _rank_error(cu.order_values(_clean(spark, sf)), approx, accuracy)
+
+
+def order_value_rank_error_by_day(spark, sf, accuracy: int = 100):
+    """The same of the quartiles from sketches kept by day, within a hundredth."""
+    path = scratch_path(spark, "day-sketches")
+    sk.write_parquet(sketches.day_sketches(_clean(spark, sf)), path)
+    approx = cu.order_value_quantiles_sketched(spark.read.parquet(path))
+    return _rank_error(cu.order_values(_clean(spark, sf)), approx, accuracy)
+
+
+def _rank_error(values, approx, accuracy: int):
     prob = F.create_map(
         *[F.lit(x) for pair in zip(cu.QUANTILE_METRICS, cu.QUANTILE_PROBS) for x in pair]
     )
@@ -412,7 +424,7 @@ QUERIES: dict[str, Query] = {
     "rfm_segments": _on_clean(cu.rfm_segments),
     "baskets": _on_clean(bk.basket_table),
     "association_rules": _on_clean(bk.association_rules),
-    "association_rules_items": association_rules_items,
+    "association_rules_description": association_rules_description,
     "association_rules_brand": association_rules_brand,
     "frequent_itemsets_brand": frequent_itemsets_brand,
     "association_rules_type": association_rules_type,
@@ -420,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "order_value_quantiles": _on_clean(cu.order_value_quantiles),
     "order_value_quantiles_approx": _on_clean(cu.order_value_quantiles_approx),
     "order_value_rank_error": order_value_rank_error,
+    "order_value_rank_error_by_day": order_value_rank_error_by_day,
     "repurchase_gap_lines": _on_clean(cu.repurchase_gap_lines),
     "repurchase_gap_orders": _on_clean(cu.repurchase_gap_orders),
     "user_behavior_summary": _on_clean(cu.user_behavior_summary),

@@ -29,10 +29,11 @@ from tillroll.operators.sales import (
     product_seasonality,
     top_products,
 )
+from tillroll.operators.profiles import customer_profile
 from tillroll.operators.rollup import invoice_rollup
 from tillroll.session import materialize, scratch_scope
 from tillroll.sources.readers import _check_format, load_retail, read_table
-from tillroll.sources.sinks import export_single_csv, ingest_raw, write_parquet, write_result
+from tillroll.sources.sinks import export_single_csv, ingest_raw, write_parquet, write_result, written_rows
 
 Analysis = Callable[[DataFrame], DataFrame]
 
@@ -55,6 +56,10 @@ RESULT_NAMES: tuple[str, ...] = tuple(n for n, _ in ANALYSES)
 # Results that need individual lines (item codes, descriptions, baskets);
 # every other result is computed equally from the invoice rollup.
 LINE_GRAIN: frozenset[str] = frozenset({"top20_products", "association_rules"})
+# Results that are computed from one row for each customer.
+CUSTOMER_GRAIN: frozenset[str] = frozenset(
+    {"customer_frequency", "rfm_segments", "first_purchase_distribution"}
+)
 # Results whose size does not grow with the number of customers, lines or
 # rules (calendar days and months, countries, hours, top 20, seven metrics):
 # only these may be exported as one file.
@@ -112,7 +117,8 @@ def run_all(
     ``cleaned`` should be a scan of the cleaned zone. With ``rollup`` the
     lines are aggregated once to invoice grain, written below the checkpoint
     folder, and the ten invoice-grain results read that instead of scanning
-    and shuffling the line table ten times; the results are identical.
+    and shuffling the line table ten times; the results are identical. The
+    results about customers share one aggregate of it, the customer profile.
 
     The results are independent, so up to ``concurrent_jobs`` of them are
     submitted at once from driver threads; the scheduler fills task slots a
@@ -135,12 +141,18 @@ def run_all(
 
 def _write_results(spark, cleaned, root, todo, fmt, rollup, concurrent_jobs,
                    export_root) -> None:
-    invoice_grain = cleaned
-    if rollup and {n for n, _ in todo} - LINE_GRAIN:
-        invoice_grain = materialize(invoice_rollup(cleaned), "invoice-rollup")
+    wanted = {n for n, _ in todo}
+    invoice_grain = customers = cleaned
+    if rollup and wanted - LINE_GRAIN:
+        invoice_grain = customers = materialize(invoice_rollup(cleaned), "invoice-rollup")
+    if rollup and wanted & (CUSTOMER_GRAIN | {"user_behavior_summary"}):
+        customers = materialize(customer_profile(invoice_grain), "customers")
 
     def write_one(name: str, fn: Analysis) -> None:
-        result = fn(cleaned if name in LINE_GRAIN else invoice_grain)
+        if name == "user_behavior_summary":
+            result = fn(invoice_grain, customers=customers)
+        else:
+            result = fn(cleaned if name in LINE_GRAIN else customers if name in CUSTOMER_GRAIN else invoice_grain)
         path = f"{root}/{name}"
         write_result(result, path, fmt=fmt)
         if export_root and name in BOUNDED_RESULTS:
@@ -176,32 +188,22 @@ def verify_outputs(
 ) -> DataFrame:
     """``(name, row_count, ok, non_empty)`` for every expected result.
 
-    ``ok`` means the output was committed (``_SUCCESS`` present), ``non_empty``
-    that it has rows: a committed result may rightly have none. Row counts
-    are read back from the outputs in one job (a union of per-output counts).
+    ``ok`` means the output was committed (``_SUCCESS`` present) and its files
+    are those that were written, ``non_empty`` that it has rows: a committed
+    result may rightly have none. The rows were counted when the result was
+    written (``sinks.write_result``), so no data is read; only outputs without
+    such a note, as of an append, are counted anew.
     """
     root = results_root.rstrip("/")
-    parts = []
+    rows = []
     for name in names:
         path = f"{root}/{name}"
-        if _exists(spark, path):
-            counted = read_table(spark, path, fmt).agg(F.count(F.lit(1)).alias("row_count"))
-            parts.append(
-                counted.select(
-                    F.lit(name).alias("name"), F.col("row_count"), F.lit(True).alias("ok")
-                )
-            )
+        if not _exists(spark, path):
+            rows.append((name, 0, False))
         else:
-            parts.append(
-                spark.range(1).select(
-                    F.lit(name).alias("name"),
-                    F.lit(0).cast("long").alias("row_count"),
-                    F.lit(False).alias("ok"),
-                )
-            )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            noted = written_rows(spark, path)
+            rows.append((name, *(noted or (read_table(spark, path, fmt).count(), True))))
+    out = spark.createDataFrame(rows, "name string, row_count long, ok boolean").coalesce(1)
     return out.withColumn("non_empty", F.col("row_count") > 0)
 
 

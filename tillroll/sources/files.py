@@ -88,6 +88,43 @@ def header_lines(spark: SparkSession, files: list[File], threads: int = 16) -> l
         return pool.map(first, files)
 
 
+def read_small(spark: SparkSession, uri: str) -> bytes | None:
+    """The bytes of a small file, or None if there is none."""
+    fs, path = _filesystem(spark, uri)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, uri: str, data: bytes) -> None:
+    """Put a small file in the place of any that is there."""
+    fs, path = _filesystem(spark, uri)
+    stream = fs.create(path, True)
+    stream.write(data)
+    stream.close()
+
+
+def footer_rows(spark: SparkSession, files: list[File], threads: int = 16) -> int:
+    """Rows of Parquet files, as their footers say; no data is read."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def rows(file: File) -> int:
+        path = jvm.org.apache.hadoop.fs.Path(file.uri)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
+        try:
+            return reader.getRecordCount()
+        finally:
+            reader.close()
+
+    with ThreadPool(min(threads, max(1, len(files)))) as pool:
+        return sum(pool.map(rows, files))
+
+
 # ------------------------------------------------------------------ byte copy
 
 
@@ -204,9 +241,7 @@ def copy_files(spark: SparkSession, source: str, target: str, *, replace: bool =
             if (f.name, f.size) != (r.name, r.bytes):
                 raise OSError(f"{f.uri}: {r.bytes} of {f.size} bytes were copied")
             _put_together(spark, fs, f"{staging}/{f.name}", range(0, max(1, f.size), BLOCK_BYTES if joins else max(1, f.size)))
-        stream = fs.create(jpath(f"{staging}/{MANIFEST}"), True)
-        stream.write("".join(json.dumps(r.asDict()) + "\n" for r in rows).encode())
-        stream.close()
+        write_small(spark, f"{staging}/{MANIFEST}", "".join(json.dumps(r.asDict()) + "\n" for r in rows).encode())
         fs.delete(final, True)
         if not fs.rename(jpath(staging), final):
             raise OSError(f"could not move {staging} to {target}")
@@ -230,10 +265,8 @@ def _put_together(spark: SparkSession, fs, uri: str, starts: range) -> None:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """(name, bytes, digest) that a copy left in its target: a row for each file."""
-    fs, file = _filesystem(spark, f"{path.rstrip('/')}/{MANIFEST}")
-    stream = fs.open(file)
-    try:
-        rows = [json.loads(line) for line in bytes(stream.readAllBytes()).decode().splitlines()]
-    finally:
-        stream.close()
+    text = read_small(spark, f"{path.rstrip('/')}/{MANIFEST}")
+    if text is None:
+        raise FileNotFoundError(f"{path}/{MANIFEST}")
+    rows = [json.loads(line) for line in text.decode().splitlines()]
     return spark.createDataFrame([(r["name"], r["bytes"], r["digest"]) for r in rows], "name string, bytes long, digest string")

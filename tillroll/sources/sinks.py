@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.sources.files import copy_files
+from tillroll.session import _filesystem
+from tillroll.sources.files import copy_files, footer_rows, list_files, read_small, write_small
 from tillroll.sources.readers import RAW_CSV_OPTIONS, DataNotFoundError, _check_format
 
 # CSV output keeps leading/trailing blanks (Spark trims them by default on write).
@@ -57,15 +60,50 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+#: File of a result that says how many rows were written, and in which files.
+ROWS = "_ROWS"
+
+
 def write_result(
     df: DataFrame, path: str, mode: str = "overwrite", *, fmt: str = "csv"
-) -> None:
-    """A result table as multi-part CSV (UTF-8, header) or Parquet."""
+) -> int:
+    """A result table as multi-part CSV (UTF-8, header) or Parquet. Returns the
+    rows written.
+
+    The rows are counted as they are written, in the last stage, in which a task that
+    runs again counts once; for Parquet the files' footers must say the same. The count
+    and the files are kept beside the data (``written_rows``).
+    """
     f = _check_format(fmt)
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if f == "parquet":
-        df.write.mode(mode).parquet(path)
+        counted.write.mode(mode).parquet(path)
     else:
-        df.write.mode(mode).options(**_CSV_WRITE_OPTIONS).option("encoding", "UTF-8").csv(path)
+        counted.write.mode(mode).options(**_CSV_WRITE_OPTIONS).option("encoding", "UTF-8").csv(path)
+    rows = int(written.get.get("rows", 0))
+    spark, note = df.sparkSession, f"{path.rstrip('/')}/{ROWS}"
+    if mode not in ("overwrite", "error", "errorifexists"):
+        # There may be files of before, which the count doesn't have.
+        fs, old = _filesystem(spark, note)
+        fs.delete(old, False)
+        return rows
+    files = list_files(spark, path)
+    if f == "parquet" and footer_rows(spark, files) != rows:
+        raise OSError(f"{path}: the files' footers don't have the {rows} rows that were written")
+    said = {"rows": rows, "files": [[x.name, x.size] for x in files]}
+    write_small(spark, note, json.dumps(said).encode())
+    return rows
+
+
+def written_rows(spark: SparkSession, path: str) -> tuple[int, bool] | None:
+    """The rows of a result as counted when it was written, and whether its files are
+    those of then; None if the result has no such note."""
+    data = read_small(spark, f"{path.rstrip('/')}/{ROWS}")
+    if data is None:
+        return None
+    said = json.loads(data)
+    return said["rows"], said["files"] == [[x.name, x.size] for x in list_files(spark, path)]
 
 
 def export_single_csv(df: DataFrame, path: str) -> int:
