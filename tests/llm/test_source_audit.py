@@ -62,6 +62,22 @@ def test_keys_of_one_hash(monkeypatch):
     assert sorted(slots[:-1]) == list(range(5)) and slots[-1] == -1 and [shard.key(s) for s in slots[:-1]] == keys
 
 
+def test_terms_of_one_hash_are_told_apart(monkeypatch):
+    plain = sa.terms([b"ab cd ab", b"", "É ab".encode()])
+    assert [plain[0][k] for k in plain[1]] == [b"ab", b"cd", b"ab", "É".encode().lower(), b"ab"] and plain[2].tolist() == [3, 0, 2]
+    assert sa.terms([b"", b" 1"])[0] == []
+    real = sa.hashed_words
+
+    def collided(*args):
+        buffer, start, end, h, n = real(*args)
+        return buffer, start, end, h * np.uint64(0) if hide else (end - start).astype(np.uint64), n
+
+    monkeypatch.setattr(sa, "hashed_words", collided)
+    for hide in (True, False):
+        words, number, n = sa.terms([b"ab cd ab x", b"y x"])
+        assert [words[k] for k in number] == [b"ab", b"cd", b"ab", b"x", b"y", b"x"] and len(words) == 4 and n.tolist() == [4, 2]
+
+
 def test_language_numbers_its_shards():
     words = [f"w{k}".encode() for k in range(500)]
     dealt = [[w for w, h in zip(words, sa.hashes(words).view(np.int64).tolist(), strict=True) if h % 5 == s] for s in range(5)]

@@ -17,17 +17,16 @@ sources of its language against one another.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import mix64
+from tillroll.llm.common import BYTE_VALUES, gap_table, hashed_words, mix64
 from tillroll.session import materialize
 
 MIN_DOCS = 3
@@ -38,18 +37,43 @@ SCALE = 1_000_000_000
 SHARD_TERMS = 8192
 #: Bytes of all shards that are sent to every task.
 BROADCAST_BYTES = 48 << 20
-#: Terms that a task of the first pass holds, and bytes of dense slots in the second.
+#: Languages, and groups of language and source, that are sent to every task.
+BROADCAST_ROWS = 100_000
+#: Terms of a language that a task of the first pass holds, and bytes of dense slots in
+#: the second.
 HELD_TERMS, HELD_BYTES = 400_000, 64 << 20
+#: Groups of shards in which the best terms are chosen first.
+SHARD_GROUPS = 8
 #: Sources that are held against all at a time.
 _SOURCES = 64
 
-_TERM = re.compile(rb"[a-z\x80-\xff]+")
+#: Bytes that stand between terms, of a text in lower case.
+_GAP = gap_table(bytes(c for c in range(128) if not 97 <= c <= 122))
+#: Text that is split at a time.
+BATCH_BYTES = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def terms(text: bytes) -> list[bytes]:
-    """Terms of a UTF-8 text: ASCII letters, in lower case, and what isn't ASCII."""
-    return _TERM.findall(text.lower())
+def terms(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Terms of UTF-8 texts: ASCII letters, in lower case, and what isn't ASCII. Returns
+    the distinct ones, the number of each that stands in the texts, one after the
+    other, and the terms of each text."""
+    buffer, start, end, h, words_of = hashed_words([t.lower() for t in texts], _GAP, BYTE_VALUES)
+    _, first, number = np.unique(h, return_index=True, return_inverse=True)
+    # Hashes find equal words; their bytes tell whether they are.
+    size, data = end - start, buffer.tobytes()
+    unlike = np.flatnonzero(size != size[first[number]])
+    if not len(unlike) and len(start):
+        upto = np.cumsum(size) - size
+        at = np.arange(int(size.sum())) - np.repeat(upto, size)
+        same = buffer[at + np.repeat(start, size)] == buffer[at + np.repeat(start[first[number]], size)]
+        unlike = np.flatnonzero(~np.logical_and.reduceat(same, upto))
+    words = [data[a:z] for a, z in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+    if len(unlike):
+        place: dict[bytes, int] = {}
+        every = [place.setdefault(data[a:z], len(place)) for a, z in zip(start.tolist(), end.tolist(), strict=True)]
+        words, number = list(place), np.array(every, np.int64)
+    return words, number, words_of
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
@@ -167,9 +191,39 @@ class Language:
 # ---------------------------------------------------------------------- passes
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, bytes]]:
+#: A slot's number has its shard above these bits.
+SLOT_BITS = 32
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[int], list[bytes]]]:
+    """Of (grp, lang, text) rows, some of one language at a time: the language, the numbers
+    of their groups (of language and source), in order, and the texts."""
+    held: dict[str, list[tuple[int, bytes]]] = defaultdict(list)
+    size = 0
+
+    def out() -> Iterator[tuple[str, list[int], list[bytes]]]:
+        for lang, rows in held.items():
+            rows.sort(key=lambda r: r[0])
+            yield lang, [g for g, _ in rows], [t for _, t in rows]
+        held.clear()
+
     for b in batches:
-        yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)
+        for group, lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            if size and size + len(text) > BATCH_BYTES:
+                yield from out()
+                size = 0
+            held[lang].append((group, text))
+            size += len(text) + 1
+    yield from out()
+
+
+def _by_group(groups: list[int], words_of: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each group of ordered ones, and where its texts' words are."""
+    g = np.array(groups, np.int64)
+    first = np.flatnonzero(np.append(True, g[1:] != g[:-1])[: len(g)])
+    cuts = np.append(0, np.cumsum(words_of))
+    for a, z in zip(first.tolist(), [*first[1:].tolist(), len(g)], strict=True):
+        yield groups[a], slice(int(cuts[a]), int(cuts[z]))
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +233,11 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     def out(lang: str, counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.repeat(lang, len(counts)), pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["lang", "term", "n"])
 
-    for lang, _, text in _rows(batches):
-        held[lang].update(set(terms(text)))
+    for lang, _, texts in _texts(batches):
+        words, number, words_of = terms(texts)
+        once = np.unique(np.repeat(np.arange(len(texts)), words_of) * max(1, len(words)) + number)
+        n = np.bincount(once % max(1, len(words)), minlength=len(words))
+        held[lang].update(dict(zip(words, n.tolist(), strict=True)))
         if len(held[lang]) > HELD_TERMS:
             yield out(lang, held.pop(lang))
     for lang, counts in held.items():
@@ -194,83 +251,66 @@ def _built(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, names=["lang", "shard", "shards", "sizes", "bits", "keys", "lengths"])
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """A table of counted rows goes to all tasks if these are few, so that joins by
+    language don't gather the rows of one."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def perfect_hashes(kept: DataFrame, langs: DataFrame) -> DataFrame:
     """Shards of (lang, term) rows, at least one for each of ``langs``."""
     shards = kept.groupBy("lang").agg(F.ceil(F.count("*") / SHARD_TERMS).alias("shards"))
     # The first shard of a language is there even without a term.
     every = langs.join(shards, "lang", "left").select("lang", F.coalesce("shards", F.lit(1)).alias("shards"))
-    rows = kept.join(every, "lang").select("lang", F.pmod(F.xxhash64("term"), "shards").alias("shard"), "shards", "term")
+    every = materialize(every, "languages")
+    rows = kept.join(_small(every, every.count()), "lang").select("lang", F.pmod(F.xxhash64("term"), "shards").alias("shard"), "shards", "term")
     first = every.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), "shards", F.lit(None).cast("binary").alias("term"))
     schema = "lang string, shard long, shards long, sizes array<long>, bits binary, keys binary, lengths binary"
     return rows.unionByName(first).groupBy("lang", "shard", "shards").applyInArrow(_built, schema)
 
 
 def _recount(packed):
-    """Second pass with the shards at hand: (lang, source, shard, slot, n)."""
+    """Second pass with the shards at hand: (grp, place, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict[str, list] = defaultdict(list)
         for lang, _, *parts in sorted(packed.value, key=lambda r: r[:2]):
             rows[lang].append(Shard(*parts))
         langs = {lang: Language(shards) for lang, shards in rows.items()}
-        dense: dict[tuple[str, str], np.ndarray] = {}
-        held: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        size = 0
-
-        def add() -> None:
-            for (lang, source), counts in held.items():
-                words = list(counts)
-                at = langs[lang].slots(words)
-                if (lang, source) not in dense:
-                    dense[lang, source] = np.zeros(int(langs[lang].first[-1]), np.int64)
-                dense[lang, source][at[at >= 0]] += np.fromiter(counts.values(), np.int64, len(words))[at >= 0]
-            held.clear()
+        dense: dict[tuple[str, int], np.ndarray] = {}
 
         def out() -> Iterator[pa.RecordBatch]:
-            for (lang, source), slots in dense.items():
+            for (lang, group), slots in dense.items():
                 at = np.flatnonzero(slots)
                 first = langs[lang].first
                 shard = np.searchsorted(first, at, "right") - 1
-                columns = [pa.repeat(lang, len(at)), pa.repeat(source, len(at)), pa.array(shard), pa.array(at - first[shard]), pa.array(slots[at])]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "shard", "slot", "n"])
+                place = shard << SLOT_BITS | at - first[shard]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), group, np.int64)), pa.array(place), pa.array(slots[at])], names=["grp", "place", "n"])
             dense.clear()
 
-        for lang, source, text in _rows(batches):
-            own = held[lang, source]
-            before = len(own)
-            own.update(terms(text))
-            size += len(own) - before
-            if size > HELD_TERMS:
-                add()
-                size = 0
+        for lang, groups, texts in _texts(batches):
+            words, number, words_of = terms(texts)
+            slot = langs[lang].slots(words)[number]
+            for group, own in _by_group(groups, words_of):
+                if (lang, group) not in dense:
+                    dense[lang, group] = np.zeros(int(langs[lang].first[-1]), np.int64)
+                at = slot[own]
+                np.add.at(dense[lang, group], at[at >= 0], 1)
             if sum(x.nbytes for x in dense.values()) > HELD_BYTES:
                 yield from out()
-        add()
         yield from out()
 
     return run
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, n) of a task's documents."""
-    held: dict[tuple[str, str], Counter] = defaultdict(Counter)
-    size = 0
-
-    def out() -> Iterator[pa.RecordBatch]:
-        for (lang, source), counts in held.items():
-            columns = [pa.repeat(lang, len(counts)), pa.repeat(source, len(counts)), pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n"])
-        held.clear()
-
-    for lang, source, text in _rows(batches):
-        own = held[lang, source]
-        before = len(own)
-        own.update(terms(text))
-        size += len(own) - before
-        if size > HELD_TERMS:
-            yield from out()
-            size = 0
-    yield from out()
+    """(grp, lang, term, n) of some documents of a task."""
+    for lang, groups, texts in _texts(batches):
+        words, number, words_of = terms(texts)
+        for group, own in _by_group(groups, words_of):
+            found, n = np.unique(number[own], return_counts=True)
+            columns = [pa.array(np.full(len(found), group, np.int64)), pa.repeat(lang, len(found)), pa.array([words[k] for k in found.tolist()], pa.binary()), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["grp", "lang", "term", "n"])
 
 
 def _at_shard(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -279,25 +319,24 @@ def _at_shard(left: pa.Table, right: pa.Table) -> pa.Table:
     words = left.column("term").to_pylist()
     shard = Shard(row["sizes"], row["bits"], row["keys"], row["lengths"])
     at = shard.slots(words, hashes(words)) if words and len(shard) else np.full(len(words), -1, np.int64)
-    table = left.select(["lang", "source", "shard"]).append_column("slot", pa.array(at)).append_column("n", left.column("n"))
+    table = left.select(["grp"]).append_column("place", pa.array(row["shard"] << SLOT_BITS | at)).append_column("n", left.column("n"))
     return table.filter(pa.array(at >= 0))
 
 
 def recount(rows: DataFrame, perfect: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Occurrences (lang, source, shard, slot, n) of the shards' terms in (lang, source,
-    text) rows."""
-    schema = "lang string, source string, shard long, slot long, n long"
+    """Occurrences (grp, place, n) of the shards' terms in (grp, lang, text) rows."""
+    schema = "grp long, place long, n long"
     size = perfect.agg(F.sum(F.length("bits") + F.length("keys") + F.length("lengths") + 64)).first()[0] or 0
     if size <= broadcast_bytes:
         packed = rows.sparkSession.sparkContext.broadcast([(r.lang, r.shard, r.sizes, bytes(r.bits), bytes(r.keys), bytes(r.lengths)) for r in perfect.collect()])
         found = rows.mapInArrow(_recount(packed), schema)
     else:
         # The sum goes before the grouping by shard, so that a shard gets each term of a source once.
-        counts = rows.mapInArrow(_term_counts, "lang string, source string, term binary, n long").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+        counts = rows.mapInArrow(_term_counts, "grp long, lang string, term binary, n long").groupBy("grp", "lang", "term").agg(F.sum("n").alias("n"))
         number = perfect.select(F.col("lang"), F.col("shards").alias("of")).distinct()
-        counts = counts.join(number, "lang").select("lang", "source", "term", "n", F.pmod(F.xxhash64("term"), "of").alias("shard"))
+        counts = counts.join(_small(number, number.count()), "lang").select("grp", "lang", "term", "n", F.pmod(F.xxhash64("term"), "of").alias("shard"))
         found = counts.groupBy("lang", "shard").cogroup(perfect.groupBy("lang", "shard")).applyInArrow(_at_shard, schema)
-    return found.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
+    return found.groupBy("grp", "place").agg(F.sum("n").alias("n"))
 
 
 # ----------------------------------------------------------------- divergence
@@ -339,12 +378,23 @@ def _compared(top: int):
             for lo in range(0, len(sources), _SOURCES):
                 sums = divergence(p[k], p[lo : lo + _SOURCES]).sum(axis=1) if len(shard) else np.zeros(len(sources[lo : lo + _SOURCES]), np.int64)
                 out += [(source, "pair", other, int(v)) for other, v in zip(sources[lo : lo + _SOURCES], sums, strict=True) if other != source]
-        columns = [pa.repeat(lang, len(out)), *(pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64())))]
-        return pa.Table.from_arrays(columns, names=["lang", "source", "part", "item", "value"])
+        columns = [pa.repeat(lang, len(out)), pa.array([row["shard"]] * len(out), pa.int64()), *(pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64())))]
+        return pa.Table.from_arrays(columns, names=["lang", "shard", "source", "part", "item", "value"])
 
     return run
 
 
+def _groups(pairs: DataFrame) -> tuple[DataFrame, Column]:
+    """Distinct (lang, source) rows with a number each, ``grp``, and the number's
+    expression: the first of the hashes of both that tells all of them apart."""
+    pairs = materialize(pairs, "groups")
+    n, seed = pairs.count(), 0
+    while pairs.select(F.xxhash64("lang", "source", F.lit(seed))).distinct().count() < n:
+        seed += 1
+    number = F.xxhash64("lang", "source", F.lit(seed))
+    return pairs.withColumn("grp", number), number
+
+
 def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """How each source of a language differs from the other ones (part ``pair``: the
     item is the other source) and by which terms from the language (part ``term``).
@@ -355,22 +405,34 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP,
     are ordered by the item. Long texts are read whole; extra columns are ignored; an
     empty table gives no rows."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    rows = docs.select(text[0], text[1], text[2].cast("binary").alias("text"))
-    groups = docs.select(*text[:2]).distinct()
+    groups, number = _groups(docs.select(*text[:2]).distinct())
+    rows = docs.select(*text).select(number.alias("grp"), "lang", F.col("text").cast("binary").alias("text"))
     found = rows.mapInArrow(_document_counts, "lang string, term binary, n long")
     kept = materialize(found.groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("lang", "term"), "kept-terms")
-    groups = materialize(groups, "groups")
     perfect = materialize(perfect_hashes(kept, groups.select("lang").distinct()), "perfect-hashes")
     counts = materialize(recount(rows, perfect, broadcast_bytes), "slots")
-    totals = groups.join(counts.groupBy("lang", "source").agg(F.sum("n").alias("n")), ["lang", "source"], "left")
+    sizes = groups.count()
+    totals = groups.join(counts.groupBy("grp").agg(F.sum("n").alias("n")), "grp", "left")
     lists = totals.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("source", F.coalesce("n", F.lit(0)).alias("n")))).alias("g"))
     lists = lists.join(kept.groupBy("lang").agg(F.count("*").alias("kept")), "lang", "left")
     lists = lists.select("lang", F.coalesce("kept", F.lit(0)).alias("kept"), F.col("g.source").alias("sources"), F.col("g.n").alias("totals"))
-    shards = perfect.drop("shards").join(lists, "lang")
-    out = counts.groupBy("lang", "shard").cogroup(shards.groupBy("lang", "shard")).applyInArrow(_compared(top), "lang string, source string, part string, item string, value long")
-    out = out.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
-    order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), F.asc("item"))
-    return out.withColumn("rank", F.row_number().over(order)).where((F.col("part") == "pair") | (F.col("rank") <= top))
+    shards = perfect.drop("shards").join(_small(lists, sizes), "lang")
+    slots = counts.join(_small(groups, sizes), "grp").select(
+        "lang", "source", F.shiftright("place", SLOT_BITS).alias("shard"), F.col("place").bitwiseAND((1 << SLOT_BITS) - 1).alias("slot"), "n"
+    )
+    out = slots.groupBy("lang", "shard").cogroup(shards.groupBy("lang", "shard")).applyInArrow(_compared(top), "lang string, shard long, source string, part string, item string, value long")
+    out = materialize(out, "compared")
+    pairs = out.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
+    # A term stands in one shard. The best of some shards are chosen before those of all.
+    best = out.where("part = 'term'").withColumn("some", F.col("shard") % SHARD_GROUPS)
+    best = _ranked(best, "lang", "source", "part", "some").where(F.col("rank") <= top)
+    best = _ranked(best, "lang", "source", "part").where(F.col("rank") <= top)
+    columns = ["lang", "source", "part", "item", "value", "rank"]
+    return _ranked(pairs, "lang", "source", "part").select(columns).unionByName(best.select(columns))
+
+
+def _ranked(df: DataFrame, *by: str) -> DataFrame:
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("value"), F.asc("item"))))
 
 
 #: The same rows in DuckDB SQL.
