@@ -74,3 +74,37 @@ def test_proximity():
     assert shard.document(shard.near([0, 1, 2], 2)).tolist() == [0]
     assert shard.document(shard.near([0, 2], 10)).tolist() == [0, 1]
     assert shard.find([0, 1]).tolist() == [3] and len(shard.find([1, 0])) == 0
+
+
+def brute_near(docs, items, size, slack):
+    """Items of which some window's words all stand in a stretch of its length and ``slack``
+    words more, of any order."""
+    out = []
+    for d, t in docs:
+        w, ids = words(t), set()
+        for i, text in items:
+            own = words(text)
+            for k in range(max(1, len(own) - size + 1) if own else 0):
+                g = own[k : k + size]
+                if any(set(g) <= set(w[a : a + len(g) + slack]) for a in range(len(w))):
+                    ids.add(str(i))
+        out.append((d, tuple(sorted(ids))))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("slack,block", [(1, 10**6), (3, 10**6), (2, 8)])
+def test_proximity_against_brute_force(spark, slack, block):
+    docs, items, a, b = tables(spark, 3)
+    got = find_benchmark(a, b, 4, slack=slack, block_words=block).collect()
+    assert sorted(((r.doc_id, tuple(r.near_items)) for r in got), key=str) == brute_near(docs, items, 4, slack)
+    exact = find_benchmark(a, b, 4).collect()
+    assert all(not r.near_items for r in exact)
+    assert sorted(((r.doc_id, tuple(r["items"])) for r in exact), key=str) == sorted(((r.doc_id, tuple(r["items"])) for r in got), key=str)
+
+
+def test_long_text(spark):
+    text = " ".join(f"w{k % 977}" for k in range(400_000))
+    docs = spark.createDataFrame([(1, text + " these ten words stand at the end of the text"), (2, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "these ten words stand at the end of the text")], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.spans) for r in find_benchmark(docs, items).collect()}
+    assert got[1][:2] == (400_010, 10) and [tuple(s) for s in got[1][2]] == [(400_000, 400_010)] and got[2] == (400_000, 0, [])

@@ -22,12 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import BYTE_VALUES, gap_table, hashed_words, text_rows
+from tillroll.llm.common import BYTE_VALUES, gap_table, hashed_words, text_hash, text_rows
 from tillroll.session import materialize
 
 SIZE = 10
@@ -124,14 +123,30 @@ class Shard:
         return found
 
     def near(self, phrase: list[int], slack: int) -> np.ndarray:
-        """Places of the phrase's rarest term that have all of its terms, in any
-        order, within the phrase's length plus ``slack`` words around them."""
+        """Places of the phrase's rarest term that stand with all of its terms, in any
+        order, in some window of the phrase's length plus ``slack`` words."""
         terms = sorted(set(phrase), key=lambda t: self.cuts[t + 1] - self.cuts[t])
         found, reach = self.places(terms[0]), len(phrase) + slack - 1
         for t in terms[1:]:
             held = self.places(t)
             found = found[np.searchsorted(held, found - reach) < np.searchsorted(held, found + reach, "right")]
-        return found
+        # Few are left: windows that begin at one of the terms before the place, or there.
+        return np.array([p for p in found.tolist() if self._within(terms, p, reach)], np.int64)
+
+    def _within(self, terms: list[int], place: int, reach: int) -> bool:
+        own = []
+        for t in terms:
+            held = self.places(t)
+            lo, hi = np.searchsorted(held, [place - reach, place + reach + 1])
+            own.append(held[lo:hi])
+        starts = np.unique(np.concatenate(own))
+        starts = starts[starts <= place]
+        ends = np.minimum(starts + reach, np.iinfo(np.int64).max)
+        whole = ends >= place
+        for held in own:
+            at = np.searchsorted(held, starts)
+            whole &= (at < len(held)) & (np.append(held, np.iinfo(np.int64).max)[at] <= ends)
+        return bool(whole.any())
 
     def document(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, places, "right") - 1
@@ -192,13 +207,6 @@ def _search(items: list[tuple[str, bytes]], size: int, slack: int):
     return run
 
 
-def text_hash(text: bytes) -> int:
-    """The value of Spark's ``xxhash64`` of a text, which tells rows of one doc_id
-    and different texts apart."""
-    x = xxhash.xxh64_intdigest(text, 42)
-    return x - (1 << 64) if x >> 63 else x
-
-
 #: Columns of the index: of the documents of a shard, and its postings.
 _INDEX = ("ids", "hashes", "terms", "counts", "places", "words")
 
@@ -243,12 +251,12 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slac
 
     Words are runs of ASCII letters (A-Z in lower case), digits and characters
     beyond ASCII. An item of fewer words is one window; a null or empty item has
-    none, and an item without an id is found under the empty id. With ``slack``, items also count as near where a
-    window's words stand in any order within the window's length plus ``slack``.
+    none, and an item without an id is found under the empty id. With ``slack``, items also count as near where all
+    words of a window stand, in any order, in some stretch of the window's length plus ``slack`` words.
 
     Returns doc_id, text_hash (``xxhash64`` of the text; null: of the empty one), n_words, n_hit (words inside any occurrence), spans (word
     positions from start to before end, maximal), items (ids as strings, sorted),
-    near_items. A null or empty text has no words and hits. Repeated rows come
+    near_items. Long texts are indexed whole. A null or empty text has no words and hits. Repeated rows come
     back as often; extra columns are ignored; an empty benchmark finds nothing.
     """
     index = materialize(positional_index(docs), "postings")
