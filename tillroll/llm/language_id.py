@@ -29,29 +29,38 @@ HASHES = 3
 #: not less than this share of the rate in the language that has it most.
 SHARE = 0.25
 
-_CLEAN = np.arange(256, dtype=np.uint8)
-_CLEAN[:128] = [c if chr(c).isalpha() else 32 for c in range(128)]
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
+_letters: list[np.ndarray] = []
 
 
 def has_letter(text: bytes) -> bool:
     return bool(_ASCII_LETTER.search(text)) or any(c.isalpha() for c in text.decode())
 
 
+def letters() -> np.ndarray:
+    """Whether each character is a letter, made once in each worker."""
+    if not _letters:
+        _letters.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
+    return _letters[0]
+
+
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each n-gram of the texts, in lower case with what isn't a letter
-    as a space, and the text of each; those of spaces alone don't count."""
-    clean = [b" " + t.decode().lower().encode() + b" " for t in texts]
-    b = _CLEAN[np.frombuffer(b"".join(clean), np.uint8)]
+    """Hash of each n-gram of ``GRAM`` characters of the texts, in lower case with what
+    isn't a letter as a space, and the text of each; those of spaces alone don't count."""
+    clean = [f" {t.decode().lower()} " for t in texts]
+    b = np.frombuffer("".join(clean).encode("utf-32-le"), "<u4").copy()
+    b[~letters()[b]] = 32
     n = max(0, len(b) - GRAM + 1)
     x = np.zeros(n, np.uint64)
-    letters = np.zeros(n, np.uint8)
-    for k in range(GRAM):
-        x |= b[k : k + n].astype(np.uint64) << np.uint64(8 * k)
-        letters += b[k : k + n] != 32
-    owner = np.repeat(np.arange(len(clean), dtype=np.int32), [len(c) for c in clean])
-    good = (letters >= 2) & (owner[:n] == owner[GRAM - 1 :]) if n else np.zeros(0, bool)
-    return mix64(x[good] * _ODD[7]), owner[:n][good]
+    count = np.zeros(n, np.uint8)
+    with np.errstate(over="ignore"):
+        for k in range(GRAM):
+            # Characters have 21 bits; the first three are kept as they are.
+            x += b[k : k + n].astype(np.uint64) * (np.uint64(1 << 21 * k) if k < 3 else _ODD[k])
+            count += b[k : k + n] != 32
+        owner = np.repeat(np.arange(len(clean), dtype=np.int32), [len(c) for c in clean])
+        good = (count >= 2) & (owner[:n] == owner[GRAM - 1 :]) if n else np.zeros(0, bool)
+        return mix64(x[good] * _ODD[7]), owner[:n][good]
 
 
 def slots(h: np.ndarray) -> list[np.ndarray]:
@@ -167,8 +176,9 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
 def language_report(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the documents that aren't
     held out (crc32 of the id as text, modulo 4, is 2 for those that are). A null
-    doc_id isn't held out. An empty table, or one without a labelled row, has
-    ``und`` for all."""
+    doc_id isn't held out. Rows are judged one by one, repeated ones and long texts
+    too; extra columns are ignored. An empty table gives no rows, and one without a
+    labelled row has ``und`` for all."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     filters = train(docs.where(~held).select("text", "lang"), sample)
     return identify(docs, filters).select("doc_id", held.alias("held_out"), "lang_pred", "score")
