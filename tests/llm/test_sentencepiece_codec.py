@@ -43,5 +43,39 @@ def test_query_against_the_reference(spark, sf_small):
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, "x"), (-1, None), (-1, None), (-2, "▁")]
     table = spark.createDataFrame([(d, t, 5, "x") for d, t in rows], "doc_id long, text string, n_tokens int, ids string")
     want = sorted(((d, len(i), zlib.crc32(np.array(i, "<u4").tobytes()), t != "▁", i) for d, t in rows for i in [ref.encode(t or "")]), key=str)
-    assert sorted((tuple(r) for r in encode_pieces(table, PATH).collect()), key=str) == want
+    got = encode_pieces(table, PATH).collect()
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32, r.round_trip, r.ids) for r in got), key=str) == want
+    assert sum(r.n_differ for r in got) == 0
     assert encode_pieces(table.limit(0), PATH).count() == 0
+
+
+def test_differences_are_counted(spark):
+    runs = "a" + " " * 40 + "b"
+    rows = [(1, runs), (2, f"x {runs} y{' ' * 40}b"), (3, "plain words"), (4, None)]
+    got = {r.doc_id: r.n_differ for r in encode_pieces(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), PATH).collect()}
+    c = Codec(PATH)
+    c.encode([t.encode() for _, t in rows if t])
+    assert got[3] == got[4] == 0 and got[2] == 2 * got[1] == 2 * len(c.unlike)
+
+
+def test_model_that_normalises(tmp_path):
+    """The same pieces, with runs of spaces made one: whole texts are compared."""
+    with open(PATH, "rb") as f:
+        data = f.read()
+    # A later field of the normaliser's message adds to the earlier one.
+    path = str(tmp_path / "collapsing.model")
+    with open(path, "wb") as f:
+        f.write(data + bytes([0x1A, 2, 0x20, 1]))
+    c, ref = Codec(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["a  b", "  lead and trail  ", "", "two words", "tab\tand\nline", "a" + " " * 40 + "b", "é 日本"]
+    assert ref.encode("a  b") == ref.encode("a b") and c.whole
+    ids, n = c.encode([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [ref.encode(t) for t in texts]
+    assert (c.compared, c.differ) == (len(texts), 0)
+
+
+def test_long_text():
+    c, ref = Codec(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    text = "some long words, 日本 and more of them\n" * 40_000
+    ids, n = c.encode([text.encode(), b"x"])
+    assert ids[: n[0]].tolist() == ref.encode(text) and c.decode(ids, n) == [text.encode(), b"x"]

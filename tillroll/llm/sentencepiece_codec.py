@@ -9,8 +9,9 @@ its scores; both fall back to bytes. White space becomes the metaspace marker.
 Because no piece has the marker after another character, tokens never reach
 across a space that follows another character, and a text is encoded unit by
 unit (a run of spaces with what follows). Each unit that a worker meets is
-held against the sentencepiece library; where the two differ, which the counts
-show, the reference ids stand.
+held against the sentencepiece library; where the two differ, the reference ids
+stand, and the units of each text on which they do are counted. Of a model that
+normalises texts, whole texts are encoded and compared.
 """
 
 from __future__ import annotations
@@ -115,6 +116,12 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(a, b) for *_, a, b in sorted(pairs)]
 
 
+def normalises(model: Model) -> bool:
+    """Whether what a unit becomes depends on the text around it."""
+    marked = any(MARK in p.lstrip(MARK) for p, *_ in model.pieces)
+    return bool(marked or model.collapse_spaces or model.charsmap or not (model.dummy_prefix and model.escape_spaces))
+
+
 def build(model: Model):
     """The model as a tokenizer of the tokenizers library."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -129,6 +136,12 @@ def build(model: Model):
         raise ValueError(f"model kind {model.kind} is neither unigram nor BPE")
     tokenizer = Tokenizer(core)
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
+    if normalises(model):
+        # Whole texts come without the space that stands before a unit.
+        if model.collapse_spaces:
+            steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        if model.dummy_prefix:
+            steps.append(normalizers.Prepend(" "))
     if model.escape_spaces:
         steps.append(normalizers.Replace(" ", MARK))
     if steps:
@@ -151,10 +164,9 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
         #: Units that were compared, and those on which the libraries differ.
         self.compared = self.differ = 0
-        marked = any(MARK in p.lstrip(MARK) for p, *_ in self.model.pieces)
-        if marked or self.model.collapse_spaces or self.model.charsmap or not (self.model.dummy_prefix and self.model.escape_spaces):
-            # Units don't stand for themselves: whole texts go to the library.
-            raise ValueError("this model normalises across words; only models with identity normalisation and a dummy prefix are read unit by unit")
+        #: The units themselves; few, as the pieces' scores decide in both.
+        self.unlike: set[str] = set()
+        self.whole = normalises(self.model)
         self.units = UnitEncoder(lambda new: self._encode([" " + u.decode() for u in new]), KEEP)
         pieces = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces]
         self.pieces = np.array(pieces, object)
@@ -173,11 +185,34 @@ class Codec:
         for k, (a, b) in enumerate(zip(ours, theirs, strict=True)):
             if a != b and len(new[k]) > 1:
                 self.differ += 1
+                self.unlike.add(new[k])
                 ours[k] = b
         return ours
 
+    def differing(self, text: bytes) -> int:
+        """Units of a text that was encoded on which the libraries differ."""
+        t = " " + text.decode()
+        if self.whole:
+            return int(t in self.unlike)
+        if not any(u in t for u in self.unlike):
+            return 0
+        return sum(u in self.unlike for u in _UNIT.findall(t))
+
+    def _encode_whole(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        plain = [t.decode() for t in texts]
+        ours = [x.ids for x in self.tokenizer.encode_batch(plain, add_special_tokens=False)]
+        theirs = self.reference.encode(plain, num_threads=1)
+        self.compared += len(texts)
+        for t, a, b in zip(plain, ours, theirs, strict=True):
+            if a != b:
+                self.differ += 1
+                self.unlike.add(" " + t)
+        return np.array([i for x in theirs for i in x], np.uint32), np.array([len(x) for x in theirs])
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the UTF-8 texts side by side, and the number of each text's."""
+        if self.whole:
+            return self._encode_whole(texts)
         plain = [not (t[:1] == b" " or t[-1:] == b" " or b"  " in t) for t in texts]
         ids, n = self.units.batch([t for t, p in zip(texts, plain, strict=True) if p], _GAP, BYTE_VALUES)
         if all(plain):
@@ -220,8 +255,10 @@ def encode_pieces(docs: DataFrame, model_path: str, keep_ids: bool = True, paral
     lies at ``model_path`` on every executor.
 
     Returns doc_id, n_tokens, ids_crc32 (of the ids as little-endian unsigned
-    32-bit integers), round_trip (the ids decode to the text), and ``ids``, an
-    array, if ``keep_ids``. A null or empty text has no ids and round_trip is
+    32-bit integers), round_trip (the ids decode to the text), n_differ (units of the
+    text, or whole texts of a model that normalises, on which the rebuilt tokenizer
+    differs from the library, whose ids stand), and ``ids``, an array, if
+    ``keep_ids``. Long texts are encoded whole. A null or empty text has no ids and round_trip is
     true. Repeated rows and rows with null ids are encoded like others; extra
     columns are ignored; an empty table gives no rows.
     """
@@ -234,14 +271,15 @@ def encode_pieces(docs: DataFrame, model_path: str, keep_ids: bool = True, paral
             cuts = np.cumsum(np.append(0, n))
             raw = memoryview(flat.astype("<u4").tobytes())
             crc = [zlib.crc32(raw[4 * a : 4 * z]) for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-            columns = [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same)]
-            names = ["doc_id", "n_tokens", "ids_crc32", "round_trip"]
+            differ = [c.differing(t) if t and c.unlike else 0 for t in data]
+            columns = [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same), pa.array(differ, pa.int64())]
+            names = ["doc_id", "n_tokens", "ids_crc32", "round_trip", "n_differ"]
             if keep_ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat.astype(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if keep_ids else "")
+    schema = "doc_id long, n_tokens long, ids_crc32 long, round_trip boolean, n_differ long" + (", ids array<int>" if keep_ids else "")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, schema)
 
