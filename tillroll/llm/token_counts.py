@@ -6,6 +6,10 @@ has their lengths and token counts as sums. An edit finds its leaves by going
 down the tree, and only these and one neighbour on each side are encoded anew;
 the outer cuts of that stretch depend on characters which the edit leaves as
 they were. The sums above change along the paths to the root.
+
+The trees are a table, with the leaves of each document and their counts. A batch of
+edits reads it and gives the trees after the edits, for the next batch; texts are
+encoded whole once, when the table is made.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.session import materialize
+
 #: Characters of a leaf, about.
 LEAF = 512
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -58,6 +64,18 @@ class Counter:
         self.count, self.leaf, self.encoded = count, leaf, 0
         self._build(cut(text, leaf))
 
+    @classmethod
+    def of(cls, leaves: list[str], counts: list[int], count, leaf: int = LEAF) -> Counter:
+        """The tree of leaves whose counts are known; nothing is encoded."""
+        tree = cls("", count, leaf)
+        tree._place([(x, (len(x), n)) for x, n in zip(leaves, counts, strict=True)])
+        return tree
+
+    def stored(self) -> tuple[list[str], list[int]]:
+        """The leaves and their counts."""
+        own = [(x, self.sums[self.size + k][1]) for k, x in enumerate(self.leaves) if x]
+        return [x for x, _ in own], [n for _, n in own]
+
     def _build(self, leaves: list[str]) -> None:
         self.size = 1 << max(0, len(leaves) - 1).bit_length()
         self.leaves = leaves + [""] * (self.size - len(leaves))
@@ -137,8 +155,9 @@ class Counter:
         return out
 
     def _grow(self, before, new: list[str], after) -> None:
-        middle = [(x, self._leaf(x)) for x in new]
-        every = [*before, *middle, *after]
+        self._place([*before, *((x, self._leaf(x)) for x in new), *after])
+
+    def _place(self, every: list) -> None:
         self.size = 1 << max(0, len(every) - 1).bit_length()
         every += [("", (0, 0))] * (self.size - len(every))
         self.leaves = [x for x, _ in every]
@@ -161,30 +180,61 @@ def redactions(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id long, text string, {EDIT}")
 
 
-def count_tokens(edited: DataFrame, ranks_path: str, pattern: str, leaf: int = LEAF) -> DataFrame:
-    """Token counts of (doc_id, text, edits) before and after the edits, which
-    are made one after the other, each on the text that the ones before left.
+def token_trees(docs: DataFrame, ranks_path: str, pattern: str, leaf: int = LEAF) -> DataFrame:
+    """The trees of the documents' whole texts: doc_id, leaves (the text in pieces), counts
+    (of their tokens), and ``edits`` if the documents have any. A null or empty text has
+    no leaves; repeated rows and null ids come back as they are; other columns are
+    ignored; an empty table gives no rows."""
+    edits = ["edits"] if "edits" in docs.columns else []
 
-    Returns doc_id, n_tokens, n_edits, n_tokens_edited, n_chars_edited, n_reencoded (characters that
-    the edits had encoded anew). A null or empty text has no tokens, edits of it
-    insert, and null edits are none. Other columns are ignored; repeated rows and
-    null ids come back as they are; an empty table gives no rows.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(ranks_path, pattern)
+        for b in batches:
+            leaves = [cut(t or "", leaf) for t in b.column(1).to_pylist()]
+            counts = [[len(enc.encode_ordinary(x)) for x in own] for own in leaves]
+            columns = [b.column(0), pa.array(leaves, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32())), *b.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "leaves", "counts", *edits])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *edits)
+    return rows.mapInArrow(run, f"doc_id long, leaves array<string>, counts array<int>{', ' + EDIT if edits else ''}")
+
+
+def edit_trees(trees: DataFrame, ranks_path: str, pattern: str, leaf: int = LEAF) -> DataFrame:
+    """The trees of (doc_id, leaves, counts, edits) rows after the edits, which are made
+    one after the other, each on the text that the ones before left; only what they
+    touch is encoded.
+
+    Returns doc_id, leaves, counts, n_tokens (before), n_edits, n_tokens_edited,
+    n_chars_edited, n_reencoded (characters that the edits had encoded anew). Places beyond
+    a text count as its end; null edits are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks_path, pattern)
         for b in batches:
-            rows: list[list[int]] = [[] for _ in range(5)]
-            for t, edits in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                c = Counter(t or "", lambda x: len(enc.encode_ordinary(x)), leaf)
-                before, c.encoded = c.tokens, 0
+            rows: list[list] = [[] for _ in range(7)]
+            for leaves, counts, edits in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                c = Counter.of(leaves or [], counts or [], lambda x: len(enc.encode_ordinary(x)), leaf)
+                before = c.tokens
                 for e in edits or ():
                     c.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
-                for cell, v in zip(rows, (before, len(edits or ()), c.tokens, c.length, c.encoded), strict=True):
+                for cell, v in zip(rows, (*c.stored(), before, len(edits or ()), c.tokens, c.length, c.encoded), strict=True):
                     cell.append(v)
-            names = ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "n_reencoded"]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(r, pa.int64()) for r in rows)], names=names)
+            kinds = [pa.list_(pa.string()), pa.list_(pa.int32()), *[pa.int64()] * 5]
+            names = ["doc_id", "leaves", "counts", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "n_reencoded"]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(r, t) for r, t in zip(rows, kinds, strict=True))], names=names)
+
+    schema = "doc_id long, leaves array<string>, counts array<int>, n_tokens long, n_edits long, n_tokens_edited long, n_chars_edited long, n_reencoded long"
+    return trees.select("doc_id", "leaves", "counts", "edits").mapInArrow(run, schema)
+
 
-    return edited.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "edits").mapInArrow(
-        run, "doc_id long, n_tokens long, n_edits long, n_tokens_edited long, n_chars_edited long, n_reencoded long"
-    )
+def count_tokens(edited: DataFrame, ranks_path: str, pattern: str, leaf: int = LEAF) -> DataFrame:
+    """Token counts of (doc_id, text, edits) before and after the edits, by trees that are
+    written once.
+
+    Returns doc_id, n_tokens, n_edits, n_tokens_edited, n_chars_edited, n_reencoded (characters that
+    the edits had encoded anew). A null or empty text has no tokens, edits of it
+    insert, and null edits are none. Long texts are counted whole. Other columns are ignored; repeated rows and
+    null ids come back as they are; an empty table gives no rows.
+    """
+    trees = materialize(token_trees(edited, ranks_path, pattern, leaf), "token-trees")
+    return edit_trees(trees, ranks_path, pattern, leaf).drop("leaves", "counts")
