@@ -7,23 +7,35 @@ from collections import defaultdict
 from tillroll.llm.line_dedup import dedup_lines, line_report, masked, templates
 
 
-def brute(rows, min_contexts=3):
-    """(doc_id, lines, dropped, kept text) by whole lists."""
-    seen, first = defaultdict(set), {}
-    big = (1 << 63) - 1
-    per = []
+BIG = (1 << 63) - 1
+
+
+def brute(rows, min_contexts=3, min_short=10):
+    """(doc_id, lines, dropped, kept text) by whole lists: a template recurs by the
+    different texts that have it (compared without their digits), or by its different
+    surroundings; that of a short line by the texts alone, and by more of them."""
+    seen_in, around, first, per = defaultdict(set), defaultdict(set), {}, []
     for d, t in rows:
         lines = (t or "").split("\n")
         marks = [" ".join(masked(x)) for x in lines]
-        own = [templates(masked(x)) for x in lines]
-        for k, paths in enumerate(own):
+        own = []
+        for k, x in enumerate(lines):
+            tokens = masked(x)
+            short = len(tokens) < 4
+            paths = [("short", " ".join(tokens))] if short and set(tokens) - {"<*>"} else [] if short else [("long", p) for p in templates(tokens)]
             for p in paths:
-                seen[p].add((marks[k - 1] if k else None, marks[k + 1] if k + 1 < len(marks) else None))
-                first[p] = min(first.get(p, big), big if d is None else d)
+                seen_in[p].add(tuple(marks))
+                around[p].add((marks[k - 1] if k else None, marks[k + 1] if k + 1 < len(marks) else None))
+                first[p] = min(first.get(p, BIG), BIG if d is None else d)
+            own.append(paths)
         per.append(own)
+
+    def recurs(p):
+        return len(seen_in[p]) >= min_short if p[0] == "short" else max(len(seen_in[p]), len(around[p])) >= min_contexts
+
     out = []
     for (d, t), own in zip(rows, per, strict=True):
-        gone = {k for k, paths in enumerate(own) if any(len(seen[p]) >= min_contexts and (big if d is None else d) > first[p] for p in paths)}
+        gone = {k for k, paths in enumerate(own) if any(recurs(p) and (BIG if d is None else d) > first[p] for p in paths)}
         text = t if not gone else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
         out.append((d, len(t.split("\n")) if t else 0, len(gone), text))
     return out
@@ -39,9 +51,15 @@ def corpus(seed):
             lines.insert(rnd.randint(0, len(lines)), f"Copyright {rnd.randint(1990, 2024)} by the authors of this page all rights are reserved here")
         if rnd.random() < 0.4:
             lines.insert(rnd.randint(0, len(lines)), f"Posted on {rnd.choice(['Mon', 'Tue'])} in the news")
+        if d % 3 == 0:  # a block whose middle line has one surrounding
+            lines += ["This notice is shared by all", "its middle has two fixed neighbours", "and here the notice ends today"]
+        if d % 2 == 0:
+            lines.insert(rnd.randint(0, len(lines)), "All rights reserved.")
+        if d % 8 == 0:  # too rare for a short line
+            lines.append("Rare words.")
         rows.append((d, "\n".join(lines)))
     copied = own() + "\n" + own()
-    return [*rows, *((100 + i, copied) for i in range(30)), (200, None), (201, ""), (202, "\n \n"), (None, rows[3][1]), (5, rows[5][1])]
+    return [*rows, *((100 + i, copied) for i in range(30)), (200, None), (201, ""), (202, "\n \n"), (None, rows[3][1]), (None, "All rights reserved.\n" + own()), (5, rows[5][1])]
 
 
 def test_against_brute_force(spark):
@@ -52,6 +70,9 @@ def test_against_brute_force(spark):
     want = brute(rows)
     assert sorted(((r.doc_id, r["_lines"], r["_dropped"], r.text) for r in got.collect()), key=str) == sorted(want, key=str)
     assert sum(w[2] for w in want) > 10
+    # All three cases are there: blocks of lines, short lines, and short lines too rare to go.
+    kept = "\n".join(w[3] for w in want if w[3] and w[0] not in (0, None)).split("\n")
+    assert kept.count("its middle has two fixed neighbours") == kept.count("All rights reserved.") == 0 and kept.count("Rare words.") == 4
     # A group of copies has one surrounding and keeps its lines.
     assert all(w[2] == 0 for w in want if w[0] is not None and 100 <= w[0] < 200)
 
@@ -63,6 +84,14 @@ def test_query_against_brute_force(spark, sf_small):
     assert line_report(docs.limit(0)).count() == 0
 
 
+def test_long_text(spark):
+    lines = [f"line {chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)} of a long text" for k in range(17_000)]
+    foot = "the same foot stands below"
+    rows = [(0, "\n".join([*lines, foot])), *((d, f"own words of {chr(96 + d)} stand here\n{foot}") for d in (1, 2, 3))]
+    got = {r.doc_id: (r["_lines"], r["_dropped"], r.text) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == (17_001, 0, rows[0][1]) and all(got[d] == (2, 1, f"own words of {chr(96 + d)} stand here") for d in (1, 2, 3))
+
+
 def test_variable_fields():
     a, b = (templates(masked(f"Posted by {who} on day {n} in the weekly letters page of ours")) for who, n in (("Ann", 3), ("Bob", 17)))
     assert len(set(a) & set(b)) == 1 and templates(["too", "short", "line"]) == []

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import MAX_ID, free_name, numbered, own_columns, text_rows
+from tillroll.llm.common import MAX_ID, free_name, numbered, own_columns, text_hash, text_rows
+from tillroll.session import materialize
 
 #: Lines of fewer tokens recur by chance; a stricter test holds for them.
 MIN_TOKENS = 4
@@ -77,7 +78,7 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts in text_rows(batches):
         rows: list[list] = [[], [], [], [], [], [], []]
         for d, t in zip(ids, texts, strict=True):
-            digest = _long(xxhash.xxh3_64_intdigest(t))
+            digest = text_hash(t)
             lines = [masked(x) for x in t.decode().split("\n")]
             marks = [" ".join(x) for x in lines]
             whole = _long(xxhash.xxh3_64_intdigest("\n".join(marks).encode()))
@@ -122,12 +123,14 @@ def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, min_short: in
     no lines and stays as it is; a text that loses all lines is empty. Rows of one
     doc_id count as one document, and a null doc_id as the last; the document of
     the least doc_id keeps a template's lines, repeated ones included. An empty
-    table stays empty; further columns pass unread.
+    table stays empty; a long text is read whole; further columns pass unread.
     """
     by_doc, by_digest, cut = (free_name(docs, n) for n in ("_doc", "_digest", "_gone"))
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID))
     text = F.col("text").cast("string").cast("binary")
+    # Texts are parsed once: the written paths serve the counting and the cutting.
     paths = docs.select(own.alias("doc"), text.alias("text")).mapInArrow(_paths, "hi long, lo long, whole long, around long, doc long, digest long, line int")
+    paths = materialize(paths, "line-paths")
     short = F.col("lo").bitwiseAND(1) == 1
     recurring = (
         paths.select("hi", "lo", "doc", F.inline(F.array(F.struct(F.lit(True).alias("text"), F.col("whole").alias("mark")), F.struct(F.lit(False).alias("text"), F.col("around").alias("mark")))))
@@ -137,21 +140,13 @@ def dedup_lines(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, min_short: in
     )
     gone = paths.hint("merge").join(recurring, ["hi", "lo"]).where("doc > first").groupBy(F.col("doc").alias(by_doc), F.col("digest").alias(by_digest))
     gone = gone.agg(F.collect_set("line").alias(cut))
-    keyed = docs.withColumn(by_doc, own).withColumn(by_digest, _digest(text))
+    keyed = docs.withColumn(by_doc, own).withColumn(by_digest, F.xxhash64(text))
     joined = keyed.hint("merge").join(gone, [by_doc, by_digest], "left").select(*own_columns(docs), cut)
     more = [T.StructField(free_name(docs, n), T.LongType()) for n in ("_lines", "_dropped")]
     out = T.StructType([*docs.schema.fields, *more])
     return numbered(joined).mapInArrow(_drop(docs.columns.index("text"), out.names), out)
 
 
-def _digest(text):
-    @F.pandas_udf("long")
-    def digest(s):
-        return s.map(lambda t: _long(xxhash.xxh3_64_intdigest(t or b"")))
-
-    return digest(text)
-
-
 def line_report(docs: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256 (of the remaining text)."""
     out = dedup_lines(docs.select("doc_id", "text"), min_contexts)
