@@ -68,6 +68,70 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def alike(n, seed=3):
+    """Texts that share half of their words, in order, and are linked with none."""
+    rnd = random.Random(seed)
+    base = [f"t{i}" for i in range(120)]
+    return [(d, " ".join([*base, *(f"o{d}x{i}" for i in range(rnd.randint(75, 90)))])) for d in range(n)]
+
+
+def test_alike_but_unlinked_texts_go_to_cells_in_proportion(spark, monkeypatch):
+    """The buckets of such texts grow with their number, and so do the cells."""
+    handed = {}
+    for n in (150, 300):
+        seen = []
+        real = minhash._cells
+
+        def cells(*args, real=real, seen=seen):
+            out = real(*args)
+            seen.append(out.count())
+            return out
+
+        monkeypatch.setattr(minhash, "_cells", cells)
+        docs = spark.createDataFrame(alike(n), "doc_id long, text string")
+        got = near_duplicates(docs, tile=16, bands=64, rows=10)
+        assert all(r.component_id == r.doc_id and r.kept for r in got.collect())
+        handed[n] = sum(seen)
+        monkeypatch.undo()
+    assert 0 < handed[300] < 3 * max(handed[150], 100)
+
+
+def test_copies_with_few_stragglers_are_handed_out_once(spark, monkeypatch):
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    near = [(d, " ".join([*base[: d % 100], f"x{d}", *base[d % 100 + 1 :]])) for d in range(200)]
+    # Alike, but not enough to be linked.
+    far = [(500 + d, " ".join(w if rnd.random() < 0.94 else f"y{d}z{k}" for k, w in enumerate(base))) for d in range(6)]
+    rows, seen, real = near + far, [], minhash._cells
+
+    def cells(*args):
+        out = real(*args)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_cells", cells)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), tile=16)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+    assert sum(seen) < 3 * len(rows)
+
+
+def test_buckets_wider_than_a_cell(spark):
+    """Few rows in a band make wide buckets: every pair is compared all the same."""
+    rows = corpus(5, 3, 90, 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in near_duplicates(docs, tile=8, bands=30, rows=2).collect()) == brute(rows)
+
+
+def test_share_of_equal_minima_is_the_similarity():
+    rnd = __import__("numpy").random.default_rng(1)
+    sets = []
+    for _ in range(300):
+        v = rnd.integers(0, 2**64, size=100, dtype="uint64")
+        sets += [v[:90], v[10:]]
+    low = minhash.minima(sets, 640)
+    assert abs((low[:, ::2] == low[:, 1::2]).mean() - 0.8) < 0.01
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, x) for x in range(101, 180)] + [(7, 7), (None, 3), (200, 150)]
     rows = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()

@@ -4,16 +4,19 @@
    of word shingles, two sums that stand for the whole set, and the minima of
    ``BANDS * ROWS`` universal hash functions, folded into one key for each band.
 2. Documents with one set are one class, named by its least doc_id.
-3. Classes that share a band's key hang together in a loose group (a star
+3. Classes that share a band's key, a bucket, hang together in a loose group (a star
    around the least class of each bucket; alternating large-star and small-star
-   find the groups). Each true link lies within a loose group.
+   find the groups). Each true link lies within a bucket.
 4. Links are confirmed on full sets, which are made anew from the texts of the
    classes in groups of two and more. A group is dealt out to cells of at most
    ``TILE`` classes. A cell counts all intersections at once and gives only the
    links that join parts not joined yet. In a group of more than one cell, the
-   hubs of the parts are linked first, and then only classes outside its largest
-   part are held against the others, tile by tile, so that a large group of
-   copies costs its stragglers times its size and not its size squared.
+   hubs of the parts are linked next. What is left is looked for in buckets that
+   have classes of two parts or more, buckets of the same classes once: texts that are
+   alike but not enough share few buckets, so that they are handed to cells
+   in proportion to their number and not to its square. In a bucket of more than a
+   cell, only classes outside its largest part are held against the others, tile
+   by tile, so that copies cost their stragglers times their number.
 5. Large-star and small-star over the confirmed links give the components.
 """
 
@@ -32,8 +35,8 @@ from tillroll.session import materialize
 
 SHINGLE = 3
 PERCENT = 85
-ROWS = 5
-BANDS = 24
+ROWS = 10
+BANDS = 64
 #: Classes in a cell at most.
 TILE = 384
 #: Shingles of a cell whose columns are counted at a time.
@@ -44,7 +47,13 @@ _BYTE = BYTE_VALUES.copy()
 #: Upper case as lower case, so that they hash alike.
 _BYTE[65:91] = _BYTE[97:123]
 _GAP = gap_table(b" \t\n\x0b\x0c\r")
-_HASHES = np.random.default_rng(11).integers(0, 2**63, size=(2, 1024), dtype=np.uint64)
+#: Universal hash functions over the upper halves of the shingles' hashes.
+_HASHES = np.random.default_rng(11).integers(0, 2**32, size=(2, 2048), dtype=np.uint64).astype(np.uint32)
+#: Times that tiles may hand out the classes of a group; beyond, its buckets do.
+HANDED = 4
+#: Groups of more than a cell that are sent to every task.
+FEW = 100_000
+
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of the texts, in order, and the words of each text."""
@@ -81,12 +90,12 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
 def minima(sets: list[np.ndarray], functions: int) -> np.ndarray:
     """The least value of each universal hash function over each set (none of
     which is empty), as rows of functions."""
-    flat = np.concatenate(sets)
+    flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     offsets = np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((functions, len(sets)), np.uint64)
+    out = np.empty((functions, len(sets)), np.uint32)
     x = np.empty_like(flat)
     for j in range(functions):
-        np.multiply(flat, _HASHES[0, j] | np.uint64(1), out=x)
+        np.multiply(flat, _HASHES[0, j] | np.uint32(1), out=x)
         np.add(x, _HASHES[1, j], out=x)
         np.minimum.reduceat(x, offsets, out=out[j])
     return out
@@ -97,7 +106,9 @@ def band_keys(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
     keys = np.zeros((bands, low.shape[1]), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(rows):
-            keys += mix64(low[k::rows].copy()) * _ODD[30 + k]
+            keys += mix64(low[k::rows].astype(np.uint64)) * _ODD[30 + k]
+        # Each band has keys of its own.
+        keys += np.arange(1, bands + 1, dtype=np.uint64)[:, None] * _ODD[29]
     return mix64(keys).T
 
 
@@ -205,7 +216,7 @@ def near_duplicates(
     links nothing. Extra columns are ignored; an empty table gives no rows.
 
     A pair at the least similarity shares a band's key with probability
-    1 - (1 - 0.85**5)**24 = 0.9999992.
+    1 - (1 - 0.85**10)**64 = 0.9999992; one at a half, with 0.06.
 
     Returns doc_id, n_shingles, component_id (least doc_id reachable), kept.
     """
@@ -218,25 +229,24 @@ def near_duplicates(
     )
     key = ["n_shingles", "s1", "s2"]
     classes = materialize(sketch.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
-    keyed = classes.where("rep IS NOT NULL").select("rep", F.posexplode("bands").alias("band", "h"))
-    star = keyed.groupBy("band", "h").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    near = connected_components(keyed.hint("merge").join(star, ["band", "h"]).where("rep <> lead"), "rep", "lead")
+    keyed = classes.where("rep IS NOT NULL").select("rep", F.explode("bands").alias("h"))
+    star = keyed.groupBy("h").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
+    near = connected_components(keyed.hint("merge").join(star, "h").where("rep <> lead"), "rep", "lead")
     near = near.select(F.col("node").alias("rep"), F.col("root").alias("grp"))
     near = near.union(near.select(F.col("grp").alias("rep"), "grp").distinct())
-    sizes = near.groupBy("grp").agg(F.ceil(F.count("*") / tile).alias("tiles"))
-    near = near.join(sizes, "grp").withColumn("label", F.col("rep"))
+    wide = _few(near.groupBy("grp").agg(F.ceil(F.count("*") / tile).alias("tiles")).where("tiles > 1"))
+    near = near.join(wide, "grp", "left").withColumn("label", F.col("rep"))
     # The texts are dealt out by id at every size, so that the plan is the same.
     members = texts.select(F.col("doc_id").alias("rep"), F.col("text").cast("binary").alias("_text")).hint("merge").join(near, "rep")
     members = materialize(members, "members")
     cell = _cell(size, percent)
 
-    tiles = members.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
-    parts = materialize(tiles.groupBy("grp", "tile", "tiles").applyInArrow(cell, _PARTS), "parts")
+    tiles = members.withColumn("tile", F.coalesce(F.pmod(F.xxhash64("rep"), F.col("tiles")), F.lit(0)))
+    parts = materialize(tiles.groupBy("grp", "tile").applyInArrow(cell, _PARTS), "parts")
     joined = parts.select(F.col("label").alias("node"), "root")
-    large = members.where("tiles > 1")
+    large = members.where("tiles IS NOT NULL")
     if not large.isEmpty():
-        wide = large.select("grp").distinct()
-        across = _across_tiles(large, parts.join(wide, "grp", "left_semi"), cell, tile)
+        across = _across_tiles(large, parts.join(wide, "grp", "left_semi"), classes, cell, tile)
         joined = parts.join(wide, "grp", "left_anti").select(F.col("label").alias("node"), "root").union(across)
     return (
         sketch.drop("bands")
@@ -251,32 +261,71 @@ def near_duplicates(
     )
 
 
-def _across_tiles(large: DataFrame, parts: DataFrame, cell, tile: int) -> DataFrame:
+def _few(df: DataFrame) -> DataFrame:
+    """A table of what is more than a cell, written once; sent to all tasks if it has few
+    rows, so that joins with it don't gather the classes of a group."""
+    df = materialize(df, "wide")
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
+def _across_tiles(large: DataFrame, parts: DataFrame, classes: DataFrame, cell, tile: int) -> DataFrame:
     """(node, root) of the classes in groups of more than one tile, from the
-    parts that each tile has by itself."""
+    parts that each tile has by itself and the buckets of the classes."""
     hubs = parts.where("size > 1 AND label = root").select("grp", F.col("hub").alias("rep"), "label")
-    split = hubs.groupBy("grp").agg(F.ceil(F.count("*") / tile).alias("n"))
+    split = _few(hubs.groupBy("grp").agg(F.ceil(F.count("*") / tile).alias("n")))
     hubs = hubs.join(split, "grp").select("rep", "label", F.pmod(F.xxhash64("rep"), F.col("n")).alias("tile"))
     linked = large.drop("label").join(hubs, "rep").groupBy("grp", "tile").applyInArrow(cell, _PARTS)
     links = materialize(parts.union(linked).select("label", "root").where("label <> root"), "links")
 
     known = connected_components(links, "label", "root")
     part = large.select("grp", "rep").distinct().join(known, F.col("rep") == F.col("node"), "left")
-    part = part.select("grp", "rep", F.coalesce("root", "rep").alias("label"))
-    main = part.groupBy("grp", "label").count().groupBy("grp").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
-    part = part.join(main, "grp").withColumn("out", F.col("label") != F.col("main")).drop("main")
-    count = part.groupBy("grp").agg(
-        F.ceil(F.count_if("out") / tile).alias("outs"), F.ceil(F.count_if(~F.col("out")) / tile).alias("mains")
-    )
-    part = part.join(count, "grp").withColumn(
-        "own", F.when(F.col("out"), F.pmod(F.xxhash64("rep"), F.col("outs"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("mains")))
-    )
-    # Cells: tiles of stragglers among themselves (oo) and with tiles of the largest part (om).
-    other = "if({0} > 0, transform(sequence(0L, {0} - 1), x -> struct({1} AS kind, {2} AS i, {3} AS j)), array())"
-    among = other.format("outs", "'oo'", "least(x, own)", "greatest(x, own)")
-    across = other.format("mains", "'om'", "own", "x")
-    back = other.format("outs", "'om'", "x", "own")
-    dealt = part.select("grp", "rep", "label", F.explode(F.expr(f"if(out, concat({among}, {across}), {back})")).alias("c"))
-    found = large.select("rep", "_text").join(dealt, "rep").groupBy("grp", "c").applyInArrow(cell, _PARTS).where("label <> root")
+    part = materialize(part.select("grp", "rep", F.coalesce("root", "rep").alias("label")), "labels")
+    cells = _cells(part, classes, tile)
+    found = large.select("rep", "_text").join(cells, "rep").groupBy("grp", "c").applyInArrow(cell, _PARTS).where("label <> root")
     merged = connected_components(found, "label", "root").select(F.col("node").alias("label"), F.col("root").alias("top"))
     return part.join(merged, "label", "left").select(F.col("rep").alias("node"), F.coalesce("top", "label").alias("root"))
+
+
+def _cells(part: DataFrame, classes: DataFrame, tile: int) -> DataFrame:
+    """(grp, rep, label, c): cells in which all links are found that classes of a loose
+    group may have to those of another label. A group goes by tiles of all of it where
+    that hands out ``HANDED`` times its classes at most, as where few stragglers are left
+    beside many copies, and otherwise by its buckets."""
+    m, outs = F.col("m"), F.col("n") - F.col("m")
+    by_tiles = m * F.ceil(outs / tile) + outs * (F.ceil(m / tile) + F.ceil(outs / tile))
+    tiled = _few(_mains(part).select("grp", (by_tiles <= HANDED * F.col("n")).alias("tiled")))
+    whole = _dealt(part.join(tiled.where("tiled"), "grp", "left_semi"), tile)
+    rows = part.join(tiled.where("NOT tiled"), "grp", "left_semi").join(classes.select("rep", "bands"), "rep")
+    own = materialize(_bucket_rows(rows.select("rep", "label", F.explode("bands").alias("grp"))), "bucket-rows")
+    one = F.struct(F.lit("all").alias("kind"), F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))
+    small = own.where(F.col("n") <= tile).select("grp", "rep", "label", one.alias("c"))
+    return whole.unionByName(small).unionByName(_dealt(own.where(F.col("n") > tile).drop("n"), tile))
+
+
+def _bucket_rows(keyed: DataFrame) -> DataFrame:
+    """(grp, rep, label, n): the buckets ``grp`` of n classes that have two labels or
+    more; of buckets of the same classes, one."""
+    mark = F.xxhash64("rep")
+    buckets = keyed.groupBy("grp").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(mark.bitwiseAND(0xFFFFFFFF)).alias("s"), F.min("label").alias("least"), F.max("label").alias("most"))
+    buckets = buckets.where("least <> most").groupBy("n", "x", "s").agg(F.min("grp").alias("grp")).select("grp", "n")
+    return keyed.hint("merge").join(buckets, "grp").select("grp", "rep", "label", "n")
+
+
+def _mains(rows: DataFrame) -> DataFrame:
+    """Of each group: the label of most classes (main), their number (m), and that of all (n)."""
+    labels = rows.groupBy("grp", "label").count()
+    return labels.groupBy("grp").agg(F.max(F.struct("count", "label"))["label"].alias("main"), F.max("count").alias("m"), F.sum("count").alias("n"))
+
+
+def _dealt(rows: DataFrame, tile: int) -> DataFrame:
+    """Groups of (grp, rep, label) rows in cells: tiles of the classes outside the largest
+    part among themselves (oo) and with tiles of that part (om)."""
+    main = _few(_mains(rows).select("grp", "main", F.ceil((F.col("n") - F.col("m")) / tile).alias("outs"), F.ceil(F.col("m") / tile).alias("mains")))
+    wide = rows.join(main, "grp").withColumn("out", F.col("label") != F.col("main"))
+    wide = wide.withColumn("own", F.pmod(F.xxhash64("rep"), F.when(F.col("out"), F.col("outs")).otherwise(F.col("mains"))))
+    # A group without stragglers has nothing left to look for.
+    other = "transform(sequence(0L, {0} - 1), x -> struct({1} AS kind, {2} AS i, {3} AS j))"
+    among = other.format("outs", "'oo'", "least(x, own)", "greatest(x, own)")
+    across = other.format("mains", "'om'", "own", "x")
+    back = f"if(outs > 0, {other.format('outs', chr(39) + 'om' + chr(39), 'x', 'own')}, array())"
+    return wide.select("grp", "rep", "label", F.explode(F.expr(f"if(out, concat({among}, {across}), {back})")).alias("c"))
