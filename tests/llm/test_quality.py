@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.llm.quality import ORACLE, Rule, base_rules, cascade, form_rules, order_rules, quality_report
+from tillroll.llm.quality import ORACLE, Rule, base_rules, cascade, first_failure, form_rules, order_rules, quality_report
 
 TEXTS = [
     None, "", " \n\t", "one", "a b c d e f g h i", "w " * 8, "w " * 9, "a b c d e f g h " * 2, "x\x0by\x0cz é日本 😀", "l\nl\n\n \nl2\nl",
@@ -57,6 +57,26 @@ def test_cascade_keeps_what_the_report_keeps(docs):
 
 
 def test_order_is_by_rejection_per_cost(docs):
-    never, always = Rule("never", F.col("text").isNull() & F.col("text").isNotNull()), Rule("always", F.lit(True))
+    never, always = Rule("never", lambda t, w: F.size(w) < 0), Rule("always", lambda t, w: F.size(w) >= 0)
     assert [r.name for r in order_rules(docs, [never, always])] == ["always", "never"]
     assert {r.name for r in order_rules(docs, [*base_rules(), *form_rules()])} == {"short", "repeated", "word_length", "symbols", "dup_lines"}
+
+
+def test_dear_rules_are_not_computed_for_rejected_documents(docs):
+    """A rule that fails when it is computed, after one that rejects most documents."""
+    fails = Rule("fails", lambda t, w: F.raise_error(F.lit("computed")).cast("boolean"))
+    short = Rule("short", lambda t, w: F.size(w) < 20)
+    few = docs.where("text IS NULL OR length(text) < 30")
+    assert few.count() > 8
+    assert {r.why for r in few.select(first_failure([short, fails]).alias("why")).collect()} == {"short"}
+    with pytest.raises(Exception, match="computed"):
+        few.select(first_failure([fails, short])).collect()
+    with pytest.raises(Exception, match="computed"):
+        docs.select(first_failure([short, fails])).collect()
+
+
+def test_first_failure_names_each_rule(docs):
+    rules = [*base_rules(), *form_rules()]
+    got = {(r.text, r.why) for r in docs.select("text", first_failure(rules).alias("why")).collect()}
+    assert {t for t, why in got if why is None} == {t for t in TEXTS if brute(t)[-1]}
+    assert {t for t, why in got if why in ("short", "repeated")} == {t for t in TEXTS if brute(t)[-2]}
