@@ -15,7 +15,10 @@ from tillroll.llm.sentencepiece_codec import append_pieces
 from tillroll.session import materialize
 
 #: Near duplicates: shingles of five words, a similarity of 0.8 or more.
-SHINGLE, PERCENT, BANDS = 5, 80, 40
+SHINGLE, PERCENT = 5, 80
+#: Band keys of 8 minima, 75 of them: a pair at that similarity shares one with
+#: probability 1 - (1 - 0.8**8)**75 = 0.999999.
+ROWS, BANDS = 8, 75
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +45,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     said = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
 
     texts = docs.where(said).select(F.xxhash64("text").alias("doc_id"), "text").groupBy("doc_id").agg(F.first("text").alias("text"))
-    found = near_duplicates(materialize(texts, "texts"), PERCENT, SHINGLE, BANDS).select(F.col("doc_id").alias(key), "component_id")
+    found = near_duplicates(materialize(texts, "texts"), PERCENT, SHINGLE, BANDS, ROWS).select(F.col("doc_id").alias(key), "component_id")
     # The least of each text goes before the join, so that copies don't meet in it.
     least = docs.where(said).select(*ident).groupBy(key, none).agg(F.min(own).alias(own))
     kept = least.join(found, key).groupBy("component_id", none).agg(F.min(F.struct(own, key)).alias(row))
