@@ -77,6 +77,24 @@ def test_coalesce(a, b):
             assert both[g][side[g] == k].tolist() == [e for e in ends[k].tolist() if lo < e <= hi]
 
 
+@given(st.sets(st.integers(1, 30)), st.sets(st.integers(1, 30)))
+@settings(max_examples=100, deadline=None)
+def test_overlaps(a, b):
+    x, y = (sorted({*s, 31}) for s in (a, b))
+    got = list(zip(*(k.tolist() for k in al.overlaps(np.array(x), np.array(y))), strict=True))
+    spans = [list(zip([0, *e], e, strict=False)) for e in (x, y)]
+    assert sorted(got) == sorted((i, j) for i, (p, q) in enumerate(spans[0]) for j, (r, s) in enumerate(spans[1]) if max(p, r) < min(q, s))
+
+
+def test_overlapping_links(spark):
+    text = "unbelievable naïve 日本語"
+    row = al.align_tokens(spark.createDataFrame([(1, text)], "doc_id long, text string"), A, B, overlap=True).first()
+    ((x, xb, y, yb),) = tokens([text])
+    xe, ye = np.cumsum([len(t) for t in xb]).tolist(), np.cumsum([len(t) for t in yb]).tolist()
+    want = Counter(i << 32 | j for i, p, q in zip(x, [0, *xe], xe, strict=False) for j, r, s in zip(y, [0, *ye], ye, strict=False) if max(p, r) < min(q, s))
+    assert dict(zip(row.links, row.times, strict=True)) == want and row.n_links == want.total() > row.n_groups
+
+
 def test_bytes_of_ids():
     x = al.Aligner(A, B)
     assert sorted(al.byte_level().values()) == list(range(256))

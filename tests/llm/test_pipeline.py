@@ -57,6 +57,19 @@ def test_odd_rows_in_each_stage(spark, sf_small):
             assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "3", "4", "None", "None"]
 
 
+def test_long_texts_in_each_stage(spark, sf_small):
+    """A text of a megabyte and a near copy of it; the copy goes, the text stays whole."""
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{k}" for k in range(120_000)]
+    long = "\n".join(" ".join(words[k : k + 12]) for k in range(0, len(words), 12))
+    rows = [(1, long), (2, long.replace("wa", "xa", 50)), (3, " ".join(f"own{k}" for k in range(40)))]
+    now = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", corpus_pipeline.F.length("text").cast("long"))
+    for name, stage in corpus_pipeline.STAGES:
+        now = corpus_pipeline.materialize(stage(spark, now, sf_small), name.replace(" ", "-"))
+    got = {r.doc_id: (r.text, r.n_tokens) for r in now.collect()}
+    assert sorted(got) == [1, 3] and got[1][0] == long
+    assert got[1][1] == len(sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")).encode(long))
+
+
 def test_documents_without_an_id_go_by_their_text(spark, sf_small):
     item = next(r.text for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect() if r.text and len(r.text.split()) > 12)
     docs = spark.createDataFrame([(None, f"a {item} b"), (None, "clean one"), (None, None), (7, f"x {item}"), (7, "clean two")], "doc_id long, text string")

@@ -4,8 +4,9 @@ Each text is encoded by both, A and B, and their tokens are intervals of its byt
 All tokens of a batch of texts are ordered by where they start (one lexsort), and the
 running maximum of their ends is taken: a group ends where a token starts at that
 maximum, that is where tokens of both sides end, and tokens that overlap stay in one
-group. Pairs of tokens that end together are links; they are counted over the
-corpus, and each text then gets the counts of its own links.
+group. Pairs of tokens that end together are links, or all pairs that overlap, to
+which groups expand; they are counted over the corpus, and each text then gets the
+counts of its own links.
 
 Pairs of one in ``HOT_SHARE`` links or more are at most as many, whatever the corpus, and
 go to all tasks; the rarer ones are joined by a shuffle, in which none has more rows
@@ -118,6 +119,13 @@ def coalesce(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, side[order], begins
 
 
+def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of tokens of two sides that share bytes, as the tokens' numbers: each stretch
+    between two neighbouring ends, of either side, lies in one token of both."""
+    ends = np.union1d(a_ends, b_ends)
+    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+
+
 _aligners: dict = {}
 
 
@@ -128,7 +136,7 @@ def aligner(a_path: str, b_path: str, parallel: int = 1) -> Aligner:
     return _aligners[a_path, b_path]
 
 
-def _aligned(al: Aligner, texts: list[bytes]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
+def _aligned(al: Aligner, texts: list[bytes], overlap: bool) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
     """Of each text: numbers of A's and B's tokens, of groups, the groups as text, links
     as distinct numbers (A's id in the upper half) and how often each."""
     (a, n_a), (b, n_b) = al.encode(texts)
@@ -159,9 +167,13 @@ def _aligned(al: Aligner, texts: list[bytes]) -> Iterator[tuple[int, int, int, s
     words = words.tolist()
     cuts = np.searchsorted(own, np.arange(len(texts) + 1)).tolist()
     groups = np.bincount(own[begins], minlength=len(texts)).tolist()
-    # Tokens that end together are the last ones of both sides in a group.
-    link_text = own[last & (side == 1)]
-    pair = ids[last & (side == 0)] << 32 | ids[last & (side == 1)]
+    if overlap:
+        x, y = overlaps(a_ends, b_ends)
+        link_text, pair = a_text[x], a[x] << 32 | b[y]
+    else:
+        # Tokens that end together are the last ones of both sides in a group.
+        link_text = own[last & (side == 1)]
+        pair = ids[last & (side == 0)] << 32 | ids[last & (side == 1)]
     sort = np.lexsort((pair, link_text))
     pair, link_text = pair[sort], link_text[sort]
     first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (link_text[1:] != link_text[:-1]))[: len(pair)])
@@ -176,14 +188,15 @@ def _aligned(al: Aligner, texts: list[bytes]) -> Iterator[tuple[int, int, int, s
 _ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links array<long>, times array<long>"
 
 
-def align_tokens(docs: DataFrame, a_path: str, b_path: str, parallel: int = 1) -> DataFrame:
+def align_tokens(docs: DataFrame, a_path: str, b_path: str, parallel: int = 1, overlap: bool = False) -> DataFrame:
     """Align the tokens of two tokenizers over each whole text: a byte-level one of the
     tokenizers library (A, over a space and the text) and a SentencePiece model (B).
     Their files lie at these paths on every executor.
 
     Returns doc_id, n_a, n_b, n_groups, n_links, ``groups`` (A's ids, ``|``, B's ids, groups
-    parted by ``;``), ``links`` (distinct pairs of tokens that end together, A's id in the
-    upper 32 bits) and ``times`` (how often each does). Texts null or empty, and texts of
+    parted by ``;``), ``links`` (distinct pairs of tokens that end together or, with
+    ``overlap``, share a byte, A's id in the upper 32 bits) and ``times`` (how often each
+    does). Texts null or empty, and texts of
     which either side's tokens don't spell the space and the text, have no tokens.
     Repeated rows and rows without a doc_id are aligned like others; long texts are
     read whole; extra columns are ignored; an empty table gives no rows."""
@@ -194,7 +207,7 @@ def align_tokens(docs: DataFrame, a_path: str, b_path: str, parallel: int = 1) -
             rows: list[tuple] = [(0, 0, 0, "", (), ())] * len(texts)
             said = [k for k, t in enumerate(texts) if t]
             if said:
-                for k, row in zip(said, _aligned(al, [texts[k] for k in said]), strict=True):
+                for k, row in zip(said, _aligned(al, [texts[k] for k in said], overlap), strict=True):
                     rows[k] = row
             n_a, n_b, n_groups, groups, links, times = zip(*rows, strict=True)
             cuts = pa.array(np.cumsum([0, *map(len, links)]), pa.int32())
