@@ -22,12 +22,15 @@ ROWS, BANDS = 8, 75
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule rejects."""
+    """Documents that no rule rejects. Null and empty texts have no words and go as
+    too short; repeated rows are judged alike, and long texts whole."""
     return cascade(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go; a document that loses all of its lines goes too."""
+    """Recurring lines go; a document that loses all of its lines goes too. Null and
+    empty texts have no lines and stay; repeated rows lose the same lines; long texts
+    are read whole."""
     lines, dropped = (F.col(free_name(docs, n)) for n in ("_lines", "_dropped"))
     out = dedup_lines(docs).where((dropped == 0) | (dropped < lines))
     changed = F.when(dropped > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -38,8 +41,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the least doc_id,
     then the least hash of the text. Rows of one doc_id are told apart by their
     text; of rows of one doc_id and text, that of the least hash stays. Of the
-    rows without a doc_id in a group one stays too. Blank texts are linked with
-    nothing."""
+    rows without a doc_id in a group one stays too. Null and blank texts are linked
+    with nothing; long ones are compared whole."""
     own, none, key, row, left = (free_name(docs, n) for n in ("_own", "_none", "_key", "_row", "_left"))
     ident = [F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID)).alias(own), F.col("doc_id").isNull().alias(none), F.xxhash64("text").alias(key)]
     said = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
@@ -61,7 +64,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage. Rows of one doc_id, or of none, are
-    told apart by their text."""
+    told apart by their text. Null and empty texts have none and stay; repeated rows
+    stay or go together; long texts are searched whole."""
     found = find_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
     hit = found.where("n_hit > 0").select("doc_id", "text_hash").distinct()
     same = docs["doc_id"].eqNullSafe(hit["doc_id"]) & (F.xxhash64(docs["text"]) == hit["text_hash"])
@@ -69,7 +73,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All columns with n_tokens and ids."""
+    """All columns with n_tokens and ids. Null and empty texts have no ids; repeated
+    rows and long texts are encoded like others."""
     return append_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
