@@ -29,16 +29,19 @@ def test_equal_rows_are_drawn_by_themselves(spark, tmp_path):
         assert sample_rows(df, 1.0).count() == n and sample_rows(df, 0.0).count() == 0
 
 
-def test_rows_of_a_shuffle_are_written_first(spark, tmp_path):
+def test_rows_of_a_shuffle_go_by_value_and_number(spark, tmp_path):
     from tillroll.operators import sampling
 
     path = str(tmp_path / "t")
     _equal_rows(spark, 1000).write.parquet(path)
     df = spark.read.parquet(path)
-    joined = df.alias("x").join(spark.range(5), F.lit(True))
+    joined = df.join(spark.range(5), F.lit(True))
     assert sampling._scanned(df.where("t = 'same'")) and not sampling._scanned(joined) and not sampling._scanned(df.groupBy("t").count())
-    count = sample_rows(joined, 0.5).count()
-    assert 2500 - 180 < count < 2500 + 180
+    drawn = sample_rows(joined, 0.5)
+    rows = sorted(map(tuple, drawn.collect()))
+    assert drawn.columns == joined.columns and 2500 - 180 < len(rows) < 2500 + 180
+    # However the rows are dealt out, the same are drawn.
+    assert sorted(map(tuple, sample_rows(joined.repartition(7), 0.5).collect())) == rows
 
 
 def test_sample_by_text_keeps_equal_rows_together(spark):

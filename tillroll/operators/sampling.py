@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import quoted
-from tillroll.session import materialize
+from tillroll.functions.columns import free_name, quoted
 
 
 def _scanned(df: DataFrame) -> bool:
@@ -30,14 +29,20 @@ def row_identity(df: DataFrame) -> list[Column]:
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """Sample without replacement: each row is taken or not by itself, equal rows too,
     with the probability ``fraction``, by a hash of its identity and the seed. A task
-    that is run again takes the same rows. Rows that don't come straight from files are
-    written once, for their identity. ``fraction >= 1`` returns the input."""
+    that is run again takes the same rows, and so does a second sample of one table.
+    Rows that don't come straight from files are told apart by their values and, among
+    equal ones, by number. ``fraction >= 1`` returns the input."""
     if fraction >= 1.0:
         return df
-    if not _scanned(df):
-        df = materialize(df, "sampled")
-    drawn = F.xxhash64(*row_identity(df), F.lit(seed))
-    return df.where(drawn < F.lit(int(max(0.0, fraction) * 2**64) - 2**63))
+    least = F.lit(int(max(0.0, fraction) * 2**64) - 2**63)
+    if _scanned(df):
+        return df.where(F.xxhash64(*row_identity(df), F.lit(seed)) < least)
+    own = [quoted(c) for c in df.columns]
+    count, number = (free_name(df.columns, n) for n in ("_count", "_number"))
+    # Equal rows are counted before the exchange, so that many of them are no large task.
+    rows = df.groupBy(*own).agg(F.count(F.lit(1)).alias(count))
+    rows = rows.select(*own, F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))).alias(number))
+    return rows.where(F.xxhash64(*own, F.col(number), F.lit(seed)) < least).select(*own)
 
 
 def sample_by_text(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
