@@ -75,12 +75,12 @@ def main() -> None:
         f"Input: {os.path.basename(sf_dir)}, local[8], spark.sql.shuffle.partitions=16. Plans are shown with",
         "AQE off so whole-stage-codegen spans are visible; production runs with AQE on, which keeps these",
         "operators and resizes partitions at run time. Analyses with eager steps (the ranking behind RFM and",
-        "quartiles, FP-Growth) show the plan of their final DataFrame, whose inputs are the written ranking",
-        "tables.",
+        "quartiles, the mining of baskets) show the plan of their final DataFrame, whose inputs are the tables",
+        "that these steps wrote.",
         "",
         "Single-partition exchanges are expected only where the input is bounded by construction: the final",
-        "merge of a global aggregate (one partial row per task), the prefix sum over one row per range",
-        "partition in the distributed ranking, and the month-ordered `lag` over one row per calendar month.",
+        "merge of a global aggregate (one partial row per task) and the month-ordered `lag` over one row per",
+        "calendar month.",
         "No single-partition exchange carries lines, invoices or customers.",
         "",
         "## Pipeline stages",
