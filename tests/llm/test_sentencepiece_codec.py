@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 
+from tillroll.llm import common, sentencepiece_codec
 from tillroll.llm.sentencepiece_codec import Codec, build, encode_pieces, merges, read_model
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -79,3 +82,31 @@ def test_long_text():
     text = "some long words, 日本 and more of them\n" * 40_000
     ids, n = c.encode([text.encode(), b"x"])
     assert ids[: n[0]].tolist() == ref.encode(text) and c.decode(ids, n) == [text.encode(), b"x"]
+
+
+def test_workspace_of_a_batch_stays_small():
+    """Hashing 4 MB of text takes memory for what it returns, and powers for a piece; words
+    that reach over a piece hash like others."""
+    gap, long = common.gap_table(b" "), b"x" * (common.HASH_BYTES + 7)
+    texts = [b"some words of text " * 55_000, long + b" some " + long] * 3
+    common.hashed_words([b"a"], gap, common.BYTE_VALUES)
+    tracemalloc.start()
+    buffer, start, end, h, n = common.hashed_words(texts, gap, common.BYTE_VALUES)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(buffer) and sum(p.nbytes for p in common._powers) <= 16 * common.HASH_BYTES
+    data = buffer.tobytes()
+    by_word = {}
+    for a, z, x in zip(start.tolist(), end.tolist(), h.tolist(), strict=True):
+        assert by_word.setdefault(data[a:z], x) == x
+    assert set(by_word) == {b"some", b"words", b"of", b"text", long} and len(set(by_word.values())) == 5
+    assert n.tolist() == [220_000, 3] * 3
+
+
+def test_slices_hold_rows_and_bytes():
+    texts = ["a" * 10] * 1300 + [None, "", "b" * (3 << 20), "c"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(sentencepiece_codec._slices(batch, 1))
+    assert [x for b in parts for x in b.column(1).to_pylist()] == texts
+    assert [b.num_rows for b in parts] == [512, 512, 278, 1, 1]
+    assert list(sentencepiece_codec._slices(batch.slice(0, 0), 1)) == []

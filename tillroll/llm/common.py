@@ -76,8 +76,8 @@ def words64(b: np.ndarray) -> np.ndarray:
 #: A value for each byte in hashes of words.
 BYTE_VALUES = np.random.default_rng(7).integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
-#: Bytes of text for which powers are kept.
-_POWERS = (4 << 20) + (1 << 16)
+#: Bytes of text that are hashed at a time, and for which powers are kept.
+HASH_BYTES = 1 << 18
 _powers: list[np.ndarray] = []
 
 
@@ -87,24 +87,38 @@ def gap_table(gaps: bytes) -> np.ndarray:
     return out
 
 
+def _powers_for(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse; a longer word has its own."""
+    if size <= HASH_BYTES and _powers:
+        return _powers
+    found = [np.cumprod(np.full(max(size, HASH_BYTES), b, np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    if size <= HASH_BYTES:
+        _powers[:] = found
+    return found
+
+
 def hashed_words(texts: list[bytes], gap: np.ndarray, values: np.ndarray):
     """Words of texts: what stands between bytes of ``gap`` (a table that has
     the space). Returns the joined text, first byte and end of each word, its
     hash (of the ``values`` of its bytes), and the words of each text."""
     buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    powers = _powers
-    if not powers or len(powers[0]) <= len(buffer):
-        # Doubled up to the size of a batch; a longer text has powers of its own.
-        size = max(len(buffer) + 1, min(2 * len(buffer), _POWERS), 1 << 20)
-        powers = [np.cumprod(np.full(size, b, np.uint64)) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
-        if size <= _POWERS:
-            _powers[:] = powers
     edge = np.diff(np.append(True, gap[buffer]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum(values[buffer] * powers[0][: len(buffer)], out=total[1:])
-        h = (total[end] - total[start]) * powers[1][start] + (end - start).astype(np.uint64) * _ODD[60]
+    h = np.empty(len(start), np.uint64)
+    # A hash doesn't depend on where its word stands, so some words at a time take their
+    # powers from 0 on, and the workspace is that of one piece.
+    at = 0
+    while at < len(start):
+        lo = int(start[at])
+        upto = max(at + 1, int(np.searchsorted(end, lo + HASH_BYTES, "right")))
+        a, z = start[at:upto] - lo, end[at:upto] - lo
+        size = int(z[-1])
+        up, down = _powers_for(size)
+        with np.errstate(over="ignore"):
+            total = np.zeros(size + 1, np.uint64)
+            np.cumsum(values[buffer[lo : lo + size]] * up[:size], out=total[1:])
+            h[at:upto] = (total[z] - total[a]) * down[a] + (z - a).astype(np.uint64) * _ODD[60]
+        at = upto
     ends = np.cumsum([len(t) + 1 for t in texts])
     return buffer, start, end, mix64(h), np.diff(np.searchsorted(start, np.append(0, ends)))
 

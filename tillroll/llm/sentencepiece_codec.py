@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,8 @@ UNIGRAM, BPE = 1, 2
 
 #: Units that a worker keeps beside the two libraries' models.
 KEEP = 250_000
+#: Units that both libraries encode at a time: what they return is far larger than the ids.
+_UNITS = 4096
 
 _UNIT = re.compile(" +[^ ]*")
 _GAP = gap_table(b" ")
@@ -172,6 +175,9 @@ class Codec:
         self.pieces = np.array(pieces, object)
 
     def _encode(self, new: list[str]) -> list[bytes]:
+        return [x for k in range(0, len(new), _UNITS) for x in self._encode_some(new[k : k + _UNITS])]
+
+    def _encode_some(self, new: list[str]) -> list[bytes]:
         runs = [k for k, u in enumerate(new) if not u.strip(" ")]  # these would join the next unit
         rest = [k for k, u in enumerate(new) if u.strip(" ")]
         ours: list[bytes] = [b""] * len(new)
@@ -285,7 +291,20 @@ def encode_pieces(docs: DataFrame, model_path: str, keep_ids: bool = True, paral
 
 
 #: Rows and text that are encoded at a time, about.
-_ROWS = 512
+_ROWS, _BYTES = 512, 1 << 20
+
+
+def _slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of rows; one longer text stands alone."""
+    size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    lo = upto = 0
+    for k, n in enumerate(size.tolist()):
+        if k > lo and (k - lo == _ROWS or upto + n > _BYTES):
+            yield batch.slice(lo, k - lo)
+            lo, upto = k, 0
+        upto += n
+    if batch.num_rows:
+        yield batch.slice(lo)
 
 
 def append_pieces(docs: DataFrame, model_path: str, parallel: int = 2) -> DataFrame:
@@ -299,8 +318,7 @@ def append_pieces(docs: DataFrame, model_path: str, parallel: int = 2) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path, parallel)
         for whole in batches:
-            for lo in range(0, whole.num_rows, _ROWS):
-                b = whole.slice(lo, _ROWS)
+            for b in _slices(whole, at):
                 flat, n = c.encode([t or b"" for t in b.column(at).cast(pa.binary()).to_pylist()])
                 ids = pa.ListArray.from_arrays(pa.array(np.cumsum(np.append(0, n)), pa.int32()), pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64()), ids], names=schema.names)
