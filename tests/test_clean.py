@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tests.conftest import raw_frame
+from tillroll.functions.columns import INVOICE_TS_FORMATS, invoice_timestamp
 from tillroll.operators import clean as cl
 from tillroll.schema import CLEAN_COLUMNS
 
@@ -246,3 +247,29 @@ def test_money_beyond_its_range_is_an_error(spark):
     df = cl.clean(raw_frame(spark, [_line(price=1e31)]))
     with pytest.raises(ArithmeticException):
         cu.customer_frequency(df).collect()
+
+
+def test_times_of_usual_digits_as_by_the_layouts(spark):
+    """What is cast is what the layouts give, for odd texts as well."""
+    texts = [
+        "2010-12-01 08:26:00", "2010/12/01 08:26:59", "01/12/2010 08:26", "01/12/2010 8:26", " 01/12/2010 8:26 ", "2010-02-30 08:26:00",
+        "31/04/2010 08:26", "12/31/2010 08:26", "2010-12-01 24:00:00", "2010/12/01 23:60:00", "0000-01-01 00:00:00", "01/01/0000 00:00",
+        "0001-01-01 00:00:00", "2012-02-29 00:00:00", "29/02/2011 0:00", "2010-12-01", "2010-12-01T08:26:00", "2010-12-01 08:26:00Z", "2010-12-01 08:26:00.5",
+        "1/12/2010 8:26", "01/12/10 08:26", "01/12/2010 008:26", "+12010-12-01 08:26:00", "-2010-12-01 08:26:00", "not a date", "", None, "٢٠١٠-12-01 08:26:00",
+        "01/12/2010 08:26:00", "2010/12/01 8:26:00", "9999-12-31 23:59:59", "31/12/9999 23:59",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "InvoiceDate string")
+    t = F.trim("InvoiceDate")
+    by_layout = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in INVOICE_TS_FORMATS]).cast("timestamp_ntz")
+    got = df.select("InvoiceDate", invoice_timestamp("InvoiceDate").cast("string").alias("got"), by_layout.cast("string").alias("want")).collect()
+    assert [(r.InvoiceDate, r.got) for r in got] == [(r.InvoiceDate, r.want) for r in got]
+    assert sum(r.got is not None for r in got) >= 9
+
+
+def test_invoice_times_are_parsed_once(spark):
+    """The filter on the parsed time stays above the de-duplication."""
+    out = cl.clean(raw_frame(spark, [_line(), _line()]))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == plan.split("Aggregate", 1)[1].count("translate(") > 0
+    assert not any("Filter" in x and "translate(" in x for x in plan.splitlines())
+    assert out.count() == 1
