@@ -22,7 +22,7 @@ from tillroll.operators.sampling import sample_by_text, sample_rows
 from tillroll.plans import benchmark as bm
 from tillroll.plans.registry import run_all, verify_outputs
 from tillroll.schema import CLEAN_COLUMNS
-from tillroll.session import ensure_checkpoint_dir, scratch_path
+from tillroll.session import ensure_checkpoint_dir, materialize, scratch_path
 from tillroll.sources import files as fl
 from tillroll.sources import readers as rd
 from tillroll.sources import sinks as sk
@@ -291,16 +291,18 @@ def association_rules_type(spark, sf):
 def order_value_rank_error(spark, sf, accuracy: int = 20):
     """Per approximate quartile: is its rank off by at most 1/accuracy of the
     invoices. The bound is coarse, so that ranges do stay open at small sizes."""
-    approx = cu.order_value_quantiles_approx(_clean(spark, sf), accuracy=accuracy)
-    return _rank_error(cu.order_values(_clean(spark, sf)), approx, accuracy)
+    lines = materialize(_clean(spark, sf).select("InvoiceNo", "TotalAmount"), "cleaned")
+    approx = cu.order_value_quantiles_approx(lines, accuracy=accuracy)
+    return _rank_error(cu.order_values(lines), approx, accuracy)
 
 
 def order_value_rank_error_by_day(spark, sf, accuracy: int = 100):
     """The same of the quartiles from sketches kept by day, within a hundredth."""
     path = scratch_path(spark, "day-sketches")
-    sk.write_parquet(sketches.day_sketches(_clean(spark, sf)), path)
+    lines = materialize(_clean(spark, sf).select("InvoiceNo", "InvoiceDate", "TotalAmount"), "cleaned")
+    sk.write_parquet(sketches.day_sketches(lines), path)
     approx = cu.order_value_quantiles_sketched(spark.read.parquet(path))
-    return _rank_error(cu.order_values(_clean(spark, sf)), approx, accuracy)
+    return _rank_error(cu.order_values(lines), approx, accuracy)
 
 
 def _rank_error(values, approx, accuracy: int):
