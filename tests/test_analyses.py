@@ -284,3 +284,19 @@ def test_mining_keeps_every_basket_and_only_frequent_items(spark):
     assert (row.baskets, row.items, row.sizes) == (11, ["p", "q"], [10, 10])
     rules = {r.antecedent_str: r.support for r in bk.association_rules(df, 0.5, 0.2).collect()}
     assert rules == {"p": 10 / 11, "q": 10 / 11}
+
+
+@pytest.mark.parametrize("analysis", [cu.rfm_scores, cu.user_behavior_summary])
+def test_lines_are_read_once(spark, analysis):
+    """What comes before an analysis runs once, for whatever it is read several times."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    lines = clean(raw_frame(spark, [(str(k), "a", "x", 1, "2010-12-01 08:26:00", 1.0 + k, str(k % 3), "UK") for k in range(9)]))
+    lines = lines.select("CustomerID", "InvoiceNo", "InvoiceDateTime", "TotalAmount")
+    assert analysis(lines.mapInArrow(count, lines.schema)).collect()
+    assert seen.value == 9

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.columns import money_sum
+from tillroll.functions.columns import LINES, money_sum
 from tillroll.operators.profiles import customer_profile, is_profile
 from tillroll.operators.ranking import quantiles, with_ntiles
 from tillroll.operators.sketches import sketched_quantiles
+from tillroll.session import materialize
 
 
 def customer_frequency(df: DataFrame) -> DataFrame:
@@ -68,12 +69,12 @@ def rfm_scores(df: DataFrame) -> DataFrame:
     """Per customer: days since the last purchase (relative to the latest
     purchase in the whole table), distinct invoices, total amount.
 
-    The reference date is a scalar subquery, not a driver round trip.
+    The reference date is a scalar subquery, not a driver round trip. The latest
+    purchase of all is that of some customer, so the lines are read once, for the
+    profile, which is written.
     """
-    customers = customer_profile(df)
-    # The latest purchase of all is that of some customer; of lines, it is read without
-    # the aggregation.
-    ref = customers.select(F.max("LastTime")) if is_profile(df) else df.select(F.max("InvoiceDateTime"))
+    customers = df if is_profile(df) else materialize(customer_profile(df), "customers")
+    ref = customers.select(F.max("LastTime"))
     return customers.select(
         "CustomerID",
         F.datediff(ref.scalar(), F.col("LastTime")).alias("RecencyDays"),
@@ -210,7 +211,11 @@ def user_behavior_summary(
 ) -> DataFrame:
     """Seven (metric, value) rows: repurchase counts and rate, order-value
     quartiles, mean line-level repurchase gap. ``customers`` may give the customer
-    profile of ``df``, if there is one."""
+    profile of ``df``, if there is one; else the columns that both halves read are
+    written first, so that ``df`` runs once."""
+    if customers is None:
+        read = ("CustomerID", "InvoiceNo", "InvoiceDateTime", "TotalAmount", LINES)
+        df = materialize(df.select(*[c for c in df.columns if c in read]), "summary-input")
     quartiles = order_value_quantiles(df) if exact_quantile else order_value_quantiles_approx(df)
     layout = F.array(*[F.lit(m) for m in (*SUMMARY_METRICS, *QUANTILE_METRICS, GAP_METRIC)])
     metrics = _repurchase_metrics(df if customers is None else customers).unpivot(
