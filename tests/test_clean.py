@@ -273,3 +273,33 @@ def test_invoice_times_are_parsed_once(spark):
     assert plan.count("translate(") == plan.split("Aggregate", 1)[1].count("translate(") > 0
     assert not any("Filter" in x and "translate(" in x for x in plan.splitlines())
     assert out.count() == 1
+
+
+def test_many_lines_are_dealt_to_more_tasks(spark, sf_small, raw_small, monkeypatch):
+    """A task's part doesn't grow with the table: twice the tasks for half the lines of
+    each, and the same rows."""
+    from tillroll.sources import fixtures
+
+    monkeypatch.setattr(fixtures, "MANY_LINES", 1000)
+    for lines in (200, 100):
+        monkeypatch.setattr(fixtures, "LINES_PER_TASK", lines)
+        dealt = fixtures.raw_retail_lines(spark, sf_small)
+        total = fixtures.read_table(spark, sf_small, "lineitem").count()
+        assert dealt.rdd.getNumPartitions() == -(-total // lines)
+    assert dealt.exceptAll(raw_small).count() == raw_small.exceptAll(dealt).count() == 0
+
+
+def test_usual_texts_parse_as_the_layouts_do(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.functions.columns import _tried_layouts, invoice_timestamp
+
+    texts = ["2010-12-01 08:26:00", "2010/12/01 08:26:59", "01/12/2010 08:26", "01/12/2010 8:26", " 01/12/2010 8:26 "]
+    texts += ["2010-13-01 08:26:00", "2010/02/30 08:26:00", "31/02/2010 08:26", "12/31/2010 8:26", "01/12/2010 24:00", "2010-12-01 24:00:00"]
+    texts += ["2010-12/01 08:26:00", "2010/12-01 08:26:00", "01-12-2010 08:26", "0000-01-01 00:00:00", "01/01/0000 00:00", "01/01/0000 0:00", "0001-01-01 00:00:00"]
+    texts += ["2010-12-01", "1/12/2010 8:26", "01/12/2010 8:26\n", "", "٢٠١٠-12-01 08:26:00", "29/02/2012 9:05", "29/02/2011 9:05", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = F.element_at(F.transform(F.array(F.trim("t")), _tried_layouts), 1).cast("timestamp_ntz")
+    rows = df.select("t", invoice_timestamp("t").cast("string").alias("got"), want.cast("string").alias("want")).collect()
+    assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows]
+    assert sum(r.got is not None for r in rows) >= 7

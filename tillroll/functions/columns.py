@@ -126,32 +126,31 @@ def invoice_timestamp(invoice_date: Column | str = "InvoiceDate") -> Column:
     date or time gives NULL and raises nothing inside the JVM; only other texts are
     tried with one layout after the other.
     """
+    text = F.trim(_text(invoice_date))
+    piece = lambda start, size: F.substring(text, start, size)
+    day_first = F.concat(piece(7, 4), F.lit("-"), piece(4, 2), F.lit("-"), piece(1, 2), piece(11, 6), F.lit(":00"))
+    iso = F.when(F.length(text) == 19, F.translate(text, "/", "-")).otherwise(day_first)
     # As a function of one text it adds a call to the generated code, and not the whole
     # expression with the text's own in each place: a method that grows too large for the
-    # JVM's compiler runs many times slower.
-    texts = F.array(F.trim(_text(invoice_date)))
-    return F.element_at(F.transform(texts, _parsed_text), 1).cast("timestamp_ntz")
+    # JVM's compiler runs many times slower. Called for unusual texts alone, as it is
+    # interpreted.
+    tried = F.element_at(F.transform(F.array(text), _tried_layouts), 1)
+    return F.when(text.rlike(USUAL_TEXTS), iso.try_cast("timestamp")).otherwise(tried).cast("timestamp_ntz")
 
 
-def _parsed_text(text: Column) -> Column:
-    attempts = [
-        F.when(guard, F.try_to_timestamp(text, F.lit(fmt)))
-        for guard, fmt in zip(_layout_guards(text), INVOICE_TS_FORMATS)
-    ]
-    shape = F.translate(text, "123456789", "000000000")
-    piece = lambda start, size: F.substring(text, start, size)
-    year_first = F.concat_ws("-", piece(1, 4), piece(6, 2), piece(9, 2))
-    day_first = F.concat_ws("-", piece(7, 4), piece(4, 2), piece(1, 2))
-    cast = lambda *parts: F.concat(*parts).try_cast("timestamp")
-    # The layouts have no year 0, which a cast has.
-    year_0 = text.startswith("0000") | (piece(7, 4) == "0000")
-    return (
-        F.when(year_0, F.coalesce(*attempts))
-        .when(shape == "0000-00-00 00:00:00", text.try_cast("timestamp"))
-        .when(shape == "0000/00/00 00:00:00", cast(year_first, piece(11, 9)))
-        .when(shape == "00/00/0000 00:00", cast(day_first, piece(11, 6), F.lit(":00")))
-        .when(shape == "00/00/0000 0:00", cast(day_first, F.lit(" 0"), piece(12, 4), F.lit(":00")))
-        .otherwise(F.coalesce(*attempts))
+# The layouts with digits in all places. They have no year 0, which a cast has.
+USUAL_TEXTS = (
+    r"\A(?:(?!0000)[0-9]{4}([-/])[0-9]{2}\1[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}"
+    r"|[0-9]{2}/[0-9]{2}/(?!0000)[0-9]{4} [0-9]{1,2}:[0-9]{2})\z"
+)
+
+
+def _tried_layouts(text: Column) -> Column:
+    return F.coalesce(
+        *[
+            F.when(guard, F.try_to_timestamp(text, F.lit(fmt)))
+            for guard, fmt in zip(_layout_guards(text), INVOICE_TS_FORMATS)
+        ]
     )
 
 

@@ -22,39 +22,88 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Lines of a task at most, about, in tables of more than ``MANY_LINES``: more input
+# makes more tasks, and not larger ones. Smaller tables are left to AQE.
+LINES_PER_TASK = 250_000
+MANY_LINES = 10_000_000
+
+
 def raw_retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw retail table (8 columns) for one scale-factor folder."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    li = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_discount"
     )
     # Every line once, plus a second copy of the lines of every 50th order:
     # these copies are the exact duplicates the dedup rule must remove.
     # One scan of lineitem; the copy is generated next to the original.
-    copies = F.when(F.col("l_orderkey") % 50 == 0, F.lit(2)).otherwise(F.lit(1))
-    lines = li.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+    copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    lines = li.withColumn("_copy", F.explode(copies)).drop("_copy")
+
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_size", "p_retailprice"
+    )
+    # What lines have of their order is made once for each order.
+    orders = _order_columns(spark, sf_dir)
+    lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    tasks = _tasks(spark, lineitem)
+    if tasks:
+        lines, orders = lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
+    # A quarter of the lines' rows, so that neither side is sorted.
+    joined = lines.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+    ok = F.col("l_orderkey")
+    cancelled = (F.col("l_returnflag") == "R") & (ok % 5 == 0)
+    description = (
+        F.when(F.col("p_size") == 1, F.lit(None).cast("string"))
+        .when(F.col("p_size") == 2, F.lit("  "))
+        .when(F.col("l_linenumber") == 7, F.concat(F.col("p_name"), F.lit(" ")))
+        .otherwise(F.col("p_name"))
+    )
+    qty = F.col("l_quantity").cast("long")
+    quantity = F.when(cancelled, -qty).when(ok % 41 == 0, F.lit(0).cast("long")).otherwise(qty)
+    unit_price = F.when(
+        (F.col("l_discount") == 0.1) & (ok % 3 == 0), F.lit(0.0)
+    ).otherwise(F.col("p_retailprice"))
+    invoice_no = F.when(cancelled, F.concat(F.lit("C"), ok.cast("string"))).otherwise(
+        ok.cast("string")
+    )
+    return joined.select(
+        invoice_no.alias("InvoiceNo"),
+        F.col("l_partkey").cast("string").alias("StockCode"),
+        description.alias("Description"),
+        quantity.alias("Quantity"),
+        "InvoiceDate",
+        unit_price.alias("UnitPrice"),
+        "CustomerID",
+        "Country",
+    )
 
+
+def _tasks(spark: SparkSession, lineitem: DataFrame) -> int | None:
+    """Tasks that many lines are dealt to; None for fewer lines."""
+    lines = lineitem.count()  # from the files' footers
+    if lines <= MANY_LINES:
+        return None
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // LINES_PER_TASK))
+
+
+def _order_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o_orderkey, InvoiceDate, CustomerID and Country of each order."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_custkey",
         F.col("o_orderdate").cast("string").alias("d"),
         (F.lit(6) + F.col("o_orderkey") % 15).cast("string").alias("h"),
     )
-    part = read_table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name", "p_size", "p_retailprice"
-    )
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # nation has 25 rows by definition: a fixed-size broadcast.
     nation = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-
-    joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
 
-    ok = F.col("l_orderkey")
-    cancelled = (F.col("l_returnflag") == "R") & (ok % 5 == 0)
+    ok = F.col("o_orderkey")
     d, h = F.col("d"), F.col("h")
     hh = F.lpad(h, 2, "0")
     iso_day = F.substring(d, 1, 10)
@@ -68,30 +117,12 @@ def raw_retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((ok % 5 == 3) & (ok % 7 == 0), F.lit("not a date"))
         .otherwise(iso_text)
     )
-    description = (
-        F.when(F.col("p_size") == 1, F.lit(None).cast("string"))
-        .when(F.col("p_size") == 2, F.lit("  "))
-        .when(F.col("l_linenumber") == 7, F.concat(F.col("p_name"), F.lit(" ")))
-        .otherwise(F.col("p_name"))
-    )
-    qty = F.col("l_quantity").cast("long")
-    quantity = F.when(cancelled, -qty).when(ok % 41 == 0, F.lit(0).cast("long")).otherwise(qty)
-    unit_price = F.when(
-        (F.col("l_discount") == 0.1) & (ok % 3 == 0), F.lit(0.0)
-    ).otherwise(F.col("p_retailprice"))
-    invoice_no = F.when(cancelled, F.concat(F.lit("C"), ok.cast("string"))).otherwise(
-        ok.cast("string")
-    )
     customer_id = F.when(F.col("o_custkey") % 20 == 0, F.lit(None).cast("string")).otherwise(
         F.col("o_custkey").cast("string")
     )
     return joined.select(
-        invoice_no.alias("InvoiceNo"),
-        F.col("l_partkey").cast("string").alias("StockCode"),
-        description.alias("Description"),
-        quantity.alias("Quantity"),
+        "o_orderkey",
         invoice_date.alias("InvoiceDate"),
-        unit_price.alias("UnitPrice"),
         customer_id.alias("CustomerID"),
         F.col("n_name").alias("Country"),
     )
