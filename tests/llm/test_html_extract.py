@@ -221,3 +221,29 @@ def test_layouts_beyond_the_wrapper_pages(spark):
     rows = [(i, f"https://a.example/{i}", page(i)) for i in range(300)]
     got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
     assert got == {i: f"Own first text {i}\nOwn other text {i}" for i in range(300)}
+
+
+def test_wrapper_of_all_pages(spark):
+    """The wrapper holds what any page of a host has, and a text that most pages share
+    is a slot if one has another in its place."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from tillroll.llm.html_extract import ALIGNED, host_wrappers, places
+
+    def page(i):
+        rare = f"<blockquote>Printed by order {i}</blockquote>" if i == 173 else ""
+        return f"<body><div><p>Posted <b>by staff</b></p></div><section><h4>{'Other' if i == 60 else 'Same'}</h4><p>own {i}</p></section>{rare}<address>Printed here</address></body>"
+
+    rows = spark.createDataFrame([("h", page(i)) for i in range(300)], "host string, html string")
+    (found,) = host_wrappers(rows.repartition(5)).collect()
+    at = places(json.loads(found.wrapper))
+    assert at["/body/blockquote"] == {"Printed by order 173"}
+    assert at["/body/section/h4"] == {None} and at["/body/address"] == {"Printed here"}
+    assert 300 > ALIGNED**2
+
+    df = rows.select(F.monotonically_increasing_id().alias("page_id"), F.lit("https://h/").alias("url"), "html")
+    got = {r.text.split("\n")[-1 if "order" not in r.text else -2]: r.text for r in main_text(df).collect()}
+    assert got.keys() == {f"own {i}" for i in range(300)}
+    assert not any("staff" in x or "here" in x for x in got.values()) and got["own 173"].endswith("Printed by order 173")

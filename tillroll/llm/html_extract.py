@@ -1,16 +1,17 @@
 """Main text of web pages, by wrappers inferred for each host.
 
 A wrapper is a union-free regular expression over tokens: tags, text slots,
-optional groups ``( )?`` and repeated groups ``( )+``. It is inferred from a few
+optional groups ``( )?`` and repeated groups ``( )+``. It is inferred from all
 pages of a host: repeated runs of one shape become groups, and the wrapper is
 aligned with one page's tokens after the other; where tags differ, what only
 one side has becomes optional, and where texts differ the text becomes a slot.
+A few pages at a time have a wrapper, a few wrappers are aligned to one, and so on.
 
 The places of the wrapper's text, by their path of open elements, then say what
 they are on each page of the host: constant text that several pages share
 outside the article is furniture, as is all that stands in menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments. Beyond the few pages of
-the wrapper, the blocks of all pages are counted by host, path and text, the path
+sidebars, notices, adverts, forms and reader comments. The texts and blocks
+of all pages are counted by host, path and text, the path
 with its classes and ids (digits masked) telling layouts apart: one that most
 pages with its path have is constant too, and outside an article one that a
 twentieth of them have. What is left of the article, or of the body on a page that has none, is the main text.
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import text_hash
 from tillroll.session import ensure_checkpoint_dir, materialize
 
-#: Pages of a host, at most, from which its wrapper is inferred.
-SAMPLE = 8
+#: Pages, and then wrappers, of a host that are aligned at a time, about.
+ALIGNED = 8
 
 #: Unlike pages that a block needs to be constant, and the share of those with
 #: its path: in an article, and outside of it.
@@ -383,9 +384,14 @@ def _item(host: str, path: str, block: str, inside: bool) -> int:
     return _mark(host, path, block) & ~1 | inside
 
 
+def _piece(host: str, path: str, text: str) -> int:
+    """Mark of a text outside of articles, which a block may have several of."""
+    return _mark("text", host, path, text)
+
+
 def extract(html: str, rules: dict, shared: frozenset = frozenset(), host: str = "") -> str:
     """Main text of a page: its blocks without the constants of the wrapper and
-    those ``shared`` on the host (by ``_item``), in page order, one a line."""
+    those ``shared`` on the host (by ``_item``, texts by ``_piece``), in page order, one a line."""
     constant, article = rules.get("constant", {}), rules.get("article", {})
     out = []
     for path, inside, parts in blocks(html):
@@ -395,83 +401,131 @@ def extract(html: str, rules: dict, shared: frozenset = frozenset(), host: str =
         if inside and block in article.get(path, ()):
             continue
         if not inside and path in constant:
-            parts = [x for x in parts if " ".join(unescape(x).split()) not in constant[path]]
+            parts = [x for x in parts if _plain([x]) not in constant[path]]
+        if not inside and shared:
+            parts = [x for x in parts if not x.strip() or _piece(host, path, _plain([x])) not in shared]
         if block := _plain(parts):
             out.append(block)
     return "\n".join(out)
 
 
 def _page_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Host, path and block of each page, with a signature of what else the page
+    """Host, path and block of each page, and its texts outside of articles (``piece``),
+    with a signature of what else the page
     says: its two longest other blocks. A null item stands for the page's path."""
     for b in batches:
-        cells: list[list] = [[], [], [], []]
+        cells: list[list] = [[], [], [], [], []]
         for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
-            own = dict.fromkeys((level, x, inside) for path, inside, parts in blocks(html or "") if (x := _plain(parts)) for level in _levels(path, inside))
+            found = list(blocks(html or ""))
+            own = dict.fromkeys((level, x, inside) for path, inside, parts in found if (x := _plain(parts)) for level in _levels(path, inside))
+            pieces = dict.fromkeys((path, x) for path, inside, parts in found if not inside for part in parts if (x := _plain([part])))
             longest = sorted({x for _, x, _ in own}, key=lambda x: (-len(x), x))[:3]
             whole = _mark(*longest[:2])
+            rest = lambda x: _mark(*[y for y in longest if y != x][:2]) if x in longest[:2] else whole  # noqa: B023, E731
             key, paths = _mark(host), {path: _mark(host, path) for path, _, _ in own}
-            rows = [(key, place, None, whole) for place in paths.values()]
-            rows += [
-                (key, paths[path], _item(host, path, x, inside), _mark(*[y for y in longest if y != x][:2]) if x in longest[:2] else whole)
-                for path, x, inside in own
-            ]
+            rows = [(key, place, None, whole, False) for place in paths.values()]
+            rows += [(key, paths[path], _item(host, path, x, inside), rest(x), False) for path, x, inside in own]
+            places_of = {path: _mark("text", host, path) for path, _ in pieces}
+            rows += [(key, place, None, whole, True) for place in places_of.values()]
+            rows += [(key, places_of[path], _piece(host, path, x), rest(x), True) for path, x in pieces]
             for row in rows:
                 for cell, v in zip(cells, row, strict=True):
                     cell.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cells], names=["host_key", "place", "item", "rest"])
-
-
-def shared_blocks(rows: DataFrame) -> DataFrame:
-    """host_key and items: the blocks that ``SUPPORT`` unlike pages of a host, and
-    ``SHARE`` (or ``SHARE_OUTSIDE``) of those with a block at the path, have there. Pages that say the
-    same otherwise are alike; where they are most of a block's pages, it is text
-    of copies, and stays."""
-    found = rows.select("host", "html").mapInArrow(_page_blocks, "host_key long, place long, item long, rest long")
-    key = ["host_key", "place", "item"]
+        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cells[:4]], pa.array(cells[4], pa.bool_())], names=["host_key", "place", "item", "rest", "piece"])
+
+
+def shared_items(rows: DataFrame, constants: DataFrame) -> DataFrame:
+    """host_key and items. Blocks that ``SUPPORT`` unlike pages of a host, and
+    ``SHARE`` (or ``SHARE_OUTSIDE``) of those with a block at the path, have there; texts outside of
+    articles that all of two or more pages with a text at the path have, or that are ``constants`` (item)
+    of the host's wrapper and that ``SHARE_OUTSIDE`` of those pages have. Pages that say the
+    same otherwise are alike; where they are most of a block's or text's pages, it is
+    text of copies, and stays."""
+    found = rows.select("host", "html").mapInArrow(_page_blocks, "host_key long, place long, item long, rest long, piece boolean")
+    key = ["host_key", "place", "item", "piece"]
     alike = found.groupBy(*key, "rest").agg(F.count("*").alias("n"))
-    counts = materialize(alike.groupBy(*key).agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("unlike")).where(f"item IS NULL OR unlike >= {SUPPORT} AND 2 * most <= n"), "blocks")
+    counts = alike.groupBy(*key).agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("unlike"))
+    counts = materialize(counts.where(f"item IS NULL OR 2 * most <= n AND unlike >= if(piece, 2, {SUPPORT})"), "blocks")
     of = counts.where("item IS NULL").select("host_key", "place", F.col("n").alias("of"))
-    some = counts.where("item IS NOT NULL").join(of, ["host_key", "place"]).where(F.col("n") >= F.when(F.col("item").bitwiseAND(1) == 1, SHARE).otherwise(SHARE_OUTSIDE) * F.col("of"))
-    return some.groupBy("host_key").agg(F.collect_list("item").alias("items"))
+    some = counts.where("item IS NOT NULL").join(of, ["host_key", "place"])
+    inside = F.col("item").bitwiseAND(1) == 1
+    shared = some.where(~F.col("piece") & (F.col("n") >= F.when(inside, SHARE).otherwise(SHARE_OUTSIDE) * F.col("of")))
+    known = constants.distinct().withColumn("constant", F.lit(True))
+    texts_of = some.where("piece").join(known, "item", "left").where((F.col("n") == F.col("of")) | (F.col("constant") & (F.col("n") >= SHARE_OUTSIDE * F.col("of"))))
+    return shared.select("host_key", "item").union(texts_of.select("host_key", "item")).groupBy("host_key").agg(F.collect_list("item").alias("items"))
+
 
+_WRAPPERS = "host string, bucket long, wrapper string"
+
+
+def host_wrappers(rows: DataFrame, aligned: int = ALIGNED) -> DataFrame:
+    """host and wrapper (JSON) of all pages of the host with an html. Pages are dealt by hash to
+    buckets of about ``aligned``, each of which gets a wrapper; those of neighbouring
+    buckets are aligned, in rounds, until a host has one."""
+    pages = rows.where("html <> ''")
+    sizes = materialize(pages.groupBy("host").agg(F.ceil(F.count("*") / aligned).alias("buckets")), "hosts")
+    dealt = pages.select("host", "html").join(sizes, "host").select("host", F.pmod(F.xxhash64("html"), F.col("buckets")).alias("bucket"), "html")
+
+    def one(table: pa.Table, wrapper: str) -> pa.Table:
+        return pa.table({"host": table.column("host")[:1], "bucket": table.column("bucket")[:1], "wrapper": [wrapper]})
+
+    def learn(table: pa.Table) -> pa.Table:
+        return one(table, json.dumps(infer(sorted(set(table.column("html").to_pylist())))))
 
-def main_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    def merge(table: pa.Table) -> pa.Table:
+        parts = sorted(zip(table.column("part").to_pylist(), table.column("wrapper").to_pylist(), strict=True))
+        return one(table, parts[0][1] if len(parts) == 1 else json.dumps(_inferred([json.loads(w) for _, w in parts])))
+
+    wrappers = dealt.groupBy("host", "bucket").applyInArrow(learn, _WRAPPERS)
+    left = sizes.agg(F.max("buckets")).first()[0] or 0
+    while left > 1:
+        parts = materialize(wrappers, "wrappers").withColumnRenamed("bucket", "part")
+        wrappers = parts.withColumn("bucket", F.expr(f"part div {aligned}")).groupBy("host", "bucket").applyInArrow(merge, _WRAPPERS)
+        left = -(-left // aligned)
+    return wrappers.select("host", "wrapper")
+
+
+def _constants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The constants of wrappers, by ``_piece``."""
+    for b in batches:
+        items = [
+            _piece(host, path, x)
+            for host, wrapper in zip(b.column("host").to_pylist(), b.column("wrapper").to_pylist(), strict=True)
+            for path, found in places(json.loads(wrapper)).items()
+            for x in found
+            if x
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64())], names=["item"])
+
+
+def main_text(pages: DataFrame, aligned: int = ALIGNED) -> DataFrame:
     """page_id, url, text (empty if none) and n_chars of each page.
 
-    Wrappers are inferred from at most ``sample`` pages of each host, chosen by
-    hashes, and applied to all, as are the blocks counted over all pages. A null url is a host of its own; a null or empty
+    Wrappers are inferred from all pages of each host, ``aligned`` of them at a time, and
+    applied to all, as are the blocks and texts counted over all pages. A null url is a host of its own; a null or empty
     html has an empty text. Repeated rows come back as often; long pages are read whole;
     extra columns are ignored; an empty table gives no rows.
     """
     ensure_checkpoint_dir(pages.sparkSession)
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host"))
-    # One page for each host and bucket, picked before the exchange.
-    page = F.struct(F.xxhash64("html").alias("mark"), F.col("html"))
-    bucket = F.pmod(F.xxhash64("html"), F.lit(sample)).alias("bucket")
-    some = rows.where("html <> ''").groupBy("host", bucket).agg(F.min(page).alias("page")).select("host", "page.*")
-
-    def learn(table: pa.Table) -> pa.Table:
-        pages_of = sorted(zip(table.column("mark").to_pylist(), table.column("html").to_pylist(), strict=True))
-        return pa.table({"host": table.column("host")[:1], "rules": [wrapper_rules([h for _, h in pages_of])]})
-
-    learnt = some.groupBy("host").applyInArrow(learn, "host string, rules string").withColumn("host_key", F.xxhash64("host"))
-    wrappers = materialize(learnt.join(shared_blocks(rows), "host_key", "left").drop("host_key"), "wrappers")
-    size = wrappers.agg(F.sum(F.octet_length("host") + F.octet_length("rules") + 8 * F.coalesce(F.size("items"), F.lit(0)))).first()[0] or 0
+    constants = host_wrappers(rows, aligned).mapInArrow(_constants, "item long")
+    wrappers = materialize(shared_items(rows, constants), "shared")
+    size = wrappers.agg(F.sum(8 * F.size("items") + 8)).first()[0] or 0
     if size <= BROADCAST_BYTES:
         wrappers = F.broadcast(wrappers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple] = {}
+        known: dict[str, frozenset] = {}
         for b in batches:
             out = []
-            for host, html, rules, items in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), b.column("rules"), b.column("items"), strict=True):
+            for host, html, items in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), b.column("items"), strict=True):
                 if host not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[host] = (json.loads(rules.as_py() or "{}"), frozenset(items.as_py() or ()))
-                out.append(extract(html or "", *known[host], host))
+                    known[host] = frozenset(items.as_py() or ())
+                out.append(extract(html or "", {}, known[host], host))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return rows.join(wrappers, "host", "left").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    keyed = rows.withColumn("host_key", F.xxhash64("host"))
+    return keyed.join(wrappers, "host_key", "left").mapInArrow(run, "page_id long, url string, text string, n_chars long")
