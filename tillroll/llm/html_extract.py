@@ -166,21 +166,24 @@ def texts(html: str, around: bool = True) -> Iterator[tuple[str, str, bool, bool
 
 def fold(items: list) -> list:
     """Items with neighbouring runs of one shape folded to groups ('+', items)."""
+    shapes = [_shape(x) for x in items]
     for width in range(1, 9):
         out: list = []
+        own: list[str] = []
         k = 0
         while k < len(items):
-            unit, n = items[k : k + width], 1
-            shape = [_shape(x) for x in unit]
-            while len(unit) == width and [_shape(x) for x in items[k + n * width : k + (n + 1) * width]] == shape:
+            shape, n = shapes[k : k + width], 1
+            while len(shape) == width and shapes[k + n * width : k + (n + 1) * width] == shape:
                 n += 1
-            if n > 1 and not (width == 1 and unit[0][0] == "+"):
-                out.append(("+", _same(unit)))
+            if n > 1 and not (width == 1 and items[k][0] == "+"):
+                out.append(("+", _same(items[k : k + width])))
+                own.append(_shape(out[-1]))
                 k += n * width
             else:
                 out.append(items[k])
+                own.append(shapes[k])
                 k += 1
-        items = out
+        items, shapes = out, own
     return items
 
 
