@@ -303,3 +303,45 @@ def test_usual_texts_parse_as_the_layouts_do(spark):
     rows = df.select("t", invoice_timestamp("t").cast("string").alias("got"), want.cast("string").alias("want")).collect()
     assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows]
     assert sum(r.got is not None for r in rows) >= 7
+
+
+def test_unusual_texts_of_two_layouts_or_odd_years(spark):
+    """All layouts are one pattern: a text of several of them in a row is none."""
+    parts = ["2010-12-01 08:26:00", "2010/12/01 08:26:00", "01/12/2010 08:26", "01/12/2010 8:26", "+12010-12-01 08:26:00", "01/12/+12010 8:26"]
+    texts = [a + b for a in ["", *parts] for b in parts] + ["01/12/2010 008:26", "+29999-12-01 08:26:00", "2010-12-01 8:26:00", "1:", ":", "x:y-z/"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = F.coalesce(*[F.try_to_timestamp("t", F.lit(f)) for f in INVOICE_TS_FORMATS]).cast("timestamp_ntz")
+    rows = df.select("t", invoice_timestamp("t").cast("string").alias("got"), want.cast("string").alias("want")).collect()
+    assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows]
+    assert sum(r.got is not None for r in rows) >= 6
+
+
+def test_cleaning_up_to_the_shuffle_is_compiled_together(spark):
+    """No projection outside the generated code, as of a lambda, before the de-duplication."""
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(out):
+            cl.clean(raw_frame(spark, [_line()])).explain()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    projects = [x for x in out.getvalue().splitlines() if "Project [" in x]
+    assert projects and all("*(" in x for x in projects)
+
+
+def test_many_parts_are_joined_without_a_sort(spark, sf_small, raw_small, monkeypatch):
+    """Few parts come after the lines are dealt out, many before, and the rows are the same."""
+    from tillroll.sources import fixtures
+
+    monkeypatch.setattr(fixtures, "MANY_LINES", 1000)
+    plans = []
+    for few in (10**9, 0):
+        monkeypatch.setattr(fixtures, "FEW_PARTS", few)
+        raw = fixtures.raw_retail_lines(spark, sf_small)
+        plans.append(raw._jdf.queryExecution().executedPlan().toString())
+        assert raw.exceptAll(raw_small).count() == raw_small.exceptAll(raw).count() == 0
+    joins = [[x.split("Join")[0].split()[-1] for x in p.splitlines() if "Join [l_" in x] for p in plans]
+    assert joins == [["BroadcastHash", "ShuffledHash"], ["ShuffledHash", "ShuffledHash"]]

@@ -97,24 +97,6 @@ def filled_description(description: Column | str = "Description") -> Column:
     return F.when(d.isNull() | (F.trim(d) == ""), F.lit(UNKNOWN_PRODUCT)).otherwise(d)
 
 
-def _layout_guards(text: Column) -> list[Column]:
-    """Per layout, a cheap test every text that layout accepts must pass.
-
-    A failed pattern parse raises and catches an exception inside the JVM,
-    which costs more than the parse itself; the guards skip attempts that
-    cannot succeed (separator present, number of ':' literals), so results
-    are the same as trying every layout in turn.
-    """
-    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
-    slashed = text.contains("/")
-    return [
-        text.contains("-"),  # yyyy-MM-dd HH:mm:ss
-        slashed & (colons == 2),  # yyyy/MM/dd HH:mm:ss
-        slashed & (colons == 1),  # dd/MM/yyyy HH:mm
-        slashed & (colons == 1),  # dd/MM/yyyy H:mm
-    ]
-
-
 def invoice_timestamp(invoice_date: Column | str = "InvoiceDate") -> Column:
     """Parse the invoice date text with the accepted layouts; NULL if none fits.
 
@@ -130,11 +112,7 @@ def invoice_timestamp(invoice_date: Column | str = "InvoiceDate") -> Column:
     piece = lambda start, size: F.substring(text, start, size)
     day_first = F.concat(piece(7, 4), F.lit("-"), piece(4, 2), F.lit("-"), piece(1, 2), piece(11, 6), F.lit(":00"))
     iso = F.when(F.length(text) == 19, F.translate(text, "/", "-")).otherwise(day_first)
-    # As a function of one text it adds a call to the generated code, and not the whole
-    # expression with the text's own in each place: a method that grows too large for the
-    # JVM's compiler runs many times slower. Called for unusual texts alone, as it is
-    # interpreted.
-    tried = F.element_at(F.transform(F.array(text), _tried_layouts), 1)
+    tried = _tried_layouts(text)
     return F.when(text.rlike(USUAL_TEXTS), iso.try_cast("timestamp")).otherwise(tried).cast("timestamp_ntz")
 
 
@@ -145,13 +123,20 @@ USUAL_TEXTS = (
 )
 
 
+# Shorter than two texts of any layouts together, the least of 15 characters; a year has
+# a sign and nine digits at most, which makes a text of 25.
+LONGEST_TEXT = 29
+
+
 def _tried_layouts(text: Column) -> Column:
-    return F.coalesce(
-        *[
-            F.when(guard, F.try_to_timestamp(text, F.lit(fmt)))
-            for guard, fmt in zip(_layout_guards(text), INVOICE_TS_FORMATS)
-        ]
-    )
+    """The layouts in one pattern, each an optional part, so that an unusual text is parsed
+    once and the generated code has one call: it stays small enough to be compiled
+    together with what is around it. No text fits two of the parts, and one after the
+    other they need a longer text. A text without a colon fits none: a failed parse
+    raises inside the JVM, which costs more than this test."""
+    layouts = "".join(f"[{fmt}]" for fmt in INVOICE_TS_FORMATS)
+    possible = text.contains(":") & (F.length(text) <= LONGEST_TEXT)
+    return F.when(possible, F.try_to_timestamp(text, F.lit(layouts)))
 
 
 def is_weekend(ts: Column | str) -> Column:

@@ -27,6 +27,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 LINES_PER_TASK = 250_000
 MANY_LINES = 10_000_000
 
+# Parts that are sent to all tasks, at most: some 150 MB.
+FEW_PARTS = 1_500_000
+
 
 def raw_retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw retail table (8 columns) for one scale-factor folder."""
@@ -45,12 +48,18 @@ def raw_retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # What lines have of their order is made once for each order.
     orders = _order_columns(spark, sf_dir)
-    lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
     tasks = _tasks(spark, lineitem)
+    # Parts that go to all tasks do so after the lines are dealt out, which are narrow then.
+    # More parts come first, and neither side is sorted, as a task has few of them.
+    few = part.count() <= FEW_PARTS  # from the files' footers
+    if not few:
+        lines = lines.join(part.hint("shuffle_hash"), F.col("l_partkey") == F.col("p_partkey"))
     if tasks:
         lines, orders = lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
     # A quarter of the lines' rows, so that neither side is sorted.
     joined = lines.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+    if few:
+        joined = joined.join(F.broadcast(part), F.col("l_partkey") == F.col("p_partkey"))
 
     ok = F.col("l_orderkey")
     cancelled = (F.col("l_returnflag") == "R") & (ok % 5 == 0)
