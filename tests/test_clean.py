@@ -345,3 +345,13 @@ def test_many_parts_are_joined_without_a_sort(spark, sf_small, raw_small, monkey
         assert raw.exceptAll(raw_small).count() == raw_small.exceptAll(raw).count() == 0
     joins = [[x.split("Join")[0].split()[-1] for x in p.splitlines() if "Join [l_" in x] for p in plans]
     assert joins == [["BroadcastHash", "ShuffledHash"], ["ShuffledHash", "ShuffledHash"]]
+
+
+def test_lines_are_dealt_to_customers_without_derived_columns(raw_small):
+    out = cl.clean(raw_small, 5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression", 1)
+    assert "date_format(" in above and "date_format(" not in below
+    plain = cl.clean(raw_small)
+    assert out.columns == plain.columns and out.rdd.getNumPartitions() == 5
+    assert out.exceptAll(plain).count() == plain.exceptAll(out).count() == 0
